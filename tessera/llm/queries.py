@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import langid, warc
+from . import langid, neardup, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
+    "op5_near_duplicates": neardup.op5_near_duplicates,
     "op8_language": langid.op8_language,
 }
 
@@ -17,7 +18,7 @@ ORACLE_SQL = {
             FROM pages
         ), d AS (
             SELECT page_id, payload_bytes, max(page_id) OVER (PARTITION BY h, payload_bytes) AS first_id,
-                   array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
                        1 + CAST((CAST('0x' || substr(h, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INTEGER), 1)), '') AS payload_digest
             FROM p
         )
