@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import langid, neardup, warc
+from . import langid, linedup, neardup, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
+    "op3_line_dedup": linedup.op3_line_dedup,
     "op5_near_duplicates": neardup.op5_near_duplicates,
     "op8_language": langid.op8_language,
 }
