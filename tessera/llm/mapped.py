@@ -2,7 +2,7 @@
 
 A table too large to broadcast is cut into shards by the upper bits of a scrambled
 64-bit key. Each shard is written by one task as plain arrays: the sorted keys and,
-beside them, value arrays (or ragged arrays: values and their bounds). Workers map the
+beside them, value arrays (for list columns the values and their bounds). Workers map the
 files; the operating system shares the pages among the workers of a machine. Where the
 shared folder isn't a file system path, workers fetch a shard before they map it.
 
@@ -98,8 +98,20 @@ class Mapped:
             out[at] = self.shard(int(s))[name][places[at]]
         return out[back]
 
-    def __contains__(self, _):
-        raise TypeError("use has()")
+    def lists(self, keys: np.ndarray, name: str) -> tuple[np.ndarray, np.ndarray]:
+        """The ragged values of each key one after the other, and their lengths (0: no such key)."""
+        shards, places = self.find(keys)
+        sizes = np.zeros(len(keys), np.int64)
+        for s in np.unique(shards[places >= 0]):
+            at, held = np.flatnonzero((shards == s) & (places >= 0)), self.shard(int(s))[f"{name}_at"]
+            sizes[at] = held[places[at] + 1] - held[places[at]]
+        begin = np.cumsum(sizes) - sizes
+        out = np.zeros(int(sizes.sum()), self.values[name])
+        for s in np.unique(shards[places >= 0]):
+            at, held = np.flatnonzero((shards == s) & (places >= 0)), self.shard(int(s))
+            inside = np.arange(int(sizes[at].sum())) - np.repeat(np.cumsum(sizes[at]) - sizes[at], sizes[at])
+            out[np.repeat(begin[at], sizes[at]) + inside] = held[name][np.repeat(held[f"{name}_at"][places[at]].astype(np.int64), sizes[at]) + inside]
+        return out, sizes
 
     def has(self, keys: np.ndarray) -> np.ndarray:
         return self.find(keys)[1] >= 0
@@ -125,10 +137,19 @@ def build(df: DataFrame, rows: int, name: str, values: dict[str, str], shard_row
         keys = t.column("key").to_numpy().view(np.uint64)
         order = np.argsort(keys, kind="stable")
         s = t.column("shard")[0].as_py()
-        save(out.path, s, keys=keys[order], **{k: t.column(k).to_numpy()[order].astype(d) for k, d in out.values.items()})
+        arrays = {}
+        for k in values:
+            column = t.column(k).combine_chunks()
+            if pa.types.is_list(column.type):
+                column = column.take(pa.array(order))
+                arrays |= {k: column.values.to_numpy(zero_copy_only=False).astype(out.values[k]), f"{k}_at": column.offsets.to_numpy().astype(np.int64)}
+            else:
+                arrays[k] = column.to_numpy(zero_copy_only=False)[order].astype(out.values[k])
+        save(out.path, s, keys=keys[order], **arrays)
         return pa.table({"shard": pa.array([s], pa.int64()), "n": pa.array([len(keys)], pa.int64())})
 
     held = df.select(F.col("key").cast("long"), *values)
+    out.values |= {f"{n}_at": "i8" for n, t in held.dtypes if t.startswith("array")}
     fields = ", ".join(f"{n} {t}" for n, t in held.dtypes)
     held.mapInArrow(number, f"shard long, {fields}").groupBy("shard").applyInArrow(write, "shard long, n long").agg(F.sum("n")).collect()
     return out

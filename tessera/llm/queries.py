@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import langid, linedup, neardup, warc
+from . import bpe, langid, linedup, neardup, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op3_line_dedup": linedup.op3_line_dedup,
     "op5_near_duplicates": neardup.op5_near_duplicates,
     "op8_language": langid.op8_language,
+    "op9_bpe": bpe.op9_bpe,
 }
 
 ORACLE_SQL = {
