@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, langid, linedup, neardup, warc
+from . import bpe, decontaminate, langid, linedup, neardup, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op3_line_dedup": linedup.op3_line_dedup,
     "op5_near_duplicates": neardup.op5_near_duplicates,
+    "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_language": langid.op8_language,
     "op9_bpe": bpe.op9_bpe,
 }
