@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, langid, linedup, neardup, warc
+from . import bpe, decontaminate, imatch, langid, linedup, neardup, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
+    "op2_imatch": imatch.op2_imatch,
     "op3_line_dedup": linedup.op3_line_dedup,
     "op5_near_duplicates": neardup.op5_near_duplicates,
     "op7_decontaminate": decontaminate.op7_decontaminate,
