@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, imatch, langid, linedup, neardup, warc
+from . import bpe, decontaminate, imatch, kneser_ney, langid, linedup, neardup, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op2_imatch": imatch.op2_imatch,
     "op3_line_dedup": linedup.op3_line_dedup,
+    "op4_kneser_ney": kneser_ney.op4_kneser_ney,
     "op5_near_duplicates": neardup.op5_near_duplicates,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_language": langid.op8_language,
