@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, imatch, kneser_ney, langid, linedup, neardup, warc
+from . import bpe, decontaminate, html, imatch, kneser_ney, langid, linedup, neardup, resample, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -10,9 +10,11 @@ QUERIES = {
     "op3_line_dedup": linedup.op3_line_dedup,
     "op4_kneser_ney": kneser_ney.op4_kneser_ney,
     "op5_near_duplicates": neardup.op5_near_duplicates,
+    "op6_resample": resample.op6_resample,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_language": langid.op8_language,
     "op9_bpe": bpe.op9_bpe,
+    "op10_html": html.op10_html,
 }
 
 ORACLE_SQL = {
