@@ -1,7 +1,436 @@
-"""Queries by name, each with SQL that gives the same rows."""
+"""Queries by name, each with SQL that gives the same rows.
+
+Bindings: ``part`` is the table of records (id ``p_partkey``, value ``p_retailprice`` -
+900, entity ``p_name``, keys ``p_brand`` and ``p_type``); ``events`` gives scores (value /
+500), labels (purchase or not), entities (``user_id``) and, hour by hour, tidy metrics;
+``embeddings`` gives vectors and fingerprints. All run over whole tables.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import expressions as E
+from .functions import hashing as H
+from .functions import metrics as M
+from .operators import neighbours as K
+from .operators import pairing as P
+from .operators import results as R
+from .operators import selection as S
+from .plans import prompts
+
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
-FLAGSHIP = None
+
+
+def query(sql: str | None = None):
+    """Register a function (spark, table reader) under its name."""
+
+    def add(f):
+        QUERIES[f.__name__] = lambda spark, sf_dir: f(spark, lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _records(t) -> DataFrame:
+    return t("part").select(F.col("p_partkey").alias("id"), (F.col("p_retailprice") - 900).alias("value"), "p_name", "p_brand", "p_type", "p_size")
+
+
+RECORDS = "SELECT p_partkey AS id, p_retailprice - 900 AS value, p_name, p_brand, p_type, p_size FROM part"
+BAND = "(abs(a.value - b.value) <= 10 OR abs(a.value - b.value) >= 30)"
+LABEL = "CASE WHEN abs(a.value - b.value) <= 10 THEN 1 ELSE 0 END"
+PAIRS = f"WITH r AS ({RECORDS}), pairs AS (SELECT a.id AS id_a, b.id AS id_b, a.p_name AS name_a, b.p_name AS name_b, a.p_type AS type_a, b.p_type AS type_b, a.p_size AS size_a, b.p_size AS size_b, a.value AS value_a, b.value AS value_b, abs(a.value - b.value) AS difference, {LABEL} AS label FROM r a JOIN r b ON a.p_brand = b.p_brand AND a.id < b.id WHERE {BAND})"
+
+
+def _pairs(t) -> DataFrame:
+    return P.same_key_pairs(_records(t), ["p_brand"])
+
+
+# pairs
+
+
+@query(f"{PAIRS} SELECT id_a, id_b, round(difference, 6) AS difference, label FROM pairs")
+def pairs_same_key(spark, t):
+    return _pairs(t).select("id_a", "id_b", F.round("difference", 6).alias("difference"), "label")
+
+
+@query(f"WITH r AS ({RECORDS}) SELECT a.id AS id_a, b.id AS id_b, {LABEL} AS label FROM r a JOIN r b ON a.p_brand = b.p_brand AND a.p_type = b.p_type AND a.id < b.id WHERE {BAND}")
+def pairs_two_keys(spark, t):
+    return P.same_key_pairs(_records(t), ["p_brand", "p_type"]).select("id_a", "id_b", "label")
+
+
+@query(
+    f"WITH r AS ({RECORDS}), d AS (SELECT abs(a.value - b.value) AS d FROM r a JOIN r b ON a.id < b.id WHERE {BAND}) "
+    "SELECT CASE WHEN d <= 10 THEN 1 ELSE 0 END AS label, (d > 20)::INT + (d > 40)::INT + (d > 60)::INT + (d > 80)::INT AS bucket, count(*) AS n FROM d GROUP BY ALL"
+)
+def pairs_unconstrained(spark, t):
+    pairs = P.all_pairs(_records(t).select("id", "value"))
+    return pairs.groupBy("label", E.bucket_above(F.col("difference"), [20, 40, 60, 80]).alias("bucket")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT p_brand, count(*) AS n, count(*) * (count(*) - 1) // 2 AS pairs FROM part GROUP BY p_brand HAVING count(*) >= 2")
+def group_sizes(spark, t):
+    return P.group_sizes(t("part"), "p_brand")
+
+
+@query(
+    f"{PAIRS} SELECT (CASE WHEN type_a = 'SMALL' THEN 0 ELSE 1 END) + (CASE WHEN type_b = 'SMALL' THEN 0 ELSE 1 END) AS type_presence, "
+    "(CASE WHEN size_a > 25 THEN 1 ELSE 0 END) + (CASE WHEN size_b > 25 THEN 1 ELSE 0 END) AS size_presence, label, count(*) AS n FROM pairs GROUP BY ALL"
+)
+def presence_codes(spark, t):
+    some = lambda c, keep: F.when(keep, F.col(c))
+    code = E.presence_code(some("p_type_a", F.col("p_type_a") != "SMALL"), some("p_type_b", F.col("p_type_b") != "SMALL"))
+    size = E.presence_code(some("p_size_a", F.col("p_size_a") > 25), some("p_size_b", F.col("p_size_b") > 25))
+    return _pairs(t).groupBy(code.alias("type_presence"), size.alias("size_presence"), "label").agg(F.count("*").alias("n"))
+
+
+@query(f"{PAIRS} SELECT id_a, id_b, label, d AS direction, CASE WHEN d = 'a_to_b' THEN id_a ELSE id_b END AS source, CASE WHEN d = 'a_to_b' THEN id_b ELSE id_a END AS target FROM pairs, (VALUES ('a_to_b'), ('b_to_a')) v(d)")
+def both_directions(spark, t):
+    return P.both_directions(_pairs(t).select("id_a", "id_b", "label"))
+
+
+@query(f"{PAIRS} SELECT id_a, id_b, label, a.p_name AS name_a, a.p_size AS size_a, b.p_name AS name_b, round(b.p_retailprice, 4) AS price_b FROM pairs JOIN part a ON a.p_partkey = id_a JOIN part b ON b.p_partkey = id_b")
+def materialised_pairs(spark, t):
+    records = t("part").withColumnRenamed("p_partkey", "id")
+    out = P.materialised(_pairs(t).select("id_a", "id_b", "label"), records)
+    return out.select("id_a", "id_b", "label", F.col("record_a.p_name").alias("name_a"), F.col("record_a.p_size").alias("size_a"), F.col("record_b.p_name").alias("name_b"), F.round("record_b.p_retailprice", 4).alias("price_b"))
+
+
+# text
+
+
+@query(
+    "WITH s AS (SELECT event_id, CASE event_type WHEN 'view' THEN '  Not Specified ' WHEN 'click' THEN 'N/A' WHEN 'purchase' THEN 'Oral   Dose' ELSE event_type END AS raw FROM events), "
+    "n AS (SELECT event_id, lower(trim(regexp_replace(raw, '\\s+', ' ', 'g'))) AS x FROM s) "
+    "SELECT event_id, CASE WHEN x IN ('', 'n/a', 'na', 'none', 'not applicable', 'not reported', 'not specified', 'not stated', 'null', 'unknown', 'unspecified') THEN NULL ELSE x END AS text FROM n"
+)
+def normal_texts(spark, t):
+    kind = F.col("event_type")
+    raw = F.when(kind == "view", "  Not Specified ").when(kind == "click", "N/A").when(kind == "purchase", "Oral   Dose").otherwise(kind)
+    return t("events").select("event_id", E.normal_text(raw).alias("text"))
+
+
+@query(
+    "SELECT p_partkey, CASE WHEN p_type = 'SMALL' THEN NULL ELSE lower(p_type) || ' | ' || coalesce(CASE WHEN p_size > 25 THEN lower(p_brand) END, 'not specified') || ' | ' || lower(p_name) END AS condition FROM part"
+)
+def condition_keys(spark, t):
+    key = E.condition_key(F.nullif("p_type", F.lit("SMALL")), F.when(F.col("p_size") > 25, F.col("p_brand")), F.col("p_name"))
+    return t("part").select("p_partkey", key.alias("condition"))
+
+
+@query(
+    "WITH s AS (SELECT event_id, CASE event_type WHEN 'view' THEN 'not specified' WHEN 'click' THEN 'nan' WHEN 'purchase' THEN '' WHEN 'signup' THEN NULL ELSE ' x ' END AS raw FROM events) "
+    "SELECT coalesce(raw, '<null>') AS raw, coalesce(raw IN ('', 'not specified'), true) AS says_nothing, coalesce(raw IN ('', 'nan'), true) AS token, raw IS NULL AS is_null, coalesce(trim(raw) = '', true) AS blank, count(*) AS n FROM s GROUP BY ALL"
+)
+def missing_four_ways(spark, t):
+    kind = F.col("event_type")
+    raw = F.when(kind == "view", "not specified").when(kind == "click", "nan").when(kind == "purchase", "").when(kind == "signup", None).otherwise(" x ")
+    rows = t("events").select(raw.alias("raw"))
+    c = F.col("raw")
+    return rows.groupBy(F.coalesce(c, F.lit("<null>")).alias("raw"), E.normal_text(c).isNull().alias("says_nothing"), E.is_missing_token(c).alias("token"), c.isNull().alias("is_null"), E.is_blank(c).alias("blank")).agg(F.count("*").alias("n"))
+
+
+@query(
+    "WITH s AS (SELECT CASE WHEN event_type = 'view' THEN NULL WHEN event_type = 'click' THEN 'NaN'::DOUBLE ELSE value END AS v, CASE WHEN user_id < 20 THEN NULL ELSE user_id END AS e FROM events) "
+    "SELECT CASE WHEN v IS NULL OR isnan(v) THEN 'missing value' WHEN e IS NULL THEN 'missing entity' ELSE 'valid' END AS reason, count(*) AS n FROM s GROUP BY ALL"
+)
+def validity_reasons(spark, t):
+    kind = F.col("event_type")
+    value = E.finite(F.when(kind == "view", None).when(kind == "click", F.lit(float("nan"))).otherwise(F.col("value")))
+    reason = F.when(value.isNull(), "missing value").when(F.col("user_id") < 20, "missing entity").otherwise("valid")
+    return t("events").groupBy(reason.alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query(
+    "WITH k AS (SELECT text AS form FROM benchmark UNION SELECT lower(trim(regexp_replace(text, '[ \\t\\n\\r\\f\\v]+', ' ', 'g'))) FROM benchmark) "
+    "SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.form = d.text) AND NOT EXISTS (SELECT 1 FROM k WHERE k.form = lower(trim(regexp_replace(d.text, '[ \\t\\n\\r\\f\\v]+', ' ', 'g'))))"
+)
+def exclusion(spark, t):
+    return S.without_overlap(t("documents"), t("benchmark"), "doc_id", "text", E.normal_text(F.col("text")), "text", E.normal_text(F.col("text"))).select("doc_id")
+
+
+QUESTION = "Should the value transfer between Record A and Record B?"
+
+
+@query(
+    f"{PAIRS} SELECT id_a, id_b, sha256('Record A' || chr(10) || '- known value: ' || printf('%.2f', value_a) || '%' || chr(10) || '- p_name: ' || name_a || chr(10) || '- p_type: ' || type_a || chr(10) || chr(10) || "
+    f"'Record B' || chr(10) || '- p_name: ' || name_b || chr(10) || '- p_type: ' || type_b || chr(10) || chr(10) || '{QUESTION}' || chr(10) || '(A) transfer' || chr(10) || '(B) not transfer' || chr(10) || chr(10) || 'Answer:' || chr(10)) AS prompt_sha, "
+    "CASE WHEN label = 1 THEN 'A' ELSE 'B' END AS completion, '{\"p_name\": \"' || name_a || '\", \"p_type\": \"' || type_a || '\"}' AS metadata_a FROM pairs"
+)
+def rendered_prompts(spark, t):
+    out = prompts.rendered(_pairs(t), ["p_name", "p_type"], known="value")
+    return out.select("id_a", "id_b", F.sha2("prompt", 256).alias("prompt_sha"), "completion", "metadata_a")
+
+
+# hashing and selection
+
+
+@query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE ('0x' || substr(sha256('13|' || l_orderkey || '|' || l_linenumber), 1, 8))::BIGINT % 1000000 < 250000")
+def bernoulli_sample(spark, t):
+    return t("lineitem").filter(H.kept_by_hash(0.25, 13, F.col("l_orderkey"), F.col("l_linenumber"))).select("l_orderkey", "l_linenumber")
+
+
+@query(f"{PAIRS} SELECT CASE WHEN ('0x' || substr(sha256('13|' || id_a || ':' || id_b), 1, 8))::BIGINT % 2 = 0 THEN 'a_to_b' ELSE 'b_to_a' END AS direction, label, count(*) AS n FROM pairs GROUP BY ALL")
+def one_direction(spark, t):
+    return _pairs(t).groupBy(H.one_direction(13, F.concat_ws(":", "id_a", "id_b")).alias("direction"), "label").agg(F.count("*").alias("n"))
+
+
+@query()
+def blake_priorities(spark, t):
+    """BLAKE2 priorities of the records; SQL has no such digest."""
+    return t("part").select("p_partkey", H.priority64(13)(F.concat_ws("|", F.lit("pool"), "p_partkey")).alias("priority"))
+
+
+STRATA = f"{PAIRS}, strata AS (SELECT label || '/' || ((difference > 20)::INT + (difference > 40)::INT + (difference > 60)::INT + (difference > 80)::INT) AS stratum, id_a, id_b FROM pairs), counts AS (SELECT stratum, count(*) AS n FROM strata GROUP BY stratum)"
+
+
+def _strata(t):
+    return _pairs(t).select(F.concat_ws("/", "label", E.bucket_above(F.col("difference"), [20, 40, 60, 80])).alias("stratum"), "id_a", "id_b")
+
+
+@query(f"{STRATA} SELECT * FROM counts")
+def strata_counts(spark, t):
+    return _strata(t).groupBy("stratum").agg(F.count("*").alias("n"))
+
+
+@query(
+    f"{STRATA}, q AS (SELECT *, least(7000, sum(n) OVER ()) AS t, least(7000, sum(n) OVER ()) * (n / sum(n) OVER ()) AS raw FROM counts), "
+    "f AS (SELECT *, row_number() OVER (ORDER BY raw - floor(raw) DESC, n DESC, stratum) AS rn, t - sum(floor(raw)) OVER () AS extra FROM q) "
+    "SELECT stratum, n, CAST(floor(raw) + (rn <= extra)::INT AS BIGINT) AS quota FROM f WHERE floor(raw) + (rn <= extra)::INT > 0"
+)
+def largest_remainder(spark, t):
+    return S.largest_remainder(_strata(t).groupBy("stratum").agg(F.count("*").alias("n")), "stratum", "n", 7000)
+
+
+@query(f"{STRATA}, o AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY sha256('13|' || id_a || ':' || id_b), id_a) AS rn FROM strata) SELECT stratum, id_a, id_b FROM o WHERE rn <= 100")
+def stratum_pools(spark, t):
+    keyed = _strata(t).withColumn("key", H.sha_key(13, F.concat_ws(":", "id_a", "id_b")))
+    return S.first_by_key(keyed, ["stratum"], "key", F.lit(100), "id_a").select("stratum", "id_a", "id_b")
+
+
+MEDIANS = "WITH m AS (SELECT user_id, CASE WHEN median(value) >= 150 THEN 1 ELSE 0 END AS label, count(*) AS n FROM events GROUP BY user_id)"
+
+
+def _medians(t):
+    return t("events").groupBy("user_id").agg((F.median("value") >= 150).cast("int").alias("label"), F.count("*").alias("n"))
+
+
+@query(f"{MEDIANS} SELECT user_id, label, n FROM m")
+def median_labels(spark, t):
+    return _medians(t)
+
+
+@query(f"{MEDIANS}, o AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY sha256('20260630|' || user_id), user_id) AS rn, count(*) OVER (PARTITION BY label) AS c FROM m) SELECT user_id, label FROM o WHERE rn <= ceil(c / 2)")
+def half_split(spark, t):
+    keyed = _medians(t).withColumn("key", H.sha_key(20260630, F.col("user_id")))
+    return S.first_by_key(keyed, ["label"], "key", F.ceil(F.col("n") / 2), "user_id").select("user_id", "label")
+
+
+@query(f"{MEDIANS}, o AS (SELECT *, coalesce(sum(n) OVER (ORDER BY n DESC, sha256('7|' || user_id), user_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b, sum(n) OVER () AS s FROM m) SELECT user_id, n, s - b > 500 AS moved FROM o")
+def shrunk_split(spark, t):
+    return S.shrunk(_medians(t).withColumn("key", H.sha_key(7, F.col("user_id"))), "n", "key", "user_id", 500).select("user_id", "n", "moved")
+
+
+@query(f"{MEDIANS} SELECT user_id, label, ntile(5) OVER (PARTITION BY label ORDER BY sha256('1729|' || user_id)) - 1 AS fold FROM m")
+def k_folds(spark, t):
+    return S.folds(_medians(t).withColumn("key", H.sha_key(1729, F.col("user_id"))), "label", "key", 5).select("user_id", "label", F.col("fold").cast("long").alias("fold"))
+
+
+@query("SELECT round(quantile_cont(value, 0.25), 6) AS q1, round(quantile_cont(value, 0.5), 6) AS q2, round(quantile_cont(value, 0.75), 6) AS q3 FROM events")
+def quantile_thresholds(spark, t):
+    return t("events").agg(F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q")).select(*(F.round(F.col("q")[k], 6).alias(f"q{k + 1}") for k in range(3)))
+
+
+SPLIT = "SELECT event_id, user_id, CASE WHEN user_id % 10 = 0 THEN 'test' WHEN user_id % 10 = 1 THEN 'validation_1' WHEN user_id % 10 = 2 THEN 'validation_2' ELSE 'train' END AS split FROM events"
+
+
+def _split(t):
+    m = F.col("user_id") % 10
+    return t("events").select("event_id", "user_id", "value", F.when(m == 0, "test").when(m == 1, "validation_1").when(m == 2, "validation_2").otherwise("train").alias("split"))
+
+
+@query(f"WITH s AS ({SPLIT}) SELECT split, count(*) AS n, count(DISTINCT user_id) AS entities, count(*) FILTER (event_id % 2 = 0) AS even FROM s GROUP BY split")
+def split_stats(spark, t):
+    return _split(t).groupBy("split").agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("entities"), F.count_if(F.col("event_id") % 2 == 0).alias("even"))
+
+
+@query(f"WITH s AS (SELECT *, event_id // 7 AS k FROM ({SPLIT})) SELECT a.split AS \"left\", b.split AS \"right\", count(DISTINCT a.k) AS shared FROM s a JOIN s b ON a.k = b.k AND a.split < b.split GROUP BY ALL")
+def split_overlaps(spark, t):
+    return S.split_overlaps(_split(t).withColumn("k", F.floor(F.col("event_id") / 7)), "split", "k")
+
+
+ROUTING = f"{PAIRS}, picked AS (SELECT id_a, id_b FROM pairs WHERE (id_a + id_b) % 50 = 0), barred AS (SELECT p_partkey AS id FROM part WHERE p_size = 7)"
+
+
+@query(
+    f"{ROUTING} SELECT CASE WHEN EXISTS (SELECT 1 FROM picked k WHERE k.id_a = p.id_a AND k.id_b = p.id_b) THEN 'eval' WHEN p.id_a IN (SELECT id FROM barred) OR p.id_b IN (SELECT id FROM barred) THEN 'discard' ELSE 'train' END AS route, label, count(*) AS n FROM pairs p GROUP BY ALL"
+)
+def train_routing(spark, t):
+    pairs = _pairs(t).select("id_a", "id_b", "label")
+    picked = pairs.filter((F.col("id_a") + F.col("id_b")) % 50 == 0).select(F.col("id_b").alias("id_a"), F.col("id_a").alias("id_b"))
+    barred = t("part").filter("p_size = 7").select(F.col("p_partkey").alias("id"))
+    return S.routed(pairs, picked, barred).groupBy("route", "label").agg(F.count("*").alias("n"))
+
+
+@query(f"{PAIRS} SELECT entity, count(*) AS cost FROM (SELECT name_a AS entity FROM pairs UNION ALL SELECT name_b FROM pairs) GROUP BY entity")
+def entity_costs(spark, t):
+    return S.incident_costs(_pairs(t), "p_name_a", "p_name_b")
+
+
+@query(
+    f"{PAIRS}, e AS (SELECT least(name_a, name_b) AS a, greatest(name_a, name_b) AS b, count(*) AS w FROM pairs GROUP BY ALL) SELECT a AS entity, b AS neighbour, w AS weight FROM e UNION ALL SELECT b, a, w FROM e WHERE a <> b"
+)
+def support_graph(spark, t):
+    return S.support_graph(_pairs(t), "p_name_a", "p_name_b")
+
+
+@query(
+    f"{PAIRS}, e AS (SELECT DISTINCT least(name_a, name_b) AS a, greatest(name_a, name_b) AS b FROM pairs), d AS (SELECT entity, count(*) AS degree FROM (SELECT a AS entity FROM e UNION ALL SELECT b FROM e WHERE a <> b) GROUP BY entity) "
+    "SELECT min(degree) AS least, round(quantile_cont(degree, 0.25), 6) AS p25, round(quantile_cont(degree, 0.5), 6) AS p50, round(avg(degree), 6) AS mean, round(quantile_cont(degree, 0.95), 6) AS p95, max(degree) AS most FROM d"
+)
+def degree_summary(spark, t):
+    d = S.degrees(_pairs(t), "p_name_a", "p_name_b")
+    q = lambda p, n: F.round(F.percentile("degree", F.lit(p)), 6).alias(n)
+    return d.agg(F.min("degree").alias("least"), q(0.25, "p25"), q(0.5, "p50"), F.round(F.avg("degree"), 6).alias("mean"), q(0.95, "p95"), F.max("degree").alias("most"))
+
+
+# neighbours
+
+
+BITS = "SELECT vec_id, label % 2 AS label, list_sum(list_transform(range(64), lambda i: CASE WHEN embedding[i + 1] > 0 THEN (1::UBIGINT << i) ELSE 0::UBIGINT END))::UBIGINT AS fp FROM embeddings"
+SIMILAR = f"WITH f AS ({BITS}), s AS (SELECT q.vec_id AS q_id, q.label AS q_label, s.vec_id AS s_id, s.label AS s_label, bit_count(q.fp & s.fp)::DOUBLE / bit_count(q.fp | s.fp) AS score FROM f q, f s WHERE q.vec_id % 20 = 0)"
+
+
+def _vectors(t):
+    rows = t("embeddings").select("vec_id", (F.col("label") % 2).alias("label"), K.sign_bits(F.col("embedding")).alias("fp"), "embedding")
+    queries = rows.filter("vec_id % 20 = 0").toDF("q_id", "q_label", "q_fp", "q_vec")
+    return queries, rows.toDF("s_id", "s_label", "s_fp", "s_vec")
+
+
+@query(f"{SIMILAR}, r AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY score DESC, s_id) AS rank FROM s) SELECT q_id, s_id, rank, round(score, 6) AS score FROM r WHERE rank <= 10")
+def tanimoto_neighbours(spark, t):
+    q, s = _vectors(t)
+    out = K.candidates(q.drop("q_vec"), s.drop("s_vec"), K.tanimoto(F.col("q_fp"), F.col("s_fp")), 10)
+    return out.select("q_id", "s_id", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"))
+
+
+VOTE = "CASE WHEN max(score) <= 0 THEN avg(s_label) ELSE sum(greatest(score, 0) * s_label) / greatest(sum(greatest(score, 0)), 1e-12) END"
+
+
+@query(
+    f"{SIMILAR}, x AS (SELECT q_id, q_label, s_id, s_label, CASE WHEN q_id = s_id THEN -1.0 ELSE score END AS score FROM s), r AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY score DESC, s_id) AS rank FROM x), "
+    f"v AS (SELECT q_id, q_label, {VOTE} AS p FROM r WHERE rank <= 10 GROUP BY q_id, q_label) SELECT q_id, q_label, round(p, 6) AS probability, CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS predicted FROM v"
+)
+def neighbour_votes(spark, t):
+    """The query itself stays a candidate, with a score of -1."""
+    q, s = _vectors(t)
+    score = F.when(F.col("q_id") == F.col("s_id"), -1.0).otherwise(K.tanimoto(F.col("q_fp"), F.col("s_fp")))
+    out = K.weighted_vote(K.candidates(q.drop("q_vec"), s.drop("s_vec"), score, 10), ["q_id", "q_label"], "s_label", "score")
+    return out.select("q_id", "q_label", F.round("probability", 6).alias("probability"), "predicted")
+
+
+@query(
+    "WITH s AS (SELECT q.vec_id AS q_id, s.vec_id AS s_id, list_cosine_similarity(q.embedding::DOUBLE[], s.embedding::DOUBLE[]) AS score FROM embeddings q, embeddings s WHERE q.vec_id % 20 = 0 AND q.vec_id <> s.vec_id), "
+    "r AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY round(score, 9) DESC, s_id) AS rank FROM s) SELECT q_id, s_id, rank, round(score, 4) AS score FROM r WHERE rank <= 5"
+)
+def cosine_neighbours(spark, t):
+    q, s = _vectors(t)
+    score = F.when(F.col("q_id") != F.col("s_id"), F.round(K.cosine(F.col("q_vec"), F.col("s_vec")), 9)).otherwise(-2.0)
+    return K.candidates(q.drop("q_fp"), s.drop("s_fp"), score, 5).select("q_id", "s_id", F.col("rank").cast("long").alias("rank"), F.round("score", 4).alias("score"))
+
+
+# metrics
+
+
+SCORED = "SELECT event_type, CASE WHEN event_type = 'purchase' OR value > 300 THEN 1 ELSE 0 END AS y, round(value / 500, 2) AS s, CASE WHEN round(value / 500, 2) >= 0.5 THEN 1 ELSE 0 END AS p FROM events"
+
+
+def _scored(t):
+    y = ((F.col("event_type") == "purchase") | (F.col("value") > 300)).cast("int")
+    rows = t("events").select("event_type", y.alias("y"), F.round(F.col("value") / 500, 2).alias("s"))
+    return rows.withColumn("p", (F.col("s") >= 0.5).cast("int"))
+
+
+CONFUSION = f"WITH e AS ({SCORED}), c AS (SELECT event_type, count(*) FILTER (y = 1 AND p = 1) AS tp, count(*) FILTER (y = 0 AND p = 1) AS fp, count(*) FILTER (y = 0 AND p = 0) AS tn, count(*) FILTER (y = 1 AND p = 0) AS fn FROM e GROUP BY event_type)"
+F1S = "coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1, coalesce(2.0 * tn / nullif(2 * tn + fn + fp, 0), 0) AS g1"
+
+
+@query(
+    f"{CONFUSION}, m AS (SELECT *, {F1S} FROM c) SELECT event_type, tp, fp, tn, fn, round((tp + tn) / (tp + fp + tn + fn), 6) AS accuracy, round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS precision, round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall, round(f1, 6) AS f1, round((f1 + g1) / 2, 6) AS macro_f1, "
+    "round((CASE WHEN tp + fp + fn > 0 THEN f1 ELSE 0 END + CASE WHEN tn + fp + fn > 0 THEN g1 ELSE 0 END) / greatest((tp + fp + fn > 0)::INT + (tn + fp + fn > 0)::INT, 1), 6) AS macro_f1_present FROM m"
+)
+def sliced_metrics(spark, t):
+    out = M.with_metrics(M.confusion(_scored(t), "y", "p", ["event_type"]))
+    return out.select("event_type", "tp", "fp", "tn", "fn", *(F.round(c, 6).alias(c) for c in ("accuracy", "precision", "recall", "f1", "macro_f1", "macro_f1_present")))
+
+
+@query(
+    f"WITH e AS ({SCORED}), r AS (SELECT event_type, y, rank() OVER (PARTITION BY event_type ORDER BY s) + (count(*) OVER (PARTITION BY event_type, s) - 1) / 2.0 AS rk FROM e) "
+    "SELECT event_type, round((sum(rk) FILTER (y = 1) - sum(y) * (sum(y) + 1) / 2) / nullif(sum(y) * (count(*) - sum(y)), 0), 6) AS auroc FROM r GROUP BY event_type"
+)
+def roc_areas(spark, t):
+    return M.auroc(_scored(t), "y", "s", ["event_type"]).select("event_type", F.round("auroc", 6).alias("auroc"))
+
+
+@query(f"WITH e AS ({SCORED}), q AS (SELECT event_type, greatest(1e-12, least(1 - 1e-12, 1 / (1 + exp(-s)))) AS x FROM e) SELECT event_type, round(avg(-(x * ln(x) + (1 - x) * ln(1 - x))), 6) AS entropy FROM q GROUP BY event_type")
+def entropies(spark, t):
+    return _scored(t).groupBy("event_type").agg(F.round(M.mean_entropy(E.sigmoid(F.col("s"))), 6).alias("entropy"))
+
+
+@query(
+    f"WITH e AS ({SCORED}), g AS (SELECT event_type, s, sum(y) AS pos, count(*) AS cnt FROM e GROUP BY ALL), k AS (SELECT event_type, s AS threshold, sum(pos) OVER w AS tp, sum(cnt) OVER w AS pp, sum(pos) OVER (PARTITION BY event_type) AS p, sum(cnt) OVER (PARTITION BY event_type) AS n FROM g WINDOW w AS (PARTITION BY event_type ORDER BY s DESC)), "
+    "c AS (SELECT event_type, threshold, tp, pp - tp AS fp, p - tp AS fn, n - p - pp + tp AS tn FROM k), m AS (SELECT *, " + F1S + ", (tp + tn) / (tp + fp + tn + fn) AS accuracy, coalesce(tp / nullif(tp + fp, 0), 0) AS precision FROM c), "
+    "o AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY round((f1 + g1) / 2, 12) DESC, accuracy DESC, precision DESC, threshold) AS rn FROM m) SELECT event_type, threshold, round((f1 + g1) / 2, 6) AS macro_f1 FROM o WHERE rn = 1"
+)
+def tuned_thresholds(spark, t):
+    return M.tuned_threshold(_scored(t), "y", "s", ["event_type"]).select("event_type", "threshold", F.round("macro_f1", 6).alias("macro_f1"))
+
+
+@query(
+    f"WITH e AS ({SCORED}), t AS (SELECT unnest(range(1, 20)) / 20 AS threshold), c AS (SELECT threshold, count(*) FILTER (s > threshold AND y = 1) AS tp, count(*) FILTER (s > threshold AND y = 0) AS fp, count(*) FILTER (s <= threshold AND y = 0) AS tn, count(*) FILTER (s <= threshold AND y = 1) AS fn FROM e, t GROUP BY threshold), "
+    "x AS (SELECT *, tp / (tp + fp + 1e-12) AS p1, tp / (tp + fn + 1e-12) AS r1, tn / (tn + fn + 1e-12) AS p0, tn / (tn + fp + 1e-12) AS r0 FROM c), m AS (SELECT threshold, (2 * p1 * r1 / (p1 + r1 + 1e-12) + 2 * p0 * r0 / (p0 + r0 + 1e-12)) / 2 AS f FROM x) SELECT threshold, round(f, 6) AS macro_f1 FROM m ORDER BY f DESC, threshold LIMIT 1"
+)
+def grid_threshold(spark, t):
+    out = M.grid_threshold(_scored(t), "y", "s", [k / 20 for k in range(1, 20)])
+    return out.select("threshold", F.round("macro_f1_epsilon", 6).alias("macro_f1"))
+
+
+# tables of results
+
+
+TIDY = "SELECT event_type AS metric, hour(ts)::BIGINT AS epoch, round(avg(value), 6) AS value FROM events GROUP BY ALL"
+
+
+def _tidy(t):
+    return t("events").groupBy(F.col("event_type").alias("metric"), F.hour("ts").cast("long").alias("epoch")).agg(F.round(F.avg("value"), 6).alias("value"))
+
+
+@query(f"WITH m AS ({TIDY}), o AS (SELECT *, row_number() OVER (PARTITION BY metric ORDER BY value DESC, epoch) AS rn FROM m) SELECT metric, value AS best, epoch FROM o WHERE rn = 1")
+def best_values(spark, t):
+    return R.best_values(_tidy(t), ["metric"])
+
+
+@query(f"WITH m AS ({TIDY}), e AS (SELECT epoch, round(avg(value), 6) AS mean FROM m GROUP BY epoch HAVING count(DISTINCT metric) = (SELECT count(DISTINCT event_type) FROM events)) SELECT epoch, mean FROM e ORDER BY mean DESC, epoch LIMIT 1")
+def best_complete_epoch(spark, t):
+    kinds = t("events").select("event_type").distinct().count()
+    return R.best_complete_epoch(_tidy(t), "metric", kinds).select("epoch", F.round("mean", 6).alias("mean"))
+
+
+@query("WITH o AS (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, o_orderdate DESC, o_orderkey) AS rn FROM orders) SELECT o_orderstatus, o_orderkey, o_custkey FROM o WHERE rn = 1")
+def winners(spark, t):
+    rows = t("orders").select("o_orderstatus", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    return R.winner(rows, ["o_orderstatus"], [F.col("o_totalprice"), F.col("o_orderdate"), -F.col("o_orderkey")]).select("o_orderstatus", "o_orderkey", "o_custkey")
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'updated' ELSE c_mktsegment END AS segment FROM customer UNION ALL SELECT max(c_custkey) + 1, 'new' FROM customer")
+def upserts(spark, t):
+    old = t("customer").select("c_custkey", F.col("c_mktsegment").alias("segment"))
+    new = old.filter("c_custkey % 3 = 0").withColumn("segment", F.lit("updated")).union(old.agg((F.max("c_custkey") + 1).alias("c_custkey")).withColumn("segment", F.lit("new")))
+    return R.upserted(old, new, ["c_custkey"])
+
+
+FLAGSHIP = QUERIES["pairs_same_key"]
