@@ -1,8 +1,7 @@
 """Queries by name, each with SQL that gives the same rows.
 
 Bindings: ``part`` is the table of records (id ``p_partkey``, value ``p_retailprice`` -
-900, entity ``p_name``, keys ``p_brand`` and ``p_type``); ``events`` gives scores (value /
-500), labels (purchase or not), entities (``user_id``) and, hour by hour, tidy metrics;
+900, entity ``p_name``, keys ``p_brand`` and ``p_type``); ``events`` gives scores, labels (purchase or not), entities (``user_id``) and, hour by hour, tidy metrics;
 ``embeddings`` gives vectors and fingerprints. All run over whole tables.
 """
 
@@ -346,12 +345,12 @@ def cosine_neighbours(spark, t):
 # metrics
 
 
-SCORED = "SELECT event_type, CASE WHEN event_type = 'purchase' OR value > 300 THEN 1 ELSE 0 END AS y, round(value / 500, 2) AS s, CASE WHEN round(value / 500, 2) >= 0.5 THEN 1 ELSE 0 END AS p FROM events"
+SCORED = "SELECT event_type, CASE WHEN event_type = 'purchase' OR value > 300 THEN 1 ELSE 0 END AS y, floor(value / 5) / 100 AS s, CASE WHEN floor(value / 5) / 100 >= 0.5 THEN 1 ELSE 0 END AS p FROM events"
 
 
 def _scored(t):
     y = ((F.col("event_type") == "purchase") | (F.col("value") > 300)).cast("int")
-    rows = t("events").select("event_type", y.alias("y"), F.round(F.col("value") / 500, 2).alias("s"))
+    rows = t("events").select("event_type", y.alias("y"), (F.floor(F.col("value") / 5) / 100).alias("s"))
     return rows.withColumn("p", (F.col("s") >= 0.5).cast("int"))
 
 
@@ -382,9 +381,9 @@ def entropies(spark, t):
 
 
 @query(
-    f"WITH e AS ({SCORED}), g AS (SELECT event_type, s, sum(y) AS pos, count(*) AS cnt FROM e GROUP BY ALL), k AS (SELECT event_type, s AS threshold, sum(pos) OVER w AS tp, sum(cnt) OVER w AS pp, sum(pos) OVER (PARTITION BY event_type) AS p, sum(cnt) OVER (PARTITION BY event_type) AS n FROM g WINDOW w AS (PARTITION BY event_type ORDER BY s DESC)), "
+    f"WITH e AS ({SCORED}), g AS (SELECT event_type, s, sum(y) AS pos, count(*) AS cnt FROM e GROUP BY ALL), k AS (SELECT event_type, s AS threshold, sum(pos) OVER w AS tp, sum(cnt) OVER w AS pp, sum(pos) OVER (PARTITION BY event_type) AS p, sum(cnt) OVER (PARTITION BY event_type) AS n FROM g WINDOW w AS (PARTITION BY event_type ORDER BY s DESC) UNION ALL SELECT event_type, 'inf'::DOUBLE, 0, 0, sum(pos), sum(cnt) FROM g GROUP BY event_type), "
     "c AS (SELECT event_type, threshold, tp, pp - tp AS fp, p - tp AS fn, n - p - pp + tp AS tn FROM k), m AS (SELECT *, " + F1S + ", (tp + tn) / (tp + fp + tn + fn) AS accuracy, coalesce(tp / nullif(tp + fp, 0), 0) AS precision FROM c), "
-    "o AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY round((f1 + g1) / 2, 12) DESC, accuracy DESC, precision DESC, threshold) AS rn FROM m) SELECT event_type, threshold, round((f1 + g1) / 2, 6) AS macro_f1 FROM o WHERE rn = 1"
+    "o AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY round((f1 + g1) / 2, 12) DESC, accuracy DESC, precision DESC, CASE WHEN isinf(threshold) THEN 1e100 ELSE threshold END) AS rn FROM m) SELECT event_type, threshold, round((f1 + g1) / 2, 6) AS macro_f1 FROM o WHERE rn = 1"
 )
 def tuned_thresholds(spark, t):
     return M.tuned_threshold(_scored(t), "y", "s", ["event_type"]).select("event_type", "threshold", F.round("macro_f1", 6).alias("macro_f1"))
