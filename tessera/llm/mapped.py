@@ -70,6 +70,16 @@ class Mapped:
 
     def __init__(self, path: str, bits: int, values: dict[str, str]):
         self.path, self.bits, self.values = path, bits, values
+        #: Keys of each shard, and of those before it: a key's place among all is ``base[shard] + place``.
+        self.sizes = self.base = np.zeros(1 << bits, np.int64)
+
+    def sized(self, rows) -> Mapped:
+        """With the sizes of the shards, from rows (shard, n)."""
+        self.sizes = np.zeros(1 << self.bits, np.int64)
+        for r in rows:
+            self.sizes[r.shard] = r.n
+        self.base = np.cumsum(self.sizes) - self.sizes
+        return self
 
     def shard(self, number: int) -> dict[str, np.ndarray]:
         held = _OPEN.setdefault(self.path, {})
@@ -151,8 +161,8 @@ def build(df: DataFrame, rows: int, name: str, values: dict[str, str], shard_row
     held = df.select(F.col("key").cast("long"), *values)
     out.values |= {f"{n}_at": "i8" for n, t in held.dtypes if t.startswith("array")}
     fields = ", ".join(f"{n} {t}" for n, t in held.dtypes)
-    held.mapInArrow(number, f"shard long, {fields}").groupBy("shard").applyInArrow(write, "shard long, n long").agg(F.sum("n")).collect()
-    return out
+    done = held.mapInArrow(number, f"shard long, {fields}").groupBy("shard").applyInArrow(write, "shard long, n long").collect()
+    return out.sized(done)
 
 
 def manifest(m: Mapped) -> str:
