@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .functions import expressions as E
 from .functions import hashing as H
 from .functions import metrics as M
+from .functions import species as Y
 from .operators import neighbours as K
 from .operators import pairing as P
 from .operators import results as R
@@ -144,6 +145,19 @@ def validity_reasons(spark, t):
     return t("events").groupBy(reason.alias("reason")).agg(F.count("*").alias("n"))
 
 
+SPECIES = {"view": "healthy male volunteers", "click": "Beagle  dogs", "purchase": "rats and dogs", "signup": "Guinea pigs"}
+FOUND = "list_filter([" + ", ".join(f"CASE WHEN regexp_matches(x, '{Y.pattern_of(f)}') THEN '{f}' END" for f in Y.FAMILIES) + "], lambda f: f IS NOT NULL)"
+
+
+@query(
+    "WITH s AS (SELECT event_id, lower(regexp_replace(CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SPECIES.items()) + " ELSE 'gooseberry' END, '\\s+', ' ', 'g')) AS x FROM events), "
+    f"f AS (SELECT event_id, x, {FOUND} AS found FROM s) SELECT CASE WHEN regexp_matches(x, '{Y.FIRST[0][0]}') THEN 'rodent' WHEN regexp_matches(x, '{Y.FIRST[1][0]}') THEN 'monkey' WHEN len(found) = 1 THEN found[1] END AS species, count(*) AS n FROM f GROUP BY ALL"
+)
+def species_classes(spark, t):
+    said = F.coalesce(*(F.when(F.col("event_type") == k, v) for k, v in SPECIES.items()), F.lit("gooseberry"))
+    return t("events").groupBy(Y.species(said).alias("species")).agg(F.count("*").alias("n"))
+
+
 @query(
     "WITH k AS (SELECT text AS form FROM benchmark UNION SELECT lower(trim(regexp_replace(text, '[ \\t\\n\\r\\f\\v]+', ' ', 'g'))) FROM benchmark) "
     "SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.form = d.text) AND NOT EXISTS (SELECT 1 FROM k WHERE k.form = lower(trim(regexp_replace(d.text, '[ \\t\\n\\r\\f\\v]+', ' ', 'g'))))"

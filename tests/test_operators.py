@@ -109,3 +109,26 @@ def test_json_lines_round_trip(spark, tmp_path):
     assert sorted(one(files.read_json_lines(spark, "Y int, drug string", str(tmp_path / "j"))), key=str) == [(1, "x"), (2, None)]
     files.write_records(df, str(tmp_path / "p"), rows_per_file=1)
     assert files.read_records(spark, str(tmp_path / "p"), columns=["Y"]).count() == 2
+
+
+def test_species(spark):
+    from tessera.functions.species import species
+
+    cases = {"guinea pigs": "rodent", "non-human primates": "monkey", "rats and dogs": None, "gooseberry": "bird", "animals": None, "controls": "human", "healthy control group of rats": "rodent", "Not Specified": None, None: None, "  Wistar\tRats ": "rodent"}
+    df = spark.createDataFrame([(x,) for x in cases], "x string")
+    assert {r.x: r.s for r in df.select("x", species(F.col("x")).alias("s")).collect()} == cases
+
+
+def test_stream_of_predictions_equals_the_table(spark, tmp_path):
+    import datetime as dt
+
+    from tessera.streaming.metrics import windowed_confusion
+
+    rows = [(dt.datetime(2024, 1, 1, 0, k), k % 2, k % 3 % 2, "a") for k in range(30)]
+    schema = "ts timestamp, y int, p int, s string"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "in"))
+    of = lambda d: windowed_confusion(d, "ts", "y", "p", ["s"], "10 minutes", "1 hour")
+    q = of(spark.readStream.schema(schema).parquet(str(tmp_path / "in"))).writeStream.outputMode("update").format("memory").queryName("confusion").start()
+    q.processAllAvailable()
+    q.stop()
+    assert sorted(spark.table("confusion").collect()) == sorted(of(spark.read.schema(schema).parquet(str(tmp_path / "in"))).collect())
