@@ -99,37 +99,40 @@ def encode_pieces(pieces: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     bytes_ids = literal(np.array([ranks.get(bytes([k]), ends) for k in range(256)]), "bigint")
     id_of = lambda part: part.bitwiseAND(low)
 
-    def pair(left: Column, right: Column) -> Column:
+    # the literals stand once in the expression, however often they are looked up
+    tables = F.struct(bases.alias("bases"), entries.alias("entries"), bytes_ids.alias("bytes"))
+
+    def pair(t: Column, left: Column, right: Column) -> Column:
         """The rank of two ids, in the upper bits."""
-        entry = F.get(entries, F.get(bases, left.cast("int")) + right)
+        entry = F.get(t["entries"], F.get(t["bases"], left.cast("int")) + right)
         return F.shiftleft(F.least(entry.bitwiseXOR(F.shiftleft(left, 17)), F.lit(NEVER)), 43)
 
-    def joined(s: Column, least: Column, at: Column) -> Column:
+    def joined(t: Column, s: Column, least: Column, at: Column) -> Column:
         """The state after joining the parts at ``at`` and ``at`` + 1 (counted from 1)."""
         new = F.shiftright(least, 43)
         before = F.get(s, at - 2)
         return F.concat(
             F.slice(s, 1, at - 2),
             F.array(
-                pair(id_of(before), new).bitwiseOR(before.bitwiseAND((1 << 43) - 1)),
-                pair(new, id_of(F.get(s, at + 1))).bitwiseOR(least.bitwiseAND(place)).bitwiseOR(new),
+                pair(t, id_of(before), new).bitwiseOR(before.bitwiseAND((1 << 43) - 1)),
+                pair(t, new, id_of(F.get(s, at + 1))).bitwiseOR(least.bitwiseAND(place)).bitwiseOR(new),
             ),
             F.slice(s, at + 2, F.size(s)),
         )
 
-    def step(s: Column, _: Column) -> Column:
+    def step(t: Column, s: Column) -> Column:
         none = F.lit(NEVER << 43)
-        return _let(F.array_min(s), lambda least: F.when(least < none, _let(F.array_position(s, least).cast("int"), lambda at: joined(s, least, at))).otherwise(s))
+        return _let(F.array_min(s), lambda least: F.when(least < none, _let(F.array_position(s, least).cast("int"), lambda at: joined(t, s, least, at))).otherwise(s))
 
-    def fold(parts: Column) -> Column:
+    def fold(t: Column, parts: Column) -> Column:
         last = F.size(parts) - 1
-        start = F.transform(parts, lambda x, i: F.when((i == 0) | (i == last), F.lit(NEVER << 43).bitwiseOR(x)).otherwise(pair(x, F.get(parts, i + 1)).bitwiseOR(F.shiftleft(i.cast("long"), 17)).bitwiseOR(x)))
-        return F.aggregate(F.slice(parts, 4, F.size(parts)), start, step, lambda s: F.transform(F.slice(s, 2, F.size(s) - 2), lambda x: id_of(x).cast("int")))
+        start = F.transform(parts, lambda x, i: F.when((i == 0) | (i == last), F.lit(NEVER << 43).bitwiseOR(x)).otherwise(pair(t, x, F.get(parts, i + 1)).bitwiseOR(F.shiftleft(i.cast("long"), 17)).bitwiseOR(x)))
+        return F.aggregate(F.slice(parts, 4, F.size(parts)), start, lambda s, _: step(t, s), lambda s: F.transform(F.slice(s, 2, F.size(s) - 2), lambda x: id_of(x).cast("int")))
 
     characters = F.split(F.decode(F.encode("piece", "UTF-8"), "ISO-8859-1"), "")
     end = F.array(F.lit(ends).cast("long"))
-    parts = F.concat(end, F.transform(characters, lambda c: F.get(bytes_ids, F.ascii(c))), end)
-    return pieces.withColumn("ids", F.when(F.octet_length("piece") <= LONG, _let(parts, fold)))
+    parts = lambda t: F.concat(end, F.transform(characters, lambda c: F.get(t["bytes"], F.ascii(c))), end)
+    return pieces.withColumn("ids", F.when(F.octet_length("piece") <= LONG, _let(tables, lambda t: _let(parts(t), lambda x: fold(t, x)))))
 
 
 def merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
