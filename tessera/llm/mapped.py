@@ -12,7 +12,6 @@ run again, or twice, leaves one whole file.
 
 from __future__ import annotations
 
-import json
 import os
 import tempfile
 import uuid
@@ -163,8 +162,3 @@ def build(df: DataFrame, rows: int, name: str, values: dict[str, str], shard_row
     fields = ", ".join(f"{n} {t}" for n, t in held.dtypes)
     done = held.mapInArrow(number, f"shard long, {fields}").groupBy("shard").applyInArrow(write, "shard long, n long").collect()
     return out.sized(done)
-
-
-def manifest(m: Mapped) -> str:
-    """The table's description, for logs."""
-    return json.dumps({"path": m.path, "shards": 1 << m.bits, "values": m.values})
