@@ -179,9 +179,39 @@ def rendered_prompts(spark, t):
     return out.select("id_a", "id_b", F.sha2("prompt", 256).alias("prompt_sha"), "completion", "metadata_a")
 
 
+MASK = "CASE WHEN event_type = 'view' THEN 'nan' ELSE event_type END, CASE WHEN user_id % 2 = 0 THEN '' ELSE 'x' END, CASE WHEN user_id % 3 = 0 THEN NULL ELSE 'N/A ' END, 'not specified'"
+
+
+@query(
+    f"WITH f AS (SELECT unnest([{MASK}]) AS v, event_id FROM events), m AS (SELECT event_id, count(*) FILTER (lower(trim(coalesce(v, ''))) IN ('', 'na', 'n/a', 'nan', 'none', 'null', 'unknown', 'not reported')) AS k FROM f GROUP BY event_id) "
+    "SELECT k AS missing, CASE WHEN k <= 2 THEN '0-2' WHEN k <= 5 THEN '3-5' ELSE '6-9' END AS bucket, count(*) AS n FROM m GROUP BY ALL"
+)
+def missing_fields(spark, t):
+    user = F.col("user_id")
+    fields = [F.when(F.col("event_type") == "view", "nan").otherwise(F.col("event_type")), F.when(user % 2 == 0, "").otherwise("x"), F.when(user % 3 != 0, "N/A "), F.lit("not specified")]
+    missing = F.length(F.replace(E.missing_mask(*fields), F.lit("0"), F.lit(""))).cast("long")
+    return t("events").groupBy(missing.alias("missing"), E.missing_bucket(missing).alias("bucket")).agg(F.count("*").alias("n"))
+
+
+@query("WITH s AS (SELECT least(1, greatest(0, floor(value) / 450))::FLOAT AS v FROM events) SELECT (v >= 0.2::FLOAT)::INT + (v >= 0.4::FLOAT)::INT + (v >= 0.6::FLOAT)::INT + (v >= 0.8::FLOAT)::INT AS bucket, count(*) AS n FROM s GROUP BY ALL")
+def similarity_buckets(spark, t):
+    return t("events").groupBy(E.bucket_from(F.floor("value") / 450, [0.2, 0.4, 0.6, 0.8]).alias("bucket")).agg(F.count("*").alias("n"))
+
+
 # hashing and selection
 
 
+@query("SELECT l_orderkey, l_linenumber FROM lineitem ORDER BY sha256('5|' || l_orderkey || '|' || l_linenumber), l_orderkey LIMIT 1000")
+def exact_sample(spark, t):
+    keyed = t("lineitem").select("l_orderkey", "l_linenumber", H.sha_key(5, F.col("l_orderkey"), F.col("l_linenumber")).alias("key"))
+    return S.first_by_key(keyed, [], "key", F.lit(1000), "l_orderkey").select("l_orderkey", "l_linenumber")
+
+
+@query("SELECT p_name, count(*) AS n FROM part GROUP BY p_name ORDER BY n DESC, p_name LIMIT 25")
+def most_common(spark, t):
+    return R.most_common(t("part"), "p_name", 25)
+
+
 @query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE ('0x' || substr(sha256('13|' || l_orderkey || '|' || l_linenumber), 1, 8))::BIGINT % 1000000 < 250000")
 def bernoulli_sample(spark, t):
     return t("lineitem").filter(H.kept_by_hash(0.25, 13, F.col("l_orderkey"), F.col("l_linenumber"))).select("l_orderkey", "l_linenumber")
@@ -289,6 +319,17 @@ def train_routing(spark, t):
     return S.routed(pairs, picked, barred).groupBy("route", "label").agg(F.count("*").alias("n"))
 
 
+@query(
+    f"{PAIRS}, d AS (SELECT id_a AS s, id_b AS t FROM pairs UNION ALL SELECT id_b, id_a FROM pairs), held AS (SELECT * FROM d WHERE (s + t) % 11 = 0), train AS (SELECT * FROM d WHERE (2 * s + t) % 7 = 0 AND s % 13 <> 0), e AS (SELECT s AS x FROM train UNION SELECT t FROM train) "
+    "SELECT count(*) AS pairs, count(*) FILTER (EXISTS (SELECT 1 FROM train r WHERE r.s = h.s AND r.t = h.t)) AS directed, "
+    "count(*) FILTER (EXISTS (SELECT 1 FROM train r WHERE least(r.s, r.t) = least(h.s, h.t) AND greatest(r.s, r.t) = greatest(h.s, h.t))) AS either, count(*) FILTER (h.s IN (SELECT x FROM e) AND h.t IN (SELECT x FROM e)) AS both_ends FROM held h"
+)
+def pair_overlaps(spark, t):
+    ways = P.both_directions(_pairs(t).select("id_a", "id_b"))
+    s, q = F.col("source"), F.col("target")
+    return S.pair_overlap(ways.filter((s + q) % 11 == 0), ways.filter(((2 * s + q) % 7 == 0) & (s % 13 != 0)))
+
+
 @query(f"{PAIRS} SELECT entity, count(*) AS cost FROM (SELECT name_a AS entity FROM pairs UNION ALL SELECT name_b FROM pairs) GROUP BY entity")
 def entity_costs(spark, t):
     return S.incident_costs(_pairs(t), "p_name_a", "p_name_b")
@@ -356,6 +397,19 @@ def cosine_neighbours(spark, t):
     return K.candidates(q.drop("q_fp"), s.drop("s_fp"), score, 5).select("q_id", "s_id", F.col("rank").cast("long").alias("rank"), F.round("score", 4).alias("score"))
 
 
+@query(
+    f"{SIMILAR}, r AS (SELECT *, row_number() OVER (PARTITION BY q_id ORDER BY score DESC, s_id) AS rank FROM s WHERE q_id % 5 <> s_id % 5), g AS (SELECT unnest([1, 3, 5, 10]) AS k), "
+    f"v AS (SELECT k, q_id, q_label, {VOTE} AS p FROM r, g WHERE rank <= k GROUP BY k, q_id, q_label) SELECT k, count(*) AS n, count(*) FILTER ((p >= 0.5)::INT = q_label) AS correct FROM v GROUP BY k"
+)
+def tuned_neighbours(spark, t):
+    """Votes of 1, 3, 5 and 10 neighbours from other folds, from one search."""
+    q, s = _vectors(t)
+    score = F.when(F.col("q_id") % 5 == F.col("s_id") % 5, -2.0).otherwise(K.tanimoto(F.col("q_fp"), F.col("s_fp")))
+    near = K.candidates(q.drop("q_vec"), s.drop("s_vec"), score, 10).withColumn("k", F.explode(F.array(*map(F.lit, (1, 3, 5, 10))))).filter("rank <= k")
+    votes = K.weighted_vote(near, ["k", "q_id", "q_label"], "s_label", "score")
+    return votes.groupBy("k").agg(F.count("*").alias("n"), F.count_if(F.col("predicted") == F.col("q_label")).alias("correct"))
+
+
 # metrics
 
 
@@ -433,6 +487,11 @@ def best_complete_epoch(spark, t):
     return R.best_complete_epoch(_tidy(t), "metric", kinds).select("epoch", F.round("mean", 6).alias("mean"))
 
 
+@query(f"WITH m AS ({TIDY}), w AS (SELECT epoch, avg(value) FILTER (metric = 'view') AS view, avg(value) FILTER (metric = 'click') AS click FROM m GROUP BY epoch) SELECT epoch, round(view, 6) AS view, round(click, 6) AS click FROM w ORDER BY w.view DESC, epoch LIMIT 1")
+def best_epoch_row(spark, t):
+    return R.wide_best(_tidy(t), "epoch", ["view", "click"], "view").select("epoch", F.round("view", 6).alias("view"), F.round("click", 6).alias("click"))
+
+
 @query("WITH o AS (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, o_orderdate DESC, o_orderkey) AS rn FROM orders) SELECT o_orderstatus, o_orderkey, o_custkey FROM o WHERE rn = 1")
 def winners(spark, t):
     rows = t("orders").select("o_orderstatus", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")

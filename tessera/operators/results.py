@@ -34,3 +34,8 @@ def wide_best(metrics: DataFrame, index: str, names: list[str], by: str) -> Data
     wide = metrics.groupBy(index).pivot("metric", names).agg(F.avg("value"))
     row = F.max_by(F.struct(index, *names), F.struct(by, -F.col(index)))
     return wide.agg(row.alias("r")).select("r.*")
+
+
+def most_common(rows: DataFrame, key: str, n: int) -> DataFrame:
+    """The ``n`` most common keys with their counts; equal counts in the order of the keys."""
+    return rows.groupBy(key).agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), key).limit(n)

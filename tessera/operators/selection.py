@@ -93,3 +93,16 @@ def split_overlaps(rows: DataFrame, split: str, key: str) -> DataFrame:
     sets = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.sort_array(F.collect_set(split)).alias("s")).filter("size(s) > 1")
     two = F.expr("filter(flatten(transform(s, x -> transform(s, y -> struct(x as left, y as right)))), p -> p.left < p.right)")
     return sets.select(F.inline(two)).groupBy("left", "right").agg(F.count("*").alias("shared"))
+
+
+def pair_overlap(held: DataFrame, train: DataFrame) -> DataFrame:
+    """Of held-out pairs (source, target): how many occur in ``train`` as they are, in either order, and with both ends in it."""
+    way = train.select("source", "target").distinct().withColumn("same", F.lit(1))
+    either = train.select(F.least("source", "target").alias("lo"), F.greatest("source", "target").alias("hi")).distinct().withColumn("pair", F.lit(1))
+    ends = train.select(F.explode(F.array("source", "target")).alias("end")).distinct()
+    rows = held.select("source", "target", F.least("source", "target").alias("lo"), F.greatest("source", "target").alias("hi"))
+    rows = rows.join(way, ["source", "target"], "left").join(either, ["lo", "hi"], "left")
+    for c in ("source", "target"):
+        rows = rows.join(ends.select(F.col("end").alias(c), F.lit(1).alias(f"has_{c}")), c, "left")
+    both = F.col("has_source").isNotNull() & F.col("has_target").isNotNull()
+    return rows.agg(F.count("*").alias("pairs"), F.count("same").alias("directed"), F.count("pair").alias("either"), F.count_if(both).alias("both_ends"))
