@@ -38,7 +38,7 @@ from .langid import held_out
 from .shared import shared_path, table, written
 
 #: Tokens that a task gathers before it passes counts on; rows of a shard; ids of a part of the contexts.
-GATHER, SHARD, PART_BITS = 4_000_000, 2_000_000, 21
+GATHER, SHARD, PART_BITS = 4_000_000, 2_000_000, 18
 END = np.uint64(0x5851F42D4C957F2D)
 
 
