@@ -11,10 +11,12 @@ the darts up to a rank that fills all coordinates with good chance, doubled for
 it leaves empty: about k ln k darts, however many elements there are.
 
 Joining: documents with the same elements and weights are one node. Nodes that share a
-band are first held against one leader of the band, with their exact similarity;
-components of these links are classes. In a second round, nodes of a band that are still
-in different classes are held against each other, so that a link isn't lost because a
-leader happened to be a stranger. Nodes of one class are never paired again.
+band are first held against one leader, the one of them whose bands are fullest, with
+their exact similarity; components of these links are classes. In a second round, nodes of a band that are still
+in different classes are held against each other, so that a link isn't lost because the
+leader happened to be a stranger. Bands of more than ``CROWD`` nodes (a passage that
+many documents share fills such bands) take another exact way for this: their nodes are
+joined on the rarest fifth of their shingles. Nodes of one class are never paired again.
 
 With 26 bands of 5 coordinates a pair at similarity 0.8 meets in no band with a
 probability of 3e-5, at 0.85 of 1e-7.
@@ -36,6 +38,9 @@ from .components import components
 from .shared import table, written
 
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 26, 5
+#: Nodes of a band from which on they are joined by rare shingles; slots of their counts; 64-bit words of parities.
+CROWD, SLOTS, PARITIES = 32, 1 << 22, 8
+LAST = 2**63 - 1
 
 
 def shingles(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -117,7 +122,7 @@ def _nodes(keys: np.ndarray, owner: np.ndarray, n: int) -> list[bytes]:
 
 
 def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE) -> DataFrame:
-    """``doc_id``, ``node`` and the ``bands`` of every document; no bands for one without a word."""
+    """``doc_id``, a hash ``h`` of the text, ``node`` and the ``bands`` of every document; no bands for one without a word."""
 
     def sign(batches):
         for batch in batches:
@@ -126,9 +131,13 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int = SH
                 hashes = band_hashes(signatures(keys, owner, len(part), bands * rows), bands, rows).view(np.int64)
                 full = np.bincount(owner, minlength=len(part)) > 0
                 values = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(full * bands)]).astype(np.int32), hashes[full].reshape(-1))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(part)), pa.array(_nodes(keys, owner, len(part)), pa.binary()), values], ["doc_id", "node", "bands"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(part)), batch.column("h").slice(at, len(part)), pa.array(_nodes(keys, owner, len(part)), pa.binary()), values], ["doc_id", "h", "node", "bands"])
 
-    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, node binary, bands array<long>")
+    return docs.select("doc_id", "text", _text_hash().alias("h")).mapInArrow(sign, "doc_id long, h long, node binary, bands array<long>")
+
+
+def _text_hash():
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def _elements(docs: DataFrame, size: int) -> DataFrame:
@@ -145,12 +154,8 @@ def _elements(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("text").mapInArrow(gather, "node binary, units binary")
 
 
-def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, size: int, similarity: float) -> DataFrame:
+def _verified(pairs: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
     """Those pairs (a, b) of nodes whose weighted Jaccard similarity is at least ``similarity``."""
-    pairs = written(pairs, "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(reps.select("node", "rep"), "node").select(F.col("rep").alias("__rep"))
-    texts = docs.select("doc_id", "text").join(wanted, F.coalesce("doc_id", F.lit(-(2**63))) == F.col("__rep"), "left_semi")
-    held = written(_elements(texts, size).dropDuplicates(["node"]), "units")
 
     def keep(batches):
         for batch in batches:
@@ -167,27 +172,114 @@ def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, size: int, sim
     return both.select("a", "b", "ua", "ub").mapInArrow(keep, "a binary, b binary")
 
 
+def _rare_pairs(crowd: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of nodes (``node``, ``root``, ``units``) of different classes that share a rare unit.
+
+    The prefix filter of exact set-similarity joins: two sets at ``similarity`` share one
+    of the units that are rarest in each, under any one order of units; here by how often
+    they occur in the crowd (counted in a fixed number of slots), then by hash. Units that
+    occur in one class only are left out, so that a large class isn't paired with itself,
+    and so are units counted once. The parities of how many units fall on each of 512
+    bits bound the symmetric difference of two sets from below.
+    """
+
+    def slot(units: np.ndarray) -> np.ndarray:
+        return (units & np.uint64(SLOTS - 1)).astype(np.int64)
+
+    def count(batches):
+        total = np.zeros(SLOTS, np.int32)
+        for batch in batches:
+            for x in batch.column(0):
+                np.add.at(total, slot(np.frombuffer(x.as_buffer(), np.uint64)), 1)
+        full = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"slot": full.astype(np.int32), "n": total[full].astype(np.int64)})
+
+    counted = crowd.select("units").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    often = np.zeros(SLOTS, np.int32)
+    often[counted.column("slot").to_numpy()] = np.minimum(counted.column("n").to_numpy(), 2**31 - 1)
+    shared = crowd.sparkSession.sparkContext.broadcast(often)
+    parities = [f"p{k}" for k in range(PARITIES)]
+
+    def prefixes(batches):
+        for batch in batches:
+            for k, x in enumerate(batch.column("units")):
+                units = np.frombuffer(x.as_buffer(), np.uint64)
+                n = len(units)
+                count = shared.value[slot(units)]
+                order = np.lexsort((units, count))[: n - int(np.ceil(similarity * n - 1e-9)) + 1]
+                pos = np.flatnonzero(count[order] > 1)
+                first = units[order[pos]]
+                bits = np.bincount((words.salted(units, 8) >> np.uint64(55)).astype(np.int64), minlength=64 * PARITIES) & 1
+                parity = np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
+                same = lambda v, kind: pa.array([v] * len(first), kind)  # noqa: E731, B023
+                nodes = [same(batch.column(c)[k].as_py(), pa.binary()) for c in ("node", "root")]
+                yield pa.RecordBatch.from_arrays([pa.array(first.view(np.int64)), *nodes, same(n, pa.int32()), pa.array(pos.astype(np.int32)), *(same(int(v), pa.int64()) for v in parity)], ["unit", "node", "root", "n", "pos", *parities])
+
+    rare = crowd.select("node", "root", "units").mapInArrow(prefixes, "unit long, node binary, root binary, n int, pos int, " + ", ".join(f"{p} long" for p in parities))
+    rare = _in_two_classes(written(rare, "prefixes"), "unit")
+    x, y = rare.alias("x"), rare.alias("y")
+    # of the smaller set fewer of the rarest units need be looked at
+    inside = lambda z: F.col(f"{z}.pos") <= F.col(f"{z}.n") - F.ceil(F.lit(2 * similarity / (1 + similarity)) * F.col(f"{z}.n") - 1e-9)
+    need = F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("x.n") + F.col("y.n")) - 1e-9)
+    apart = (
+        (F.col("x.unit") == F.col("y.unit"))
+        & (F.col("x.root") != F.col("y.root"))
+        & (F.col("x.node") < F.col("y.node"))
+        & F.when(F.col("x.n") <= F.col("y.n"), inside("x")).otherwise(inside("y"))
+        & (F.least("x.pos", "y.pos") + F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) >= need)
+        & (F.expr(" + ".join(f"bit_count(x.{p} ^ y.{p})" for p in parities)) <= F.col("x.n") + F.col("y.n") - 2 * need)
+    )
+    return x.join(y, apart).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+
+
+def _in_two_classes(rows: DataFrame, key: str) -> DataFrame:
+    """The rows of those keys under which more than one ``root`` occurs."""
+    mixed = rows.groupBy(key).agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select(key)
+    return rows.join(written(mixed, "mixed"), key)
+
+
 def linked(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Members (doc_id, node), links between nodes (a, b) and their components (node, root)."""
+    """Members (doc_id, h, node), links between nodes (a, b) and their components (node, root)."""
     members = written(signed(docs, bands, rows, size), "signed")
     lowest = F.coalesce("doc_id", F.lit(-(2**63)))
     reps = written(members.groupBy("node").agg(F.min(lowest).alias("rep"), F.min("bands").alias("bands")).filter("size(bands) > 0"), "nodes")
     places = reps.select("node", F.posexplode("bands")).select(F.xxhash64("pos", "col").alias("bucket"), "node")
-    turn = F.struct(F.xxhash64("bucket", "node"), "node")
-    crowds = written(places.groupBy("bucket").agg(F.min(turn).alias("t"), F.count("*").alias("n")).filter("n > 1").select("bucket", F.col("t.node").alias("leader")), "bands")
-    shared = written(places.join(crowds, "bucket"), "buckets")
-    first = shared.filter("node <> leader").select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct()
-    links = written(_verified(first, reps, docs, size, similarity), "links")
-    classes = components(links, "a", "b")
+    crowds = written(places.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "bands")
+    members_of = written(places.join(crowds, "bucket"), "buckets")
+    # the original of a family of copies is in the fullest bands: it leads them, so that each copy meets it
+    weights = written(members_of.groupBy("node").agg(F.sum("n").alias("w")), "weights")
+    weighted = written(members_of.join(weights, "node"), "weighted")
+    leaders = written(weighted.groupBy("bucket").agg(F.max(F.struct("w", "node")).alias("t")).select("bucket", F.col("t.node").alias("leader")), "leaders")
+    shared = written(weighted.drop("w").join(leaders, "bucket"), "shared")
+
+    wanted = reps.join(shared.select("node").distinct(), "node").select(F.col("rep").alias("__rep"))
+    texts = docs.select("doc_id", "text").join(wanted, F.coalesce("doc_id", F.lit(-(2**63))) == F.col("__rep"), "left_semi")
+    held = written(_elements(texts, size).dropDuplicates(["node"]), "units")
 
-    placed = shared.join(classes, "node", "left").select("bucket", "leader", "node", F.coalesce("root", "node").alias("root"))
-    mixed = written(placed.join(placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("bucket"), "bucket"), "mixed")
-    x, y = mixed.alias("x"), mixed.alias("y")
-    apart = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.root") != F.col("y.root")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.node") != F.col("x.leader")) & (F.col("y.node") != F.col("y.leader"))
-    second = x.join(y, apart).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    more = written(_verified(second, reps, docs, size, similarity), "links")
-    links = links.union(more)
-    return members.select("doc_id", "node"), links, components(links, "a", "b")
+    first = shared.filter("node <> leader").select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct()
+    links = written(_verified(first, held, similarity), "links")
+    classes = written(components(links, "a", "b"), "classes")
+
+    placed = written(shared.join(classes, "node", "left").select("bucket", "leader", "n", "node", F.coalesce("root", "node").alias("root")), "placed")
+    mixed = written(_in_two_classes(placed, "bucket"), "mixed-buckets")
+    few = mixed.filter(F.col("n") <= CROWD)
+    x, y = few.filter("node <> leader").alias("x"), few.filter("node <> leader").alias("y")
+    apart = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.root") != F.col("y.root")) & (F.col("x.node") < F.col("y.node"))
+    second = x.join(y, apart).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    crowd = written(held.join(mixed.filter(F.col("n") > CROWD).select("node", "root").distinct(), "node"), "crowd")
+    more = written(_verified(second.union(_rare_pairs(crowd, similarity)).distinct(), held, similarity), "links")
+    links = links.union(more).distinct()
+    return members.select("doc_id", "h", "node"), links, components(links, "a", "b")
+
+
+def _placed(docs: DataFrame, **how) -> tuple[DataFrame, DataFrame]:
+    """Every document (doc_id, h) with the ``root`` of its class, and each class's least document and size."""
+    members, links, roots = linked(docs, **how)
+    ends = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+    known = written(roots.join(ends, "node"), "roots")
+    placed = written(members.join(known, "node", "left").select("doc_id", "h", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "placed")
+    head = F.min(F.struct(F.coalesce("doc_id", F.lit(LAST)).alias("id"), "h")).alias("head")
+    return placed, written(placed.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"), head), "heads")
 
 
 def classes_of(docs: DataFrame, **how) -> DataFrame:
@@ -195,12 +287,8 @@ def classes_of(docs: DataFrame, **how) -> DataFrame:
 
     ``n_links`` counts links of the document's text to other texts that were verified.
     """
-    members, links, roots = linked(docs, **how)
-    ends = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    known = written(roots.join(ends, "node"), "roots")
-    placed = written(members.join(known, "node", "left").select("doc_id", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "placed")
-    heads = placed.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
-    return placed.join(written(heads, "heads"), "root").select("doc_id", "class_id", "class_size", "n_links")
+    placed, heads = _placed(docs, **how)
+    return placed.join(heads, "root").select("doc_id", "class_id", "class_size", "n_links")
 
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,9 +296,8 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class: that with the least doc_id; of repeated rows one."""
-    ids = classes_of(docs)
-    keepers = ids.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy(F.coalesce("doc_id", F.lit(-(2**63))).alias("__id")).agg(F.count("*").alias("__n"))
-    kept = docs.withColumn("__id", F.coalesce("doc_id", F.lit(-(2**63)))).join(written(keepers, "keepers"), "__id")
-    turn = F.when(F.col("__n") == 1, 1).otherwise(F.row_number().over(Window.partitionBy("__id", F.when(F.col("__n") > 1, F.xxhash64("text"))).orderBy("__id")))
-    return kept.withColumn("__turn", turn).filter("__turn = 1").select(*docs.columns)
+    """One document of each class: that with the least doc_id, then text hash; of repeated rows one."""
+    heads = _placed(docs)[1].select(F.col("head.id").alias("__id"), F.col("head.h").alias("__h"))
+    keyed = docs.withColumns({"__id": F.coalesce("doc_id", F.lit(LAST)), "__h": _text_hash()})
+    turn = F.row_number().over(Window.partitionBy("__id", "__h").orderBy("__id"))
+    return keyed.join(heads, ["__id", "__h"], "left_semi").withColumn("__turn", turn).filter("__turn = 1").select(*docs.columns)

@@ -63,12 +63,13 @@ def test_imatch(spark, documents):
     signed = docs.withColumn("fingerprint", imatch.fingerprint_of(F.col("text"), keep))
     by_text = {r.text: r.fingerprint for r in signed.collect()}
     assert by_text[""] == "0" and by_text["zeta"] == "0" and by_text["alpha beta gamma delta"] != "0"
-    out = [(r.doc_id, r.text, r.next.text) for r in imatch.followed(signed, 3).collect()]
+    sign = lambda text: imatch.fingerprint_of(text, keep)
+    out = [(r.doc_id, r.text, r.next.text) for r in imatch.followed(docs, 3, sign).collect()]
     order = [(4, "zeta"), (4, "alpha beta gamma delta"), (3, "alpha beta gamma delta"), (2, ""), (1, ""), (None, "alpha beta")]
     assert sorted(out, key=str) == sorted(((i, x, order[(k + 1) % 6][1]) for k, (i, x) in enumerate(order)), key=str)
     pair = spark.createDataFrame([("0", "0"), ("0", by_text["alpha beta gamma delta"])], "a string, b string")
     assert [r[0] for r in pair.select(imatch.likeness("a", "b")).collect()] == [1.0, 0.0]
-    assert imatch.followed(signed.limit(0), 3).count() == 0
+    assert imatch.followed(docs.limit(0), 3, sign).count() == 0
 
 
 def test_lines(documents):
