@@ -7,11 +7,12 @@ goes if any earlier line (by doc_id, then by place) matches it; blank lines stay
 1. Token frequencies over all texts, in a fixed number of slots (an array of 4 MB is
    broadcast). The order by slot frequency, then hash, is a total order of tokens, so the
    filters below are exact, whatever shares a slot.
-2. Lines of equal sets are one set. Each set gives its rarest tokens, as many as the
-   prefix filter asks for; sets meet in a join on a prefix token under the length and the
-   positional filter and under a bitmap filter: 128 parities of the tokens bound the
-   symmetric difference from below.
-3. Candidates are verified on the token hashes (64 bits) of one line of each set.
+2. Lines of equal sets are one set. The first line of each set gives its rarest tokens, as
+   many as the prefix filter asks for; sets meet in a join on a prefix token under the length and the
+   positional filter and under a bitmap filter: 128 parities of the tokens bound the symmetric
+   difference from below.
+3. Candidates are verified on the token hashes (64 bits) of the sets' first lines: each
+   against its earliest candidate, those that fail against all others.
 4. For sets that repeat or match, the place of the line that stays (if any) is written as
    a sorted hash array that workers map. The last pass reads the texts once more and
    drops lines; texts are never shuffled.
@@ -34,7 +35,9 @@ from . import mapped, words
 from .shared import table, written
 
 SIMILARITY, SLOTS, LAST = 0.8, 1 << 20, 2**63 - 1
-LINE = "bag long, set long, doc long, line int, n int, low long, high long, prefix array<long>"
+#: Lines of more tokens, or further down in a text, match only lines of equal tokens.
+MOST = 1 << 24
+LINE = "bag long, set long, doc long, line int, n int, low long, high long, prefix array<int>"
 
 
 class Lines:
@@ -61,17 +64,18 @@ class Lines:
     def __len__(self):
         return len(self.starts)
 
-    def tokens(self, rank: np.ndarray):
-        """Distinct tokens of each line, rarest first: line, hash, and the order key (upper bits: frequency)."""
-        slot = (self.hashes & np.uint64(SLOTS - 1)).astype(np.int64)
-        key = (rank[slot].astype(np.uint64) << np.uint64(40)) | (self.hashes >> np.uint64(24))
-        order = np.argsort(key)
-        line = self.line.astype(np.uint16) if len(self) < 65536 else self.line
-        order = order[np.argsort(line[order], kind="stable")]
-        line, key, hashes = self.line[order], key[order], self.hashes[order]
-        new = np.ones(len(key), bool)
-        new[1:] = (line[1:] != line[:-1]) | (key[1:] != key[:-1])
-        return line[new], hashes[new], key[new]
+    def tokens(self, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct tokens of each line, rarest first: line, and token (frequency rank above 36 bits of hash)."""
+        token = rank[(self.hashes & np.uint64(SLOTS - 1)).astype(np.int64)] | (self.hashes >> np.uint64(28))
+        if len(self) >= 1 << 20:  # one very long text
+            order = np.lexsort((token, self.line))
+            line, token = self.line[order], token[order]
+            new = np.append(True, (line[1:] != line[:-1]) | (token[1:] != token[:-1]))[: len(line)]
+            return line[new], token[new]
+        held = np.sort((self.line.astype(np.uint64) << np.uint64(44)) | token)
+        if len(held):
+            held = held[np.append(True, held[1:] != held[:-1])]
+        return (held >> np.uint64(44)).astype(np.int64), held & np.uint64((1 << 44) - 1)
 
 
 def _docs(batch: pa.RecordBatch) -> np.ndarray:
@@ -79,7 +83,8 @@ def _docs(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def frequencies(docs: DataFrame) -> np.ndarray:
-    """How often words of each slot occur, as ranks below 2**24; all texts count."""
+    """How often words of each slot occur in all texts, as ranks in bits 36 to 43."""
+    parts = SLOTS >> 14
 
     def count(batches):
         total = np.zeros(SLOTS, np.int64)
@@ -87,91 +92,125 @@ def frequencies(docs: DataFrame) -> np.ndarray:
             for _, part in words.slices(words.texts_of(batch)):
                 held, _ = words.words_of(part)
                 total += np.bincount((held & np.uint64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
-        full = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"slot": full.astype(np.int32), "n": total[full]})
-
-    found = docs.select("text").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(SLOTS, np.int64)
-    out[found.column("slot").to_numpy()] = found.column("n").to_numpy()
-    return np.minimum(out, (1 << 24) - 1).astype(np.int32)
-
-
-def _line_rows(docs: DataFrame, rank, share: Fraction) -> DataFrame:
-    """Every line with a token (columns of ``LINE``); the prefix only where a task meets a set first."""
-    t = share
+        if total.any():
+            cut = total.reshape(parts, -1)
+            small = cut.max() < 1 << 32
+            yield pa.RecordBatch.from_pydict({"part": np.arange(parts, dtype=np.int32), "n": [x.astype(np.uint32 if small else np.uint64).tobytes() for x in cut]})
+
+    def add(t: pa.Table) -> pa.Table:
+        total = np.zeros(SLOTS // parts, np.int64)
+        for x in t.column("n"):
+            total += np.frombuffer(x.as_py(), np.uint32 if len(x.as_buffer()) == 4 * len(total) else np.uint64).astype(np.int64)
+        return pa.table({"part": t.column("part").slice(0, 1), "n": [total.tobytes()]})
+
+    found = docs.select("text").mapInArrow(count, "part int, n binary").groupBy("part").applyInArrow(add, "part int, n binary").toArrow()
+    out = np.zeros((parts, SLOTS // parts), np.int64)
+    for part, n in zip(found.column("part").to_pylist(), found.column("n").to_pylist()):
+        out[part] = np.frombuffer(n, np.int64)
+    # a rank for every frequency up to 64, above that eight for each power of two
+    n = out.reshape(-1).astype(np.float64)
+    ranks = np.where(n <= 64, n, np.minimum(64 + 8 * np.log2(np.maximum(n, 64) / 64), 255))
+    return ranks.astype(np.uint64) << np.uint64(36)
+
+
+def _line_rows(docs: DataFrame, rank, t: Fraction) -> DataFrame:
+    """Every line with a token (columns of ``LINE``) and its rarest tokens."""
 
     def describe(batches):
-        seen = np.zeros(0, np.uint64)
         for batch in batches:
             ids = _docs(batch)
             for at, part in words.slices(words.texts_of(batch)):
                 lines = Lines(part)
-                line, hashes, key = lines.tokens(rank.value)
+                line, tokens = lines.tokens(rank.value)
                 cut = words.runs(line, len(lines))
                 n = np.diff(cut)
-                sets = words.sums(words.salted(hashes, 6), cut)
-                bit = np.uint64(1) << (hashes & np.uint64(63))
-                upper = (hashes >> np.uint64(6) & np.uint64(1)).astype(bool)
                 full = np.flatnonzero(n)
-                parity = lambda x: np.bitwise_xor.reduceat(x, cut[full]).view(np.int64) if len(full) else np.zeros(0, np.int64)
-                low, high = parity(np.where(upper, 0, bit).astype(np.uint64)), parity(np.where(upper, bit, 0).astype(np.uint64))
-                _, first = np.unique(sets[full], return_index=True)
-                fresh = np.zeros(len(full), bool)
-                fresh[first] = True
-                fresh &= ~np.isin(sets[full], seen)
-                if len(seen) < 4_000_000:
-                    seen = np.union1d(seen, sets[full][fresh])
-                size = np.where(fresh, n[full] - (n[full] * t.numerator + t.denominator - 1) // t.denominator + 1, 0)
+                mixed = words.salted(tokens, 6)
+                sets = words.sums(mixed, cut)[full]
+                bit, upper = np.uint64(1) << (mixed >> np.uint64(58)), (mixed >> np.uint64(57) & np.uint64(1)).astype(bool)
+                parity = lambda x: pa.array((np.bitwise_xor.reduceat(x, cut[full]) if len(full) else sets).view(np.int64))  # noqa: E731, B023
+                low, high = parity(np.where(upper, np.uint64(0), bit)), parity(np.where(upper, bit, np.uint64(0)))
+                short = (n[full] < MOST) & (lines.place[full] < MOST)
+                size = np.where(short, n[full] - (n[full] * t.numerator + t.denominator - 1) // t.denominator + 1, 0)
                 begin = np.cumsum(size) - size
-                held = key[np.repeat(cut[full], size) + np.arange(int(size.sum())) - np.repeat(begin, size)].view(np.int64)
-                prefix = pa.ListArray.from_arrays(np.append(begin, size.sum()).astype(np.int32), held)
-                yield pa.RecordBatch.from_arrays([pa.array(lines.bags[full].view(np.int64)), pa.array(sets[full].view(np.int64)), pa.array(ids[at + lines.owner[full]]), pa.array(lines.place[full].astype(np.int32)), pa.array(n[full].astype(np.int32)), pa.array(low), pa.array(high), prefix], ["bag", "set", "doc", "line", "n", "low", "high", "prefix"])
+                held = tokens[np.repeat(cut[full], size) + np.arange(int(size.sum())) - np.repeat(begin, size)]
+                prefix = pa.ListArray.from_arrays(np.append(begin, size.sum()).astype(np.int32), (held & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(lines.bags[full].view(np.int64)), pa.array(sets.view(np.int64)), pa.array(ids[at + lines.owner[full]]), pa.array(lines.place[full].astype(np.int32)), pa.array(n[full].astype(np.int32)), low, high, prefix], ["bag", "set", "doc", "line", "n", "low", "high", "prefix"])
 
     return docs.select("doc_id", "text").mapInArrow(describe, LINE)
 
 
-def _candidates(lines: DataFrame, share: Fraction) -> DataFrame:
-    """Pairs of sets (x, y) that pass the prefix, length, positional and bitmap filters."""
+def _heads(lines: DataFrame, firsts: DataFrame) -> DataFrame:
+    """The first line of each set, told by a mapped table of those sets that occur more than once."""
+    again = firsts.filter("n > 1").select(F.col("set").alias("key"), F.col("first.doc").alias("doc"), F.col("first.line").cast("long").alias("line"))
+    known = mapped.build(again, again.count(), "repeated-sets", {"doc": "i8", "line": "i8"})
+
+    def keep(batches):
+        for batch in batches:
+            keys = batch.column("set").to_numpy(zero_copy_only=False).view(np.uint64)
+            doc, line = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "line"))
+            first = ~known.has(keys) | ((known.get(keys, "doc") == doc) & (known.get(keys, "line") == line))
+            yield batch.filter(pa.array(first))
+
+    return lines.select("set", "doc", "line", "n", "low", "high", "prefix").mapInArrow(keep, "set long, doc long, line int, n int, low long, high long, prefix array<int>")
+
+
+def _candidates(heads: DataFrame, share: Fraction) -> DataFrame:
+    """Pairs of first lines, the earlier (xd, xl) and the later (yd, yl), that pass the prefix, length, positional and bitmap filters."""
     a, b = share.numerator, share.denominator
-    exploded = lines.select("set", "n", "low", "high", F.posexplode("prefix").alias("pos", "token"))
-    prefixes = exploded.repartition("token").distinct()
-    x, y = prefixes.alias("x"), prefixes.alias("y")
+    # length, position and place of the line in one number: a third less to shuffle
+    packed = F.shiftleft(F.col("n").cast("long"), 40).bitwiseOR(F.shiftleft(F.least("pos", F.lit(0xFFFF)).cast("long"), 24)).bitwiseOR(F.col("line"))
+    rows = heads.select("doc", "line", "n", "low", "high", F.posexplode("prefix").alias("pos", "token")).select("token", "doc", packed.alias("p"), "low", "high")
     c = F.expr
     up = lambda num, den: f"int(({num} + {den} - 1) div {den})"
-    need = up(f"{a} * (x.n + y.n)", a + b)
-    passes = [
-        c("x.token = y.token"),
-        c("x.n < y.n or x.n = y.n and x.set < y.set"),
-        c(f"{b} * x.n >= {a} * y.n"),
-        c(f"x.pos < x.n - {up(f'{2 * a} * x.n', a + b)} + 1"),
-        c(f"least(x.pos, y.pos) + least(x.n - x.pos, y.n - y.pos) >= {need}"),
-        c(f"bit_count(x.low ^ y.low) + bit_count(x.high ^ y.high) <= x.n + y.n - 2 * {need}"),
-    ]
-    on = passes[0]
-    for p in passes[1:]:
-        on &= p
-    return x.join(y, on).select(c("x.set as x"), c("y.set as y")).distinct()
-
-
-def _verified(pairs: DataFrame, lines: DataFrame, docs: DataFrame, share: Fraction) -> DataFrame:
-    """The pairs whose exact similarity is at least ``share``."""
-    wanted = pairs.select(F.explode(F.array("x", "y")).alias("set")).distinct()
-    chosen = written(lines.join(wanted, "set", "left_semi").groupBy("set").agg(F.min("bag").alias("bag")), "chosen")
-    bags = mapped.build(chosen.select(F.col("bag").alias("key")).distinct(), chosen.count(), "chosen-bags", {})
+    of = lambda s: {"n": f"int({s}.p >> 40)", "pos": f"int(({s}.p >> 24) & 65535)", "line": f"int({s}.p & 16777215)"}
+    x, y = of("x"), of("y")
+    need = up(f"{a} * ({x['n']} + {y['n']})", a + b)
+    inside = lambda z: f"{z['pos']} < {z['n']} - {up(f'{2 * a} * ' + z['n'], a + b)} + 1"
+    on = c("x.token = y.token")
+    for rule in (
+        f"x.doc < y.doc or x.doc = y.doc and {x['line']} < {y['line']}",
+        f"{b} * least({x['n']}, {y['n']}) >= {a} * greatest({x['n']}, {y['n']})",
+        f"if({x['n']} <= {y['n']}, {inside(x)}, {inside(y)})",
+        f"least({x['pos']}, {y['pos']}) + least({x['n']} - {x['pos']}, {y['n']} - {y['pos']}) >= {need}",
+        f"bit_count(x.low ^ y.low) + bit_count(x.high ^ y.high) <= {x['n']} + {y['n']} - 2 * {need}",
+    ):
+        on &= c(rule)
+    met = rows.alias("x").join(rows.alias("y"), on)
+    return met.select(c("x.doc as xd"), c(f"{x['line']} as xl"), c("y.doc as yd"), c(f"{y['line']} as yl")).distinct()
+
+
+def _place(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """One hash of a line's document and place."""
+    return words.mix(doc.astype(np.int64).view(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + line.astype(np.uint64))
+
+
+def _tokens(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """Document, place and sorted token hashes (``doc``, ``line``, ``tokens``) of the lines in the pairs."""
+    places = pairs.select("xd", "xl").distinct().union(pairs.select("yd", "yl").distinct()).toDF("doc", "line").distinct()
+
+    def keyed(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_place(b.column(0).to_numpy(), b.column(1).to_numpy()).view(np.int64))], ["key"])
+
+    keys = written(places.mapInArrow(keyed, "key long").distinct(), "places")
+    wanted = mapped.build(keys, keys.count(), "wanted-lines", {})
 
     def gather(batches):
         for batch in batches:
-            for _, part in words.slices(words.texts_of(batch)):
+            ids = _docs(batch)
+            for at, part in words.slices(words.texts_of(batch)):
                 lines = Lines(part)
-                full = np.flatnonzero(np.diff(lines.bounds))
-                _, first = np.unique(lines.bags[full], return_index=True)
-                full = full[first]
-                full = full[bags.has(lines.bags[full])]
-                held = [np.unique(lines.hashes[lines.bounds[i] : lines.bounds[i + 1]]) for i in full]
-                yield pa.RecordBatch.from_arrays([pa.array(lines.bags[full].view(np.int64)), pa.array([x.tobytes() for x in held], pa.binary())], ["bag", "tokens"])
+                doc = ids[at + lines.owner]
+                full = np.flatnonzero(wanted.has(_place(doc, lines.place)) & (np.diff(lines.bounds) > 0))
+                held = [np.unique(lines.hashes[lines.bounds[i] : lines.bounds[i + 1]]).tobytes() for i in full]
+                yield pa.RecordBatch.from_arrays([pa.array(doc[full]), pa.array(lines.place[full].astype(np.int32)), pa.array(held, pa.binary())], ["doc", "line", "tokens"])
+
+    return written(docs.select("doc_id", "text").mapInArrow(gather, "doc long, line int, tokens binary"), "line-tokens")
 
-    held = docs.select("text").mapInArrow(gather, "bag long, tokens binary").dropDuplicates(["bag"])
-    tokens = written(chosen.join(held, "bag").select("set", "tokens"), "tokens")
+
+def _verified(pairs: DataFrame, tokens: DataFrame, share: Fraction) -> DataFrame:
+    """The later lines (yd, yl) of those pairs whose exact similarity is at least ``share``."""
 
     def keep(batches):
         for batch in batches:
@@ -183,9 +222,24 @@ def _verified(pairs: DataFrame, lines: DataFrame, docs: DataFrame, share: Fracti
                     good.append(k)
             yield batch.select([0, 1]).take(pa.array(good, pa.int64()))
 
-    one = pairs.join(tokens.select(F.col("set").alias("x"), F.col("tokens").alias("p")), "x")
-    both = one.join(tokens.select(F.col("set").alias("y"), F.col("tokens").alias("q")), "y")
-    return both.select("x", "y", "p", "q").mapInArrow(keep, "x long, y long")
+    one = pairs.join(tokens.toDF("yd", "yl", "q"), ["yd", "yl"])
+    both = one.join(tokens.toDF("xd", "xl", "p"), ["xd", "xl"])
+    return both.select("yd", "yl", "p", "q").mapInArrow(keep, "yd long, yl int").distinct()
+
+
+def _matched(docs: DataFrame, lines: DataFrame, firsts: DataFrame, share: Fraction) -> DataFrame:
+    """First lines of sets (yd, yl) that match an earlier line.
+
+    Each is first held against the earliest of its candidates; only those that don't
+    match it are held against all others. So a large family of variants is verified
+    against its first member, not pair by pair.
+    """
+    pairs = written(_candidates(written(_heads(lines, firsts), "heads"), share), "line-pairs")
+    tokens = _tokens(pairs, docs)
+    nearest = pairs.groupBy("yd", "yl").agg(F.min(F.struct("xd", "xl")).alias("x")).select("x.xd", "x.xl", "yd", "yl")
+    sure = written(_verified(nearest, tokens, share), "matched")
+    rest = pairs.join(sure, ["yd", "yl"], "left_anti").join(nearest, ["xd", "xl", "yd", "yl"], "left_anti")
+    return sure.union(_verified(rest, tokens, share))
 
 
 def standing(docs: DataFrame, similarity: float = SIMILARITY) -> mapped.Mapped:
@@ -193,15 +247,10 @@ def standing(docs: DataFrame, similarity: float = SIMILARITY) -> mapped.Mapped:
     share = Fraction(str(similarity))
     rank = docs.sparkSession.sparkContext.broadcast(frequencies(docs))
     lines = written(_line_rows(docs, rank, share), "lines")
-    pairs = written(_candidates(lines, share), "line-pairs")
-    links = written(_verified(pairs, lines, docs, share), "line-links")
-    at = F.struct("doc", "line")
-    firsts = written(lines.groupBy("set").agg(F.min(at).alias("first"), F.count("*").alias("n")), "firsts")
-    ends = links.union(links.select("y", "x")).toDF("set", "other")
-    earlier = ends.join(firsts.select(F.col("set").alias("other"), "first"), "other").groupBy("set").agg(F.min("first").alias("earlier"))
-    known = firsts.join(earlier, "set", "left").filter("n > 1 or earlier is not null")
-    stays = F.coalesce(F.col("first") < F.col("earlier"), F.lit(True))
-    known = written(known.select("set", F.col("first.doc").alias("doc"), F.when(stays, F.col("first.line")).otherwise(-1).alias("line")), "known")
+    firsts = written(lines.groupBy("set").agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("n")), "firsts")
+    gone = written(_matched(docs, lines, firsts, share), "gone").select(F.struct(F.col("yd").alias("doc"), F.col("yl").alias("line")).alias("first"), F.lit(True).alias("gone"))
+    known = firsts.join(gone, "first", "left").filter("n > 1 or gone")
+    known = written(known.select("set", F.col("first.doc").alias("doc"), F.when(F.col("gone"), -1).otherwise(F.col("first.line")).alias("line")), "known")
     bags = lines.groupBy("bag").agg(F.min("set").alias("set"))
     rows = written(bags.join(known, "set").select(F.col("bag").alias("key"), "doc", F.col("line").cast("long").alias("line")), "standing")
     return mapped.build(rows, rows.count(), "standing", {"doc": "i8", "line": "i8"})

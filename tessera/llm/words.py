@@ -15,7 +15,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
-_weights = np.zeros(0, np.uint64)
+_BASE = 0xD1342543DE82EF95
+_up = _down = np.zeros(0, np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -34,11 +35,13 @@ def salted(x: np.ndarray, salt: int) -> np.ndarray:
     return mix(x + np.uint64((salt * 0x9E3779B97F4A7C15 + 0x1234567) & 0xFFFFFFFFFFFFFFFF))
 
 
-def _position_weights(n: int) -> np.ndarray:
-    global _weights
-    if len(_weights) < n:
-        _weights = salted(np.arange(max(n, 256) * 2, dtype=np.uint64), 77) | np.uint64(1)
-    return _weights
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of an odd number and of its inverse, modulo 2**64."""
+    global _up, _down
+    if len(_up) < n:
+        size = 1 << max(12, int(n - 1).bit_length())
+        _up, _down = (np.cumprod(np.append(np.ones(1, np.uint64), np.full(size - 1, x, np.uint64))) for x in (_BASE, pow(_BASE, -1, 1 << 64)))
+    return _up, _down
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
@@ -83,19 +86,25 @@ def spans_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
-    """A 64-bit hash of each span: a sum of its bytes times random weights of their positions, mixed.
+    """A 64-bit hash of each span: a polynomial of its bytes, from running sums, mixed with its length.
 
-    Spans must be in order and not empty. With ``lower`` the letters A-Z count as a-z.
+    Spans must be in order. With ``lower`` the letters A-Z count as a-z.
     """
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    sizes = ends - starts
-    first = np.cumsum(sizes) - sizes
-    inside = np.arange(int(sizes.sum()), dtype=np.int64) - np.repeat(first, sizes)
-    held = data[np.repeat(starts, sizes) + inside]
-    values = (_LOWER[held] if lower else held).astype(np.uint64) + np.uint64(1)
-    values *= _position_weights(int(sizes.max()))[inside]
-    return mix(np.add.reduceat(values, first) + sizes.astype(np.uint64))
+    out, at = np.zeros(len(starts), np.uint64), 0
+    while at < len(starts):
+        first = starts[at]
+        to = max(at + 1, int(np.searchsorted(ends, first + 2 * SLICE_BYTES, "right")))
+        held = data[first : ends[to - 1]]
+        up, down = _powers(len(held) + 1)
+        total = np.zeros(len(held) + 1, np.uint64)
+        values = (_LOWER[held] if lower else held).astype(np.uint64)
+        values += np.uint64(1)
+        values *= up[: len(held)]
+        np.cumsum(values, out=total[1:])
+        s, e = starts[at:to] - first, ends[at:to] - first
+        out[at:to] = mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
+        at = to
+    return out
 
 
 def words_of(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
