@@ -5,7 +5,7 @@ frequency lies in a band: ``LEAST_SHARE`` to ``MOST_SHARE`` of all documents con
 them. A document's kept terms, distinct and sorted, are cut down to several randomised
 subsets of the lexicon, and each subset's terms are hashed. How small the subsets are
 follows the number of kept terms n: they hold a term with a chance of 1/m, 1/2m and 1/4m,
-where m is the power of two not above n, so that a term or two of the document are in each
+where m is the power of two not above n (at least 8), so that a term or two of the document are in each
 and a hash survives some edits. The fingerprint is the level m and the hashes, four hex
 digits each (``....`` for a subset without a term).
 
@@ -78,19 +78,31 @@ def kept_terms(text: Column, inside) -> Column:
 
 
 def fingerprint(kept: Column) -> Column:
-    """The fingerprint of an array of kept terms (a column)."""
+    """The fingerprint of an array of kept terms (a column).
+
+    Each of three families deals the lexicon out by ``level`` bits of the terms' hashes;
+    the first eight of its 2**level parts are subsets, their halves and quarters by the
+    next two bits the smaller ones.
+    """
     n = F.size(kept)
-    level = F.greatest(F.lit(0), F.floor(F.log2(F.greatest(n, F.lit(1)))).cast("int"))
+    level = F.greatest(F.lit(3), F.floor(F.log2(F.greatest(n, F.lit(1)))).cast("int"))
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), level) - 1
+    digits = lambda s: F.when(F.size(s) == 0, "....").otherwise(F.right(F.hex(F.xxhash64(s)), F.lit(4)))
+
+    def family(j: int) -> Column:
+        part = lambda t: F.shiftrightunsigned(t, 21 * j)
+        more = lambda t: F.call_function("shiftright", part(t), level)
+        few = F.filter(kept, lambda t: part(t).bitwiseAND(mask) < SUBSETS // 3)
 
-    def subset(k: Column) -> Column:
-        chosen = lambda mask, of: F.filter(of, lambda t: F.xxhash64(t, k).bitwiseAND(mask) == 0)
-        mask = lambda more: F.call_function("shiftleft", F.lit(1), level + more) - 1
-        digits = lambda s: F.when(F.size(s) == 0, "....").otherwise(F.right(F.hex(F.xxhash64(s)), F.lit(4)))
-        one = chosen(mask(0), kept)
-        rest = F.transform(F.array(one), lambda a: F.transform(F.array(chosen(mask(1), a)), lambda b: F.concat(digits(a), digits(b), digits(chosen(mask(2), b))))[0])[0]
-        return rest
+        def subset(held: Column, k: Column) -> Column:
+            whole = F.filter(held, lambda t: part(t).bitwiseAND(mask) == k)
+            half = lambda a: F.filter(a, lambda t: more(t).bitwiseAND(1) == 0)
+            quarter = lambda a: F.filter(a, lambda t: more(t).bitwiseAND(3) == 0)
+            return F.transform(F.array(whole), lambda a: F.concat(digits(a), digits(half(a)), digits(quarter(a))))[0]
 
-    return F.when(n == 0, "0").otherwise(F.concat(F.lpad(F.hex(level), 2, "0"), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(SUBSETS)), subset), "")))
+        return F.transform(F.array(few), lambda held: F.array_join(F.transform(F.sequence(F.lit(0), F.lit(SUBSETS // 3 - 1)), lambda k: subset(held, k)), ""))[0]
+
+    return F.when(n == 0, "0").otherwise(F.concat(F.lpad(F.hex(level), 2, "0"), *(family(j) for j in range(3))))
 
 
 def likeness(a: str, b: str) -> Column:
@@ -110,8 +122,11 @@ def likeness(a: str, b: str) -> Column:
     return F.when(x == y, 1.0).when((x == "0") | (y == "0") | (F.abs(apart) > 2), 0.0).otherwise(share.cast("double"))
 
 
-def followed(docs: DataFrame, parts: int) -> DataFrame:
-    """``docs`` (doc_id, text, fingerprint) with the next document's text and fingerprint, descending doc_id; after the last the first."""
+def followed(docs: DataFrame, parts: int, sign) -> DataFrame:
+    """``docs`` (doc_id, text) with their fingerprint (``sign`` of the text) and the next document's text and fingerprint.
+
+    The next document is that of the next smaller doc_id; after the last comes the first.
+    """
     cuts = docs.select(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)], 100 * parts)).first()[0] if parts > 1 else None
     cuts = sorted(set(cuts or []), reverse=True)
     # two steps of about the root of the number of cuts each
@@ -125,22 +140,22 @@ def followed(docs: DataFrame, parts: int) -> DataFrame:
     else:
         part = F.lit(0)
     order = [F.col("doc_id").desc_nulls_last(), F.col("text").desc_nulls_last()]
-    one = F.struct("text", "fingerprint")
     rows = docs.withColumn("part", part)
-    ranked = rows.withColumn("next", F.lead(one).over(Window.partitionBy("part").orderBy(*order)))
-    # the first row of each part, by doc_id then text, without ordering the rows
-    key = F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("i"), F.coalesce("text", F.lit("")).alias("t"), "text", "fingerprint")
-    heads = rows.groupBy("part").agg(F.max(key).alias("k")).select("part", F.struct(F.col("k.text").alias("text"), F.col("k.fingerprint").alias("fingerprint")).alias("head"))
+    ranked = rows.withColumn("fingerprint", sign(F.col("text"))).withColumn("next", F.lead(F.struct("text", "fingerprint")).over(Window.partitionBy("part").orderBy(*order)))
+    # the first row of each part (there are at most ``parts``): its largest doc_id without reading texts, then its text
+    key = F.coalesce("doc_id", F.lit(-(2**63)))
+    tops = rows.groupBy("part").agg(F.max(key).alias("top"))
+    heads = rows.withColumn("top", key).join(F.broadcast(tops), ["part", "top"]).groupBy("part").agg(F.max("text").alias("text"))
+    heads = written(heads, "heads").withColumn("fingerprint", sign(F.col("text"))).select("part", F.struct("text", "fingerprint").alias("head"))
     ring = Window.orderBy("part")
-    heads = heads.withColumn("after", F.coalesce(F.lead("head").over(ring), F.first("head").over(ring))).select("part", "after")
-    return ranked.join(written(heads, "heads"), "part").select("doc_id", "text", "fingerprint", F.coalesce("next", "after").alias("next"))
+    after = heads.withColumn("after", F.coalesce(F.lead("head").over(ring), F.first("head").over(ring))).select("part", "after")
+    return ranked.join(written(after, "after"), "part").select("doc_id", "text", "fingerprint", F.coalesce("next", "after").alias("next"))
 
 
 def op2_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     inside = lexicon(docs)
-    signed = docs.withColumn("fingerprint", fingerprint_of(F.col("text"), inside))
-    rows = followed(signed, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = followed(docs, int(spark.conf.get("spark.sql.shuffle.partitions")), lambda text: fingerprint_of(text, inside))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), n - half), F.substr(F.col("next.text"), F.lit(1), half))
