@@ -6,10 +6,15 @@ different pages, its contents the texts directly in it. A node's importance is t
 entropy of its styles or contents over the pages, to the base of the number of pages (1
 for a single page): what every page repeats is worth nothing, what always differs is
 worth 1. The importance of a branch is the mean over its nodes, each counting less by
-``DECAY`` for each level that it lies deeper. Branches below ``LEAST`` are cut from the
-pages of hosts with ``PAGES`` pages or more. Equal pages count once, so that copies don't
-make a text look like a template. Where a page marks its article (or main) element, only
-what is in it is text, and only marked parts of it are cut.
+``DECAY`` for each level that it lies deeper. A text on n of the m pages that have its
+element is worth 1 - log n / log m, since others of the same element may differ. All are
+smoothed by ``PRIOR`` pages of importance 1, so that a few pages weigh less. Branches below ``LEAST`` and texts
+below ``REPEATED`` are cut. Equal pages, and pages of equal articles, count once, so that
+copies don't make a text look like a template.
+
+Where a page marks its article (or main) element, only what is in it is text. The mark is
+a prior: in it branches, too, are cut only below ``REPEATED``, and nothing is cut where that
+would take half of its characters or more, since pages that share so much are copies.
 
 What elements say of themselves is used beside the tree, since a host may have one page:
 by tag, role or class they are menus, headers, footers, sidebars, notices, adverts,
@@ -36,7 +41,7 @@ from pyspark.sql import functions as F
 from . import mapped
 from .shared import table, written
 
-DECAY, LEAST, PAGES = 0.9, 0.3, 5
+DECAY, LEAST, REPEATED, PRIOR = 0.9, 0.3, 0.15, 0.5
 
 # Names of HTML elements and words in class, id and role attributes.
 SKIPPED = frozenset("script style noscript template iframe svg canvas object embed select datalist textarea title math video audio map".split())
@@ -167,58 +172,77 @@ def _rows(batch: pa.RecordBatch):
     return zip(batch.column("url").to_pylist(), batch.column("html").to_pylist())
 
 
-def branches(pages: DataFrame, decay: float = DECAY) -> DataFrame:
-    """``node`` (a hash of host and path), ``pages`` that have it and ``importance`` of its branch."""
+def importances(pages: DataFrame, decay: float = DECAY) -> DataFrame:
+    """``key`` and ``importance`` of branches (a hash of host and path) and texts (the same with the text's hash) on two pages or more."""
 
     def observe(batches):
-        """A row for each value (style or content) of each node of each page."""
+        """A row for each value (style or content) of each node of each page, and one of value 0 for the page itself."""
         for batch in batches:
-            out: dict[str, list] = {"node": [], "chain": [], "value": [], "page": []}
+            out: dict[str, list] = {"node": [], "chain": [], "value": [], "content": [], "page": []}
             for url, source in _rows(batch):
-                page, host, key = Page(source or ""), host_of(url), _hash(source or "")
+                page, host = Page(source or ""), host_of(url)
+                texts = page.texts()
+                key = _hash(*([x for k, x in texts if page.inside[k]] or [source or ""]))
                 nodes = [_hash(host, *p) for p in page.paths]
-                values = [(k, _hash("s", *s)) for k, s in enumerate(page.styles) if s] + [(k, _hash("c", x)) for k, x in page.texts()]
-                for node, value in {(k, v): None for k, v in values}:
-                    names = page.paths[node]
-                    out["node"].append(nodes[node])
+                values = [(k, _hash("s", *s), False) for k, s in enumerate(page.styles) if s] + [(k, _hash("c", x), True) for k, x in texts]
+                distinct = {(nodes[k], value): (page.paths[k], content) for k, value, content in values}
+                distinct |= {(nodes[k], 0): (page.paths[k], False) for k, _, _ in values}
+                for (node, value), (names, content) in distinct.items():
+                    out["node"].append(node)
                     out["chain"].append([_hash(host, *names[:n]) for n in range(len(names) + 1)])
                     out["value"].append(value)
+                    out["content"].append(content)
                     out["page"].append(key)
             u8 = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
             chain = pa.ListArray.from_arrays(np.cumsum([0, *map(len, out["chain"])]).astype(np.int32), u8([y for x in out["chain"] for y in x]))
-            yield pa.RecordBatch.from_arrays([u8(out["node"]), chain, u8(out["value"]), u8(out["page"])], ["node", "chain", "value", "page"])
-
-    seen = pages.select("url", "html").mapInArrow(observe, "node long, chain array<long>, value long, page long").distinct()
-    counted = seen.groupBy("node", "chain", "value").agg(F.count("*").alias("n"))
-    total = counted.groupBy("node", "chain").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("s"))
+            yield pa.RecordBatch.from_arrays([u8(out["node"]), chain, u8(out["value"]), pa.array(out["content"], pa.bool_()), u8(out["page"])], ["node", "chain", "value", "content", "page"])
+
+    seen = pages.select("url", "html").mapInArrow(observe, "node long, chain array<long>, value long, content boolean, page long").distinct()
+    counted = written(seen.groupBy("node", "chain", "value", "content").agg(F.count("*").alias("n")), "values")
+    shown = F.sum(F.when(F.col("value") == 0, F.col("n")))
+    real = F.when(F.col("value") != 0, F.col("n"))
+    total = counted.groupBy("node", "chain").agg(F.sum(real).alias("m"), F.sum(real * F.log("n")).alias("s"), shown.alias("pages"))
+    smooth = lambda x: (F.col("pages") * x + PRIOR) / (F.col("pages") + PRIOR)
     # the entropy to the base m: (log m - sum(n log n) / m) / log m
-    own = total.select("chain", "m", F.when(F.col("m") > 1, 1 - F.col("s") / (F.col("m") * F.log(F.col("m").cast("double")))).otherwise(1.0).alias("importance"))
+    own = total.select("chain", "m", "pages", F.when(F.col("m") > 1, 1 - F.col("s") / (F.col("m") * F.log(F.col("m").cast("double")))).otherwise(1.0).alias("importance"))
     weight = F.col("m") * F.pow(F.lit(decay), F.size("chain") - 1 - F.col("depth"))
-    spread = own.select("m", "importance", "chain", F.posexplode("chain").alias("depth", "node")).withColumn("w", weight)
-    return spread.groupBy("node").agg(F.max("m").alias("pages"), (F.sum(F.col("w") * F.col("importance")) / F.sum("w")).alias("importance"))
-
-
-def extract(pages: DataFrame, least: float = LEAST, enough: int = PAGES) -> DataFrame:
+    spread = own.select("m", "pages", "importance", "chain", F.posexplode("chain").alias("depth", "key")).withColumn("w", weight)
+    nodes = spread.groupBy("key").agg(F.max("pages").alias("pages"), (F.sum(F.col("w") * F.col("importance")) / F.sum("w")).alias("importance")).filter("pages > 1")
+    texts = counted.filter("content and n > 1").join(total.select("node", "pages"), "node").withColumn("importance", 1 - F.log("n") / F.log(F.col("pages").cast("double")))
+    texts = texts.select(F.col("node").bitwiseXOR(F.col("value")).alias("key"), smooth(F.col("importance")).alias("importance")).filter(F.col("importance") < REPEATED)
+    return nodes.select("key", smooth(F.col("importance")).alias("importance")).union(texts)
+
+
+def _kept(page: Page, host: str, tree: mapped.Mapped, least: float) -> list[str]:
+    """The texts that the tree leaves of a page."""
+    blocks = [(k, x) for k, x in page.texts() if not page.away[k]]
+    marked = [(k, x) for k, x in blocks if page.inside[k]]
+    chosen = marked or blocks
+    if not chosen:
+        return []
+    keys, cuts = [], [0]
+    for k, x in chosen:
+        chain = [_hash(host, *page.paths[k][:n]) for n in range(len(page.paths[k]) + 1)]
+        keys += [*chain[1:], chain[-1] ^ _hash("c", x)]
+        cuts.append(len(keys))
+    worth = tree.get(np.array(keys, np.uint64), "importance", 1.0)
+    limits = np.full(len(keys), REPEATED if marked else least)
+    limits[np.array(cuts[1:]) - 1] = REPEATED
+    low = np.add.reduceat(worth < limits, cuts[:-1]) > 0
+    kept = [x for (_, x), bad in zip(chosen, low) if not bad]
+    if marked and 2 * sum(map(len, kept)) <= sum(len(x) for _, x in chosen):
+        return [x for _, x in chosen]
+    return kept
+
+
+def extract(pages: DataFrame, least: float = LEAST) -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` of every page."""
-    low = written(branches(pages).filter((F.col("importance") < least) & (F.col("pages") >= enough)).select(F.col("node").alias("key")), "low-branches")
-    cut = mapped.build(low, low.count(), "cut-branches", {})
+    low = written(importances(pages).filter(F.col("importance") < least), "low-branches")
+    tree = mapped.build(low, low.count(), "cut-branches", {"importance": "f8"})
 
     def work(batches):
         for batch in batches:
-            texts = []
-            for url, source in _rows(batch):
-                page, host = Page(source or ""), host_of(url)
-                blocks = [(k, x) for k, x in page.texts() if not page.away[k]]
-                marked = [x for k, x in blocks if page.inside[k]]
-                if not marked and blocks:
-                    chains = [[_hash(host, *page.paths[k][:n]) for n in range(1, len(page.paths[k]) + 1)] for k, _ in blocks]
-                    flat = np.array([y for c in chains for y in c], np.uint64)
-                    bad, at = cut.has(flat) if len(flat) else flat, 0
-                    for (_, x), c in zip(blocks, chains):
-                        if not len(c) or not bad[at : at + len(c)].any():
-                            marked.append(x)
-                        at += len(c)
-                texts.append("\n".join(marked))
+            texts = ["\n".join(_kept(Page(source or ""), host_of(url), tree, least)) for url, source in _rows(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     return pages.select("page_id", "url", "html").mapInArrow(work, "page_id long, url string, text string, n_chars long")

@@ -160,3 +160,16 @@ def test_site_tree_cuts_what_every_page_repeats(spark):
     rows = [(k, "http://s.example/x", f"<body><div><p>Same words on every page</p></div><div class='t'><p>{words(30, k)}</p><p>{words(20, 100 + k)}</p></div></body>") for k in range(12)]
     out = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert all(r.text == f"{words(30, r.page_id)}\n{words(20, 100 + r.page_id)}" for r in out)
+
+
+def test_site_tree_cuts_repeated_blocks_inside_a_marked_article(spark):
+    body = lambda k: f"<h1>Title {k}</h1><p>Body number {k} tells of {k} things.</p>"
+    rows = [(k, f"http://m.com/{k}", f"<body><article>{body(k)}<p>Join our list now</p><div><ul><li>Mail<li>Post</ul></div></article></body>") for k in range(8)]
+    rows += [(100 + k, f"http://few.com/{k}", f"<body><section><p>Only {k} here</p></section><div>Same {'words '}</div></body>") for k in range(2)]
+    rows += [(200 + k, f"http://copies.com/{k}", f"<body><div>ad {k}</div><article><h1>Copy</h1><p>One text of all</p></article></body>") for k in range(6)]
+    rows += [(300 + k, f"http://near.com/{k}", f"<body><main><h1>Copy {k}</h1><p>One long text that all of these pages have</p></main></body>") for k in range(6)]
+    out = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(out[k] == f"Title {k}\nBody number {k} tells of {k} things." for k in range(8))
+    assert [out[100], out[101]] == ["Only 0 here", "Only 1 here"]
+    assert all(out[200 + k] == "Copy\nOne text of all" for k in range(6))
+    assert all(out[300 + k] == f"Copy {k}\nOne long text that all of these pages have" for k in range(6))
