@@ -18,7 +18,11 @@ would take half of its characters or more, since pages that share so much are co
 
 What elements say of themselves is used beside the tree, since a host may have one page:
 by tag, role or class they are menus, headers, footers, sidebars, notices, adverts,
-forms or comments, and such branches go.
+forms or comments, and such branches go. A class says so by its whole name or its head,
+the last word ("no-sidebar" doesn't). It never takes an article or main element, or what
+holds one, except for comments after the first article. ``WEAK`` words name parts of an
+article as well ("tags", "notice"): in a marked one they only double the importance below
+which the tree cuts, and outside the tree may overrule them on hosts of ``ENOUGH`` pages.
 
 Counting is partial sums per node and value; the tree's cut branches are a sorted hash
 array that workers map, so pages are never shuffled, and no host is in one task.
@@ -41,7 +45,7 @@ from pyspark.sql import functions as F
 from . import mapped
 from .shared import table, written
 
-DECAY, LEAST, REPEATED, PRIOR = 0.9, 0.3, 0.15, 0.5
+DECAY, LEAST, REPEATED, PRIOR, ENOUGH = 0.9, 0.3, 0.15, 0.5, 5
 
 # Names of HTML elements and words in class, id and role attributes.
 SKIPPED = frozenset("script style noscript template iframe svg canvas object embed select datalist textarea title math video audio map".split())
@@ -58,30 +62,77 @@ WORDS = frozenset(
     "search share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags toolbar topbar widget widgets".split()
 )
 
+#: Words that also name parts of an article; words of comments; what follows a head ("ad-slot"), and what denies it.
+WEAK = frozenset("banner banners copyright disclaimer discussion foot footer header login masthead menu modal notice notices promotion related reply responses search social tags".split())
+REMARKS = frozenset("comment comments commentlist discussion disqus replies reply respond responses".split())
+HOLDERS = frozenset("area bar block box container inner links list section slot unit wrap wrapper".split())
+DENIED = frozenset("has is no not with without".split())
+SURE, HINT = 2, 1
+
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 
 
-def _marks(tag: str, attributes: str) -> tuple[str, bool]:
-    """An element's name in the tree, and whether it says that it isn't text of the article."""
+def _said(names: str) -> set[str]:
+    """The words that class names say of an element: each whole name, or its head."""
+    out = set()
+    for name in names.split():
+        parts = [x.lower() for x in re.split(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])", name) if x]
+        if len(parts) == 2 and parts[1] in HOLDERS:
+            parts.pop()
+        if parts and parts[0] not in DENIED:
+            out.add(parts[-1])
+    return out
+
+
+def _marks(tag: str, attributes: str) -> tuple[str, bool, set[str]]:
+    """An element's name in the tree, whether its tag or role says that it isn't text of the article, and what its class does."""
     if not attributes.strip():
-        return tag, tag in FURNITURE
+        return tag, tag in FURNITURE, set()
     found = {k.lower(): (v or "").strip("\"'") for k, v in _ATTRIBUTE.findall(attributes)}
-    names = f"{found.get('class', '')} {found.get('id', '')}"
-    said = {x.lower() for x in re.split(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])", names)}
-    away = tag in FURNITURE or bool(said & WORDS) or found.get("role", "").lower() in ROLES or "hidden" in found or found.get("aria-hidden") == "true"
-    return f"{tag}.{found.get('class', '')}", away
+    said = _said(f"{found.get('class', '')} {found.get('id', '')}") & WORDS
+    away = tag in FURNITURE or found.get("role", "").lower() in ROLES or "hidden" in found or found.get("aria-hidden") == "true"
+    return f"{tag}.{found.get('class', '')}", away, said
 
 
 class Page:
     """The blocks of text of a page with their places in the tree, and the styles of its elements."""
 
     def __init__(self, source: str):
-        #: Of each block: the path's number and the pieces of its text. Of each path: names, whether in an article, whether furniture.
+        #: Of each block: the path's number and the pieces of its text. Of each path: names, whether in an article, whether furniture, its parent, what its class says.
         self.blocks: list[tuple[int, list[str]]] = []
         self.paths: list[tuple[str, ...]] = [()]
         self.inside, self.away, self.styles = [False], [False], [[]]
+        self.parents, self.said, self.marks = [0], [set()], []
         self._read(source)
+        self._judge()
+
+    def _judge(self):
+        """``hints``: how the class of each path counts; where it is sure, what is in the element is furniture."""
+        holds, first = set(), set()
+        for k in self.marks:
+            up = {k}
+            while k:
+                k = self.parents[k]
+                up.add(k)
+            first = first or up
+            holds |= up
+        self.hints = [0] * len(self.paths)
+        for k in range(1, len(self.paths)):
+            said = self.said[k]
+            if k in first or k in holds and not said & REMARKS:
+                said = set()
+            self.hints[k] = SURE if said - WEAK else HINT if said else 0
+            if self.hints[k] == SURE or self.away[self.parents[k]]:
+                self.away[k] = True
+
+    def chain(self, k: int) -> list[int]:
+        """The paths from the first element to path ``k``."""
+        out = []
+        while k:
+            out.append(k)
+            k = self.parents[k]
+        return out[::-1]
 
     def _read(self, source: str):
         stack, at, fresh, skip = [("", 0)], 0, True, None
@@ -114,11 +165,15 @@ class Page:
                 self._implied(stack, tag)
                 if tag in VOID:
                     continue
-                name, away = _marks(tag, m[3])
+                name, away, said = _marks(tag, m[3])
                 parent = stack[-1][1]
                 inside = self.inside[parent] or tag in MAIN
                 if tag == "header" and not self.inside[parent]:
                     away = True
+                if tag in MAIN:
+                    self.marks.append(len(self.paths))
+                self.parents.append(parent)
+                self.said.append(said if tag not in ("html", "body") else set())
                 self.styles[parent].append(name)
                 self.paths.append((*self.paths[parent], name))
                 self.inside.append(inside)
@@ -173,7 +228,7 @@ def _rows(batch: pa.RecordBatch):
 
 
 def importances(pages: DataFrame, decay: float = DECAY) -> DataFrame:
-    """``key`` and ``importance`` of branches (a hash of host and path) and texts (the same with the text's hash) on two pages or more."""
+    """``key``, ``importance`` and ``pages`` of branches (a hash of host and path) and texts (the same with the text's hash) on two pages or more."""
 
     def observe(batches):
         """A row for each value (style or content) of each node of each page, and one of value 0 for the page itself."""
@@ -209,8 +264,8 @@ def importances(pages: DataFrame, decay: float = DECAY) -> DataFrame:
     spread = own.select("m", "pages", "importance", "chain", F.posexplode("chain").alias("depth", "key")).withColumn("w", weight)
     nodes = spread.groupBy("key").agg(F.max("pages").alias("pages"), (F.sum(F.col("w") * F.col("importance")) / F.sum("w")).alias("importance")).filter("pages > 1")
     texts = counted.filter("content and n > 1").join(total.select("node", "pages"), "node").withColumn("importance", 1 - F.log("n") / F.log(F.col("pages").cast("double")))
-    texts = texts.select(F.col("node").bitwiseXOR(F.col("value")).alias("key"), smooth(F.col("importance")).alias("importance")).filter(F.col("importance") < REPEATED)
-    return nodes.select("key", smooth(F.col("importance")).alias("importance")).union(texts)
+    texts = texts.select(F.col("node").bitwiseXOR(F.col("value")).alias("key"), smooth(F.col("importance")).alias("importance"), "pages").filter(F.col("importance") < REPEATED)
+    return nodes.select("key", smooth(F.col("importance")).alias("importance"), "pages").union(texts)
 
 
 def _kept(page: Page, host: str, tree: mapped.Mapped, least: float) -> list[str]:
@@ -220,16 +275,23 @@ def _kept(page: Page, host: str, tree: mapped.Mapped, least: float) -> list[str]
     chosen = marked or blocks
     if not chosen:
         return []
-    keys, cuts = [], [0]
+    limit = REPEATED if marked else least
+    keys, limits, hints, cuts = [], [], [], [0]
     for k, x in chosen:
-        chain = [_hash(host, *page.paths[k][:n]) for n in range(len(page.paths[k]) + 1)]
-        keys += [*chain[1:], chain[-1] ^ _hash("c", x)]
+        for j in page.chain(k):
+            keys.append(_hash(host, *page.paths[j]))
+            limits.append(limit * 2 if page.hints[j] == HINT else limit)
+            hints.append(page.hints[j] == HINT and not marked)
+        keys.append((keys[-1] if page.paths[k] else _hash(host)) ^ _hash("c", x))
+        limits.append(REPEATED)
+        hints.append(False)
         cuts.append(len(keys))
-    worth = tree.get(np.array(keys, np.uint64), "importance", 1.0)
-    limits = np.full(len(keys), REPEATED if marked else least)
-    limits[np.array(cuts[1:]) - 1] = REPEATED
-    low = np.add.reduceat(worth < limits, cuts[:-1]) > 0
-    kept = [x for (_, x), bad in zip(chosen, low) if not bad]
+    keys = np.array(keys, np.uint64)
+    worth, known = tree.get(keys, "importance", 1.0), tree.get(keys, "pages", 0)
+    # outside an article a weak word stands unless enough pages speak against it
+    bad = (worth < limits) | (np.array(hints) & (known < ENOUGH))
+    low = np.add.reduceat(bad, cuts[:-1]) > 0
+    kept = [x for (_, x), cut in zip(chosen, low) if not cut]
     if marked and 2 * sum(map(len, kept)) <= sum(len(x) for _, x in chosen):
         return [x for _, x in chosen]
     return kept
@@ -237,8 +299,9 @@ def _kept(page: Page, host: str, tree: mapped.Mapped, least: float) -> list[str]
 
 def extract(pages: DataFrame, least: float = LEAST) -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` of every page."""
-    low = written(importances(pages).filter(F.col("importance") < least), "low-branches")
-    tree = mapped.build(low, low.count(), "cut-branches", {"importance": "f8"})
+    # a branch of importance is only looked at where a class word may be overruled
+    held = written(importances(pages).filter((F.col("importance") < 2 * least) | (F.col("pages") >= ENOUGH)), "branches")
+    tree = mapped.build(held, held.count(), "cut-branches", {"importance": "f8", "pages": "i8"})
 
     def work(batches):
         for batch in batches:

@@ -173,3 +173,22 @@ def test_site_tree_cuts_repeated_blocks_inside_a_marked_article(spark):
     assert [out[100], out[101]] == ["Only 0 here", "Only 1 here"]
     assert all(out[200 + k] == "Copy\nOne text of all" for k in range(6))
     assert all(out[300 + k] == f"Copy {k}\nOne long text that all of these pages have" for k in range(6))
+
+
+def test_class_words_never_take_an_article(spark):
+    text = "<h1>Title</h1><p>Some words of it</p>"
+    whole = [
+        f"<div class='content-sidebar-wrap'><main><article>{text}</article></main></div>",
+        f"<div class='page no-sidebar'>{text}</div>",
+        f"<div class='search-content'>{text}</div>",
+        f"<div class='sidebar'><article class='post social'>{text}</article></div>",
+        "<article><div class='entry-header'><h1>Title</h1></div><p class='notice'>Some words of it</p></article>",
+        "<article><h1>Title</h1><section class='discussion'><p class='tags related'>Some words of it</p></section></article>",
+        f"<main>{text}<div class='comments'><article class='comment'>no</article></div><div class='ad-slot'>no</div><p class='newsletter'>no</p></main>",
+    ]
+    rows = [(k, f"http://{k}.com/", f"<body>{x}</body>") for k, x in enumerate(whole)]
+    site = lambda k: f"<body><p>{words(20, k)}</p><div class='notice'>{words(9, 50 + k)}</div><div class='menu'>Home</div></body>"
+    rows += [(100 + k, "http://site.com/", site(k)) for k in range(6)] + [(200, "http://one.com/", site(0))]
+    out = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {k: out[k] for k in range(len(whole))} == {k: "Title\nSome words of it" for k in range(len(whole))}
+    assert all(out[100 + k] == f"{words(20, k)}\n{words(9, 50 + k)}" for k in range(6)) and out[200] == words(20, 0)
