@@ -4,17 +4,18 @@ A seed is a mask over a window of tokens: tokens at its 1s are hashed, those at
 are ignored, so a window still hits if tokens there were replaced. Each window of each
 document is hashed under every mask; a fixed bitmap (built from the benchmark's hashes,
 held in the plan as a literal) drops nearly all windows before the join with the
-benchmark's hashes. Around a hit, document and item are laid over each other and
-compared token by token over up to ``OVERLAP`` tokens of the item: at least ``LEAST``
-of them must be equal for the hit to count.
+benchmark's hashes. At a hit, document and item are laid over each other and
+compared token by token over every run of ``OVERLAP`` tokens of the item (all of a shorter
+one) that holds the hit: in one of them at least ``LEAST`` must be equal for it to count.
 
 Everything up to the verified hits is one stage without a shuffle when the benchmark's
 hash table is small enough to be broadcast, which is decided by counting it; above that
 the surviving windows (not the documents) are shuffled to it.
 
-Tokens are the letter and digit runs of the lower-cased text. Items with fewer tokens
-than the seeds span must occur as they are: a mask of their length with all tokens is
-added for each such length.
+Tokens are the letter and digit runs of the lower-cased text. Shorter items have seeds of
+their own, by how many tokens ``LEAST`` lets differ; under every pattern of so many
+replaced tokens some window still hits (the tests try all of them). Items of fewer than
+five tokens must occur as they are.
 
 Defined cases: null and empty texts and items have no tokens and never match. Repeated
 rows give one result row for each (doc_id, item_id). A null doc_id is kept as such. Other
@@ -30,8 +31,19 @@ from pyspark.sql import functions as F
 
 from .shared import table, written
 
-#: Seeds of span 12 and weight 7: whichever three of 20 tokens (two of 16) are replaced, some window still hits.
-SEEDS = ("111010000111", "101110100011", "100001101111")
+#: Seeds of equal span by the fewest tokens of the items that they serve.
+SEEDS = {
+    1: ("1",),
+    2: ("11",),
+    3: ("111",),
+    4: ("1111",),
+    5: ("1101", "1011"),  # one of 5 replaced
+    6: ("11101", "10111"),
+    8: ("111011", "110111"),
+    10: ("11011001", "10001111", "10110101"),  # two of 10
+    15: ("110100011", "111001001"),  # three of 15
+    20: ("111010000111", "101110100011", "100001101111", "111010010001", "111000001101"),  # four of 20
+}
 OVERLAP, LEAST = 20, 0.8
 #: Above so many hashes the benchmark isn't broadcast; the bitmap has at most so many bits.
 MOST_BROADCAST, MOST_BITS = 400_000, 1 << 24
@@ -85,8 +97,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, overlap: int = OVERLAP,
     """``doc_id``, ``item_id``, ``overlap`` (tokens equal around the best hit) and ``share`` of every contamination."""
     items = written(benchmark.select("item_id", tokens(F.col("text")).alias("tokens")).distinct(), "items")
     texts = docs.select("doc_id", tokens(F.col("text")).alias("tokens"))
-    lengths = items.select(F.size("tokens").alias("n")).filter(F.col("n").between(1, len(SEEDS[0]) - 1)).distinct().collect()
-    sets = [(SEEDS, items)] + [(("1" * r.n,), items.filter(F.size("tokens") == r.n)) for r in sorted(lengths)]
+    size = F.size("tokens")
+    lengths = [r.n for r in items.select(size.alias("n")).filter("n > 0").distinct().collect()]
+    least_of = sorted(SEEDS)
+    sets = []
+    for low, above in zip(least_of, [*least_of[1:], None]):
+        if low == least_of[-1] or any(low <= n < above for n in lengths):
+            sets.append((SEEDS[low], items.filter(size >= low if above is None else size.between(low, above - 1))))
     found = [_hits(texts, part, masks, overlap, least) for masks, part in sets]
     hits = found[0]
     for more in found[1:]:
@@ -101,10 +118,11 @@ def _hits(texts: DataFrame, items: DataFrame, masks: tuple[str, ...], overlap: i
     bits = min(MOST_BITS, max(1 << 15, 1 << (64 * max(1, n) - 1).bit_length()))
     windows = _hashed(texts, masks, _bitmap(table_.select("h"), bits))
     met = windows.join(F.broadcast(table_) if n <= MOST_BROADCAST else table_, "h")
-    width = F.least(F.size("item"), F.lit(max(overlap, len(masks[0]))))
-    start = F.greatest(F.lit(0), F.least(F.col("item_at") - (width - len(masks[0])) / 2, F.size("item") - width)).cast("int")
-    met = met.withColumns({"width": width, "start": start, "shift": F.col("at") - F.col("item_at")})
-    equal = F.expr("size(filter(sequence(start, start + width - 1), i -> get(item, i) = get(tokens, i + shift)))")
+    span = len(masks[0])
+    width = F.least(F.size("item"), F.lit(max(overlap, span)))
+    first = F.greatest(F.lit(0), F.col("item_at") + span - width)
+    met = met.withColumns({"width": width, "first": first, "last": F.least(F.col("item_at"), F.size("item") - width), "shift": F.col("at") - F.col("item_at")})
+    equal = F.expr("array_max(transform(sequence(first, last), s -> size(filter(sequence(s, s + width - 1), i -> get(item, i) = get(tokens, i + shift)))))")
     return met.select("doc_id", "item_id", equal.alias("overlap"), (equal / F.col("width")).alias("share")).filter(F.col("share") >= least)
 
 

@@ -192,3 +192,26 @@ def test_class_words_never_take_an_article(spark):
     out = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert {k: out[k] for k in range(len(whole))} == {k: "Title\nSome words of it" for k in range(len(whole))}
     assert all(out[100 + k] == f"{words(20, k)}\n{words(9, 50 + k)}" for k in range(6)) and out[200] == words(20, 0)
+
+
+def test_seeds_hit_every_pattern():
+    import itertools
+
+    for n in range(1, 21):
+        masks = decontaminate.SEEDS[max(k for k in decontaminate.SEEDS if k <= n)]
+        shifted = [{i + at for i, bit in enumerate(m) if bit == "1"} for m in masks for at in range(n - len(m) + 1)]
+        replaced = n - int(np.ceil(decontaminate.LEAST * n))
+        assert all(any(not ones & set(gone) for ones in shifted) for gone in itertools.combinations(range(n), replaced)), n
+
+
+def test_decontamination_of_short_and_partly_quoted_items(documents):
+    sizes = {1: (20, (1, 7, 11, 17)), 2: (15, (1, 6, 11)), 3: (12, (3, 7)), 4: (8, (4,)), 5: (5, (2,)), 6: (4, ())}
+    items, rows = {k: words(n, 70 + k).split() for k, (n, _) in sizes.items()}, []
+    for k, (_, gone) in sizes.items():
+        rows.append((100 + k, " ".join("changed" if i in gone else x for i, x in enumerate(items[k]))))
+        rows.append((200 + k, " ".join("changed" if i in (*gone, 0, 3) else x for i, x in enumerate(items[k]))))
+    items[7] = words(60, 90).split()
+    rows.append((107, "a b c " + " ".join(["changed" if k in (14, 15, 17, 18) else x for k, x in enumerate(items[7][20:40])]) + " d e f g h i j"))
+    bench = documents([(k, " ".join(x)) for k, x in items.items()]).withColumnRenamed("doc_id", "item_id")
+    out = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(documents(rows), bench).collect()}
+    assert out == {(100 + k, k) for k in items}
