@@ -18,7 +18,8 @@ goes if any earlier line (by doc_id, then by place) matches it; blank lines stay
    drops lines; texts are never shuffled.
 
 Defined cases: a null text is an empty one and stays null. A null doc_id comes after all
-others. Rows that repeat a doc_id are one document for the order: a line at the place
+others. Rows that repeat a doc_id, or have none, are documents of their own in the order of
+a hash of their texts (``row``); only rows of equal id and text are one document: a line
 that stays is kept in each. Other columns pass through.
 """
 
@@ -28,6 +29,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +39,7 @@ from .shared import table, written
 SIMILARITY, SLOTS, LAST = 0.8, 1 << 20, 2**63 - 1
 #: Lines of more tokens, or further down in a text, match only lines of equal tokens.
 MOST = 1 << 24
-LINE = "bag long, set long, doc long, line int, n int, low long, high long, prefix array<int>"
+LINE = "bag long, set long, doc long, row long, line int, n int, low long, high long, prefix array<int>"
 
 
 class Lines:
@@ -82,6 +84,11 @@ def _docs(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("doc_id").cast(pa.int64()).fill_null(LAST).to_numpy(zero_copy_only=False)
 
 
+def _texts(part: pa.Array) -> np.ndarray:
+    """A hash of each text."""
+    return np.array([xxhash.xxh64_intdigest(x.as_buffer()) for x in part], np.uint64).view(np.int64)
+
+
 def frequencies(docs: DataFrame) -> np.ndarray:
     """How often words of each slot occur in all texts, as ranks in bits 36 to 43."""
     parts = SLOTS >> 14
@@ -135,32 +142,34 @@ def _line_rows(docs: DataFrame, rank, t: Fraction) -> DataFrame:
                 begin = np.cumsum(size) - size
                 held = tokens[np.repeat(cut[full], size) + np.arange(int(size.sum())) - np.repeat(begin, size)]
                 prefix = pa.ListArray.from_arrays(np.append(begin, size.sum()).astype(np.int32), (held & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32))
-                yield pa.RecordBatch.from_arrays([pa.array(lines.bags[full].view(np.int64)), pa.array(sets.view(np.int64)), pa.array(ids[at + lines.owner[full]]), pa.array(lines.place[full].astype(np.int32)), pa.array(n[full].astype(np.int32)), low, high, prefix], ["bag", "set", "doc", "line", "n", "low", "high", "prefix"])
+                yield pa.RecordBatch.from_arrays([pa.array(lines.bags[full].view(np.int64)), pa.array(sets.view(np.int64)), pa.array(ids[at + lines.owner[full]]), pa.array(_texts(part)[lines.owner[full]]), pa.array(lines.place[full].astype(np.int32)), pa.array(n[full].astype(np.int32)), low, high, prefix], ["bag", "set", "doc", "row", "line", "n", "low", "high", "prefix"])
 
     return docs.select("doc_id", "text").mapInArrow(describe, LINE)
 
 
 def _heads(lines: DataFrame, firsts: DataFrame) -> DataFrame:
     """The first line of each set, told by a mapped table of those sets that occur more than once."""
-    again = firsts.filter("n > 1").select(F.col("set").alias("key"), F.col("first.doc").alias("doc"), F.col("first.line").cast("long").alias("line"))
-    known = mapped.build(again, again.count(), "repeated-sets", {"doc": "i8", "line": "i8"})
+    again = firsts.filter("n > 1").select(F.col("set").alias("key"), F.col("first.doc").alias("doc"), F.col("first.row").alias("row"), F.col("first.line").cast("long").alias("line"))
+    known = mapped.build(again, again.count(), "repeated-sets", {"doc": "i8", "row": "i8", "line": "i8"})
 
     def keep(batches):
         for batch in batches:
             keys = batch.column("set").to_numpy(zero_copy_only=False).view(np.uint64)
-            doc, line = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "line"))
-            first = ~known.has(keys) | ((known.get(keys, "doc") == doc) & (known.get(keys, "line") == line))
+            first = np.ones(len(keys), bool)
+            for c in ("doc", "row", "line"):
+                first &= known.get(keys, c) == batch.column(c).to_numpy(zero_copy_only=False)
+            first |= ~known.has(keys)
             yield batch.filter(pa.array(first))
 
-    return lines.select("set", "doc", "line", "n", "low", "high", "prefix").mapInArrow(keep, "set long, doc long, line int, n int, low long, high long, prefix array<int>")
+    return lines.select("set", "doc", "row", "line", "n", "low", "high", "prefix").mapInArrow(keep, "set long, doc long, row long, line int, n int, low long, high long, prefix array<int>")
 
 
 def _candidates(heads: DataFrame, share: Fraction) -> DataFrame:
-    """Pairs of first lines, the earlier (xd, xl) and the later (yd, yl), that pass the prefix, length, positional and bitmap filters."""
+    """Pairs of first lines, the earlier (xd, xr, xl) and the later (yd, yr, yl), that pass the prefix, length, positional and bitmap filters."""
     a, b = share.numerator, share.denominator
     # length, position and place of the line in one number: a third less to shuffle
     packed = F.shiftleft(F.col("n").cast("long"), 40).bitwiseOR(F.shiftleft(F.least("pos", F.lit(0xFFFF)).cast("long"), 24)).bitwiseOR(F.col("line"))
-    rows = heads.select("doc", "line", "n", "low", "high", F.posexplode("prefix").alias("pos", "token")).select("token", "doc", packed.alias("p"), "low", "high")
+    rows = heads.select("doc", "row", "line", "n", "low", "high", F.posexplode("prefix").alias("pos", "token")).select("token", "doc", "row", packed.alias("p"), "low", "high")
     c = F.expr
     up = lambda num, den: f"int(({num} + {den} - 1) div {den})"
     of = lambda s: {"n": f"int({s}.p >> 40)", "pos": f"int(({s}.p >> 24) & 65535)", "line": f"int({s}.p & 16777215)"}
@@ -169,7 +178,7 @@ def _candidates(heads: DataFrame, share: Fraction) -> DataFrame:
     inside = lambda z: f"{z['pos']} < {z['n']} - {up(f'{2 * a} * ' + z['n'], a + b)} + 1"
     on = c("x.token = y.token")
     for rule in (
-        f"x.doc < y.doc or x.doc = y.doc and {x['line']} < {y['line']}",
+        f"x.doc < y.doc or x.doc = y.doc and (x.row < y.row or x.row = y.row and {x['line']} < {y['line']})",
         f"{b} * least({x['n']}, {y['n']}) >= {a} * greatest({x['n']}, {y['n']})",
         f"if({x['n']} <= {y['n']}, {inside(x)}, {inside(y)})",
         f"least({x['pos']}, {y['pos']}) + least({x['n']} - {x['pos']}, {y['n']} - {y['pos']}) >= {need}",
@@ -177,21 +186,22 @@ def _candidates(heads: DataFrame, share: Fraction) -> DataFrame:
     ):
         on &= c(rule)
     met = rows.alias("x").join(rows.alias("y"), on)
-    return met.select(c("x.doc as xd"), c(f"{x['line']} as xl"), c("y.doc as yd"), c(f"{y['line']} as yl")).distinct()
+    return met.select(c("x.doc as xd"), c("x.row as xr"), c(f"{x['line']} as xl"), c("y.doc as yd"), c("y.row as yr"), c(f"{y['line']} as yl")).distinct()
 
 
-def _place(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
-    """One hash of a line's document and place."""
-    return words.mix(doc.astype(np.int64).view(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + line.astype(np.uint64))
+def _place(doc: np.ndarray, row: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """One hash of a line's document, row and place."""
+    rows = words.mix(doc.astype(np.int64).view(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + row.astype(np.int64).view(np.uint64))
+    return words.mix(rows + line.astype(np.uint64))
 
 
 def _tokens(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Document, place and sorted token hashes (``doc``, ``line``, ``tokens``) of the lines in the pairs."""
-    places = pairs.select("xd", "xl").distinct().union(pairs.select("yd", "yl").distinct()).toDF("doc", "line").distinct()
+    """Document, place and sorted token hashes (``doc``, ``row``, ``line``, ``tokens``) of the lines in the pairs."""
+    places = pairs.select("xd", "xr", "xl").distinct().union(pairs.select("yd", "yr", "yl").distinct()).toDF("doc", "row", "line").distinct()
 
     def keyed(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(_place(b.column(0).to_numpy(), b.column(1).to_numpy()).view(np.int64))], ["key"])
+            yield pa.RecordBatch.from_arrays([pa.array(_place(*(c.to_numpy() for c in b.columns)).view(np.int64))], ["key"])
 
     keys = written(places.mapInArrow(keyed, "key long").distinct(), "places")
     wanted = mapped.build(keys, keys.count(), "wanted-lines", {})
@@ -201,34 +211,34 @@ def _tokens(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             ids = _docs(batch)
             for at, part in words.slices(words.texts_of(batch)):
                 lines = Lines(part)
-                doc = ids[at + lines.owner]
-                full = np.flatnonzero(wanted.has(_place(doc, lines.place)) & (np.diff(lines.bounds) > 0))
+                doc, row = ids[at + lines.owner], _texts(part)[lines.owner]
+                full = np.flatnonzero(wanted.has(_place(doc, row, lines.place)) & (np.diff(lines.bounds) > 0))
                 held = [np.unique(lines.hashes[lines.bounds[i] : lines.bounds[i + 1]]).tobytes() for i in full]
-                yield pa.RecordBatch.from_arrays([pa.array(doc[full]), pa.array(lines.place[full].astype(np.int32)), pa.array(held, pa.binary())], ["doc", "line", "tokens"])
+                yield pa.RecordBatch.from_arrays([pa.array(doc[full]), pa.array(row[full]), pa.array(lines.place[full].astype(np.int32)), pa.array(held, pa.binary())], ["doc", "row", "line", "tokens"])
 
-    return written(docs.select("doc_id", "text").mapInArrow(gather, "doc long, line int, tokens binary"), "line-tokens")
+    return written(docs.select("doc_id", "text").mapInArrow(gather, "doc long, row long, line int, tokens binary"), "line-tokens")
 
 
 def _verified(pairs: DataFrame, tokens: DataFrame, share: Fraction) -> DataFrame:
-    """The later lines (yd, yl) of those pairs whose exact similarity is at least ``share``."""
+    """The later lines (yd, yr, yl) of those pairs whose exact similarity is at least ``share``."""
 
     def keep(batches):
         for batch in batches:
             good = []
-            for k, (p, q) in enumerate(zip(batch.column(2), batch.column(3))):
+            for k, (p, q) in enumerate(zip(batch.column(3), batch.column(4))):
                 p, q = (np.frombuffer(v.as_buffer(), np.uint64) for v in (p, q))
                 both = len(np.intersect1d(p, q, assume_unique=True))
                 if share.denominator * both >= share.numerator * (len(p) + len(q) - both):
                     good.append(k)
-            yield batch.select([0, 1]).take(pa.array(good, pa.int64()))
+            yield batch.select([0, 1, 2]).take(pa.array(good, pa.int64()))
 
-    one = pairs.join(tokens.toDF("yd", "yl", "q"), ["yd", "yl"])
-    both = one.join(tokens.toDF("xd", "xl", "p"), ["xd", "xl"])
-    return both.select("yd", "yl", "p", "q").mapInArrow(keep, "yd long, yl int").distinct()
+    one = pairs.join(tokens.toDF("yd", "yr", "yl", "q"), ["yd", "yr", "yl"])
+    both = one.join(tokens.toDF("xd", "xr", "xl", "p"), ["xd", "xr", "xl"])
+    return both.select("yd", "yr", "yl", "p", "q").mapInArrow(keep, "yd long, yr long, yl int").distinct()
 
 
 def _matched(docs: DataFrame, lines: DataFrame, firsts: DataFrame, share: Fraction) -> DataFrame:
-    """First lines of sets (yd, yl) that match an earlier line.
+    """First lines of sets (yd, yr, yl) that match an earlier line.
 
     Each is first held against the earliest of its candidates; only those that don't
     match it are held against all others. So a large family of variants is verified
@@ -236,24 +246,24 @@ def _matched(docs: DataFrame, lines: DataFrame, firsts: DataFrame, share: Fracti
     """
     pairs = written(_candidates(written(_heads(lines, firsts), "heads"), share), "line-pairs")
     tokens = _tokens(pairs, docs)
-    nearest = pairs.groupBy("yd", "yl").agg(F.min(F.struct("xd", "xl")).alias("x")).select("x.xd", "x.xl", "yd", "yl")
+    nearest = pairs.groupBy("yd", "yr", "yl").agg(F.min(F.struct("xd", "xr", "xl")).alias("x")).select("x.xd", "x.xr", "x.xl", "yd", "yr", "yl")
     sure = written(_verified(nearest, tokens, share), "matched")
-    rest = pairs.join(sure, ["yd", "yl"], "left_anti").join(nearest, ["xd", "xl", "yd", "yl"], "left_anti")
+    rest = pairs.join(sure, ["yd", "yr", "yl"], "left_anti").join(nearest, ["xd", "xr", "xl", "yd", "yr", "yl"], "left_anti")
     return sure.union(_verified(rest, tokens, share))
 
 
 def standing(docs: DataFrame, similarity: float = SIMILARITY) -> mapped.Mapped:
-    """For lines that repeat or match, by their bag: document and place of the line that stays (-1: none)."""
+    """For lines that repeat or match, by their bag: document, row and place of the line that stays (-1: none)."""
     share = Fraction(str(similarity))
     rank = docs.sparkSession.sparkContext.broadcast(frequencies(docs))
     lines = written(_line_rows(docs, rank, share), "lines")
-    firsts = written(lines.groupBy("set").agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("n")), "firsts")
-    gone = written(_matched(docs, lines, firsts, share), "gone").select(F.struct(F.col("yd").alias("doc"), F.col("yl").alias("line")).alias("first"), F.lit(True).alias("gone"))
+    firsts = written(lines.groupBy("set").agg(F.min(F.struct("doc", "row", "line")).alias("first"), F.count("*").alias("n")), "firsts")
+    gone = written(_matched(docs, lines, firsts, share), "gone").select(F.struct(F.col("yd").alias("doc"), F.col("yr").alias("row"), F.col("yl").alias("line")).alias("first"), F.lit(True).alias("gone"))
     known = firsts.join(gone, "first", "left").filter("n > 1 or gone")
-    known = written(known.select("set", F.col("first.doc").alias("doc"), F.when(F.col("gone"), -1).otherwise(F.col("first.line")).alias("line")), "known")
+    known = written(known.select("set", F.col("first.doc").alias("doc"), F.col("first.row").alias("row"), F.when(F.col("gone"), -1).otherwise(F.col("first.line")).alias("line")), "known")
     bags = lines.groupBy("bag").agg(F.min("set").alias("set"))
-    rows = written(bags.join(known, "set").select(F.col("bag").alias("key"), "doc", F.col("line").cast("long").alias("line")), "standing")
-    return mapped.build(rows, rows.count(), "standing", {"doc": "i8", "line": "i8"})
+    rows = written(bags.join(known, "set").select(F.col("bag").alias("key"), "doc", "row", F.col("line").cast("long").alias("line")), "standing")
+    return mapped.build(rows, rows.count(), "standing", {"doc": "i8", "row": "i8", "line": "i8"})
 
 
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -269,11 +279,11 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
                 lines = Lines(part)
                 shards, places = known.find(lines.bags)
                 found = np.flatnonzero((places >= 0) & (np.diff(lines.bounds) > 0))
-                gone = np.zeros(len(lines), bool)
+                gone, row = np.zeros(len(lines), bool), _texts(part)
                 for s in np.unique(shards[found]):
                     mine = found[shards[found] == s]
                     held = known.shard(int(s))
-                    gone[mine] = (held["doc"][places[mine]] != ids[at + lines.owner[mine]]) | (held["line"][places[mine]] != lines.place[mine])
+                    gone[mine] = (held["doc"][places[mine]] != ids[at + lines.owner[mine]]) | (held["row"][places[mine]] != row[lines.owner[mine]]) | (held["line"][places[mine]] != lines.place[mine])
                 n_lines.append(np.bincount(lines.owner, minlength=len(part)))
                 n_gone.append(np.bincount(lines.owner[gone], minlength=len(part)))
                 first, raw = np.searchsorted(lines.owner, np.arange(len(part) + 1)), lines.data.tobytes()

@@ -215,3 +215,14 @@ def test_decontamination_of_short_and_partly_quoted_items(documents):
     bench = documents([(k, " ".join(x)) for k, x in items.items()]).withColumnRenamed("doc_id", "item_id")
     out = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(documents(rows), bench).collect()}
     assert out == {(100 + k, k) for k in items}
+
+
+def test_lines_of_documents_without_an_id_of_their_own(documents):
+    own = [words(12, k) for k in range(4)]
+    variant = own[0].replace(own[0].split()[0], "changed")
+    rows = [(1, own[0]), (None, f"license line\n{variant}"), (None, f"license line\n{own[1]}"), (None, f"license line\n{own[2]}"), (7, f"head\n{own[3]}"), (7, f"tail\n{own[3]} more")]
+    out = [(r.doc_id, r.text) for r in linedup.dedup_lines(documents(rows)).collect()]
+    left = [line for _, x in out for line in x.split("\n")]
+    assert len(out) == 6 and left.count("license line") == 1 and variant not in left
+    assert left.count(own[0]) == left.count(own[1]) == left.count(own[2]) == 1
+    assert left.count(own[3]) + left.count(f"{own[3]} more") == 1
