@@ -38,8 +38,8 @@ from .components import components
 from .shared import table, written
 
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 26, 5
-#: Nodes of a band from which on they are joined by rare shingles; slots of their counts; 64-bit words of parities.
-CROWD, SLOTS, PARITIES = 32, 1 << 22, 8
+#: Nodes of a band from which on they are joined by rare shingles; slots of their counts, in parts; 64-bit words of parities.
+CROWD, SLOTS, PARTS, PARITIES = 32, 1 << 22, 64, 8
 LAST = 2**63 - 1
 
 
@@ -187,16 +187,28 @@ def _rare_pairs(crowd: DataFrame, similarity: float) -> DataFrame:
         return (units & np.uint64(SLOTS - 1)).astype(np.int64)
 
     def count(batches):
-        total = np.zeros(SLOTS, np.int32)
+        total = np.zeros(SLOTS, np.int64)
         for batch in batches:
             for x in batch.column(0):
                 np.add.at(total, slot(np.frombuffer(x.as_buffer(), np.uint64)), 1)
         full = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"slot": full.astype(np.int32), "n": total[full].astype(np.int64)})
-
-    counted = crowd.select("units").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    often = np.zeros(SLOTS, np.int32)
-    often[counted.column("slot").to_numpy()] = np.minimum(counted.column("n").to_numpy(), 2**31 - 1)
+        cut = np.searchsorted(full, np.arange(PARTS + 1) * (SLOTS // PARTS))
+        some = np.flatnonzero(np.diff(cut))
+        blobs = lambda x: pa.array([x[cut[k] : cut[k + 1]].tobytes() for k in some], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), blobs(full), blobs(total[full])], ["part", "slots", "n"])
+
+    def add(t: pa.Table) -> pa.Table:
+        """The counts of a range of slots, up to 2**31 - 1 (only their order matters)."""
+        part, total = t.column("part")[0].as_py(), np.zeros(SLOTS // PARTS, np.int64)
+        for k, n in zip(t.column("slots"), t.column("n")):
+            total[np.frombuffer(k.as_buffer(), np.int64) - part * len(total)] += np.frombuffer(n.as_buffer(), np.int64)
+        return pa.table({"part": pa.array([part], pa.int32()), "n": [np.minimum(total, 2**31 - 1).astype(np.int32).tobytes()]})
+
+    counted = crowd.select("units").mapInArrow(count, "part int, slots binary, n binary").groupBy("part").applyInArrow(add, "part int, n binary").toArrow()
+    often = np.zeros((PARTS, SLOTS // PARTS), np.int32)
+    for part, n in zip(counted.column("part").to_pylist(), counted.column("n").to_pylist()):
+        often[part] = np.frombuffer(n, np.int32)
+    often = often.reshape(-1)
     shared = crowd.sparkSession.sparkContext.broadcast(often)
     parities = [f"p{k}" for k in range(PARITIES)]
 
