@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from . import mapped, words
 from .langid import held_out
-from .shared import shared_path, table, written
+from .shared import lean, shared_path, table, written
 
 #: Tokens that a task gathers before it passes counts on; rows of a shard; ids of a part of the contexts.
 GATHER, SHARD, PART_BITS = 4_000_000, 2_000_000, 18
@@ -170,7 +170,7 @@ def _vocabulary(texts: DataFrame) -> tuple[mapped.Mapped, int, int]:
         for keys, n in _gathered(batches, lambda part: tokens_of(part)[0]):
             yield pa.RecordBatch.from_pydict({"key": keys.view(np.int64), "n": n})
 
-    counted = written(texts.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "words")
+    counted = written(texts.mapInArrow(lean(count), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "words")
     size, tokens = counted.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     if size >= 2**32 - 2:
         raise ValueError("more words than ids of 32 bits")
@@ -220,7 +220,7 @@ def fit(texts: DataFrame) -> Model:
                 out["five"].append(five[a:b].astype(np.uint32).tobytes())
         return pa.table({"part": pa.array(out["part"], pa.int32()), "ids": pa.array(out["ids"], pa.binary()), "five": pa.array(out["five"], pa.binary())})
 
-    merged = written(texts.mapInArrow(count, "shard int, keys binary, n binary").groupBy("shard").applyInArrow(merge, "part int, ids binary, five binary"), "merged")
+    merged = written(texts.mapInArrow(lean(count), "shard int, keys binary, n binary").groupBy("shard").applyInArrow(merge, "part int, ids binary, five binary"), "merged")
 
     def add(t: pa.Table) -> pa.Table:
         """Write a part of the contexts; return the counts of its continuation counts, and their sum."""
@@ -254,7 +254,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
                 found = shared.value.score(*tokens_of(part))
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(at, len(part)) for c in kept), *(pa.array(found[c]) for c in added)], [*kept, *added])
 
-    return docs.mapInArrow(work, ", ".join(f"`{n}` {t}" for n, t in {**dict(docs.select(*kept).dtypes), **added}.items()))
+    return docs.mapInArrow(lean(work), ", ".join(f"`{n}` {t}" for n, t in {**dict(docs.select(*kept).dtypes), **added}.items()))
 
 
 def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import table
+from .shared import lean, table
 from .words import SLICE_BYTES, mix, slices, sums, texts_of
 
 BUCKETS, ORDERS, UNKNOWN = 1 << 16, (1, 2, 3), "und"
@@ -87,7 +87,7 @@ def fit(labelled: DataFrame, buckets: int = BUCKETS, orders: tuple[int, ...] = O
             full = np.flatnonzero(total)
             yield pa.RecordBatch.from_pydict({"lang": [lang] * (len(full) + 1), "bucket": np.append(full, -1), "n": np.append(total[full], docs[lang])})
 
-    counted = labelled.select("text", "lang").filter("text is not null and lang is not null").mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    counted = labelled.select("text", "lang").filter("text is not null and lang is not null").mapInArrow(lean(count), "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     counted = counted.cache()
     languages = [r[0] for r in counted.filter("bucket = -1").select("lang").limit(MOST_LANGUAGES + 1).collect()]
     if len(languages) > MOST_LANGUAGES:
@@ -120,7 +120,7 @@ def identify(docs: DataFrame, model: Model, lang_column: str = "lang_pred", scor
 
     out = docs.drop(lang_column, score_column)
     fields = ", ".join(f"`{n}` {t}" for n, t in out.dtypes)
-    return out.mapInArrow(score, f"{fields}, `{lang_column}` string, `{score_column}` double")
+    return out.mapInArrow(lean(score), f"{fields}, `{lang_column}` string, `{score_column}` double")
 
 
 def held_out(docs: DataFrame, parts: int = 4, left: int = 2):

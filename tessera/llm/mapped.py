@@ -1,10 +1,10 @@
 """Sorted hash arrays in the shared folder, memory-mapped by Python workers.
 
-A table too large to broadcast is cut into shards by the upper bits of a scrambled
-64-bit key. Each shard is written by one task as plain arrays: the sorted keys and,
+A table too large to broadcast is cut into shards by the upper bits of Spark's
+``xxhash64`` of its 64-bit key. Each shard is written by one task as plain arrays: the sorted keys and,
 beside them, value arrays (for list columns the values and their bounds). Workers map the
 files; the operating system shares the pages among the workers of a machine. Where the
-shared folder isn't a file system path, workers fetch a shard before they map it.
+shared folder isn't a file system path, workers read a shard into memory and hold a few.
 
 Files are written under a name of their own and then renamed, so that a task that is
 run again, or twice, leaves one whole file.
@@ -12,8 +12,6 @@ run again, or twice, leaves one whole file.
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 import numpy as np
@@ -22,20 +20,34 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import words
 from .shared import shared_path
 
-#: Rows of a shard at which the number of shards aims.
-SHARD_ROWS = 4_000_000
+#: Rows of a shard at most; smaller tables are cut into up to ``SPREAD`` shards of ``LEAST_ROWS`` or more, so that no single task writes one.
+SHARD_ROWS, LEAST_ROWS, SPREAD = 4_000_000, 1 << 16, 16
+#: Tables that a worker keeps open, and shards of each that it holds where it can't map them.
+OPEN_TABLES, HELD_SHARDS = 8, 8
 
 
 def shard_bits(rows: int, shard_rows: int = SHARD_ROWS) -> int:
-    """Bits of the shard number so that a shard holds about ``shard_rows`` rows."""
-    return max(0, int(np.ceil(np.log2(max(1, rows) / shard_rows))))
+    """Bits of the shard number so that a shard holds about ``shard_rows`` rows or fewer."""
+    parts = max(rows / shard_rows, min(SPREAD, rows / LEAST_ROWS), 1)
+    return int(np.ceil(np.log2(parts)))
 
 
 def shard_of(keys: np.ndarray, bits: int) -> np.ndarray:
-    return (words.mix(keys) >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+    return (xxhash64(keys) >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+
+
+def xxhash64(keys: np.ndarray) -> np.ndarray:
+    """Spark's ``xxhash64`` of each key as a long: the XXH64 of its 8 bytes under the seed 42."""
+    # The five primes of XXH64.
+    p1, p2, p3, p4, p5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+    turned = lambda x, n: (x << np.uint64(n)) | (x >> np.uint64(64 - n))
+    h = (np.uint64(42 + 8) + p5) ^ (turned(keys.astype(np.uint64) * p2, 31) * p1)
+    h = turned(h, 27) * p1 + p4
+    h = (h ^ (h >> np.uint64(33))) * p2
+    h = (h ^ (h >> np.uint64(29))) * p3
+    return h ^ (h >> np.uint64(32))
 
 
 def save(path: str, shard: int, **arrays: np.ndarray) -> None:
@@ -56,11 +68,8 @@ def _array(path: str, shard: int, name: str, dtype: str) -> np.ndarray:
     if info.type == fs.FileType.NotFound or not info.size:
         return np.zeros(0, dtype)
     if not isinstance(store, fs.LocalFileSystem):
-        own = f"{tempfile.gettempdir()}/{path.rpartition('/')[2]}-{os.path.basename(file)}"
-        if not os.path.exists(own):
-            fs.copy_files(file, f"{own}.{os.getpid()}", source_filesystem=store)
-            os.rename(f"{own}.{os.getpid()}", own)
-        file = own
+        with store.open_input_stream(file) as held:
+            return np.frombuffer(held.read(), dtype)
     return np.memmap(file, dtype, "r")
 
 
@@ -81,8 +90,12 @@ class Mapped:
         return self
 
     def shard(self, number: int) -> dict[str, np.ndarray]:
-        held = _OPEN.setdefault(self.path, {})
+        held = _OPEN[self.path] = _OPEN.pop(self.path, {})
         if number not in held:
+            while len(_OPEN) > OPEN_TABLES:
+                del _OPEN[next(iter(_OPEN))]
+            while len(held) >= HELD_SHARDS and not isinstance(next(iter(held.values()))["keys"], np.memmap):
+                del held[next(iter(held))]
             held[number] = {k: _array(self.path, number, k, t) for k, t in {"keys": "u8", **self.values}.items()}
         return held[number]
 
@@ -137,11 +150,6 @@ def build(df: DataFrame, rows: int, name: str, values: dict[str, str], shard_row
     spark, bits = df.sparkSession, shard_bits(rows, shard_rows)
     out = Mapped(shared_path(spark, name), bits, dict(values))
 
-    def number(batches):
-        for b in batches:
-            keys = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(shard_of(keys, bits)), *b.columns], ["shard", *b.schema.names])
-
     def write(t: pa.Table) -> pa.Table:
         keys = t.column("key").to_numpy().view(np.uint64)
         order = np.argsort(keys, kind="stable")
@@ -159,6 +167,6 @@ def build(df: DataFrame, rows: int, name: str, values: dict[str, str], shard_row
 
     held = df.select(F.col("key").cast("long"), *values)
     out.values |= {f"{n}_at": "i8" for n, t in held.dtypes if t.startswith("array")}
-    fields = ", ".join(f"{n} {t}" for n, t in held.dtypes)
-    done = held.mapInArrow(number, f"shard long, {fields}").groupBy("shard").applyInArrow(write, "shard long, n long").collect()
+    shard = F.shiftrightunsigned(F.xxhash64("key"), 64 - bits) if bits else F.lit(0).cast("long")
+    done = held.withColumn("shard", shard).groupBy("shard").applyInArrow(write, "shard long, n long").collect()
     return out.sized(done)

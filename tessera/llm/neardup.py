@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from . import words
 from .components import components
-from .shared import table, written
+from .shared import lean, table, written
 
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 26, 5
 #: Nodes of a band from which on they are joined by rare shingles; slots of their counts, in parts; 64-bit words of parities.
@@ -133,7 +133,7 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, size: int = SH
                 values = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(full * bands)]).astype(np.int32), hashes[full].reshape(-1))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(part)), batch.column("h").slice(at, len(part)), pa.array(_nodes(keys, owner, len(part)), pa.binary()), values], ["doc_id", "h", "node", "bands"])
 
-    return docs.select("doc_id", "text", _text_hash().alias("h")).mapInArrow(sign, "doc_id long, h long, node binary, bands array<long>")
+    return docs.select("doc_id", "text", _text_hash().alias("h")).mapInArrow(lean(sign), "doc_id long, h long, node binary, bands array<long>")
 
 
 def _text_hash():
@@ -151,7 +151,7 @@ def _elements(docs: DataFrame, size: int) -> DataFrame:
                 cut, held = words.runs(owner[order], len(part)), keys[order]
                 yield pa.RecordBatch.from_arrays([pa.array(_nodes(keys, owner, len(part)), pa.binary()), pa.array([held[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())], ["node", "units"])
 
-    return docs.select("text").mapInArrow(gather, "node binary, units binary")
+    return docs.select("text").mapInArrow(lean(gather), "node binary, units binary")
 
 
 def _verified(pairs: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
@@ -169,7 +169,7 @@ def _verified(pairs: DataFrame, held: DataFrame, similarity: float) -> DataFrame
 
     with_a = pairs.join(held.select(F.col("node").alias("a"), F.col("units").alias("ua")), "a")
     both = with_a.join(held.select(F.col("node").alias("b"), F.col("units").alias("ub")), "b")
-    return both.select("a", "b", "ua", "ub").mapInArrow(keep, "a binary, b binary")
+    return both.select("a", "b", "ua", "ub").mapInArrow(lean(keep), "a binary, b binary")
 
 
 def _rare_pairs(crowd: DataFrame, similarity: float) -> DataFrame:
@@ -204,7 +204,7 @@ def _rare_pairs(crowd: DataFrame, similarity: float) -> DataFrame:
             total[np.frombuffer(k.as_buffer(), np.int64) - part * len(total)] += np.frombuffer(n.as_buffer(), np.int64)
         return pa.table({"part": pa.array([part], pa.int32()), "n": [np.minimum(total, 2**31 - 1).astype(np.int32).tobytes()]})
 
-    counted = crowd.select("units").mapInArrow(count, "part int, slots binary, n binary").groupBy("part").applyInArrow(add, "part int, n binary").toArrow()
+    counted = crowd.select("units").mapInArrow(lean(count), "part int, slots binary, n binary").groupBy("part").applyInArrow(add, "part int, n binary").toArrow()
     often = np.zeros((PARTS, SLOTS // PARTS), np.int32)
     for part, n in zip(counted.column("part").to_pylist(), counted.column("n").to_pylist()):
         often[part] = np.frombuffer(n, np.int32)
@@ -227,7 +227,7 @@ def _rare_pairs(crowd: DataFrame, similarity: float) -> DataFrame:
                 nodes = [same(batch.column(c)[k].as_py(), pa.binary()) for c in ("node", "root")]
                 yield pa.RecordBatch.from_arrays([pa.array(first.view(np.int64)), *nodes, same(n, pa.int32()), pa.array(pos.astype(np.int32)), *(same(int(v), pa.int64()) for v in parity)], ["unit", "node", "root", "n", "pos", *parities])
 
-    rare = crowd.select("node", "root", "units").mapInArrow(prefixes, "unit long, node binary, root binary, n int, pos int, " + ", ".join(f"{p} long" for p in parities))
+    rare = crowd.select("node", "root", "units").mapInArrow(lean(prefixes), "unit long, node binary, root binary, n int, pos int, " + ", ".join(f"{p} long" for p in parities))
     rare = _in_two_classes(written(rare, "prefixes"), "unit")
     x, y = rare.alias("x"), rare.alias("y")
     # of the smaller set fewer of the rarest units need be looked at

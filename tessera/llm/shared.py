@@ -6,14 +6,25 @@ The cluster names that folder in ``spark.checkpoint.dir``; a session without it
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Bytes of a batch that is sent to Python, where the session has Spark's own bound (64 MB).
+BATCH_BYTES, DEFAULT = 8 << 20, "67108864b"
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path for a table or for mapped files in the shared folder."""
+    """A new path for a table or for mapped files in the shared folder.
+
+    Operators that use it read whole texts in Python, so it also bounds batches by bytes.
+    """
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == DEFAULT:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
@@ -31,6 +42,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def lean(work):
+    """``work`` over a task's batches, after which freed memory goes back to the system: workers are kept for later tasks."""
+
+    def run(batches):
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

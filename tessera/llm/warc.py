@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import table, written
+from .shared import lean, table, written
 
 FRAME_BYTES, BUNDLE_BYTES = 256 << 10, 8 << 20
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
@@ -157,7 +157,7 @@ def write_bundles(rows: DataFrame) -> DataFrame:
         for bundle, index in bundles_of(records(batches)):
             yield pa.RecordBatch.from_pydict({"bundle": [bundle], "records": [index]}, pa.schema([("bundle", pa.binary()), ("records", pa.list_(pa.struct([("record_id", pa.string()), ("frame", pa.int32()), ("at", pa.int32()), ("size", pa.int32())])))]))
 
-    return wide.mapInArrow(pack, BUNDLE)
+    return wide.mapInArrow(lean(pack), BUNDLE)
 
 
 def read_records(bundles: DataFrame, payloads: bool = True) -> DataFrame:
@@ -176,7 +176,7 @@ def read_records(bundles: DataFrame, payloads: bool = True) -> DataFrame:
                     x["payload"] = None
                 yield pa.RecordBatch.from_pylist(found, schema)
 
-    return bundles.select("bundle", "records").mapInArrow(unpack, RECORD)
+    return bundles.select("bundle", "records").mapInArrow(lean(unpack), RECORD)
 
 
 def lookup(bundles: DataFrame, record_ids: DataFrame) -> DataFrame:
