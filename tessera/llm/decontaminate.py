@@ -8,8 +8,11 @@ benchmark's hashes. At a hit, document and item are laid over each other and
 compared token by token over every run of ``OVERLAP`` tokens of the item (all of a shorter
 one) that holds the hit: in one of them at least ``LEAST`` must be equal for it to count.
 
+With each hash goes the part of the item that such runs can cover, and with each window the
+part of the document: both are a few dozen tokens, however long item and document are.
+
 Everything up to the verified hits is one stage without a shuffle when the benchmark's
-hash table is small enough to be broadcast, which is decided by counting it; above that
+hash table is small enough to be broadcast, which is decided by its bytes; above that
 the surviving windows (not the documents) are shuffled to it.
 
 Tokens are the letter and digit runs of the lower-cased text. Shorter items have seeds of
@@ -45,8 +48,8 @@ SEEDS = {
     20: ("111010000111", "101110100011", "100001101111", "111010010001", "111000001101"),  # four of 20
 }
 OVERLAP, LEAST = 20, 0.8
-#: Above so many hashes the benchmark isn't broadcast; the bitmap has at most so many bits.
-MOST_BROADCAST, MOST_BITS = 400_000, 1 << 24
+#: Above so many bytes the benchmark's hashes aren't broadcast; the bitmap has at most so many bits.
+MOST_BROADCAST, MOST_BITS = 64 << 20, 1 << 24
 
 
 def tokens(text: Column) -> Column:
@@ -98,12 +101,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, overlap: int = OVERLAP,
     items = written(benchmark.select("item_id", tokens(F.col("text")).alias("tokens")).distinct(), "items")
     texts = docs.select("doc_id", tokens(F.col("text")).alias("tokens"))
     size = F.size("tokens")
-    lengths = [r.n for r in items.select(size.alias("n")).filter("n > 0").distinct().collect()]
     least_of = sorted(SEEDS)
-    sets = []
-    for low, above in zip(least_of, [*least_of[1:], None]):
-        if low == least_of[-1] or any(low <= n < above for n in lengths):
-            sets.append((SEEDS[low], items.filter(size >= low if above is None else size.between(low, above - 1))))
+    of = lambda low, above: size >= low if above is None else size.between(low, above - 1)
+    ranges = list(zip(least_of, [*least_of[1:], None]))
+    there = items.agg(*(F.coalesce(F.bool_or(of(*r)), F.lit(False)) for r in ranges)).first()
+    sets = [(SEEDS[r[0]], items.filter(of(*r))) for r, some in zip(ranges, there) if some or r is ranges[-1]]
     found = [_hits(texts, part, masks, overlap, least) for masks, part in sets]
     hits = found[0]
     for more in found[1:]:
@@ -113,16 +115,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, overlap: int = OVERLAP,
 
 def _hits(texts: DataFrame, items: DataFrame, masks: tuple[str, ...], overlap: int, least: float) -> DataFrame:
     """Verified hits of the items in the texts under masks of one length."""
-    table_ = written(_hashed(items, masks).select("h", "item_id", F.col("at").alias("item_at"), F.col("tokens").alias("item")), "item-hashes")
+    span = len(masks[0])
+    most = max(overlap, span)
+    width, size = F.least(F.size("tokens"), F.lit(most)), F.size("tokens")
+    first, last = F.greatest(F.lit(0), F.col("at") + span - F.col("width")), F.least(F.col("at"), size - F.col("width"))
+    held = _hashed(items, masks).withColumn("width", width).withColumns({"first": first, "last": last})
+    part = F.slice("tokens", F.col("first") + 1, F.col("last") - F.col("first") + F.col("width"))
+    table_ = written(held.select("h", "item_id", "width", (F.col("at") - F.col("first")).alias("back"), part.alias("item")), "item-hashes")
     n = table_.count()
     bits = min(MOST_BITS, max(1 << 15, 1 << (64 * max(1, n) - 1).bit_length()))
-    windows = _hashed(texts, masks, _bitmap(table_.select("h"), bits))
-    met = windows.join(F.broadcast(table_) if n <= MOST_BROADCAST else table_, "h")
-    span = len(masks[0])
-    width = F.least(F.size("item"), F.lit(max(overlap, span)))
-    first = F.greatest(F.lit(0), F.col("item_at") + span - width)
-    met = met.withColumns({"width": width, "first": first, "last": F.least(F.col("item_at"), F.size("item") - width), "shift": F.col("at") - F.col("item_at")})
-    equal = F.expr("array_max(transform(sequence(first, last), s -> size(filter(sequence(s, s + width - 1), i -> get(item, i) = get(tokens, i + shift)))))")
+    # cut out where windows are made: rows with the whole document would pile up in a task
+    lead = F.least(F.col("at"), F.lit(most))
+    around = F.slice("tokens", F.col("at") - lead + 1, F.lit(2 * most + span))
+    windows = _hashed(texts, masks, _bitmap(table_.select("h"), bits)).select("doc_id", "h", lead.alias("lead"), around.alias("around"))
+    met = windows.join(F.broadcast(table_) if n * 8 * (2 * most + 4) <= MOST_BROADCAST else table_, "h")
+    met = met.withColumn("same", F.expr("transform(item, (x, i) -> if(x <=> get(around, lead - back + i), 1, 0))"))
+    equal = F.expr("array_max(transform(sequence(0, size(item) - width), s -> aggregate(slice(same, s + 1, width), 0, (n, x) -> n + x)))")
     return met.select("doc_id", "item_id", equal.alias("overlap"), (equal / F.col("width")).alias("share")).filter(F.col("share") >= least)
 
 
