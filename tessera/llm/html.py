@@ -34,6 +34,7 @@ rows have equal results. Columns other than page_id, url and html are ignored.
 
 from __future__ import annotations
 
+import collections
 import html
 import re
 
@@ -43,12 +44,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import mapped
-from .shared import table, written
+from .shared import lean, table, written
 
 DECAY, LEAST, REPEATED, PRIOR, ENOUGH = 0.9, 0.3, 0.15, 0.5, 5
 
 # Names of HTML elements and words in class, id and role attributes.
-SKIPPED = frozenset("script style noscript template iframe svg canvas object embed select datalist textarea title math video audio map".split())
+SKIPPED = frozenset("script style noscript template iframe svg canvas embed select datalist textarea title video audio map".split())
 FURNITURE = frozenset("nav footer aside form menu dialog button fieldset".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q ruby rp rt s samp small strike strong sub sup time tt u var wbr br input".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -99,9 +100,9 @@ class Page:
     """The blocks of text of a page with their places in the tree, and the styles of its elements."""
 
     def __init__(self, source: str):
-        #: Of each block: the path's number and the pieces of its text. Of each path: names, whether in an article, whether furniture, its parent, what its class says.
+        #: Of each block: the path's number and the pieces of its text. Of each path: its last name, whether in an article, whether furniture, its parent, what its class says.
         self.blocks: list[tuple[int, list[str]]] = []
-        self.paths: list[tuple[str, ...]] = [()]
+        self.names = [""]
         self.inside, self.away, self.styles = [False], [False], [[]]
         self.parents, self.said, self.marks = [0], [set()], []
         self._read(source)
@@ -111,14 +112,12 @@ class Page:
         """``hints``: how the class of each path counts; where it is sure, what is in the element is furniture."""
         holds, first = set(), set()
         for k in self.marks:
-            up = {k}
-            while k:
+            while k not in holds:
+                holds.add(k)
                 k = self.parents[k]
-                up.add(k)
-            first = first or up
-            holds |= up
-        self.hints = [0] * len(self.paths)
-        for k in range(1, len(self.paths)):
+            first = first or set(holds)
+        self.hints = [0] * len(self.names)
+        for k in range(1, len(self.names)):
             said = self.said[k]
             if k in first or k in holds and not said & REMARKS:
                 said = set()
@@ -126,16 +125,28 @@ class Page:
             if self.hints[k] == SURE or self.away[self.parents[k]]:
                 self.away[k] = True
 
-    def chain(self, k: int) -> list[int]:
-        """The paths from the first element to path ``k``."""
-        out = []
-        while k:
-            out.append(k)
+    def keys(self, host: str) -> list[int]:
+        """A hash of host and path for each path, from that of its parent."""
+        out = [_hash(host)]
+        for k in range(1, len(self.names)):
+            out.append(_hash(out[self.parents[k]], self.names[k]))
+        return out
+
+    def above(self, k: int, most: int) -> list[int]:
+        """The paths from the root (or ``most`` levels above) down to path ``k``."""
+        out = [k]
+        while k and len(out) < most:
             k = self.parents[k]
+            out.append(k)
         return out[::-1]
 
     def _read(self, source: str):
-        stack, at, fresh, skip = [("", 0)], 0, True, None
+        stack, at, fresh, skip, opened = [("", 0)], 0, True, None, collections.Counter()
+
+        def close(k):
+            opened.subtract(x[0] for x in stack[k:])
+            del stack[k:]
+
         for m in _TOKEN.finditer(source):
             tag = m[2]
             if skip:
@@ -156,13 +167,13 @@ class Page:
                     fresh = self._text(" ", stack[-1][1], fresh)
             elif m[1]:
                 fresh = True
-                for k in range(len(stack) - 1, 0, -1):
+                for k in range(len(stack) - 1, 0, -1) if opened[tag] else ():
                     if stack[k][0] == tag:
-                        del stack[k:]
+                        close(k)
                         break
             else:
                 fresh = True
-                self._implied(stack, tag)
+                self._implied(stack, tag, opened, close)
                 if tag in VOID:
                     continue
                 name, away, said = _marks(tag, m[3])
@@ -171,27 +182,28 @@ class Page:
                 if tag == "header" and not self.inside[parent]:
                     away = True
                 if tag in MAIN:
-                    self.marks.append(len(self.paths))
+                    self.marks.append(len(self.names))
                 self.parents.append(parent)
                 self.said.append(said if tag not in ("html", "body") else set())
                 self.styles[parent].append(name)
-                self.paths.append((*self.paths[parent], name))
+                self.names.append(name)
                 self.inside.append(inside)
                 self.away.append(self.away[parent] or (away and tag not in ("html", "body", "main")))
                 self.styles.append([])
-                stack.append((tag, len(self.paths) - 1))
+                stack.append((tag, len(self.names) - 1))
+                opened[tag] += 1
         if not skip and at < len(source):
             self._text(source[at:], stack[-1][1], fresh)
 
-    def _implied(self, stack, tag):
+    def _implied(self, stack, tag, opened, close):
         """End what the start of ``tag`` ends."""
         ends = {"p"} if tag in ENDS_PARAGRAPH else set()
         stop = ENDS_SAME.get(tag)
         if stop is not None:
             ends = ends | ({"dt", "dd"} if tag in ("dt", "dd") else {"td", "th"} if tag in ("td", "th") else {"tr", "td", "th"} if tag == "tr" else {tag})
-        for k in range(len(stack) - 1, 0, -1):
+        for k in range(len(stack) - 1, 0, -1) if any(opened[x] for x in ends) else ():
             if stack[k][0] in ends:
-                del stack[k:]
+                close(k)
             elif stop and stack[k][0] in stop or stack[k][0] in ("div", "section", "article", "main", "body"):
                 break
 
@@ -230,6 +242,9 @@ def _rows(batch: pa.RecordBatch):
 def importances(pages: DataFrame, decay: float = DECAY) -> DataFrame:
     """``key``, ``importance`` and ``pages`` of branches (a hash of host and path) and texts (the same with the text's hash) on two pages or more."""
 
+    # a node so much deeper weighs less than the rounding of a double
+    reach = 2 + int(np.ceil(np.log(2.0**-60) / np.log(decay)))
+
     def observe(batches):
         """A row for each value (style or content) of each node of each page, and one of value 0 for the page itself."""
         for batch in batches:
@@ -238,13 +253,14 @@ def importances(pages: DataFrame, decay: float = DECAY) -> DataFrame:
                 page, host = Page(source or ""), host_of(url)
                 texts = page.texts()
                 key = _hash(*([x for k, x in texts if page.inside[k]] or [source or ""]))
-                nodes = [_hash(host, *p) for p in page.paths]
+                nodes = page.keys(host)
                 values = [(k, _hash("s", *s), False) for k, s in enumerate(page.styles) if s] + [(k, _hash("c", x), True) for k, x in texts]
-                distinct = {(nodes[k], value): (page.paths[k], content) for k, value, content in values}
-                distinct |= {(nodes[k], 0): (page.paths[k], False) for k, _, _ in values}
-                for (node, value), (names, content) in distinct.items():
+                distinct = {(nodes[k], value): (k, content) for k, value, content in values}
+                distinct |= {(nodes[k], 0): (k, False) for k, _, _ in values}
+                chains = {k: [nodes[j] for j in page.above(k, reach)] for k, _ in distinct.values()}
+                for (node, value), (k, content) in distinct.items():
                     out["node"].append(node)
-                    out["chain"].append([_hash(host, *names[:n]) for n in range(len(names) + 1)])
+                    out["chain"].append(chains[k])
                     out["value"].append(value)
                     out["content"].append(content)
                     out["page"].append(key)
@@ -252,7 +268,7 @@ def importances(pages: DataFrame, decay: float = DECAY) -> DataFrame:
             chain = pa.ListArray.from_arrays(np.cumsum([0, *map(len, out["chain"])]).astype(np.int32), u8([y for x in out["chain"] for y in x]))
             yield pa.RecordBatch.from_arrays([u8(out["node"]), chain, u8(out["value"]), pa.array(out["content"], pa.bool_()), u8(out["page"])], ["node", "chain", "value", "content", "page"])
 
-    seen = pages.select("url", "html").mapInArrow(observe, "node long, chain array<long>, value long, content boolean, page long").distinct()
+    seen = pages.select("url", "html").mapInArrow(lean(observe), "node long, chain array<long>, value long, content boolean, page long").distinct()
     counted = written(seen.groupBy("node", "chain", "value", "content").agg(F.count("*").alias("n")), "values")
     shown = F.sum(F.when(F.col("value") == 0, F.col("n")))
     real = F.when(F.col("value") != 0, F.col("n"))
@@ -276,21 +292,18 @@ def _kept(page: Page, host: str, tree: mapped.Mapped, least: float) -> list[str]
     if not chosen:
         return []
     limit = REPEATED if marked else least
-    keys, limits, hints, cuts = [], [], [], [0]
-    for k, x in chosen:
-        for j in page.chain(k):
-            keys.append(_hash(host, *page.paths[j]))
-            limits.append(limit * 2 if page.hints[j] == HINT else limit)
-            hints.append(page.hints[j] == HINT and not marked)
-        keys.append((keys[-1] if page.paths[k] else _hash(host)) ^ _hash("c", x))
-        limits.append(REPEATED)
-        hints.append(False)
-        cuts.append(len(keys))
-    keys = np.array(keys, np.uint64)
+    nodes = page.keys(host)
+    texts = [nodes[k] ^ _hash("c", x) for k, x in chosen]
+    keys = np.array([*nodes, *texts], np.uint64)
     worth, known = tree.get(keys, "importance", 1.0), tree.get(keys, "pages", 0)
+    hint = np.array([x == HINT for x in page.hints])
     # outside an article a weak word stands unless enough pages speak against it
-    bad = (worth < limits) | (np.array(hints) & (known < ENOUGH))
-    low = np.add.reduceat(bad, cuts[:-1]) > 0
+    cut = (worth[: len(nodes)] < np.where(hint, limit * 2, limit)) | (hint & (known[: len(nodes)] < ENOUGH) & (not marked))
+    cut[0] = False
+    cut = cut.tolist()
+    for k in range(1, len(nodes)):
+        cut[k] = cut[k] or cut[page.parents[k]]
+    low = [cut[k] or w < REPEATED for (k, _), w in zip(chosen, worth[len(nodes) :])]
     kept = [x for (_, x), cut in zip(chosen, low) if not cut]
     if marked and 2 * sum(map(len, kept)) <= sum(len(x) for _, x in chosen):
         return [x for _, x in chosen]
@@ -308,7 +321,7 @@ def extract(pages: DataFrame, least: float = LEAST) -> DataFrame:
             texts = ["\n".join(_kept(Page(source or ""), host_of(url), tree, least)) for url, source in _rows(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    return pages.select("page_id", "url", "html").mapInArrow(work, "page_id long, url string, text string, n_chars long")
+    return pages.select("page_id", "url", "html").mapInArrow(lean(work), "page_id long, url string, text string, n_chars long")
 
 
 def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
