@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import mapped, words
-from .shared import table, written
+from .shared import lean, table, written
 
 BUCKETS, SMOOTHING, SEED = 1 << 16, 1.0, 17
 
@@ -53,7 +53,7 @@ def log_ratios(docs: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> np
         full = np.flatnonzero(total[0])
         yield pa.RecordBatch.from_pydict({"bucket": full, "raw": total[0][full], "target": total[1][full]})
 
-    found = docs.select("doc_id", "text").mapInArrow(count, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow()
+    found = docs.select("doc_id", "text").mapInArrow(lean(count), "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow()
     counts = np.zeros((2, buckets))
     for k, name in enumerate(("raw", "target")):
         counts[k][found.column("bucket").to_numpy()] = found.column(name).to_numpy()
@@ -78,19 +78,19 @@ def weighed(docs: DataFrame, ratios: np.ndarray, seed: int = SEED) -> DataFrame:
                 weights[at : at + len(part)] = np.bincount(owner, shared.value[bucket], len(part))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(weights), pa.array(weights + noise)], ["doc_id", "log_weight", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(work, "doc_id long, log_weight double, score double")
+    return docs.select("doc_id", "text").mapInArrow(lean(work), "doc_id long, log_weight double, score double")
 
 
 def top(rows: DataFrame, k: int, by: str) -> DataFrame:
     """The rows whose ``by`` is among the k largest, with those tied with the last."""
     if k <= 0:
         return rows.limit(0)
-    bits = F.col("__bits")
-    ordered = rows.withColumn("__bits", _ordinal(F.col(by)))
+    bits, sign = F.col("__bits"), -(2**63)
+    ordered = written(_ordered(rows, by), "ordered")
     least, left = 0, k
     for shift in (48, 32, 16, 0):
-        digit = F.shiftright(bits, shift).bitwiseAND(0xFFFF)
-        same = F.lit(True) if shift == 48 else F.shiftright(bits, shift + 16) == least
+        digit = F.shiftrightunsigned(bits, shift).bitwiseAND(0xFFFF)
+        same = F.lit(True) if shift == 48 else F.shiftrightunsigned(bits, shift + 16) == least
         for r in sorted(ordered.filter(same).groupBy(digit.alias("d")).count().collect(), key=lambda r: -r.d):
             if r["count"] >= left:
                 least = least << 16 | r.d
@@ -98,12 +98,19 @@ def top(rows: DataFrame, k: int, by: str) -> DataFrame:
             left -= r["count"]
         else:
             return rows
-    return ordered.filter(bits >= least).drop("__bits")
+    return ordered.filter(bits.bitwiseXOR(sign) >= least - 2**63).drop("__bits")
 
 
-def _ordinal(x):
-    """A long from 0 on that grows with a double: its value in steps of 2**-30, within bounds of 2**31."""
-    return (F.greatest(F.lit(-(2.0**31)), F.least(F.lit(2.0**31 - 1), x)) * 2.0**30 + F.lit(2.0**61)).cast("long")
+def _ordered(rows: DataFrame, by: str) -> DataFrame:
+    """``rows`` with ``__bits``, 64 bits that grow (as an unsigned number) with the double ``by``."""
+
+    def add(batches):
+        for batch in batches:
+            held = (batch.column(by).to_numpy(zero_copy_only=False) + 0.0).view(np.int64)
+            bits = np.where(held < 0, ~held, held ^ np.int64(-(2**63)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bits)], [*batch.schema.names, "__bits"])
+
+    return rows.mapInArrow(lean(add), ", ".join(f"`{n}` {t}" for n, t in rows.dtypes) + ", __bits long")
 
 
 def resample(docs: DataFrame, target: DataFrame, fraction: float, seed: int = SEED) -> DataFrame:
