@@ -29,9 +29,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import mapped, words
-from .shared import table, written
+from .shared import lean, table, written
 
 LONG, NEVER = 2_048, 1 << 17
+#: Distinct pieces that a task encodes.
+FOLD = 100_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -178,8 +180,10 @@ def dictionary(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> mapped
                 ids = pa.array([merge_long(p.as_py().encode(), shared.value) if x is None else x for p, x in zip(batch.column("piece"), ids.to_pylist())], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([pa.array(_hashes(batch.column("piece")).view(np.int64)), ids], ["key", "ids"])
 
-    rows = encode_pieces(pieces, ranks).mapInArrow(keyed, "key long, ids array<int>")
-    return mapped.build(rows, pieces.count(), "pieces", {"ids": "u4"})
+    # the fold is the dearest step: its tasks hold so many pieces each, however small their files are
+    n = pieces.count()
+    rows = encode_pieces(pieces.repartition(1 + n // FOLD), ranks).mapInArrow(lean(keyed), "key long, ids array<int>")
+    return mapped.build(rows, n, "pieces", {"ids": "u4"})
 
 
 class Vocabulary:
@@ -253,7 +257,7 @@ def _encoded(docs: DataFrame, kept: list[str], path: str, pattern: str, whole: b
 
     fields = {**dict(docs.select(*kept).dtypes), **added}
     pieces = docs.select(*kept, split_pieces(F.col("text"), pattern).alias("pieces"))
-    return pieces.mapInArrow(work, ", ".join(f"`{n}` {t}" for n, t in fields.items()))
+    return pieces.mapInArrow(lean(work), ", ".join(f"`{n}` {t}" for n, t in fields.items()))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
