@@ -20,7 +20,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,7 +50,7 @@ def pair_table(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
     """The rank map over pairs of ids, as two arrays.
 
     The pair (a, b) has the entry ``held[base[a] + b]``, which is ``a << 17 | rank`` if the
-    two join to a ranked string; any other entry has another number above its 17 bits.
+    two join to a ranked string; any other entry has another number above its 17 bits, or is negative.
     Rows are laid over each other where none of their entries meet. One id more than
     there are stands for the ends of a piece.
     """
@@ -61,8 +60,8 @@ def pair_table(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
             if (a := ranks.get(piece[:cut])) is not None and (b := ranks.get(piece[cut:])) is not None:
                 rows.setdefault(a, []).append((b, rank))
     n = max(ranks.values(), default=0) + 2
-    base, held, high = np.zeros(n, np.int64), np.full(4 * n, 1 << 40, np.int64), 0
-    free = held == 1 << 40
+    base, held, high = np.zeros(n, np.int64), np.full(4 * n, -1, np.int64), 0
+    free = held < 0
     for a, row in sorted(rows.items(), key=lambda x: (-len(x[1]), x[0])):
         columns = np.array([b for b, _ in row])
         columns, row_ranks = columns[order := np.argsort(columns)], np.array([r for _, r in row])[order]
@@ -71,8 +70,8 @@ def pair_table(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
             tries = np.flatnonzero(free[start : start + 4096]) + start - columns[0]
             tries = tries[tries >= 0]
             if len(free) < start + 4096 + 2 * n:
-                held = np.append(held, np.full(4 * n, 1 << 40, np.int64))
-                free = held == 1 << 40
+                held = np.append(held, np.full(4 * n, -1, np.int64))
+                free = held < 0
             good = tries
             for c in columns:
                 good = good[free[good + c]]
@@ -96,7 +95,8 @@ def encode_pieces(pieces: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """
     base, held = pair_table(ranks)
     ends, low, place = len(base) - 1, (1 << 17) - 1, ((1 << 26) - 1) << 17
-    literal = lambda x, kind: F.from_json(F.lit(json.dumps(x.tolist(), separators=(",", ":"))), f"array<{kind}>")
+    # free entries are null, which keeps the plan short
+    literal = lambda x, kind: F.from_json(F.lit("[" + ",".join("null" if k < 0 else str(k) for k in x.tolist()) + "]"), f"array<{kind}>")
     bases, entries = literal(base, "int"), literal(held, "bigint")
     bytes_ids = literal(np.array([ranks.get(bytes([k]), ends) for k in range(256)]), "bigint")
     id_of = lambda part: part.bitwiseAND(low)

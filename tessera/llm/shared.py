@@ -39,17 +39,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.parquet(path)
+    give_back()
     return spark.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Hand the process's freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def lean(work):
-    """``work`` over a task's batches, after which freed memory goes back to the system: workers are kept for later tasks."""
+    """``work`` over a task's batches, and then ``give_back``: workers are kept for later tasks."""
 
     def run(batches):
         yield from work(batches)
-        pa.default_memory_pool().release_unused()
-        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
-            trim(0)
+        give_back()
 
     return run
 
