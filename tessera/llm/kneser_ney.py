@@ -132,9 +132,11 @@ class Model:
         parts = distinct >> PART_BITS
         for p in np.unique(parts):
             at = np.flatnonzero(parts == p)
-            held = _CONTEXTS.setdefault((self.contexts, int(p)), None)
+            held = _CONTEXTS.get((self.contexts, int(p)))
             if held is None:
-                held = _CONTEXTS[(self.contexts, int(p))] = mapped._array(self.contexts, int(p), "five", "u4").reshape(-1, 5)
+                for other in [k for k in _CONTEXTS if k[0] != self.contexts]:
+                    del _CONTEXTS[other]
+                held = _CONTEXTS[(self.contexts, int(p))] = mapped._array(self.contexts, int(p), "five", "i8").reshape(-1, 5)
             out[at] = held[distinct[at] & ((1 << PART_BITS) - 1)]
         return out[back]
 
@@ -160,6 +162,7 @@ class Model:
         return {"n_tokens": np.diff(bounds), "n_known": words.sums(known.astype(np.int64), bounds), "base_score": words.sums(base, bounds), "score": words.sums(np.log10(p), bounds)}
 
 
+#: Parts of the contexts that are open in this process, of one model at a time.
 _CONTEXTS: dict = {}
 
 
@@ -217,7 +220,7 @@ def fit(texts: DataFrame) -> Model:
                 a, b = cut[p], cut[p + 1]
                 out["part"].append(int(p))
                 out["ids"].append((own[a:b] & ((1 << PART_BITS) - 1)).astype(np.uint32).tobytes())
-                out["five"].append(five[a:b].astype(np.uint32).tobytes())
+                out["five"].append(five[a:b].astype(np.uint32 if five[a:b].max() < 1 << 32 else np.int64).tobytes())
         return pa.table({"part": pa.array(out["part"], pa.int32()), "ids": pa.array(out["ids"], pa.binary()), "five": pa.array(out["five"], pa.binary())})
 
     merged = written(texts.mapInArrow(lean(count), "shard int, keys binary, n binary").groupBy("shard").applyInArrow(merge, "part int, ids binary, five binary"), "merged")
@@ -227,8 +230,9 @@ def fit(texts: DataFrame) -> Model:
         part = t.column("part")[0].as_py()
         total = np.zeros((min(size + 1 - (part << PART_BITS), 1 << PART_BITS), 5), np.int64)
         for ids, five in zip(t.column("ids").combine_chunks(), t.column("five").combine_chunks()):
-            total[np.frombuffer(ids.as_buffer(), np.uint32)] += np.frombuffer(five.as_buffer(), np.uint32).reshape(-1, 5)
-        mapped.save(model.contexts, part, five=np.minimum(total, 2**32 - 1).astype(np.uint32).reshape(-1))
+            ids = np.frombuffer(ids.as_buffer(), np.uint32)
+            total[ids] += np.frombuffer(five.as_buffer(), np.uint32 if len(five.as_buffer()) == 20 * len(ids) else np.int64).reshape(-1, 5)
+        mapped.save(model.contexts, part, five=total.reshape(-1))
         counts = np.bincount(np.minimum(total[:, 4], 5), minlength=6)
         return pa.table({f"n{k}": [int(counts[k])] for k in range(1, 5)} | {"more": [int(counts[3:].sum())], "types": [int(total[:, 4].sum())]})
 
