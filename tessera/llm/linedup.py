@@ -8,14 +8,17 @@ goes if any earlier line (by doc_id, then by place) matches it; blank lines stay
    broadcast). The order by slot frequency, then hash, is a total order of tokens, so the
    filters below are exact, whatever shares a slot.
 2. Lines of equal sets are one set. The first line of each set gives its rarest tokens, as
-   many as the prefix filter asks for; sets meet in a join on a prefix token under the length and the
-   positional filter and under a bitmap filter: 128 parities of the tokens bound the symmetric
-   difference from below.
-3. Candidates are verified on the token hashes (64 bits) of the sets' first lines: each
-   against its earliest candidate, those that fail against all others.
+   many as the prefix filter asks for; sets meet in a join on a prefix token under the length
+   and the positional filter and under a bitmap filter: 128 parities of the tokens bound the
+   symmetric difference from below. This join is a semi-join: it leaves the sets that have
+   any partner, however many, so a family of variants costs a row a member, not a row a pair.
+3. Only those sets' tokens (64-bit hashes) are gathered. Each set is verified against the
+   ``LEADERS`` earliest partners under each of its tokens; sets that match are settled, the
+   rest are held against more leaders, and at last against all earlier partners. So a large
+   family is verified against its first members, and no match is lost.
 4. For sets that repeat or match, the place of the line that stays (if any) is written as
    a sorted hash array that workers map. The last pass reads the texts once more and
-   drops lines; texts are never shuffled.
+   drops lines, found by a hash of their bytes; texts are never shuffled.
 
 Defined cases: a null text is an empty one and stays null. A null doc_id comes after all
 others. Rows that repeat a doc_id, or have none, are documents of their own in the order of
@@ -30,55 +33,71 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import mapped, words
-from .shared import table, written
+from .shared import lean, table, written
 
 SIMILARITY, SLOTS, LAST = 0.8, 1 << 20, 2**63 - 1
-#: Lines of more tokens, or further down in a text, match only lines of equal tokens.
-MOST = 1 << 24
-LINE = "bag long, set long, doc long, row long, line int, n int, low long, high long, prefix array<int>"
+#: How many of the earliest lines under a token a line is held against, before all others are.
+LEADERS = (4, 64)
+#: Lines of a shard of the lines' tokens.
+TOKEN_ROWS = 200_000
+PLACE = ("doc", "row", "line")
+LINE = "raw long, set long, doc long, row long, line int, n int, low long, high long, prefix array<int>"
 
 
 class Lines:
-    """The lines of a run of texts: owner, place in the text, first byte and end, and their words' hashes."""
+    """The lines of a run of texts: owner, place in the text, first byte and end."""
 
     def __init__(self, texts: pa.Array):
-        self.data, bounds = words.raw_bytes(texts)
+        self.data, self.texts = words.raw_bytes(texts)
         breaks = np.flatnonzero(self.data == 10)
-        owner = np.concatenate([np.arange(len(texts)), np.searchsorted(bounds, breaks, "right") - 1])
-        starts = np.concatenate([bounds[:-1], breaks + 1])
+        owner = np.concatenate([np.arange(len(texts)), np.searchsorted(self.texts, breaks, "right") - 1])
+        starts = np.concatenate([self.texts[:-1], breaks + 1])
         order = np.lexsort((starts, owner))
         self.owner, self.starts = owner[order], starts[order]
-        first = np.searchsorted(self.owner, np.arange(len(texts)))
-        self.place = np.arange(len(order)) - first[self.owner]
+        self.first = np.searchsorted(self.owner, np.arange(len(texts) + 1))
+        self.place = np.arange(len(order)) - self.first[self.owner]
         last = np.append(self.owner[1:] != self.owner[:-1], True)
-        self.ends = np.where(last, bounds[1:][self.owner], np.append(self.starts[1:], 0) - 1)
-        begin, end, _ = words.spans_of(self.data, bounds)
-        self.hashes = words.span_hashes(self.data, begin, end)
-        self.line = np.searchsorted(self.starts, begin, "right") - 1
-        self.bounds = words.runs(self.line, len(self.starts))
-        #: Of each line a hash of its words with their repeats, in any order.
-        self.bags = words.sums(words.salted(self.hashes, 5), self.bounds)
+        self.ends = np.where(last, self.texts[1:][self.owner], np.append(self.starts[1:], 0) - 1)
+        self.raw = self.data.tobytes()
 
     def __len__(self):
         return len(self.starts)
 
+    def keys(self) -> np.ndarray:
+        """A hash of each line's bytes."""
+        held = memoryview(self.raw)
+        return np.array([xxhash.xxh64_intdigest(held[a:b]) for a, b in zip(self.starts.tolist(), self.ends.tolist())], np.uint64)
+
     def tokens(self, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct tokens of each line, rarest first: line, and token (frequency rank above 36 bits of hash)."""
-        token = rank[(self.hashes & np.uint64(SLOTS - 1)).astype(np.int64)] | (self.hashes >> np.uint64(28))
+        begin, end, _ = words.spans_of(self.data, self.texts)
+        hashes, line = words.span_hashes(self.data, begin, end), np.searchsorted(self.starts, begin, "right") - 1
+        token = rank[(hashes & np.uint64(SLOTS - 1)).astype(np.int64)] | (hashes >> np.uint64(28))
         if len(self) >= 1 << 20:  # one very long text
-            order = np.lexsort((token, self.line))
-            line, token = self.line[order], token[order]
-            new = np.append(True, (line[1:] != line[:-1]) | (token[1:] != token[:-1]))[: len(line)]
-            return line[new], token[new]
-        held = np.sort((self.line.astype(np.uint64) << np.uint64(44)) | token)
+            return _distinct(line, token)
+        held = np.sort((line.astype(np.uint64) << np.uint64(44)) | token)
         if len(held):
             held = held[np.append(True, held[1:] != held[:-1])]
         return (held >> np.uint64(44)).astype(np.int64), held & np.uint64((1 << 44) - 1)
 
+    def hashes(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct 64-bit token hashes in order of the lines ``which``, and the bounds of each line's."""
+        held = pa.array([self.raw[a:b] for a, b in zip(self.starts[which].tolist(), self.ends[which].tolist())], pa.large_binary())
+        found, owner = words.words_of(held)
+        owner, found = _distinct(owner, found)
+        return found, words.runs(owner, len(which))
+
+
+def _distinct(owner: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.lexsort((values, owner))
+    owner, values = owner[order], values[order]
+    new = np.append(True, (owner[1:] != owner[:-1]) | (values[1:] != values[:-1]))[: len(owner)]
+    return owner[new], values[new]
+
 
 def _docs(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("doc_id").cast(pa.int64()).fill_null(LAST).to_numpy(zero_copy_only=False)
@@ -110,7 +129,7 @@ def frequencies(docs: DataFrame) -> np.ndarray:
             total += np.frombuffer(x.as_py(), np.uint32 if len(x.as_buffer()) == 4 * len(total) else np.uint64).astype(np.int64)
         return pa.table({"part": t.column("part").slice(0, 1), "n": [total.tobytes()]})
 
-    found = docs.select("text").mapInArrow(count, "part int, n binary").groupBy("part").applyInArrow(add, "part int, n binary").toArrow()
+    found = docs.select("text").mapInArrow(lean(count), "part int, n binary").groupBy("part").applyInArrow(add, "part int, n binary").toArrow()
     out = np.zeros((parts, SLOTS // parts), np.int64)
     for part, n in zip(found.column("part").to_pylist(), found.column("n").to_pylist()):
         out[part] = np.frombuffer(n, np.int64)
@@ -137,133 +156,172 @@ def _line_rows(docs: DataFrame, rank, t: Fraction) -> DataFrame:
                 bit, upper = np.uint64(1) << (mixed >> np.uint64(58)), (mixed >> np.uint64(57) & np.uint64(1)).astype(bool)
                 parity = lambda x: pa.array((np.bitwise_xor.reduceat(x, cut[full]) if len(full) else sets).view(np.int64))  # noqa: E731, B023
                 low, high = parity(np.where(upper, np.uint64(0), bit)), parity(np.where(upper, bit, np.uint64(0)))
-                short = (n[full] < MOST) & (lines.place[full] < MOST)
-                size = np.where(short, n[full] - (n[full] * t.numerator + t.denominator - 1) // t.denominator + 1, 0)
+                size = n[full] - (n[full] * t.numerator + t.denominator - 1) // t.denominator + 1
                 begin = np.cumsum(size) - size
                 held = tokens[np.repeat(cut[full], size) + np.arange(int(size.sum())) - np.repeat(begin, size)]
                 prefix = pa.ListArray.from_arrays(np.append(begin, size.sum()).astype(np.int32), (held & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32))
-                yield pa.RecordBatch.from_arrays([pa.array(lines.bags[full].view(np.int64)), pa.array(sets.view(np.int64)), pa.array(ids[at + lines.owner[full]]), pa.array(_texts(part)[lines.owner[full]]), pa.array(lines.place[full].astype(np.int32)), pa.array(n[full].astype(np.int32)), low, high, prefix], ["bag", "set", "doc", "row", "line", "n", "low", "high", "prefix"])
+                places = [pa.array(ids[at + lines.owner[full]]), pa.array(_texts(part)[lines.owner[full]]), pa.array(lines.place[full].astype(np.int32))]
+                yield pa.RecordBatch.from_arrays([pa.array(lines.keys()[full].view(np.int64)), pa.array(sets.view(np.int64)), *places, pa.array(n[full].astype(np.int32)), low, high, prefix], ["raw", "set", *PLACE, "n", "low", "high", "prefix"])
 
-    return docs.select("doc_id", "text").mapInArrow(describe, LINE)
+    return docs.select("doc_id", "text").mapInArrow(lean(describe), LINE)
 
 
 def _heads(lines: DataFrame, firsts: DataFrame) -> DataFrame:
     """The first line of each set, told by a mapped table of those sets that occur more than once."""
-    again = firsts.filter("n > 1").select(F.col("set").alias("key"), F.col("first.doc").alias("doc"), F.col("first.row").alias("row"), F.col("first.line").cast("long").alias("line"))
-    known = mapped.build(again, again.count(), "repeated-sets", {"doc": "i8", "row": "i8", "line": "i8"})
+    again = firsts.filter("n > 1").select(F.col("set").alias("key"), *(F.col(f"first.{c}").cast("long").alias(c) for c in PLACE))
+    known = mapped.build(again, again.count(), "repeated-sets", {c: "i8" for c in PLACE})
 
     def keep(batches):
         for batch in batches:
-            keys = batch.column("set").to_numpy(zero_copy_only=False).view(np.uint64)
-            first = np.ones(len(keys), bool)
-            for c in ("doc", "row", "line"):
-                first &= known.get(keys, c) == batch.column(c).to_numpy(zero_copy_only=False)
-            first |= ~known.has(keys)
-            yield batch.filter(pa.array(first))
+            yield batch.filter(pa.array(_stands(known, batch.column("set"), *(batch.column(c) for c in PLACE))))
+
+    return lines.mapInArrow(lean(keep), LINE)
+
 
-    return lines.select("set", "doc", "row", "line", "n", "low", "high", "prefix").mapInArrow(keep, "set long, doc long, row long, line int, n int, low long, high long, prefix array<int>")
+def _stands(known: mapped.Mapped, keys: pa.Array, *place: pa.Array, missing: bool = True) -> np.ndarray:
+    """Whether each row is in the place that ``known`` has for its key; ``missing`` where it has none."""
+    keys = keys.to_numpy(zero_copy_only=False).view(np.uint64)
+    shards, places = known.find(keys)
+    out = np.full(len(keys), missing)
+    for s in np.unique(shards[places >= 0]):
+        at, held = np.flatnonzero((shards == s) & (places >= 0)), known.shard(int(s))
+        out[at] = np.logical_and.reduce([held[c][places[at]] == v.to_numpy(zero_copy_only=False)[at] for c, v in zip(PLACE, place)])
+    return out
 
 
-def _candidates(heads: DataFrame, share: Fraction) -> DataFrame:
-    """Pairs of first lines, the earlier (xd, xr, xl) and the later (yd, yr, yl), that pass the prefix, length, positional and bitmap filters."""
+def _exploded(heads: DataFrame) -> DataFrame:
+    """A row for each prefix token; ``p`` holds the number of tokens and the token's position."""
+    packed = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("pos"))
+    return heads.select("set", "n", "low", "high", F.posexplode("prefix").alias("pos", "token")).select("token", "set", packed.alias("p"), "low", "high")
+
+
+def _crowded(kin: DataFrame, crowd: mapped.Mapped, more: int, asked: mapped.Mapped | None = None, gone: mapped.Mapped | None = None) -> DataFrame:
+    """Rows as of ``_exploded``, with the lines' places, for tokens of more than ``more`` sets (and among ``asked``), of sets that aren't ``gone``."""
+    kept = ("set", *PLACE, "low", "high")
+
+    def explode(batches):
+        for batch in batches:
+            if gone:
+                batch = batch.filter(pa.array(~gone.has(batch.column("set").to_numpy(zero_copy_only=False).view(np.uint64))))
+            prefix = batch.column("prefix")
+            tokens, size = prefix.flatten(), prefix.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            owner = np.repeat(np.arange(len(batch)), size)
+            pos = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
+            keys = tokens.to_numpy(zero_copy_only=False).view(np.uint32).astype(np.uint64)
+            keep = crowd.get(keys, "n") > more
+            if asked:
+                keep &= asked.has(keys)
+            keep = np.flatnonzero(keep)
+            n = batch.column("n").to_numpy(zero_copy_only=False).astype(np.int64)[owner[keep]]
+            own = pa.array(owner[keep])
+            yield pa.RecordBatch.from_arrays([tokens.take(pa.array(keep)), *(batch.column(c).take(own) for c in kept), pa.array(n << 32 | pos[keep])], ["token", *kept, "p"])
+
+    return kin.mapInArrow(lean(explode), "token int, set long, doc long, row long, line int, low long, high long, p long")
+
+
+def _near(share: Fraction):
+    """The prefix, length, positional and bitmap filters between rows x and y."""
     a, b = share.numerator, share.denominator
-    # length, position and place of the line in one number: a third less to shuffle
-    packed = F.shiftleft(F.col("n").cast("long"), 40).bitwiseOR(F.shiftleft(F.least("pos", F.lit(0xFFFF)).cast("long"), 24)).bitwiseOR(F.col("line"))
-    rows = heads.select("doc", "row", "line", "n", "low", "high", F.posexplode("prefix").alias("pos", "token")).select("token", "doc", "row", packed.alias("p"), "low", "high")
-    c = F.expr
-    up = lambda num, den: f"int(({num} + {den} - 1) div {den})"
-    of = lambda s: {"n": f"int({s}.p >> 40)", "pos": f"int(({s}.p >> 24) & 65535)", "line": f"int({s}.p & 16777215)"}
-    x, y = of("x"), of("y")
+    x, y = ({"n": f"({s}.p >> 32)", "pos": f"({s}.p & 4294967295)"} for s in "xy")
+    up = lambda num, den: f"(({num} + {den} - 1) div {den})"
     need = up(f"{a} * ({x['n']} + {y['n']})", a + b)
     inside = lambda z: f"{z['pos']} < {z['n']} - {up(f'{2 * a} * ' + z['n'], a + b)} + 1"
-    on = c("x.token = y.token")
+    on = F.expr("x.token = y.token")
     for rule in (
-        f"x.doc < y.doc or x.doc = y.doc and (x.row < y.row or x.row = y.row and {x['line']} < {y['line']})",
         f"{b} * least({x['n']}, {y['n']}) >= {a} * greatest({x['n']}, {y['n']})",
+        f"bit_count(x.low ^ y.low) + bit_count(x.high ^ y.high) <= {x['n']} + {y['n']} - 2 * {need}",
         f"if({x['n']} <= {y['n']}, {inside(x)}, {inside(y)})",
         f"least({x['pos']}, {y['pos']}) + least({x['n']} - {x['pos']}, {y['n']} - {y['pos']}) >= {need}",
-        f"bit_count(x.low ^ y.low) + bit_count(x.high ^ y.high) <= {x['n']} + {y['n']} - 2 * {need}",
+        "x.set <> y.set",
     ):
-        on &= c(rule)
-    met = rows.alias("x").join(rows.alias("y"), on)
-    return met.select(c("x.doc as xd"), c("x.row as xr"), c(f"{x['line']} as xl"), c("y.doc as yd"), c("y.row as yr"), c(f"{y['line']} as yl")).distinct()
-
-
-def _place(doc: np.ndarray, row: np.ndarray, line: np.ndarray) -> np.ndarray:
-    """One hash of a line's document, row and place."""
-    rows = words.mix(doc.astype(np.int64).view(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + row.astype(np.int64).view(np.uint64))
-    return words.mix(rows + line.astype(np.uint64))
-
-
-def _tokens(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Document, place and sorted token hashes (``doc``, ``row``, ``line``, ``tokens``) of the lines in the pairs."""
-    places = pairs.select("xd", "xr", "xl").distinct().union(pairs.select("yd", "yr", "yl").distinct()).toDF("doc", "row", "line").distinct()
+        on &= F.expr(rule)
+    return on
 
-    def keyed(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(_place(*(c.to_numpy() for c in b.columns)).view(np.int64))], ["key"])
 
-    keys = written(places.mapInArrow(keyed, "key long").distinct(), "places")
-    wanted = mapped.build(keys, keys.count(), "wanted-lines", {})
+def _gathered(kin: DataFrame, docs: DataFrame) -> mapped.Mapped:
+    """The token hashes of the sets in ``kin``, read from the texts."""
+    places = written(kin.select(F.col("raw").alias("key"), "set", *(F.col(c).cast("long").alias(c) for c in PLACE)).dropDuplicates(["key"]), "places")
+    wanted = mapped.build(places, places.count(), "wanted-lines", {"set": "i8", **{c: "i8" for c in PLACE}})
 
     def gather(batches):
         for batch in batches:
             ids = _docs(batch)
             for at, part in words.slices(words.texts_of(batch)):
-                lines = Lines(part)
-                doc, row = ids[at + lines.owner], _texts(part)[lines.owner]
-                full = np.flatnonzero(wanted.has(_place(doc, row, lines.place)) & (np.diff(lines.bounds) > 0))
-                held = [np.unique(lines.hashes[lines.bounds[i] : lines.bounds[i + 1]]).tobytes() for i in full]
-                yield pa.RecordBatch.from_arrays([pa.array(doc[full]), pa.array(row[full]), pa.array(lines.place[full].astype(np.int32)), pa.array(held, pa.binary())], ["doc", "row", "line", "tokens"])
+                lines, row = Lines(part), _texts(part)
+                keys = lines.keys()
+                full = np.flatnonzero(_stands(wanted, pa.array(keys), pa.array(ids[at + lines.owner]), pa.array(row[lines.owner]), pa.array(lines.place), missing=False))
+                held, cut = lines.hashes(full)
+                tokens = pa.ListArray.from_arrays(cut.astype(np.int32), pa.array(held.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(wanted.get(keys[full], "set")), tokens], ["key", "tokens"])
 
-    return written(docs.select("doc_id", "text").mapInArrow(gather, "doc long, row long, line int, tokens binary"), "line-tokens")
+    # rows of equal id and text are one document: their lines come more than once
+    found = docs.select("doc_id", "text").mapInArrow(lean(gather), "key long, tokens array<long>")
+    return mapped.build(found, places.count(), "line-tokens", {"tokens": "u8"}, shard_rows=TOKEN_ROWS)
 
 
-def _verified(pairs: DataFrame, tokens: DataFrame, share: Fraction) -> DataFrame:
-    """The later lines (yd, yr, yl) of those pairs whose exact similarity is at least ``share``."""
+def _verified(pairs: DataFrame, tokens: mapped.Mapped, share: Fraction) -> DataFrame:
+    """The later sets (``y``) of pairs (``x``, ``y``) whose exact similarity is at least ``share``."""
 
     def keep(batches):
-        for batch in batches:
-            good = []
-            for k, (p, q) in enumerate(zip(batch.column(3), batch.column(4))):
-                p, q = (np.frombuffer(v.as_buffer(), np.uint64) for v in (p, q))
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                if share.denominator * both >= share.numerator * (len(p) + len(q) - both):
-                    good.append(k)
-            yield batch.select([0, 1, 2]).take(pa.array(good, pa.int64()))
+        for whole in batches:
+            for at in range(0, len(whole), 20_000):
+                batch = whole.slice(at, 20_000)
+                (p, n_p), (q, n_q) = (tokens.lists(batch.column(c).to_numpy().view(np.uint64), "tokens") for c in "xy")
+                own = lambda held, n: words.mix(held) + words.salted(np.repeat(np.arange(len(batch)), n).astype(np.uint64), 11)  # noqa: E731, B023
+                both = np.bincount(np.repeat(np.arange(len(batch)), n_q)[np.isin(own(q, n_q), own(p, n_p))], minlength=len(batch))
+                good = share.denominator * both >= share.numerator * (n_p + n_q - both)
+                yield batch.select(["y"]).filter(pa.array(good))
 
-    one = pairs.join(tokens.toDF("yd", "yr", "yl", "q"), ["yd", "yr", "yl"])
-    both = one.join(tokens.toDF("xd", "xr", "xl", "p"), ["xd", "xr", "xl"])
-    return both.select("yd", "yr", "yl", "p", "q").mapInArrow(keep, "yd long, yr long, yl int").distinct()
+    return pairs.mapInArrow(lean(keep), "y long").distinct()
 
 
 def _matched(docs: DataFrame, lines: DataFrame, firsts: DataFrame, share: Fraction) -> DataFrame:
-    """First lines of sets (yd, yr, yl) that match an earlier line.
+    """Sets (``set``) whose first line matches an earlier line."""
+    near = _near(share)
+    heads = written(_heads(lines, firsts), "heads")
+    rows = _exploded(heads)
+    partnered = written(rows.alias("y").join(rows.alias("x"), near, "left_semi").select(F.col("set").alias("key")).distinct(), "partnered")
+    some = mapped.build(partnered, partnered.count(), "partnered-sets", {})
 
-    Each is first held against the earliest of its candidates; only those that don't
-    match it are held against all others. So a large family of variants is verified
-    against its first member, not pair by pair.
-    """
-    pairs = written(_candidates(written(_heads(lines, firsts), "heads"), share), "line-pairs")
-    tokens = _tokens(pairs, docs)
-    nearest = pairs.groupBy("yd", "yr", "yl").agg(F.min(F.struct("xd", "xr", "xl")).alias("x")).select("x.xd", "x.xr", "x.xl", "yd", "yr", "yl")
-    sure = written(_verified(nearest, tokens, share), "matched")
-    rest = pairs.join(sure, ["yd", "yr", "yl"], "left_anti").join(nearest, ["xd", "xr", "xl", "yd", "yr", "yl"], "left_anti")
-    return sure.union(_verified(rest, tokens, share))
+    def keep(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(some.has(batch.column("set").to_numpy(zero_copy_only=False).view(np.uint64))))
+
+    kin = written(heads.mapInArrow(lean(keep), LINE), "kin")
+    tokens = _gathered(kin, docs)
+    token = F.col("token").cast("long").bitwiseAND(0xFFFFFFFF).alias("key")
+    counts = written(kin.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").select(token, "n"), "crowd")
+    crowd = mapped.build(counts, counts.count(), "crowd", {"n": "i8"})
+    earlier = F.expr("x.doc < y.doc or x.doc = y.doc and (x.row < y.row or x.row = y.row and x.line < y.line)")
+    gone, done = None, 1
+    for k in (*LEADERS, None):
+        left, rows = _crowded(kin, crowd, done), _crowded(kin, crowd, done)
+        if gone is not None:
+            settled = mapped.build(gone.select(F.col("set").alias("key")), gone.count(), "settled", {})
+            left = written(_crowded(kin, crowd, done, gone=settled), "unsettled")
+            asked = written(left.select(token).distinct(), "asked")
+            rows = _crowded(kin, crowd, done, mapped.build(asked, asked.count(), "asked", {}))
+        if k:
+            rows = rows.withColumn("turn", F.row_number().over(Window.partitionBy("token").orderBy(*PLACE))).filter(F.col("turn") <= k).drop("turn")
+        pairs = rows.alias("x").join(left.alias("y"), near & earlier).select(F.expr("x.set as x"), F.expr("y.set as y")).distinct()
+        more = written(_verified(pairs, tokens, share).withColumnRenamed("y", "set"), "matched")
+        gone, done = more if gone is None else gone.union(more), k
+    return gone
 
 
 def standing(docs: DataFrame, similarity: float = SIMILARITY) -> mapped.Mapped:
-    """For lines that repeat or match, by their bag: document, row and place of the line that stays (-1: none)."""
+    """For lines that repeat or match, by their bytes: document, row and place of the line that stays (-1: none)."""
     share = Fraction(str(similarity))
     rank = docs.sparkSession.sparkContext.broadcast(frequencies(docs))
     lines = written(_line_rows(docs, rank, share), "lines")
-    firsts = written(lines.groupBy("set").agg(F.min(F.struct("doc", "row", "line")).alias("first"), F.count("*").alias("n")), "firsts")
-    gone = written(_matched(docs, lines, firsts, share), "gone").select(F.struct(F.col("yd").alias("doc"), F.col("yr").alias("row"), F.col("yl").alias("line")).alias("first"), F.lit(True).alias("gone"))
-    known = firsts.join(gone, "first", "left").filter("n > 1 or gone")
-    known = written(known.select("set", F.col("first.doc").alias("doc"), F.col("first.row").alias("row"), F.when(F.col("gone"), -1).otherwise(F.col("first.line")).alias("line")), "known")
-    bags = lines.groupBy("bag").agg(F.min("set").alias("set"))
-    rows = written(bags.join(known, "set").select(F.col("bag").alias("key"), "doc", "row", F.col("line").cast("long").alias("line")), "standing")
-    return mapped.build(rows, rows.count(), "standing", {"doc": "i8", "row": "i8", "line": "i8"})
+    rank.destroy()
+    firsts = written(lines.groupBy("set").agg(F.min(F.struct(*PLACE)).alias("first"), F.count("*").alias("n")), "firsts")
+    gone = _matched(docs, lines, firsts, share).withColumn("gone", F.lit(True))
+    known = firsts.join(gone, "set", "left").filter("n > 1 or gone")
+    known = written(known.select("set", F.col("first.doc").alias("doc"), F.col("first.row").alias("row"), F.when(F.col("gone"), -1).otherwise(F.col("first.line")).cast("long").alias("line")), "known")
+    raws = lines.groupBy("raw").agg(F.min("set").alias("set"))
+    rows = written(raws.join(known, "set").select(F.col("raw").alias("key"), *PLACE), "standing")
+    return mapped.build(rows, rows.count(), "standing", {c: "i8" for c in PLACE})
 
 
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -276,21 +334,14 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
             ids, texts = _docs(batch), words.texts_of(batch)
             out, n_lines, n_gone = [], [], []
             for at, part in words.slices(texts):
-                lines = Lines(part)
-                shards, places = known.find(lines.bags)
-                found = np.flatnonzero((places >= 0) & (np.diff(lines.bounds) > 0))
-                gone, row = np.zeros(len(lines), bool), _texts(part)
-                for s in np.unique(shards[found]):
-                    mine = found[shards[found] == s]
-                    held = known.shard(int(s))
-                    gone[mine] = (held["doc"][places[mine]] != ids[at + lines.owner[mine]]) | (held["row"][places[mine]] != row[lines.owner[mine]]) | (held["line"][places[mine]] != lines.place[mine])
+                lines, row = Lines(part), _texts(part)
+                gone = ~_stands(known, pa.array(lines.keys()), pa.array(ids[at + lines.owner]), pa.array(row[lines.owner]), pa.array(lines.place))
                 n_lines.append(np.bincount(lines.owner, minlength=len(part)))
                 n_gone.append(np.bincount(lines.owner[gone], minlength=len(part)))
-                first, raw = np.searchsorted(lines.owner, np.arange(len(part) + 1)), lines.data.tobytes()
                 for i, n in enumerate(n_gone[-1]):
                     if n:
-                        kept = first[i] + np.flatnonzero(~gone[first[i] : first[i + 1]])
-                        out.append(b"\n".join(raw[lines.starts[j] : lines.ends[j]] for j in kept).decode())
+                        kept = lines.first[i] + np.flatnonzero(~gone[lines.first[i] : lines.first[i + 1]])
+                        out.append(b"\n".join(lines.raw[lines.starts[j] : lines.ends[j]] for j in kept).decode())
                     else:
                         out.append(batch.column("text")[at + i].as_py())
             count = lambda x: pa.array(np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64))
@@ -298,7 +349,7 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*columns, count(n_lines), count(n_gone)], [*batch.schema.names, "n_lines", "n_links"])
 
     fields = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
-    return docs.mapInArrow(drop, f"{fields}, n_lines long, n_links long")
+    return docs.mapInArrow(lean(drop), f"{fields}, n_lines long, n_links long")
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
