@@ -204,7 +204,7 @@ def similarity_buckets(spark, t):
 @query("SELECT l_orderkey, l_linenumber FROM lineitem ORDER BY sha256('5|' || l_orderkey || '|' || l_linenumber), l_orderkey LIMIT 1000")
 def exact_sample(spark, t):
     keyed = t("lineitem").select("l_orderkey", "l_linenumber", H.sha_key(5, F.col("l_orderkey"), F.col("l_linenumber")).alias("key"))
-    return S.first_by_key(keyed, [], "key", F.lit(1000), "l_orderkey").select("l_orderkey", "l_linenumber")
+    return S.first_k(keyed, [], "key", 1000, "l_orderkey").select("l_orderkey", "l_linenumber")
 
 
 @query("SELECT p_name, count(*) AS n FROM part GROUP BY p_name ORDER BY n DESC, p_name LIMIT 25")
@@ -252,7 +252,7 @@ def largest_remainder(spark, t):
 @query(f"{STRATA}, o AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY sha256('13|' || id_a || ':' || id_b), id_a) AS rn FROM strata) SELECT stratum, id_a, id_b FROM o WHERE rn <= 100")
 def stratum_pools(spark, t):
     keyed = _strata(t).withColumn("key", H.sha_key(13, F.concat_ws(":", "id_a", "id_b")))
-    return S.first_by_key(keyed, ["stratum"], "key", F.lit(100), "id_a").select("stratum", "id_a", "id_b")
+    return S.first_k(keyed, ["stratum"], "key", 100, "id_a").select("stratum", "id_a", "id_b")
 
 
 MEDIANS = "WITH m AS (SELECT user_id, CASE WHEN median(value) >= 150 THEN 1 ELSE 0 END AS label, count(*) AS n FROM events GROUP BY user_id)"
@@ -505,4 +505,6 @@ def upserts(spark, t):
     return R.upserted(old, new, ["c_custkey"])
 
 
+from . import catalogue_builds  # noqa: E402, F401  registers its queries
+
 FLAGSHIP = QUERIES["pairs_same_key"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -80,8 +82,59 @@ def sigmoid(x: Column) -> Column:
     return 1 / (1 + F.exp(-x))
 
 
-def json_text(fields: dict[str, Column]) -> Column:
-    """A JSON object with sorted keys, nulls kept, and a space after each colon and comma."""
-    quoted = lambda c: F.concat(F.lit('"'), F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"'))
-    parts = [F.concat(F.lit(f'"{k}": '), F.coalesce(quoted(fields[k].cast("string")), F.lit("null"))) for k in sorted(fields)]
+def json_text(fields: dict[str, Column], numbers: tuple[str, ...] = ()) -> Column:
+    """A JSON object with sorted keys, nulls kept, a space after each colon and comma, and ASCII only.
+
+    Fields among ``numbers`` are written as they are, all others as texts.
+    """
+    text = lambda k: fields[k].cast("string")
+    parts = [F.concat(F.lit(json.dumps(k) + ": "), F.coalesce(text(k) if k in numbers else json_quoted(text(k)), F.lit("null"))) for k in sorted(fields)]
     return F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
+
+
+def json_quoted(text: Column) -> Column:
+    """A JSON string: escapes for quotes, backslashes, control characters and all that isn't ASCII."""
+    unit = lambda x: F.concat(F.lit("\\u"), F.lower(F.lpad(F.hex(x), 4, "0")))
+    short = {'"': '\\"', "\\": "\\\\", "\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"}
+
+    def escaped(c: Column) -> Column:
+        point = F.ascii(c)
+        over = point - 0x10000
+        pair = F.concat(unit(F.shiftright(over, 10) + 0xD800), unit(over.bitwiseAND(0x3FF) + 0xDC00))
+        out = F.when(c == '"', short['"'])
+        for k, v in list(short.items())[1:]:
+            out = out.when(c == k, v)
+        return out.when(point >= 0x10000, pair).when((point < 0x20) | (point > 0x7E), unit(point)).otherwise(c)
+
+    plain = ~text.rlike(r'[^ !#-\[\]-~]')
+    return F.concat(F.lit('"'), F.when(plain, text).otherwise(F.array_join(F.transform(F.split(text, ""), escaped), "")), F.lit('"'))
+
+
+def null_token(text: Column, token: str = "<null>") -> Column:
+    """The stripped text of a stratum's value, or ``token`` if it is null or blank."""
+    plain = F.trim(text.cast("string"))
+    return F.when(plain != "", plain).otherwise(token)
+
+
+def value_set(text: Column) -> Column:
+    """Aggregate: the distinct stripped texts that aren't blank, in order."""
+    plain = F.trim(text)
+    return F.sort_array(F.collect_set(F.when(plain != "", plain)))
+
+
+def presence(text: Column) -> Column:
+    """1 for a text that isn't null or blank, else 0."""
+    return (~is_blank(text)).cast("int")
+
+
+def scaled(value: Column, scale: float = 100.0) -> Column:
+    """A finite value over ``scale``; fails in its task for one that is missing or isn't finite."""
+    number = finite(value)
+    return F.when(number.isNull(), F.raise_error(F.lit("a source value is missing or not finite"))).otherwise(number / scale)
+
+
+def split_metric(name: Column, splits: tuple[str, ...] = ("validation_1", "validation_2", "test")) -> tuple[Column, Column]:
+    """Split and metric of a name such as ``test_auroc``; ``unknown`` and the whole name for others."""
+    pattern = f"^({'|'.join(splits)})_(.*)$"
+    known = name.rlike(pattern)
+    return F.when(known, F.regexp_extract(name, pattern, 1)).otherwise("unknown"), F.when(known, F.regexp_extract(name, pattern, 2)).otherwise(name)

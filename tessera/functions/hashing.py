@@ -41,3 +41,19 @@ def priority64(seed: int):
         return text.map(lambda x: None if x is None else f"{value(x):016x}")
 
     return digits
+
+
+def kept_pair(fraction: float, seed: int, pair: Column, label: Column | None = None, direction: Column | None = None) -> Column:
+    """Whether a training row is sampled by its pair, so that both directions are kept or left out together.
+
+    With ``label`` each label is drawn by keys of its own; with ``direction`` the pair's
+    hash-chosen direction alone is kept.
+    """
+    parts = [F.lit("train"), pair] if label is None else [F.lit("train_label"), label, pair]
+    kept = kept_by_hash(fraction, seed, *parts)
+    return kept if direction is None else kept & (direction == one_direction(seed, F.lit("direction"), pair))
+
+
+def stable_id(text: pd.Series) -> pd.Series:
+    """24 hex digits of each text's 12-byte BLAKE2b digest; for use in a pandas function of Spark."""
+    return text.map(lambda x: None if x is None else hashlib.blake2b(x.encode(), digest_size=12).hexdigest())

@@ -14,8 +14,10 @@ def tanimoto(a: Column, b: Column) -> Column:
 
 
 def sign_bits(vector: Column) -> Column:
-    """A fingerprint of the signs of up to 64 numbers, as an array of one long."""
-    return F.array(F.aggregate(F.transform(vector, lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda s, x: s.bitwiseOR(x)))
+    """A fingerprint of the signs of the numbers: an array with a long for every 64 of them."""
+    bit = lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))
+    word = lambda k: F.aggregate(F.transform(F.slice(vector, k * 64 + 1, 64), bit), F.lit(0).cast("long"), lambda s, x: s.bitwiseOR(x))
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(vector) - 1) / 64).cast("int")), word)
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -23,6 +25,45 @@ def cosine(a: Column, b: Column) -> Column:
     return F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
 
 
+def weighted_tanimoto(a: Column, b: Column, other_a: Column, other_b: Column, weights: tuple[float, float] = (0.8, 0.2)) -> Column:
+    """The weighted mean of the similarities of two pairs of fingerprints; -1 where one is missing."""
+    whole = a.isNotNull() & b.isNotNull() & other_a.isNotNull() & other_b.isNotNull()
+    return F.when(whole, weights[0] * tanimoto(a, b) + weights[1] * tanimoto(other_a, other_b)).otherwise(-1.0)
+
+
+def candidate_count(n_sources: Column, top_n: int | None = None, fraction: float = 0.01) -> Column:
+    """How many candidates a query keeps: ``top_n`` if given, else a share of the sources, one at least; never more than there are."""
+    wanted = F.lit(top_n) if top_n and top_n > 0 else F.greatest(F.lit(1), F.ceil(n_sources * F.lit(fraction)))
+    return F.least(wanted, n_sources).cast("long")
+
+
+def reranked(near: DataFrame, score, k: int) -> DataFrame:
+    """Of each query's candidates the ``k`` best by another ``score``; ties by ``s_id``."""
+    order = Window.partitionBy("q_id").orderBy(F.col("score").desc(), F.col("s_id"))
+    return near.withColumn("score", score).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+
+def frozen(votes: DataFrame, split: str, param: str, tuned_on: str, label: str, predicted: str) -> DataFrame:
+    """The parameter with the most right votes on ``tuned_on`` (the least of equals), and its counts on every split."""
+    counts = votes.groupBy(split, param).agg(F.count("*").alias("n"), F.count_if(F.col(label) == F.col(predicted)).alias("correct"))
+    best = counts.filter(F.col(split) == tuned_on).agg(F.max_by(param, F.struct("correct", -F.col(param))).alias(param))
+    return counts.join(F.broadcast(best), param)
+
+
+def vote_slices(votes: DataFrame, label: str, predicted: str, columns: list[str], flags: dict[str, Column]) -> DataFrame:
+    """Votes counted over all (``overall``), by each value of ``columns`` and by each flag: ``slice``, ``slice_value`` and confusion counts.
+
+    Every vote goes to each of its slices in one pass, so the table is read once.
+    """
+    cell = lambda name, value: F.struct(F.lit(name).alias("slice"), value.alias("slice_value"))
+    cells = [cell("overall", F.lit("all")), *(cell(c, F.col(c).cast("string")) for c in columns)]
+    cells += [cell(f"{k}_missing", F.when(v, "true").otherwise("false")) for k, v in flags.items()]
+    rows = votes.select(label, predicted, F.inline(F.array(*cells))).filter("slice_value is not null")
+    from ..functions.metrics import confusion
+
+    return confusion(rows, label, predicted, ["slice", "slice_value"])
+
+
 def candidates(queries: DataFrame, sources: DataFrame, score, k: int, parts: int = 16) -> DataFrame:
     """The ``k`` best sources of each query: ``q_id``, ``s_id`` and ``score``; ties by ``s_id``.
 

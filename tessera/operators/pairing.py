@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import deadband_label, is_blank
+from .selection import positions
 
 
 def _ends(records: DataFrame, suffix: str) -> DataFrame:
@@ -57,6 +58,26 @@ def all_pairs(records: DataFrame, blocks: int = 8, near: float = 10.0, far: floa
     return _labelled(a.join(b, on & _outside(near, far)), near, far).drop("cell_a", "cell_b")
 
 
+def sampled_pairs(records: DataFrame, group: list[str], key: str, fraction: float, step: int = 2_147_483_647) -> DataFrame:
+    """A deterministic sample of each group's unordered pairs without replacement: ``id_a``, ``id_b``, in any order.
+
+    A group of n records (in the order of ``key``, hex digits) has n(n-1)/2 pairs, numbered by
+    the triangle they fill. ``ceil(fraction * pairs)`` of the numbers are drawn as multiples of
+    ``step`` modulo the number of pairs, which never repeat as ``step`` is a prime above it (or
+    shares no factor with it). So no pair is made that isn't drawn, and no group is in one task.
+    """
+    placed = positions(records.select("id", *group, key), group, key, "id")
+    total = F.col("n_group") * (F.col("n_group") - 1) / 2
+    sizes = placed.select(*group, "n_group").distinct().filter("n_group > 1").withColumn("total", total.cast("long"))
+    drawn = sizes.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.lit(fraction) * F.col("total")) - 1)))
+    number = (F.col("k") * F.lit(step).cast("long")) % F.col("total")
+    drawn = drawn.withColumn("number", number).withColumn("j", F.floor((1 + F.sqrt(8 * F.col("number") + 1)) / 2))
+    exact = F.when(F.col("j") * (F.col("j") - 1) / 2 > F.col("number"), F.col("j") - 1).when(F.col("j") * (F.col("j") + 1) / 2 <= F.col("number"), F.col("j") + 1).otherwise(F.col("j"))
+    drawn = drawn.withColumn("j", exact).withColumn("i", (F.col("number") - F.col("j") * (F.col("j") - 1) / 2).cast("long")).select(*group, "i", "j")
+    end = lambda at, name: placed.select(*group, F.col("position").alias(at), F.col("id").alias(name))
+    return drawn.join(end("i", "id_a"), [*group, "i"]).join(end("j", "id_b"), [*group, "j"]).select(*group, "id_a", "id_b")
+
+
 def group_sizes(records: DataFrame, key: str) -> DataFrame:
     """Of every key that holds two records or more: how many, and how many pairs they make."""
     n = F.count("*")

@@ -39,3 +39,30 @@ def wide_best(metrics: DataFrame, index: str, names: list[str], by: str) -> Data
 def most_common(rows: DataFrame, key: str, n: int) -> DataFrame:
     """The ``n`` most common keys with their counts; equal counts in the order of the keys."""
     return rows.groupBy(key).agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), key).limit(n)
+
+
+def fold_means(metrics: DataFrame, by: list[str], names: list[str]) -> DataFrame:
+    """The mean of each metric over folds, as ``cv_`` and its name."""
+    return metrics.groupBy(*by).agg(*(F.avg(n).alias(f"cv_{n}") for n in names))
+
+
+def merged(main: DataFrame, other: DataFrame, keys: list[str], added: list[str]) -> DataFrame:
+    """``main`` with the columns ``added`` of ``other``; fails in the task that meets a key which ``other`` lacks."""
+    held = other.select(*keys, *added, F.lit(True).alias("__there"))
+    missing = F.raise_error(F.concat(F.lit("no results for "), F.concat_ws("/", *keys)))
+    rows = main.drop(*added).join(held, keys, "left")
+    return rows.withColumns({c: F.when(F.col("__there").isNull(), missing).otherwise(F.col(c)) for c in added}).drop("__there")
+
+
+def compared(one: DataFrame, other: DataFrame, by: list[str], value: str, names: tuple[str, str]) -> DataFrame:
+    """Two checkpoints' metrics side by side, the difference (second less first) and which is better (``tie`` if equal)."""
+    a, b = (df.select(*by, F.col(value).alias(n)) for df, n in zip((one, other), names))
+    rows = a.join(b, by).withColumn("delta", F.col(names[1]) - F.col(names[0]))
+    return rows.withColumn("winner", F.when(F.col("delta") > 0, names[1]).when(F.col("delta") < 0, names[0]).otherwise("tie"))
+
+
+def majority(rows: DataFrame, label: str, by: list[str]) -> DataFrame:
+    """The prediction that goes with the majority of each slice (1 at one half), and how many labels it gets right."""
+    n, pos = F.count("*"), F.count_if(F.col(label) == 1)
+    guess = (pos >= n / 2).cast("int")
+    return rows.groupBy(*by).agg(n.alias("n"), guess.alias("predicted"), F.when(guess == 1, pos).otherwise(n - pos).alias("correct"))

@@ -39,19 +39,56 @@ def first_by_key(rows: DataFrame, group: list[str], key: str, quota: Column, tie
     return whole.unionByName(part).select(*rows.columns)
 
 
+def first_k(rows: DataFrame, group: list[str], key: str, k: int, tie: str) -> DataFrame:
+    """Of each group the ``k`` rows with the smallest ``key``, in one pass, for a ``k`` that fits in a task.
+
+    Spark limits the groups before it shuffles, so no task sees more than ``k`` rows of a group from each other.
+    """
+    if not group:
+        return rows.orderBy(key, tie).limit(k)
+    turn = F.row_number().over(Window.partitionBy(*group).orderBy(key, tie))
+    return rows.withColumn("__turn", turn).filter(F.col("__turn") <= k).drop("__turn")
+
+
+def positions(rows: DataFrame, group: list[str], key: str, tie: str) -> DataFrame:
+    """``position`` (from 0) of each row in its group in the order of ``key`` (hex digits), and the group's size ``n_group``.
+
+    Rows are counted by the key's first four digits; only rows of one such range are ranked together.
+    """
+    prefix = F.substring(key, 1, 4)
+    over = Window.partitionBy(*group)
+    ranges = rows.groupBy(*group, prefix.alias("__prefix")).agg(F.count("*").alias("__c"))
+    ranges = ranges.withColumns({"n_group": F.sum("__c").over(over), "__before": F.sum("__c").over(over.orderBy("__prefix")) - F.col("__c")}).drop("__c")
+    ranges = ranges.select(*(F.col(g).alias(f"__{g}") for g in group), "__prefix", "n_group", "__before")
+    on = F.col("__p") == F.col("__prefix")
+    for g in group:
+        on &= F.col(g).eqNullSafe(F.col(f"__{g}"))
+    met = rows.withColumn("__p", prefix).join(ranges, on)
+    turn = F.row_number().over(Window.partitionBy(*group, "__p").orderBy(key, tie))
+    return met.withColumn("position", F.col("__before") + turn - 1).select(*rows.columns, "position", "n_group")
+
+
 def shrunk(counts: DataFrame, n: str, key: str, tie: str, cap: int) -> DataFrame:
     """Which entities move out, most rows first, until the rest holds at most ``cap`` rows (``moved``).
 
-    ``counts`` has a row for each entity of one split, whose size the cap bounds.
+    The running sum is over the distinct numbers of rows; entities of equal numbers have their
+    places in the order of ``key`` from ``positions``.
     """
-    order = Window.orderBy(F.col(n).desc(), key, tie)
-    before = F.coalesce(F.sum(n).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return counts.withColumn("moved", F.sum(n).over(Window.partitionBy()) - before > cap)
+    sizes = counts.groupBy(F.col(n).alias("__n")).agg(F.sum(n).alias("__s"))
+    more = F.coalesce(F.sum("__s").over(Window.orderBy(F.col("__n").desc()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.withColumns({"__more": more, "__all": F.sum("__s").over(Window.partitionBy())})
+    placed = positions(counts, [n], key, tie).join(sizes, F.col(n) == F.col("__n"))
+    before = F.col("__more") + F.col("position") * F.col(n)
+    return placed.withColumn("moved", F.col("__all") - before > cap).select(*counts.columns, "moved")
 
 
 def folds(rows: DataFrame, label: str, key: str, k: int) -> DataFrame:
-    """``fold`` 0 to k - 1, even within each label, in the order of ``key``."""
-    return rows.withColumn("fold", F.ntile(k).over(Window.partitionBy(label).orderBy(key)) - 1)
+    """``fold`` 0 to k - 1, even within each label, in the order of ``key``; the first folds take what is left over."""
+    placed = positions(rows, [label], key, key)
+    size, more, at = F.floor(F.col("n_group") / k), F.col("n_group") % k, F.col("position")
+    large = more * (size + 1)
+    fold = F.when(at < large, F.floor(at / (size + 1))).otherwise(more + F.floor((at - large) / F.greatest(size, F.lit(1))))
+    return placed.withColumn("fold", fold).select(*rows.columns, "fold")
 
 
 def without_overlap(rows: DataFrame, reference: DataFrame, row_id: str, raw: str, normal: Column, other_raw: str, other_normal: Column) -> DataFrame:

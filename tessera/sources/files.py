@@ -53,7 +53,18 @@ def appended(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def manifest(counts: DataFrame, **more) -> str:
-    """A JSON text with sorted keys of a table of counts, whose size is that of its groups."""
-    rows = [r.asDict() for r in counts.limit(10_000).collect()]
+def manifest(counts: DataFrame, most: int = 10_000, **more) -> str:
+    """A JSON text with sorted keys of a table of counts; fails if there are more than ``most`` groups."""
+    rows = [r.asDict() for r in counts.limit(most + 1).collect()]
+    if len(rows) > most:
+        raise ValueError(f"more than {most} groups: write the counts as a table")
     return json.dumps({**more, "counts": sorted(rows, key=lambda r: json.dumps(r, sort_keys=True, default=str))}, sort_keys=True, indent=2, default=str)
+
+
+def written_tables(df: DataFrame, order: list[str]) -> tuple[str, str]:
+    """A small result table as CSV and as Markdown, nulls blank, in ``order``; its rows are results, so it fits the driver."""
+    rows = [["" if v is None else str(v) for v in r] for r in df.orderBy(*order).collect()]
+    quoted = lambda v: f'"{v.replace(chr(34), chr(34) * 2)}"' if any(c in v for c in ',"\n\r') else v
+    csv = "".join(",".join(map(quoted, r)) + "\n" for r in [df.columns, *rows])
+    line = lambda cells: "| " + " | ".join(c.replace("|", "\\|").replace("\n", " ") for c in cells) + " |\n"
+    return csv, line(df.columns) + line(["---"] * len(df.columns)) + "".join(map(line, rows))

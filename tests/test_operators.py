@@ -132,3 +132,74 @@ def test_stream_of_predictions_equals_the_table(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(spark.table("confusion").collect()) == sorted(of(spark.read.schema(schema).parquet(str(tmp_path / "in"))).collect())
+
+
+def test_json_is_what_python_writes(spark):
+    import json
+
+    texts = ["plain", 'say "x" \\', "line\nbreak\ttab\r\b\f", "é ü — 日本", "😀 x", "\x01\x1f\x7f", ""]
+    df = spark.createDataFrame([(x, 1.5) for x in texts], "t string, v double")
+    for r in df.select("t", E.json_text({"t": F.col("t"), "v": F.col("v")}, numbers=("v",)).alias("j")).collect():
+        assert r.j == json.dumps({"t": r.t, "v": 1.5}, sort_keys=True)
+
+
+def test_positions_and_folds_equal_a_global_order(spark):
+    rows = [(k % 3, hashlib.sha256(str(k).encode()).hexdigest(), k) for k in range(200)] + [(None, "00", 900), (None, "01", 901)]
+    df = spark.createDataFrame(rows, "g int, key string, id long")
+    got = {r.id: (r.position, r.n_group) for r in S.positions(df, ["g"], "key", "id").collect()}
+    for g in (0, 1, 2, None):
+        own = sorted((key, i) for h, key, i in rows if h == g)
+        assert {i: (at, len(own)) for at, (_, i) in enumerate(own)} == {i: got[i] for _, i in own}
+    few = spark.createDataFrame([(0, f"{k:02x}", k) for k in range(3)], "g int, key string, id long")
+    assert sorted(r.fold for r in S.folds(few, "g", "key", 5).collect()) == [0, 1, 2]
+
+
+def test_sampled_pairs_never_repeat(spark):
+    df = spark.createDataFrame([(k, k % 2, f"{k * 7919 % 65536:04x}") for k in range(61)], "id long, g int, key string")
+    for fraction, want in ((1.0, 31 * 30 // 2 + 30 * 29 // 2), (0.1, 47 + 44)):
+        got = [tuple(sorted((r.id_a, r.id_b))) for r in P.sampled_pairs(df, ["g"], "key", fraction).collect()]
+        assert len(got) == len(set(got)) == want and all(a != b and a % 2 == b % 2 for a, b in got)
+
+
+def test_shrunk_moves_the_largest_first(spark):
+    rows = [(k, n, f"{k:04x}") for k, n in enumerate([5, 1, 5, 3, 3, 3, 2])]
+    df = spark.createDataFrame(rows, "id long, n long, key string")
+    for cap in (0, 7, 12, 22, 30):
+        left, want = sum(n for _, n, _ in rows), set()
+        for i, n, _ in sorted(rows, key=lambda r: (-r[1], r[2])):
+            if left > cap:
+                want.add(i)
+                left -= n
+        assert {r.id for r in S.shrunk(df, "n", "key", "id", cap).filter("moved").collect()} == want
+
+
+def test_manifest_fails_above_its_bound(spark, tmp_path):
+    import pytest
+
+    assert '"id": 2' in files.manifest(spark.range(3), most=3)
+    with pytest.raises(ValueError):
+        files.manifest(spark.range(4), most=3)
+    csv, text = files.written_tables(spark.createDataFrame([(2, "a,b"), (1, None)], "k int, v string"), ["k"])
+    assert csv == 'k,v\n1,\n2,"a,b"\n' and text.splitlines()[1:] == ["| --- | --- |", "| 1 |  |", "| 2 | a,b |"]
+
+
+def test_merging_fails_for_a_missing_key(spark):
+    import pytest
+
+    from tessera.operators import results as R
+
+    main, other = spark.createDataFrame([(1,), (2,)], "k int"), spark.createDataFrame([(1, 0.5)], "k int, m double")
+    assert one(R.merged(main.filter("k = 1"), other, ["k"], ["m"])) == [(1, 0.5)]
+    with pytest.raises(Exception, match="no results for 2"):
+        R.merged(main, other, ["k"], ["m"]).collect()
+
+
+def test_fingerprints_of_more_than_64_numbers(spark):
+    df = spark.createDataFrame([([1.0] * 65 + [-1.0],)], "v array<double>")
+    assert df.select(K.sign_bits(F.col("v"))).first()[0] == [-1, 1]
+
+
+def test_stable_ids():
+    import pandas as pd
+
+    assert H.stable_id(pd.Series(["a|1", None])).tolist() == [hashlib.blake2b(b"a|1", digest_size=12).hexdigest(), None]
