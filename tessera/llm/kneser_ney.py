@@ -1,4 +1,4 @@
-"""Interpolated modified Kneser-Ney language model over words (bigrams), counted in Spark.
+"""Interpolated modified Kneser-Ney language model over words, of order 3 (or 2), counted in Spark.
 
 The model's tables grow with the corpus, so none of them is collected or broadcast.
 Counts are merged in shards, each of a bounded number of tokens, and written as sorted
@@ -6,19 +6,26 @@ hash arrays to the shared folder, which workers memory-map to score:
 
 - words: the sorted 64-bit hashes of the vocabulary and their counts; a word's place in
   this order is its id (32 bits);
-- bigrams: the sorted pairs of ids and their counts, in shards by a hash of the pair, so
-  that a frequent word's followers are spread over all of them;
-- contexts: by id, the total of a word's followers, how many of them were seen once,
-  twice and more often, and how many different words precede it.
-
-A bigram's probability is its discounted count over its context's total, plus the mass
-so freed times the word's continuation probability, itself discounted and interpolated
-with a uniform distribution over the vocabulary and one unknown word. The three
-discounts of each order come from the counts of counts. After an unknown word the
-continuation probability stands alone.
+- pairs: the sorted pairs of ids, in shards by a hash of the pair, so that a frequent
+  word's followers are spread over all of them. Beside each pair stand, at order 3, the
+  words that follow it with their counts, and how many different words precede it; at
+  order 2, how often it occurs;
+- contexts: by id, the total of a word's followers, how many of them count one, two and
+  more, and how many different words precede it.
+
+Trigrams are counted once and shuffled to the shard of their first two words, and each
+shard passes on how many different words it saw before each pair of the last two. All
+followers of one pair are in one shard: no more rows than there are words.
+
+A trigram's probability is its discounted count over its context's total, plus the mass
+so freed times that of its last two words, which is made in the same way from how many
+different words precede the pair; so is the last word's, interpolated with a uniform
+distribution over the vocabulary and one unknown word. The three discounts of each order
+come from the counts of counts. After a context that wasn't seen the lower order stands
+alone.
 
 Tokens are runs of other bytes than ASCII white space, A-Z lower-cased, and one end for
-each text; the first token follows a start, which is no token.
+each text; the first token follows two starts, which are no tokens.
 
 Defined cases: a null text is an empty one (only the end). Repeated rows count, and are
 scored, as often as they occur. Without training rows every token is unknown. A null
@@ -39,7 +46,12 @@ from .shared import lean, shared_path, table, written
 
 #: Tokens that a task gathers before it passes counts on; rows of a shard; ids of a part of the contexts.
 GATHER, SHARD, PART_BITS = 4_000_000, 2_000_000, 18
+#: Followers of a pair up to which its sums are taken when they are needed, and pairs of a block of widths.
+FEW, BLOCK = 16, 64
 END = np.uint64(0x5851F42D4C957F2D)
+#: In place of a follower's id: the pair ends a text.
+NONE = 0xFFFFFFFF
+LOW = np.uint64(0xFFFFFFFF)
 
 
 def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -75,6 +87,51 @@ def _gathered(batches, each):
         yield _merge(held)
 
 
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Arrays of one length, byte by byte of their numbers, so that equal bytes stand together, compressed."""
+    planes = [np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes() for x in arrays]
+    return pa.compress(b"".join(planes), codec="zstd", asbytes=True)
+
+
+def _unpacked(blob, rows: int, *dtypes: str) -> list[np.ndarray]:
+    widths = [np.dtype(t).itemsize for t in dtypes]
+    data, out, at = np.frombuffer(pa.decompress(blob, rows * sum(widths), codec="zstd"), np.uint8), [], 0
+    for t, w in zip(dtypes, widths):
+        out.append(np.ascontiguousarray(data[at : at + rows * w].reshape(w, rows).T).view(t).reshape(-1))
+        at += rows * w
+    return out
+
+
+def _grams_packed(keys: np.ndarray, *others: np.ndarray) -> bytes:
+    """Sorted pairs of ids, the first ids as steps, and what stands beside them."""
+    return _packed(np.diff(keys >> np.uint64(32), prepend=np.uint64(0)).astype(np.uint32), (keys & LOW).astype(np.uint32), *others)
+
+
+def _grams_unpacked(blob, rows: int, *dtypes: str) -> list[np.ndarray]:
+    steps, low, *others = _unpacked(blob, rows, "u4", "u4", *dtypes)
+    return [(np.cumsum(steps, dtype=np.uint64) << np.uint64(32)) | low, *others]
+
+
+def _by_shard(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the keys by shard that keeps their own within it, and the bounds of the shards."""
+    shards = mapped.shard_of(keys, bits)
+    order = np.argsort(shards.astype(np.uint16) if bits <= 16 else shards, kind="stable")
+    return order, np.searchsorted(shards[order], np.arange((1 << bits) + 1))
+
+
+def _trigrams_merged(keys: np.ndarray, after: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (pair, follower) in order, and the sums of their counts."""
+    order = np.lexsort((after, keys))
+    keys, after, n = keys[order], after[order], n[order]
+    first = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (after[1:] != after[:-1]))) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], after[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _kinds(n: np.ndarray) -> np.ndarray:
+    """Of each count: itself, and whether it is one, two, more."""
+    return np.stack([n, n == 1, n == 2, n >= 3], axis=1).astype(np.int64)
+
+
 def discounts(n: np.ndarray) -> np.ndarray:
     """Discounts of counts 0, 1, 2 and 3 or more, from how many counts are 1, 2, 3 and 4."""
     n1, n2, n3, n4 = map(float, n)
@@ -88,12 +145,12 @@ def discounts(n: np.ndarray) -> np.ndarray:
 class Model:
     """Where the model's tables are, and its few numbers; picklable."""
 
-    def __init__(self, vocabulary: mapped.Mapped, bigrams: mapped.Mapped, contexts: str, tokens: int, size: int, types: int, d1: np.ndarray, d2: np.ndarray, free: float):
-        self.vocabulary, self.bigrams, self.contexts = vocabulary, bigrams, contexts
+    def __init__(self, order: int, vocabulary: mapped.Mapped, bigrams: mapped.Mapped, contexts: str, tokens: int, size: int):
+        self.order, self.vocabulary, self.bigrams, self.contexts = order, vocabulary, bigrams, contexts
         #: Training tokens, words of the vocabulary, different bigrams.
-        self.tokens, self.size, self.types = tokens, size, types
-        #: Discounts of the continuation counts and of the bigrams; the mass of the uniform distribution.
-        self.d1, self.d2, self.free = d1, d2, free
+        self.tokens, self.size, self.types = tokens, size, 0
+        #: Discounts of the words, pairs and trigrams; the mass of the uniform distribution.
+        self.d1, self.d2, self.d3, self.free = np.zeros(4), np.zeros(4), np.zeros(4), 1.0
 
     def ids(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Id (-1: unknown) and count of each token."""
@@ -112,18 +169,33 @@ class Model:
         before[bounds[:-1]] = self.size  # the start
         return before, (before.astype(np.uint64) << np.uint64(32)) | (ids.astype(np.uint64) & np.uint64(0xFFFFFFFF))
 
-    def _bigram_counts(self, keys: np.ndarray) -> np.ndarray:
-        distinct, back = np.unique(keys, return_inverse=True)
-        shards, places = self.bigrams.find(distinct)
-        out = np.zeros(len(distinct), np.int64)
+    def trigrams(self, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pair before each token, and the token; then each text's last pair, before no token."""
+        keys = self.pairs(ids, bounds)[1]
+        before = np.empty_like(keys)
+        before[1:] = keys[:-1]
+        before[bounds[:-1]] = (self.size << 32) | self.size
+        return np.append(before, keys[bounds[1:] - 1]), np.append(ids, np.full(len(bounds) - 1, NONE)).astype(np.uint32)
+
+    def _pair_counts(self, shards: np.ndarray, places: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """The count of each pair, given its place (-1: none)."""
+        out = np.zeros(len(places), np.int64)
         for s in np.unique(shards[places >= 0]):
             at, held = np.flatnonzero((shards == s) & (places >= 0)), self.bigrams.shard(int(s))
             found = held["n"][places[at]].astype(np.int64)
             many = np.flatnonzero(found == 255)
             if len(many):
-                found[many] = held["many_n"][np.searchsorted(held["many"], distinct[at[many]])]
+                found[many] = held["many_n"][np.searchsorted(held["many"], keys[at[many]])]
             out[at] = found
-        return out[back]
+        return out
+
+    def _followers(self, shards: np.ndarray, places: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How often each pair, given its place, is followed by the id; its total and its followers by kind."""
+        counts, kinds = np.zeros(len(places), np.int64), np.zeros((len(places), 4), np.int64)
+        for s in np.unique(shards[places >= 0]):
+            at, held = np.flatnonzero((shards == s) & (places >= 0)), self.bigrams.shard(int(s))
+            counts[at], kinds[at] = _in_shard(held, places[at], ids[at])
+        return counts, kinds
 
     def _context(self, ids: np.ndarray) -> np.ndarray:
         """The five numbers of each id."""
@@ -155,13 +227,81 @@ class Model:
             five = self._context(before[after])
             seen = five[:, 0] > 0
             after, five = after[seen], five[seen].astype(np.float64)
-            both = known[after]
-            c = np.zeros(len(after), np.int64)
-            c[both] = self._bigram_counts(keys[after[both]])
+            valid = np.append(known & (before >= 0), True)
+            keys = np.append(keys, np.uint64((self.size << 32) | self.size))
+            shards, places = np.zeros(len(keys), np.int64), np.full(len(keys), -1, np.int64)
+            shards[valid], places[valid] = self.bigrams.find(keys[valid])
+            c = self._pair_counts(shards[after], places[after], keys[after])
             p[after] = (c - self.d2[np.minimum(c, 3)] + five[:, 1:4] @ self.d2[1:] * p[after]) / five[:, 0]
+            if self.order == 3:
+                pair = np.arange(-1, len(ids) - 1)
+                pair[bounds[:-1]] = len(ids)  # two starts
+                n, kinds = self._followers(shards[pair], places[pair], ids)
+                seen = kinds[:, 0] > 0
+                n, kinds = n[seen], kinds[seen]
+                p[seen] = (n - self.d3[np.minimum(n, 3)] + kinds[:, 1:] @ self.d3[1:] * p[seen]) / kinds[:, 0]
         return {"n_tokens": np.diff(bounds), "n_known": words.sums(known.astype(np.int64), bounds), "base_score": words.sums(base, bounds), "score": words.sums(np.log10(p), bounds)}
 
 
+def _counts_at(held: dict, at: np.ndarray) -> np.ndarray:
+    """Counts of the followers at these places of a shard."""
+    out = held["count"][at].astype(np.int64)
+    lots = np.flatnonzero(out == 255)
+    if len(lots):
+        out[lots] = held["lots_n"][np.searchsorted(held["lots"], at[lots])]
+    return out
+
+
+def _in_shard(held: dict, places: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``Model._followers`` for pairs of one shard."""
+    block = places // BLOCK
+    width = held["width"].reshape(-1, BLOCK)[block]
+    start = held["start"][block] + np.where(np.arange(BLOCK) < (places % BLOCK)[:, None], width, 0).sum(axis=1, dtype=np.int64)
+    size = held["width"][places].astype(np.int64)
+    if len(held["wide"]):
+        more = np.append(0, np.cumsum(held["wide_n"] - 255))
+        start += more[np.searchsorted(held["wide"], places)] - more[np.searchsorted(held["wide"], block * BLOCK)]
+        full = np.flatnonzero(size == 255)
+        size[full] = held["wide_n"][np.searchsorted(held["wide"], places[full])]
+    kinds = np.zeros((len(places), 4), np.int64)
+    few, many = np.flatnonzero((size > 0) & (size <= FEW)), np.flatnonzero(size > FEW)
+    if len(few):
+        ends = np.cumsum(size[few])
+        at = np.arange(ends[-1]) + np.repeat(start[few] - (ends - size[few]), size[few])
+        kinds[few] = np.add.reduceat(_kinds(_counts_at(held, at)), ends - size[few], axis=0)
+    if len(many):
+        kinds[many] = held["big_kinds"].reshape(-1, 4)[np.searchsorted(held["big"], places[many])]
+    low, high, counts = start.copy(), start + size, np.zeros(len(places), np.int64)
+    open_ = np.flatnonzero((size > 0) & (ids >= 0))
+    asked = open_
+    while len(open_):
+        middle = (low[open_] + high[open_]) >> 1
+        less = held["after"][middle] < ids[open_]
+        low[open_[less]], high[open_[~less]] = middle[less] + 1, middle[~less]
+        open_ = open_[low[open_] < high[open_]]
+    asked = asked[low[asked] < (start + size)[asked]]
+    asked = asked[held["after"][low[asked]] == ids[asked]]
+    counts[asked] = _counts_at(held, low[asked])
+    return counts, kinds
+
+
+def _save_followers(path: str, shard: int, keys: np.ndarray, after: np.ndarray, n: np.ndarray) -> None:
+    """Write a shard's pairs and their followers: distinct (pair, follower) in order, with counts."""
+    real = after != NONE
+    pairs, first = np.unique(keys, return_index=True)
+    size = np.add.reduceat(real.astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
+    after, n = after[real], n[real]
+    start = np.cumsum(size) - size
+    width = np.zeros(-(-len(pairs) // BLOCK) * BLOCK, np.uint8)
+    width[: len(pairs)] = np.minimum(size, 255)
+    wide, big, lots = np.flatnonzero(size >= 255), np.flatnonzero(size > FEW), np.flatnonzero(n >= 255)
+    upto = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(_kinds(n), axis=0)])
+    mapped.save(
+        path, shard, keys=pairs, width=width, start=start[::BLOCK], wide=wide, wide_n=size[wide], big=big,
+        big_kinds=(upto[start[big] + size[big]] - upto[start[big]]).reshape(-1), after=after, count=np.minimum(n, 255).astype(np.uint8), lots=lots, lots_n=n[lots],
+    )
+
+
 #: Parts of the contexts that are open in this process, of one model at a time.
 _CONTEXTS: dict = {}
 
@@ -180,38 +320,84 @@ def _vocabulary(texts: DataFrame) -> tuple[mapped.Mapped, int, int]:
     return mapped.build(counted, size, "vocabulary", {"n": "i8"}), size, tokens
 
 
-def fit(texts: DataFrame) -> Model:
-    """Count and write the model of the column ``text`` of all rows."""
+def fit(texts: DataFrame, order: int = 3) -> Model:
+    """Count and write the model of the column ``text`` of all rows; ``order`` is 3 or 2."""
+    if order not in (2, 3):
+        raise ValueError("the order is 2 or 3")
     texts, spark = texts.select("text"), texts.sparkSession
     vocabulary, size, tokens = _vocabulary(texts)
     bits = mapped.shard_bits(tokens, SHARD)
-    bigrams = mapped.Mapped(shared_path(spark, "bigrams"), bits, {"n": "u1", "many": "u8", "many_n": "i8"})
-    model = Model(vocabulary, bigrams, shared_path(spark, "contexts"), tokens, size, 0, np.zeros(4), np.zeros(4), 1.0)
+    values = {"n": "u1", "many": "u8", "many_n": "i8"}
+    if order == 3:
+        values |= {"width": "u1", "after": "u4", "count": "u1"} | dict.fromkeys(("start", "wide", "wide_n", "big", "big_kinds", "lots", "lots_n"), "i8")
+    bigrams = mapped.Mapped(shared_path(spark, "pairs"), bits, values)
+    model = Model(order, vocabulary, bigrams, shared_path(spark, "contexts"), tokens, size)
+    blobs = "shard int, size long, blob binary"
+
+    def sent(keys: np.ndarray, *others: np.ndarray) -> pa.Table:
+        """A blob for each shard of sorted keys and of what stands beside them."""
+        by, cut = _by_shard(keys, bits)
+        full = np.flatnonzero(np.diff(cut))
+        packed = [_grams_packed(*(x[by[cut[s] : cut[s + 1]]] for x in (keys, *others))) for s in full]
+        return pa.table({"shard": full.astype(np.int32), "size": np.diff(cut)[full], "blob": pa.array(packed, pa.binary())})
+
+    def received(t: pa.Table, *dtypes: str) -> list[np.ndarray]:
+        parts = [_grams_unpacked(b.as_buffer(), n, *dtypes) for b, n in zip(t.column("blob").combine_chunks(), t.column("size").to_pylist())]
+        return [np.concatenate(x) for x in zip(*parts)]
 
     def pairs(part: pa.Array) -> np.ndarray:
         hashes, bounds = tokens_of(part)
         return model.pairs(model.ids(hashes)[0], bounds)[1]
 
-    def count(batches):
+    def count_pairs(batches):
         for keys, n in _gathered(batches, pairs):
-            shards = mapped.shard_of(keys, bits)
-            order = np.argsort(shards, kind="stable")
-            cut = np.searchsorted(shards[order], np.arange((1 << bits) + 1))
-            full = np.flatnonzero(np.diff(cut))
-            small = n.max() < 1 << 16
-            blobs = lambda x: [x[order[cut[s] : cut[s + 1]]].tobytes() for s in full]  # noqa: E731, B023
-            yield pa.RecordBatch.from_pydict({"shard": full.astype(np.int32), "keys": blobs(keys), "n": blobs(n.astype(np.uint16 if small else np.uint64))})
+            yield from sent(keys, n).to_batches()
+
+    def count_trigrams(batches):
+        held, n = [], 0
+
+        def merged():
+            keys, after = (np.concatenate(x) for x in zip(*held))
+            return sent(*_trigrams_merged(keys, after, np.ones(len(keys), np.int64))).to_batches()
+
+        for batch in batches:
+            for _, part in words.slices(words.texts_of(batch)):
+                hashes, bounds = tokens_of(part)
+                held.append(model.trigrams(model.ids(hashes)[0], bounds))
+                n += len(held[-1][0])
+                if n >= GATHER:
+                    yield from merged()
+                    held, n = [], 0
+        if held:
+            yield from merged()
+
+    def counts_of_counts(n: np.ndarray) -> bytes:
+        return np.bincount(np.minimum(n, 5), minlength=6)[1:5].astype(np.int64).tobytes()
+
+    def merge_trigrams(t: pa.Table) -> pa.Table:
+        """Write a shard's followers; return the counts of its counts and, for each shard of pairs, how many words it saw before each."""
+        keys, after, n = _trigrams_merged(*received(t, "u4", "i8"))
+        _save_followers(bigrams.path, t.column("shard")[0].as_py(), keys, after, n)
+        real = after != NONE
+        ends, preceding = np.unique((keys[real] << np.uint64(32)) | after[real], return_counts=True)
+        return pa.concat_tables([pa.table({"shard": pa.array([-1], pa.int32()), "size": [0], "blob": pa.array([counts_of_counts(n[real])], pa.binary())}), sent(ends, preceding)])
 
     def merge(t: pa.Table) -> pa.Table:
-        """Write a shard; return the counts of its counts and, in blobs by part, what it adds to each id's five numbers."""
-        read = lambda k, n: (np.frombuffer(k, np.uint64), np.frombuffer(n, np.uint16 if len(n) * 4 == len(k) else np.uint64))
-        keys, n = _merge([read(k.as_buffer(), x.as_buffer()) for k, x in zip(t.column("keys").combine_chunks(), t.column("n").combine_chunks())])
+        """Write a shard's pairs; return the counts of its counts and, in blobs by part, what it adds to each id's five numbers."""
+        keys, n = _merge([tuple(received(t, "i8"))])
         shard, many = t.column("shard")[0].as_py(), n >= 255
-        mapped.save(bigrams.path, shard, keys=keys, n=np.minimum(n, 255).astype(np.uint8), many=keys[many], many_n=n[many])
-        out = {"part": [-1], "ids": [b""], "five": [np.bincount(np.minimum(n, 5), minlength=6)[1:5].astype(np.int64).tobytes()]}
-        before, after = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        if order == 2:
+            mapped.save(bigrams.path, shard, keys=keys)
+            held = keys
+        else:
+            held = mapped._array(bigrams.path, shard, "keys", "u8")
+        short = np.zeros(len(held), np.uint8)
+        short[np.searchsorted(held, keys)] = np.minimum(n, 255)
+        mapped.save(bigrams.path, shard, n=short, many=keys[many], many_n=n[many])
+        out = {"part": [-1], "ids": [b""], "five": [counts_of_counts(n)]}
+        before, after = (keys >> np.uint64(32)).astype(np.int64), (keys & LOW).astype(np.int64)
         ids, start = np.unique(before, return_index=True)
-        kinds = np.stack([n, n == 1, n == 2, n >= 3, np.zeros(len(n), np.int64)], axis=1).astype(np.int64)
+        kinds = np.append(_kinds(n), np.zeros((len(n), 1), np.int64), axis=1)
         conts, of = np.unique(after, return_counts=True)
         left, right = np.add.reduceat(kinds, start, axis=0) if len(ids) else kinds, np.stack([of * 0] * 4 + [of], axis=1)
         for own, five in ((ids, left), (conts, right)):
@@ -223,22 +409,30 @@ def fit(texts: DataFrame) -> Model:
                 out["five"].append(five[a:b].astype(np.uint32 if five[a:b].max() < 1 << 32 else np.int64).tobytes())
         return pa.table({"part": pa.array(out["part"], pa.int32()), "ids": pa.array(out["ids"], pa.binary()), "five": pa.array(out["five"], pa.binary())})
 
-    merged = written(texts.mapInArrow(lean(count), "shard int, keys binary, n binary").groupBy("shard").applyInArrow(merge, "part int, ids binary, five binary"), "merged")
+    def total(rows: DataFrame, column: str) -> np.ndarray:
+        return sum((np.frombuffer(r[0], np.int64) for r in rows.select(column).toLocalIterator()), np.zeros(4, np.int64))
+
+    counted = texts.mapInArrow(lean(count_trigrams if order == 3 else count_pairs), blobs)
+    if order == 3:
+        counted = written(counted.groupBy("shard").applyInArrow(merge_trigrams, blobs), "preceding")
+        model.d3 = discounts(total(counted.filter("shard < 0"), "blob"))
+        counted = counted.filter("shard >= 0")
+    merged = written(counted.groupBy("shard").applyInArrow(merge, "part int, ids binary, five binary"), "merged")
 
     def add(t: pa.Table) -> pa.Table:
         """Write a part of the contexts; return the counts of its continuation counts, and their sum."""
         part = t.column("part")[0].as_py()
-        total = np.zeros((min(size + 1 - (part << PART_BITS), 1 << PART_BITS), 5), np.int64)
+        sums = np.zeros((min(size + 1 - (part << PART_BITS), 1 << PART_BITS), 5), np.int64)
         for ids, five in zip(t.column("ids").combine_chunks(), t.column("five").combine_chunks()):
             ids = np.frombuffer(ids.as_buffer(), np.uint32)
-            total[ids] += np.frombuffer(five.as_buffer(), np.uint32 if len(five.as_buffer()) == 20 * len(ids) else np.int64).reshape(-1, 5)
-        mapped.save(model.contexts, part, five=total.reshape(-1))
-        counts = np.bincount(np.minimum(total[:, 4], 5), minlength=6)
-        return pa.table({f"n{k}": [int(counts[k])] for k in range(1, 5)} | {"more": [int(counts[3:].sum())], "types": [int(total[:, 4].sum())]})
+            sums[ids] += np.frombuffer(five.as_buffer(), np.uint32 if len(five.as_buffer()) == 20 * len(ids) else np.int64).reshape(-1, 5)
+        mapped.save(model.contexts, part, five=sums.reshape(-1))
+        counts = np.bincount(np.minimum(sums[:, 4], 5), minlength=6)
+        return pa.table({f"n{k}": [int(counts[k])] for k in range(1, 5)} | {"more": [int(counts[3:].sum())], "types": [int(sums[:, 4].sum())]})
 
     numbers = "n1 long, n2 long, n3 long, n4 long, more long, types long"
     low = merged.filter("part >= 0").groupBy("part").applyInArrow(add, numbers).agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("n1", "n2", "n3", "n4", "more", "types"))).first()
-    high = sum((np.frombuffer(r.five, np.int64) for r in merged.filter("part < 0").select("five").toLocalIterator()), np.zeros(4, np.int64))
+    high = total(merged.filter("part < 0"), "five")
     model.d1, model.d2, model.types = discounts(low[:4]), discounts(high), low[5]
     if model.types:
         model.free = float(model.d1[1] * low[0] + model.d1[2] * low[1] + model.d1[3] * low[4]) / model.types

@@ -62,31 +62,60 @@ def test_op3_is_exact(spark, docs):
     assert {r.doc_id: r.text for r in linedup.op3_line_dedup(spark, SF).collect()} == want
 
 
-def test_op4_is_the_formula_and_sums_to_one(spark, docs):
+@pytest.mark.parametrize("order", [2, 3])
+def test_op4_is_the_formula_and_sums_to_one(spark, docs, monkeypatch, order):
     tokens = {i: re.findall(r"[^\x20\x09-\x0D]+", brute.lower(x)) + ["</s>"] for i, x in rows(docs)}
     train = [x for i, x in tokens.items() if zlib.crc32(str(i).encode()) % 7 != 2]
-    uni, bi = collections.Counter(w for x in train for w in x), collections.Counter(p for x in train for p in zip(["<s>", *x], x))
-    cont, total, follow = collections.Counter(w for _, w in bi), collections.Counter(), collections.defaultdict(lambda: [0, 0, 0])
-    for (u, _), n in bi.items():
-        total[u] += n
-        follow[u][min(n, 3) - 1] += 1
-    of = lambda c: kneser_ney.discounts(np.array([sum(v == k for v in c.values()) for k in (1, 2, 3, 4)]))
-    d1, d2, size = of(cont), of(bi), len(uni)
-    free = sum(d1[min(v, 3)] for v in cont.values()) / len(bi)
-    low = lambda w: (cont[w] - d1[min(cont[w], 3)]) / len(bi) * (w in cont) + free / (size + 1)
-
-    def p(u, w):
-        n = bi.get((u, w), 0)
-        return (n - d2[min(n, 3)] + sum(d2[k + 1] * follow[u][k] for k in range(3)) * low(w)) / total[u] if total[u] else low(w)
-
-    assert all(math.isclose(sum(p(u, w) for w in uni) + p(u, "<unknown>"), 1) for u in list(total)[:3])
+    uni = collections.Counter(w for x in train for w in x)
+    grams = lambda x: [tuple((["<s>"] * (order - 1) + x)[k : k + order]) for k in range(len(x))]
+    counts = {order: collections.Counter(g for x in train for g in grams(x))}
+    for n in range(order - 1, 0, -1):
+        counts[n] = collections.Counter(g[1:] for g in counts[n + 1])
+    d = {n: kneser_ney.discounts(np.array([sum(v == k for v in c.values()) for k in (1, 2, 3, 4)])) for n, c in counts.items()}
+    total, free = collections.Counter(), collections.Counter()
+    for n, c in counts.items():
+        for g, v in c.items():
+            total[n, g[:-1]] += v
+            free[n, g[:-1]] += d[n][min(v, 3)]
+
+    def p(g):
+        n = len(g)
+        low = p(g[1:]) if n > 1 else 1 / (len(uni) + 1)
+        if not total[n, g[:-1]]:
+            return low
+        c = counts[n][g]
+        return (c - d[n][min(c, 3)] + free[n, g[:-1]] * low) / total[n, g[:-1]]
+
+    seen = [g[:-1] for g in counts[order]]
+    assert all(math.isclose(sum(p((*g, w)) for w in uni) + p((*g, "<unknown>")), 1) for g in [seen[0], seen[len(seen) // 2], seen[-1]])
+    fit = kneser_ney.fit
+    monkeypatch.setattr(kneser_ney, "fit", lambda texts: fit(texts, order))
     for r in kneser_ney.op4_kneser_ney(spark, SF).collect():
         x = tokens[r.doc_id]
-        assert math.isclose(r.score, sum(math.log10(p(u, w)) for u, w in zip(["<s>", *x], x)), rel_tol=1e-9)
-        assert math.isclose(r.base_score, sum(math.log10((uni[w] + 1) / (sum(uni.values()) + size + 1)) for w in x), rel_tol=1e-9)
+        assert math.isclose(r.score, sum(math.log10(p(g)) for g in grams(x)), rel_tol=1e-9)
+        assert math.isclose(r.base_score, sum(math.log10((uni[w] + 1) / (sum(uni.values()) + len(uni) + 1)) for w in x), rel_tol=1e-9)
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(x), sum(w in uni for w in x), sum(uni.values()))
 
 
+def test_op4_counts_of_any_size(spark, documents):
+    """A pair with more followers, and followers with more occurrences, than a byte counts."""
+    texts = [" ".join(f"a b w{k}" for k in range(700)), "a b w3 " * 600, "c d"]
+    model = kneser_ney.fit(documents(list(enumerate(texts))), 3)
+    got = [r.score for r in kneser_ney.scored(documents([(0, "a b w3"), (1, "a b w699"), (2, "a b zz")]), model).sort("doc_id").collect()]
+    assert got[0] > got[1] > got[2]
+    ids = [int(x) for x in model.ids(kneser_ney.tokens_of(kneser_ney.words.texts_of(pa_batch("a b w3 w699 w0")))[0])[0]]
+    keys = np.array([(ids[0] << 32) | ids[1]] * 3, np.uint64)
+    shards, places = model.bigrams.find(keys)
+    n, kinds = model._followers(shards, places, np.array([ids[2], ids[3], ids[4]]))
+    assert n.tolist() == [601, 1, 1] and kinds[0].tolist() == [1300, 699, 0, 1]
+
+
+def pa_batch(*texts):
+    import pyarrow as pa
+
+    return pa.RecordBatch.from_pydict({"text": list(texts)})
+
+
 @pytest.mark.parametrize("crowd", [2, 32])
 def test_op5_is_exact(spark, docs, monkeypatch, crowd):
     monkeypatch.setattr(neardup, "CROWD", crowd)
