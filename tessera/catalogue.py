@@ -505,6 +505,6 @@ def upserts(spark, t):
     return R.upserted(old, new, ["c_custkey"])
 
 
-from . import catalogue_builds  # noqa: E402, F401  registers its queries
+from . import catalogue_builds, catalogue_checks  # noqa: E402, F401  registers its queries
 
 FLAGSHIP = QUERIES["pairs_same_key"]

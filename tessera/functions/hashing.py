@@ -57,3 +57,10 @@ def kept_pair(fraction: float, seed: int, pair: Column, label: Column | None = N
 def stable_id(text: pd.Series) -> pd.Series:
     """24 hex digits of each text's 12-byte BLAKE2b digest; for use in a pandas function of Spark."""
     return text.map(lambda x: None if x is None else hashlib.blake2b(x.encode(), digest_size=12).hexdigest())
+
+
+def table_digest(*columns: str) -> Column:
+    """Aggregate: a digest of a table's rows in these columns in whatever order; repeated rows count."""
+    text = F.concat_ws("\t", *(F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in columns))
+    part = lambda at: F.sum(F.conv(F.substring(F.sha2(text, 256), at, 8), 16, 10).cast("decimal(38,0)"))
+    return F.sha2(F.concat_ws("|", F.count("*"), *(part(1 + 8 * k) for k in range(4))), 256)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .expressions import sigmoid
+
 
 def _share(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a.cast("double"), b), F.lit(0.0))
@@ -71,6 +73,39 @@ def auroc(rows: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
     return total.select(*by, F.try_divide(F.col("s") - F.col("p") * (F.col("p") + 1) / 2, F.col("p") * F.col("q")).alias("auroc"))
 
 
+def binary_metrics(rows: DataFrame, label: str, logit: str, by: list[str], threshold: float = 0.5) -> DataFrame:
+    """The whole set for each slice: AUROC, accuracy, F1 scores, precision, recall, shares, and each label's own block.
+
+    A row is predicted positive if the sigmoid of its logit reaches ``threshold``.
+    ``positive_rate`` is the labels' share of 1; ``parse_rate`` the share of rows whose logit
+    is a number: the others count nowhere else. ``label_A_`` names the positive class, ``label_B_`` the
+    negative one, each with precision, recall, F1 and how often it is predicted.
+    """
+    keys = [F.col(c) for c in by] or [F.lit(0)]
+    names = [f"__by{k}" for k in range(len(keys))]
+    held = rows.select(*(c.alias(n) for c, n in zip(keys, names)), F.col(label).alias("y"), F.col(logit).cast("double").alias("x"))
+    parsed = held.groupBy(*names).agg(F.avg((F.col("x").isNotNull() & ~F.isnan("x")).cast("double")).alias("parse_rate"))
+    held = held.filter("x is not null and not isnan(x)").withColumn("s", sigmoid(F.col("x"))).withColumn("p", (F.col("s") >= threshold).cast("int"))
+    tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
+    out = with_metrics(confusion(held, "y", "p", names)).withColumns(
+        {
+            "positive_rate": _share(tp + fn, F.col("n")),
+            "label_A_precision": F.col("precision"),
+            "label_A_recall": F.col("recall"),
+            "label_A_f1": F.col("f1"),
+            "label_A_predicted": tp + fp,
+            "label_B_precision": _share(tn, tn + fn),
+            "label_B_recall": _share(tn, tn + fp),
+            "label_B_f1": _f1(tn, fn, fp),
+            "label_B_predicted": tn + fn,
+        }
+    )
+    for other in (auroc(held, "y", "s", names), parsed):
+        same = [out[n].eqNullSafe(other[n]) for n in names]
+        out = out.join(other, same).select(*(out[c] for c in out.columns), *(other[c] for c in other.columns if c not in names))
+    return out.withColumnsRenamed(dict(zip(names, by))) if by else out.drop(*names)
+
+
 def tuned_threshold(rows: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
     """For each slice the threshold (predict from it on) of best macro F1, then accuracy, precision, and the lower one.
 

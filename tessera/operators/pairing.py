@@ -95,3 +95,15 @@ def materialised(pairs: DataFrame, records: DataFrame) -> DataFrame:
     """Pairs (``id_a``, ``id_b``, others) with each end's record as a struct."""
     ends = lambda s: records.select(F.col("id").alias(f"id_{s}"), F.struct(*records.columns).alias(f"record_{s}"))
     return pairs.join(ends("a"), "id_a").join(ends("b"), "id_b")
+
+
+def strictly_materialised(pairs: DataFrame, records: DataFrame, text: str) -> DataFrame:
+    """``materialised``, but a task fails at a pair whose end isn't there, or isn't the record that ``{text}_a`` and ``{text}_b`` say."""
+    ends = lambda s: records.select(F.col("id").alias(f"id_{s}"), F.struct(*records.columns).alias(f"record_{s}"))
+    out = pairs.join(ends("a"), "id_a", "left").join(ends("b"), "id_b", "left")
+    for s in ("a", "b"):
+        record, said = F.col(f"record_{s}"), F.col(f"{text}_{s}")
+        fault = F.when(record.isNull(), "no record ").when(~said.eqNullSafe(record[text]), "another record under ")
+        failed = F.raise_error(F.concat(fault, F.coalesce(F.col(f"id_{s}").cast("string"), F.lit("null"))))
+        out = out.withColumn(f"record_{s}", F.when(fault.isNotNull(), failed).otherwise(record))
+    return out

@@ -143,3 +143,30 @@ def pair_overlap(held: DataFrame, train: DataFrame) -> DataFrame:
         rows = rows.join(ends.select(F.col("end").alias(c), F.lit(1).alias(f"has_{c}")), c, "left")
     both = F.col("has_source").isNotNull() & F.col("has_target").isNotNull()
     return rows.agg(F.count("*").alias("pairs"), F.count("same").alias("directed"), F.count("pair").alias("either"), F.count_if(both).alias("both_ends"))
+
+
+def selections(pairs: DataFrame, selected: DataFrame, added: list[str]) -> DataFrame:
+    """A row for each time that a pair (``id_a`` < ``id_b``) was selected, with the selection's columns ``added``."""
+    return pairs.join(selected.select("id_a", "id_b", *added), ["id_a", "id_b"])
+
+
+def kept_from_training(selected: DataFrame, subset: str = "subset", both: str = "no_overlap", target: str = "a_seen_only") -> DataFrame:
+    """``entity``: those that no training pair may hold. Both ends of ``both`` pairs, the second (by direction) of ``target`` pairs.
+
+    ``selected`` has ``entity_a``, ``entity_b`` and ``direction``.
+    """
+    forth = F.col("direction") == "a_to_b"
+    first, second = F.when(forth, F.col("entity_a")).otherwise(F.col("entity_b")), F.when(forth, F.col("entity_b")).otherwise(F.col("entity_a"))
+    ends = F.when(F.col(subset) == both, F.array(first, second)).when(F.col(subset) == target, F.array(second))
+    return selected.select(F.explode(ends).alias("entity")).distinct()
+
+
+def pool_order(subset: Column, first_kept: Column, second_kept: Column, degrees: Column, priority: Column) -> Column:
+    """What candidates of a pool are taken by, least first: preferred ends, then high degrees, then the hash.
+
+    ``no_overlap`` prefers pairs with more ends that are kept from training anyway,
+    ``a_seen_only`` those of which the second end is and the first isn't, others those with fewer.
+    """
+    a, b = first_kept.cast("int"), second_kept.cast("int")
+    preferred = F.when(subset == "no_overlap", -(a + b)).when(subset == "a_seen_only", a - b).otherwise(a + b)
+    return F.struct(preferred.alias("preferred"), (-degrees).alias("degrees"), priority.alias("priority"))

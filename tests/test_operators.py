@@ -203,3 +203,43 @@ def test_stable_ids():
     import pandas as pd
 
     assert H.stable_id(pd.Series(["a|1", None])).tolist() == [hashlib.blake2b(b"a|1", digest_size=12).hexdigest(), None]
+
+
+def test_logs_and_layouts(spark, tmp_path):
+    import pytest
+
+    from tessera.sources import layouts, logs
+
+    (tmp_path / "run.log").write_text("x {'eval_val_auroc': '0.5',\n 'eval_val_f1': 'nan?', 'epoch': '1.0'} {'epoch': '2'} {}\n{'loss': '3', 'learning_rate': '4d', 'epoch': '1'}")
+    got = logs.run_metrics(logs.read_logs(spark, str(tmp_path / "run.log"))).collect()
+    assert sorted(tuple(r) for r in got) == [(1.0, "train", "loss", 3.0), (1.0, "val", "auroc", 0.5)]
+    spark.range(7).coalesce(1).write.parquet(f"{tmp_path}/d/validation_1")
+    spark.range(3).write.json(f"{tmp_path}/d/test.jsonl")
+    part = next((tmp_path / "d/validation_1").glob("part-*.parquet"))
+    part.rename(part.with_name("part-00000.parquet"))
+    (tmp_path / f"d/validation_1/.{part.name}.crc").unlink()
+    path = layouts.record_split_path(spark, f"{tmp_path}/d", "valid")
+    assert path.endswith("/validation_1/part-00000.parquet") and layouts.row_count(spark, path) == 7
+    assert layouts.read_split(spark, f"{tmp_path}/d", "test").count() == 3 and layouts.read_split(spark, f"{tmp_path}/d", "validation_1", rows=2).count() == 2
+    with pytest.raises(ValueError):
+        layouts.split_name("dev")
+    with pytest.raises(FileNotFoundError):
+        layouts.record_split_path(spark, f"{tmp_path}/d", "train")
+
+
+def test_strict_ends_fail(spark):
+    import pytest
+
+    records = spark.createDataFrame([(1, "x"), (2, "y")], "id long, name string")
+    for pair, fault in (((1, 3, "x", "z"), "no record 3"), ((1, 2, "x", "x"), "another record under 2")):
+        rows = spark.createDataFrame([pair], "id_a long, id_b long, name_a string, name_b string")
+        with pytest.raises(Exception, match=fault):
+            P.strictly_materialised(rows, records, "name").collect()
+
+
+def test_whole_metrics_of_one_slice(spark):
+    df = spark.createDataFrame([(1, 2.0), (1, -1.0), (0, -2.0), (0, None), (1, float("nan"))], "y int, x double")
+    r = M.binary_metrics(df, "y", "x", []).first()
+    assert (r.auroc, r.parse_rate, r.n, r.label_A_predicted, r.label_B_predicted, r.label_B_recall) == (1.0, 0.6, 3, 1, 2, 1.0)
+    slices = spark.createDataFrame([(None, 1, 1.0), ("a", 0, 1.0)], "g string, y int, x double")
+    assert {(r.g, r.accuracy, r.auroc) for r in M.binary_metrics(slices, "y", "x", ["g"]).collect()} == {(None, 1.0, None), ("a", 0.0, None)}
