@@ -13,8 +13,9 @@ name the response and the digest. Payloads are told apart by SHA-1 and length.
 
 Defined cases: null payloads are empty ones. A null id counts as the smallest. Rows that
 repeat id and payload are each written; those with the largest id are all responses.
-Payloads shorter than ``least`` bytes are always responses. Columns other than the id
-and the payload aren't archived.
+Payloads shorter than ``least`` bytes are always responses. The column ``url``, where there
+is one, is the target URI, with other bytes than printable ASCII percent-encoded; where it
+is null, empty or missing, the record's own identifier is. Other columns aren't archived.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ import base64
 import hashlib
 import struct
 from collections.abc import Iterator
+from datetime import datetime, timezone
+from urllib.parse import quote
 
 import pyarrow as pa
 import zstandard
@@ -32,6 +35,7 @@ from pyspark.sql import functions as F
 from .shared import lean, table, written
 
 FRAME_BYTES, BUNDLE_BYTES = 256 << 10, 8 << 20
+PRINTABLE = "".join(map(chr, range(0x21, 0x7F)))
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 INDEX = "array<struct<record_id: string, frame: int, at: int, size: int>>"
 BUNDLE = f"bundle binary, records {INDEX}"
@@ -49,11 +53,11 @@ def _uri(record_id: str | None) -> str:
     return f"<urn:record:{'' if record_id is None else record_id}>"
 
 
-def record_bytes(record_id, record_type, refers_to, digest, payload: bytes, size: int) -> bytes:
-    """One WARC/1.1 record: its block is an HTTP response, or only the header of one for a revisit."""
+def record_bytes(record_id, record_type, refers_to, digest, payload: bytes, size: int, url: str | None, date: str) -> bytes:
+    """One WARC/1.1 record of ``date`` (UTC, as in 2020-01-31T12:00:00Z): its block is an HTTP response, or only the header of one for a revisit."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     block = http if record_type == "revisit" else http + payload
-    head = [f"WARC/1.1\r\nWARC-Type: {record_type}", f"WARC-Record-ID: {_uri(record_id)}", "Content-Type: application/http; msgtype=response", f"WARC-Payload-Digest: sha1:{digest}"]
+    head = [f"WARC/1.1\r\nWARC-Type: {record_type}", f"WARC-Record-ID: {_uri(record_id)}", f"WARC-Date: {date}", f"WARC-Target-URI: {quote(url, safe=PRINTABLE) if url else _uri(record_id)[1:-1]}", "Content-Type: application/http; msgtype=response", f"WARC-Payload-Digest: sha1:{digest}"]
     if record_type == "revisit":
         head += [f"WARC-Refers-To: {_uri(refers_to)}", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
     return "\r\n".join([*head, f"Content-Length: {len(block)}", "", ""]).encode() + block + b"\r\n\r\n"
@@ -130,28 +134,30 @@ def records_in(bundle: bytes, wanted: list[dict]) -> Iterator[bytes]:
 
 
 def with_roles(rows: DataFrame, least: int = 0) -> DataFrame:
-    """``rows`` (id, payload) with digest, size, record_type and refers_to.
+    """``rows`` (id, payload, and url if there is one) with digest, size, record_type and refers_to.
 
     Digests that occur more than once are counted first, with partial sums, and written;
     only they are joined to the payloads, so that Spark can split a crowded digest's rows.
     """
-    known = rows.select("id", F.coalesce("payload", F.lit(b"")).alias("payload")).withColumns({"payload_digest": digest32(F.col("payload")), "payload_bytes": F.octet_length("payload").cast("long")})
+    url = F.col("url") if "url" in rows.columns else F.lit(None)
+    known = rows.select("id", url.cast("string").alias("url"), F.coalesce("payload", F.lit(b"")).alias("payload")).withColumns({"payload_digest": digest32(F.col("payload")), "payload_bytes": F.octet_length("payload").cast("long")})
     key = ["payload_digest", "payload_bytes"]
     again = known.filter(F.col("payload_bytes") >= least).groupBy(*key).agg(F.max("id").alias("first_id"), F.count("*").alias("n")).filter("n > 1").drop("n")
     joined = known.join(written(again, "warc-repeats").hint("shuffle_hash"), key, "left")
     is_revisit = F.col("first_id").isNotNull() & ~F.col("id").eqNullSafe(F.col("first_id"))
-    return joined.select("id", "payload", *key, F.when(is_revisit, "revisit").otherwise("response").alias("record_type"), F.when(is_revisit, F.col("first_id")).alias("refers_to"))
+    return joined.select("id", "url", "payload", *key, F.when(is_revisit, "revisit").otherwise("response").alias("record_type"), F.when(is_revisit, F.col("first_id")).alias("refers_to"))
 
 
-def write_bundles(rows: DataFrame) -> DataFrame:
-    """Bundles (columns of ``BUNDLE``) of the rows that ``with_roles`` returns."""
-    wide = rows.select(F.col("id").cast("string").alias("id"), "record_type", F.col("refers_to").cast("string").alias("refers_to"), "payload_digest", "payload_bytes", F.when(F.col("record_type") == "response", F.col("payload")).alias("payload"))
+def write_bundles(rows: DataFrame, date: str | None = None) -> DataFrame:
+    """Bundles (columns of ``BUNDLE``) of the rows that ``with_roles`` returns, all of one date: now, if none is given."""
+    date = date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+    wide = rows.select(F.col("id").cast("string").alias("id"), "record_type", F.col("refers_to").cast("string").alias("refers_to"), "payload_digest", "payload_bytes", F.when(F.col("record_type") == "response", F.col("payload")).alias("payload"), "url")
 
     def records(batches):
         for batch in batches:
-            for row in zip(*(batch.column(k) for k in range(6))):
-                i, kind, refers, digest, size, payload = (x.as_py() for x in row)
-                yield i, record_bytes(i, kind, refers, digest, payload or b"", size)
+            for row in zip(*(batch.column(k) for k in range(7))):
+                i, kind, refers, digest, size, payload, url = (x.as_py() for x in row)
+                yield i, record_bytes(i, kind, refers, digest, payload or b"", size, url, date)
 
     def pack(batches):
         for bundle, index in bundles_of(records(batches)):
@@ -194,6 +200,6 @@ def lookup(bundles: DataFrame, record_ids: DataFrame) -> DataFrame:
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    archives = written(write_bundles(with_roles(pages.select(F.col("page_id").alias("id"), F.encode("html", "UTF-8").alias("payload")))), "warc")
+    archives = written(write_bundles(with_roles(pages.select(F.col("page_id").alias("id"), "url", F.encode("html", "UTF-8").alias("payload")))), "warc")
     return read_records(archives, payloads=False).select(F.col("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
 

@@ -45,6 +45,17 @@ def test_warc(spark):
     assert kept[1] == kept[2] == kept[3] == "response"
 
 
+def test_warc_headers(spark):
+    rows = [(1, b"x", "http://h/a b\r\nX: y\u00e9%20"), (2, b"x", None), (3, b"", "")]
+    df = spark.createDataFrame(rows, "id long, payload binary, url string").withColumn("first_id", F.lit("clash"))
+    got = {}
+    for b in warc.write_bundles(warc.with_roles(df), "2020-01-31T12:00:00Z").collect():
+        for x, r in zip(b.records, warc.records_in(bytes(b.bundle), [x.asDict() for x in b.records])):
+            got[x.record_id] = dict(h.split(": ", 1) for h in r.partition(b"\r\n\r\n")[0].decode().split("\r\n")[1:])
+    assert {k: h["WARC-Target-URI"] for k, h in got.items()} == {"1": "http://h/a%20b%0D%0AX:%20y%C3%A9%20", "2": "urn:record:2", "3": "urn:record:3"}
+    assert {h["WARC-Date"] for h in got.values()} == {"2020-01-31T12:00:00Z"} and got["1"]["WARC-Type"] == "revisit"
+
+
 def test_bundles_are_seekable_and_standard():
     import zstandard
 
