@@ -320,14 +320,16 @@ def train_routing(spark, t):
 
 
 @query(
-    f"{PAIRS}, d AS (SELECT id_a AS s, id_b AS t FROM pairs UNION ALL SELECT id_b, id_a FROM pairs), held AS (SELECT * FROM d WHERE (s + t) % 11 = 0), train AS (SELECT * FROM d WHERE (2 * s + t) % 7 = 0 AND s % 13 <> 0), e AS (SELECT s AS x FROM train UNION SELECT t FROM train) "
+    f"{PAIRS}, d AS (SELECT id_a AS s, id_b AS t FROM pairs UNION ALL SELECT id_b, id_a FROM pairs), sided AS (SELECT *, (2 * s + t) % 5 = 0 AS is_held FROM d), held AS (SELECT s, t FROM sided WHERE is_held), train AS (SELECT s, t FROM sided WHERE NOT is_held OR s % 13 = 0), e AS (SELECT s AS x FROM train UNION SELECT t FROM train) "
     "SELECT count(*) AS pairs, count(*) FILTER (EXISTS (SELECT 1 FROM train r WHERE r.s = h.s AND r.t = h.t)) AS directed, "
     "count(*) FILTER (EXISTS (SELECT 1 FROM train r WHERE least(r.s, r.t) = least(h.s, h.t) AND greatest(r.s, r.t) = greatest(h.s, h.t))) AS either, count(*) FILTER (h.s IN (SELECT x FROM e) AND h.t IN (SELECT x FROM e)) AS both_ends FROM held h"
 )
 def pair_overlaps(spark, t):
     ways = P.both_directions(_pairs(t).select("id_a", "id_b"))
     s, q = F.col("source"), F.col("target")
-    return S.pair_overlap(ways.filter((s + q) % 11 == 0), ways.filter(((2 * s + q) % 7 == 0) & (s % 13 != 0)))
+    # each directed pair has a side; some held-out ones are planted in training as well
+    held = (2 * s + q) % 5 == 0
+    return S.pair_overlap(ways.filter(held), ways.filter(~held | (s % 13 == 0)))
 
 
 @query(f"{PAIRS} SELECT entity, count(*) AS cost FROM (SELECT name_a AS entity FROM pairs UNION ALL SELECT name_b FROM pairs) GROUP BY entity")
