@@ -25,6 +25,8 @@ from .words import SLICE_BYTES, mix, slices, sums, texts_of
 BUCKETS, ORDERS, UNKNOWN = 1 << 16, (1, 2, 3), "und"
 #: More languages than this aren't broadcast: 1,000 x 65,536 floats are 262 MB.
 MOST_LANGUAGES = 1_000
+#: Log-probabilities gathered at a time (32 MB), whatever the number of languages.
+GATHERED = 1 << 22
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -57,7 +59,9 @@ class Model:
             return [UNKNOWN] * len(texts), np.zeros(len(texts))
         total = np.tile(self.prior, (len(texts), 1))
         for held, bounds in gram_buckets(texts, self.buckets, self.orders):
-            total += sums(self.matrix[held].astype(np.float64), bounds)
+            step = max(1, GATHERED // max(1, len(held)))
+            for k in range(0, len(self.languages), step):
+                total[:, k : k + step] += sums(self.matrix[:, k : k + step][held].astype(np.float64), bounds)
         best = total.argmax(axis=1)
         chance = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
         known = np.array([bool(_LETTER.search(x)) for x in texts], bool)
