@@ -17,17 +17,18 @@ The lexicon is bounded: as many terms as a document has on average, divided by
 in the plan (an array literal), so that documents are never shuffled to look up terms.
 
 The text edited by the following document: documents are dealt by ranges of doc_id (cut
-points are percentiles) to as many parts as there are shuffle partitions; within a part
-the next document is the next row, and the first row of each part, one per part, serves
-the last row of the part before.
+points are percentiles), and an id of many rows by ranges of its texts' hashes, to parts
+of about ``PART_BYTES``; within a part the next document is the next row, and the first
+row of each part, one per part, serves the last row of the part before.
 
 Defined cases: a null text is an empty one. Texts without a kept term have the
 fingerprint ``0`` and are alike only to each other. Documents of equal doc_id follow each
-other in the order of their texts; a null doc_id comes last. Other columns are ignored.
+other in the order of their texts' hashes; a null doc_id comes last. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import collections
 import json
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -36,6 +37,10 @@ from pyspark.sql import functions as F
 from .shared import table, written
 
 LEAST_SHARE, MOST_SHARE, SUBSETS, BITS, PROBES = 1 / 1000, 1 / 10, 24, 1 << 24, 3
+#: Bytes of text of a part; more parts than ``MOST_PARTS`` aren't named in the plan (parts grow then, and their sorts spill).
+PART_BYTES, MOST_PARTS = 32 << 20, 10_000
+#: Where rows without a doc_id are: after all others.
+NO_ID = -(2**63)
 
 
 def terms(text: Column) -> Column:
@@ -122,34 +127,58 @@ def likeness(a: str, b: str) -> Column:
     return F.when(x == y, 1.0).when((x == "0") | (y == "0") | (F.abs(apart) > 2), 0.0).otherwise(share.cast("double"))
 
 
-def followed(docs: DataFrame, parts: int, sign) -> DataFrame:
-    """``docs`` (doc_id, text) with their fingerprint (``sign`` of the text) and the next document's text and fingerprint.
+def _parts(docs: DataFrame, least: int) -> tuple[Column, int]:
+    """The number of a row's part (a column) and how many tasks to deal them to: parts follow each other in the order of doc_id (descending) and the text's hash.
 
-    The next document is that of the next smaller doc_id; after the last comes the first.
+    There is a part for every ``PART_BYTES`` of text, ``least`` at least and ``MOST_PARTS``
+    at most. Cut points are percentiles of doc_id; an id (or null) on which several of
+    them fall is cut by its texts' hashes as often.
     """
-    cuts = docs.select(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)], 100 * parts)).first()[0] if parts > 1 else None
-    cuts = sorted(set(cuts or []), reverse=True)
+    key = F.coalesce("doc_id", F.lit(NO_ID))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = min(MOST_PARTS, max(least, -(-size // PART_BYTES)))
+    cuts = docs.select(F.percentile_approx(key, [k / parts for k in range(1, parts)], 100 * parts)).first()[0] if parts > 1 else None
+    often = collections.Counter(cuts or [])
+    cuts = sorted(often, reverse=True)
     # two steps of about the root of the number of cuts each
     step = max(1, int(len(cuts) ** 0.5))
     groups = [cuts[k : k + step] for k in range(0, len(cuts), step)]
-    below = lambda xs: F.size(F.filter(xs, lambda c: F.coalesce(F.col("doc_id") < c, F.lit(True))))
-    if cuts:
-        coarse = below(F.array(*(F.lit(g[0]) for g in groups)))
-        fine = below(F.get(F.array(*(F.array(*map(F.lit, g)) for g in groups)), F.greatest(coarse - 1, F.lit(0))))
-        part = F.when(coarse == 0, 0).otherwise((coarse - 1) * step + fine)
-    else:
-        part = F.lit(0)
-    order = [F.col("doc_id").desc_nulls_last(), F.col("text").desc_nulls_last()]
+    below = lambda xs: F.size(F.filter(xs, lambda c: key < c))
+    if not cuts:
+        return F.lit(0).cast("long"), parts
+    coarse = below(F.array(*(F.lit(g[0]) for g in groups)))
+    fine = below(F.get(F.array(*(F.array(*map(F.lit, g)) for g in groups)), F.greatest(coarse - 1, F.lit(0))))
+    part = F.when(coarse == 0, 0).otherwise((coarse - 1) * step + fine)
+    hot = [c for c in cuts if often[c] > 1]
+    pieces = F.lit(1)
+    if hot:
+        pieces = F.coalesce(F.get(F.array(*(F.lit(often[c] + 1) for c in hot)), F.array_position(F.array(*map(F.lit, hot)), key).cast("int") - 1), F.lit(1))
+    # the hash's first 32 bits, largest first
+    place = F.floor((F.lit(2**31 - 1) - F.shiftright("hash", 32)) * pieces / F.lit(2**32))
+    return (part * (MOST_PARTS + 1) + place).cast("long"), parts
+
+
+def followed(docs: DataFrame, parts: int, sign) -> DataFrame:
+    """``docs`` (doc_id, text) with their fingerprint (``sign`` of the text) and the next document's text and fingerprint.
+
+    The next document is that of the next smaller doc_id; after the last comes the first.
+    ``parts`` is the least number of parts.
+    """
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("hash"))
+    part, tasks = _parts(docs, parts)
     rows = docs.withColumn("part", part)
-    ranked = rows.withColumn("fingerprint", sign(F.col("text"))).withColumn("next", F.lead(F.struct("text", "fingerprint")).over(Window.partitionBy("part").orderBy(*order)))
-    # the first row of each part (there are at most ``parts``): its largest doc_id without reading texts, then its text
-    key = F.coalesce("doc_id", F.lit(-(2**63)))
-    tops = rows.groupBy("part").agg(F.max(key).alias("top"))
-    heads = rows.withColumn("top", key).join(F.broadcast(tops), ["part", "top"]).groupBy("part").agg(F.max("text").alias("text"))
-    heads = written(heads, "heads").withColumn("fingerprint", sign(F.col("text"))).select("part", F.struct("text", "fingerprint").alias("head"))
+    order = [F.col("doc_id").desc_nulls_last(), F.col("hash").desc(), F.col("text").desc()]
+    ranked = rows.repartition(tasks, "part").withColumn("fingerprint", sign(F.col("text"))).withColumn("next", F.lead(F.struct("text", "fingerprint")).over(Window.partitionBy("part").orderBy(*order)))
+    # the first row of each part: its place without carrying texts, then its text
+    place = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("key"), "hash")
+    tops = written(rows.groupBy("part").agg(F.max(place).alias("top")), "tops")
+    heads = rows.withColumn("top", place).join(F.broadcast(tops), ["part", "top"]).groupBy("part").agg(F.max("text").alias("text"))
+    heads = written(heads, "heads").withColumn("fingerprint", sign(F.col("text")))
     ring = Window.orderBy("part")
-    after = heads.withColumn("after", F.coalesce(F.lead("head").over(ring), F.first("head").over(ring))).select("part", "after")
-    return ranked.join(written(after, "after"), "part").select("doc_id", "text", "fingerprint", F.coalesce("next", "after").alias("next"))
+    turns = tops.select("part", F.coalesce(F.lead("part").over(ring), F.first("part").over(ring)).alias("then"))
+    after = heads.select(F.col("part").alias("then"), F.struct("text", "fingerprint").alias("after")).join(F.broadcast(turns), "then").select("part", "after")
+    # texts of heads grow with the parts, so they aren't broadcast; rows are in order of part already
+    return ranked.join(written(after, "after").hint("merge"), "part").select("doc_id", "text", "fingerprint", F.coalesce("next", "after").alias("next"))
 
 
 def op2_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:

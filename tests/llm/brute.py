@@ -74,3 +74,46 @@ def contaminations(rows, items, width=20, least=0.8):
             if max(sum(same[s : s + w]) for s in range(len(y) - w + 1)) >= least * w:
                 out.add((i, item))
     return out
+
+
+def imatch_prints(texts, least=0.001, most=0.1, subsets=8):
+    """The I-Match fingerprint of each text: terms of the band, dealt to subsets by bits of their hashes."""
+    import xxhash
+
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    terms = lambda x: {signed(xxhash.xxh64_intdigest(t.encode(), seed=42)) for t in regex.split(r"[^\p{L}\p{N}]+", x.lower()) if t}
+    found = [terms(x) for x in texts]
+    df = collections.Counter(h for x in found for h in x)
+    band = {h for h, n in df.items() if max(2, least * len(texts)) <= n <= max(2, most * len(texts))}
+
+    def digits(held):
+        h = 42
+        for t in held:
+            h = xxhash.xxh64_intdigest(t.to_bytes(8, "little", signed=True), seed=h)
+        return f"{h:X}"[-4:] if held else "...."
+
+    def sign(held):
+        if not held:
+            return "0"
+        level = max(3, len(held).bit_length() - 1)
+        out = f"{level:02X}"
+        for family in range(3):
+            for k in range(subsets):
+                for size in range(3):
+                    out += digits([t for t in held if ((t % (1 << 64)) >> 21 * family) % (1 << level + size) == k])
+        return out
+
+    return [sign(sorted(x & band)) for x in found]
+
+
+def imatch_likeness(x, y):
+    """The share of equal hashes in those subsets of both fingerprints that aren't empty in both."""
+    if x == y:
+        return 1.0
+    if "0" in (x, y):
+        return 0.0
+    a, b = int(x[:2], 16), int(y[:2], 16)
+    cells = lambda z, level: {(k, level + s): z[2 + 12 * k + 4 * s :][:4] for k in range(24) for s in range(3)}
+    p, q = cells(x, a), cells(y, b)
+    both = [(p[c], q[c]) for c in p.keys() & q.keys() if (p[c], q[c]) != ("....", "....")]
+    return sum(i == j for i, j in both) / len(both) if both else 0.0

@@ -76,13 +76,27 @@ def test_imatch(spark, documents):
     assert by_text[""] == "0" and by_text["zeta"] == "0" and by_text["alpha beta gamma delta"] != "0"
     sign = lambda text: imatch.fingerprint_of(text, keep)
     out = [(r.doc_id, r.text, r.next.text) for r in imatch.followed(docs, 3, sign).collect()]
-    order = [(4, "zeta"), (4, "alpha beta gamma delta"), (3, "alpha beta gamma delta"), (2, ""), (1, ""), (None, "alpha beta")]
+    hashed = {r.text: r.h for r in docs.select("text", F.xxhash64("text").alias("h")).collect()}
+    order = [*sorted([(4, "zeta"), (4, "alpha beta gamma delta")], key=lambda x: -hashed[x[1]]), (3, "alpha beta gamma delta"), (2, ""), (1, ""), (None, "alpha beta")]
     assert sorted(out, key=str) == sorted(((i, x, order[(k + 1) % 6][1]) for k, (i, x) in enumerate(order)), key=str)
     pair = spark.createDataFrame([("0", "0"), ("0", by_text["alpha beta gamma delta"])], "a string, b string")
     assert [r[0] for r in pair.select(imatch.likeness("a", "b")).collect()] == [1.0, 0.0]
     assert imatch.followed(docs.limit(0), 3, sign).count() == 0
 
 
+def test_imatch_with_crowded_ids(spark, documents):
+    # a third of the rows has no doc_id, a third the same one; one text is long, one row repeats
+    long = words(60_000)
+    rows = [(None, f"null {k}") for k in range(60)] + [(7, f"seven {k}") for k in range(59)] + [(k, f"own {k % 9}") for k in range(100, 160)] + [(7, long), (150, "own 6")]
+    docs = documents(rows).select("doc_id", "text", F.xxhash64("text").alias("h"))
+    order = [(r.doc_id, r.text) for r in sorted(docs.collect(), key=lambda r: (r.doc_id is None, -(r.doc_id or 0), -r.h))]
+    out = imatch.followed(docs, 24, lambda text: F.length(text))
+    assert sorted(((r.doc_id, r.text, r.next.text) for r in out.collect()), key=str) == sorted(((*x, order[(k + 1) % len(order)][1]) for k, x in enumerate(order)), key=str)
+    part, tasks = imatch._parts(docs.withColumn("hash", F.col("h")), 24)
+    sizes = docs.withColumn("hash", F.col("h")).groupBy(part).count()
+    assert tasks == 24 and sizes.agg(F.max("count")).first()[0] <= 30
+
+
 def test_lines(documents):
     out = {(r.doc_id, r.text): r for r in linedup.dedup_lines(documents(ROWS + [(9, "short\nnew line\n"), (10, "NEW  line\n\nx")])).collect()}
     assert (9, "new line\n") in out and (10, "\nx") in out and out[10, "\nx"].n_links == 1

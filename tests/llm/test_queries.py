@@ -50,10 +50,11 @@ def test_op2_edits_and_likeness(spark, docs):
         after, half = down[(k + 1) % len(down)][1], len(text) // 2
         assert got[i].n_chars == len(text)
         assert got[i].edited_sha256 == hashlib.sha256((text[: len(text) - half] + after[:half]).encode()).hexdigest()
-    prints = collections.defaultdict(set)
-    for i, text in down:
-        prints[text].add(got[i].fingerprint)
-    assert all(len(x) == 1 for x in prints.values())
+    prints = brute.imatch_prints([x for _, x in down])
+    for k, (i, _) in enumerate(down):
+        assert got[i].fingerprint == prints[k]
+        assert got[i].near_next == pytest.approx(brute.imatch_likeness(prints[k], prints[(k + 1) % len(down)]))
+        assert got[i].near_edited == pytest.approx(brute.imatch_likeness(prints[k], got[i].edited_fingerprint))
     assert np.mean([r.near_edited > r.near_next for r in got.values()]) > 0.8
 
 
