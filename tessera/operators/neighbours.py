@@ -64,17 +64,22 @@ def vote_slices(votes: DataFrame, label: str, predicted: str, columns: list[str]
     return confusion(rows, label, predicted, ["slice", "slice_value"])
 
 
-def candidates(queries: DataFrame, sources: DataFrame, score, k: int, parts: int = 16) -> DataFrame:
+def candidates(queries: DataFrame, sources: DataFrame, score, k: int, least: int = 16, per_block: int = 50_000, asked_at_once: int = 5_000) -> DataFrame:
     """The ``k`` best sources of each query: ``q_id``, ``s_id`` and ``score``; ties by ``s_id``.
 
-    Queries (a stated set) are held against all sources in blocks: sources are cut into
-    ``parts`` blocks and each query goes to every block, so neither side must fit in a
-    task. Blocks keep their own k best before the k best of all are taken.
+    Queries (a stated set) are held against all sources in blocks: both sides are counted
+    and cut, sources into ``least`` blocks or more of about ``per_block`` rows, queries into
+    groups of about ``asked_at_once``. Each block meets each group under a key of its own,
+    so a task's work doesn't grow with the tables. Blocks keep their own k best before the
+    k best of all are taken.
     """
-    block = F.pmod(F.xxhash64("s_id"), F.lit(parts)).cast("int")
-    held = sources.withColumn("block", block)
-    asked = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    met = asked.join(held, "block").withColumn("score", score)
+    parts = max(least, -(-sources.count() // per_block))
+    groups = max(1, -(-queries.count() // asked_at_once))
+    number = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    held = sources.withColumn("block", number("s_id", parts)).withColumn("asked", every(groups))
+    asked = queries.withColumn("asked", number("q_id", groups)).withColumn("block", every(parts))
+    met = asked.join(held, ["block", "asked"]).drop("asked").withColumn("score", score)
     order = [F.col("score").desc(), F.col("s_id")]
     near = met.withColumn("r", F.row_number().over(Window.partitionBy("q_id", "block").orderBy(*order))).filter(F.col("r") <= k)
     return near.withColumn("rank", F.row_number().over(Window.partitionBy("q_id").orderBy(*order))).filter(F.col("rank") <= k).drop("r", "block")

@@ -40,13 +40,15 @@ def _labelled(pairs: DataFrame, near: float, far: float) -> DataFrame:
     return pairs.withColumns({"difference": d, "label": deadband_label(d, near, far)})
 
 
-def all_pairs(records: DataFrame, blocks: int = 8, near: float = 10.0, far: float = 30.0) -> DataFrame:
+def all_pairs(records: DataFrame, blocks: int = 8, near: float = 10.0, far: float = 30.0, per_block: int = 20_000) -> DataFrame:
     """All unordered pairs of records (``id``, ``value`` and others), outside the band.
 
     A square of blocks instead of a nested loop over one broadcast side: each record goes
     to the ``blocks`` cells of its row or column, and cells are joined by equality. Work
-    is spread over blocks * (blocks + 1) / 2 even tasks.
+    is spread over blocks * (blocks + 1) / 2 even tasks. Records are counted first: there
+    are more blocks where one would hold over ``per_block`` of them.
     """
+    blocks = max(blocks, -(-records.count() // per_block))
     block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     cells = records.withColumn("own", block).withColumn("other", other)

@@ -243,3 +243,20 @@ def test_whole_metrics_of_one_slice(spark):
     assert (r.auroc, r.parse_rate, r.n, r.label_A_predicted, r.label_B_predicted, r.label_B_recall) == (1.0, 0.6, 3, 1, 2, 1.0)
     slices = spark.createDataFrame([(None, 1, 1.0), ("a", 0, 1.0)], "g string, y int, x double")
     assert {(r.g, r.accuracy, r.auroc) for r in M.binary_metrics(slices, "y", "x", ["g"]).collect()} == {(None, 1.0, None), ("a", 0.0, None)}
+
+
+def test_neighbours_in_any_number_of_blocks(spark):
+    values = [(k, float(k * 37 % 50)) for k in range(50)]
+    sources = spark.createDataFrame(values, "s_id long, s_v double")
+    queries = spark.createDataFrame(values[::7], "q_id long, q_v double")
+    score = -F.abs(F.col("q_v") - F.col("s_v"))
+    want = {(q, s, r + 1) for q, v in values[::7] for r, (_, s) in enumerate(sorted((abs(v - w), s) for s, w in values)[:4])}
+    for sizes in ({}, {"least": 1, "per_block": 9, "asked_at_once": 2}):
+        got = K.candidates(queries, sources, score, 4, **sizes).select("q_id", "s_id", "rank")
+        assert {tuple(r) for r in got.collect()} == want
+
+
+def test_all_pairs_adds_blocks_for_many_records(spark):
+    rows = spark.createDataFrame([(k, k * 100.0) for k in range(30)], "id long, value double")
+    out = P.all_pairs(rows, blocks=1, per_block=4)
+    assert out.count() == out.select("id_a", "id_b").distinct().count() == 30 * 29 / 2
