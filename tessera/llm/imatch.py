@@ -137,7 +137,7 @@ def _parts(docs: DataFrame, least: int) -> tuple[Column, int]:
     key = F.coalesce("doc_id", F.lit(NO_ID))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = min(MOST_PARTS, max(least, -(-size // PART_BYTES)))
-    cuts = docs.select(F.percentile_approx(key, [k / parts for k in range(1, parts)], 100 * parts)).first()[0] if parts > 1 else None
+    cuts = docs.select(F.percentile_approx(key, [k / parts for k in range(1, parts)], max(10_000, 10 * parts))).first()[0] if parts > 1 else None
     often = collections.Counter(cuts or [])
     cuts = sorted(often, reverse=True)
     # two steps of about the root of the number of cuts each
@@ -155,7 +155,7 @@ def _parts(docs: DataFrame, least: int) -> tuple[Column, int]:
         pieces = F.coalesce(F.get(F.array(*(F.lit(often[c] + 1) for c in hot)), F.array_position(F.array(*map(F.lit, hot)), key).cast("int") - 1), F.lit(1))
     # the hash's first 32 bits, largest first
     place = F.floor((F.lit(2**31 - 1) - F.shiftright("hash", 32)) * pieces / F.lit(2**32))
-    return (part * (MOST_PARTS + 1) + place).cast("long"), parts
+    return (part * (MOST_PARTS + 1) + place).cast("long"), 2 * parts
 
 
 def followed(docs: DataFrame, parts: int, sign) -> DataFrame:
@@ -168,7 +168,7 @@ def followed(docs: DataFrame, parts: int, sign) -> DataFrame:
     part, tasks = _parts(docs, parts)
     rows = docs.withColumn("part", part)
     order = [F.col("doc_id").desc_nulls_last(), F.col("hash").desc(), F.col("text").desc()]
-    ranked = rows.repartition(tasks, "part").withColumn("fingerprint", sign(F.col("text"))).withColumn("next", F.lead(F.struct("text", "fingerprint")).over(Window.partitionBy("part").orderBy(*order)))
+    ranked = rows.withColumn("fingerprint", sign(F.col("text"))).repartition(tasks, "part").withColumn("next", F.lead(F.struct("text", "fingerprint")).over(Window.partitionBy("part").orderBy(*order)))
     # the first row of each part: its place without carrying texts, then its text
     place = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("key"), "hash")
     tops = written(rows.groupBy("part").agg(F.max(place).alias("top")), "tops")

@@ -94,7 +94,7 @@ def test_imatch_with_crowded_ids(spark, documents):
     assert sorted(((r.doc_id, r.text, r.next.text) for r in out.collect()), key=str) == sorted(((*x, order[(k + 1) % len(order)][1]) for k, x in enumerate(order)), key=str)
     part, tasks = imatch._parts(docs.withColumn("hash", F.col("h")), 24)
     sizes = docs.withColumn("hash", F.col("h")).groupBy(part).count()
-    assert tasks == 24 and sizes.agg(F.max("count")).first()[0] <= 30
+    assert tasks == 48 and sizes.agg(F.max("count")).first()[0] <= 30
 
 
 def test_lines(documents):
