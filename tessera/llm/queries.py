@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, html, imatch, kneser_ney, langid, linedup, neardup, resample, warc
+from . import bpe, conversations, decontaminate, html, imatch, kneser_ney, langid, linedup, neardup, resample, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_language": langid.op8_language,
     "op9_bpe": bpe.op9_bpe,
     "op10_html": html.op10_html,
+    "op11_conversations": conversations.op11_conversations,
 }
 
 ORACLE_SQL = {
