@@ -8,7 +8,7 @@ its last code: states carry a cost, a rank in their layer and a pointer to the p
 strings are put together afterwards, along the pointers.
 
 Conversations of any length: turns are numbered by a range partitioning and cut into blocks
-of ``BLOCK`` numbers. A block is summed up by the cost and rank of each way from an entry
+of 2^``BITS`` numbers. A block is summed up by the cost and rank of each way from an entry
 to an exit state. Such sums compose, up to one for the conversation and down again to each
 block's own entry and exit, so no task holds a conversation. Faults are found with column
 expressions.
