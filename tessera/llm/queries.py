@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, conversations, decontaminate, html, imatch, kneser_ney, langid, linedup, neardup, resample, warc
+from . import bpe, conversations, decontaminate, html, imatch, kneser_ney, langid, linedup, neardup, negatives, resample, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_bpe": bpe.op9_bpe,
     "op10_html": html.op10_html,
     "op11_conversations": conversations.op11_conversations,
+    "op12_hard_negatives": negatives.op12_hard_negatives,
 }
 
 ORACLE_SQL = {
@@ -35,4 +36,21 @@ ORACLE_SQL = {
                CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
         FROM d
     """,
+    "op12_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+            FROM v a JOIN v r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0
+        ), p AS (
+            SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+        )
+        SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+        QUALIFY row_number() OVER w <= 10
+    """,
 }
