@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .shared import lean, table, written
 
 #: Rows of a block and anchors of a group, about; cells of a dimension.
-BLOCK, GROUP, CELLS = 4096, 512, 16
+BLOCK, GROUP, CELLS = 4096, 512, 32
 
 
 def whole_vectors(rows: DataFrame, vector: Column, scale: int) -> DataFrame:
@@ -57,7 +57,7 @@ def _packed(t: pa.Table) -> pa.Table:
     big = np.iinfo(np.int64).max
     low = np.stack([np.where(cells == c, values, big).min(0, initial=big) for c in range(CELLS)], 1)
     high = np.stack([np.where(cells == c, values, -big).max(0, initial=-big) for c in range(CELLS)], 1)
-    pairs = cells[:, 0::2] * CELLS + cells[:, 1::2]
+    pairs = cells[:, 0::2].astype(np.uint16) * CELLS + cells[:, 1::2]
     # a cell without rows has no bounds; nothing looks it up
     low, high = np.where(low == big, 0, low), np.where(high == -big, 0, high)
     small = next(k for k in ("i2", "i4", "i8") if not values.size or np.abs(values).max() <= np.iinfo(k).max)
@@ -73,7 +73,7 @@ class _Block:
         get = lambda k, t: np.frombuffer(row[k], t)
         self.ids, self.labels = get("ids", "i8"), get("labels", "i8")
         self.values = get("values", row["kind"]).reshape(len(self.ids), self.dims)
-        self.cells = get("cells", "u1").reshape(self.dims // 2, len(self.ids)).astype(np.int32) + 256 * np.arange(self.dims // 2, dtype=np.int32)[:, None]
+        self.cells = get("cells", "u2").reshape(self.dims // 2, len(self.ids)).astype(np.int32) + CELLS**2 * np.arange(self.dims // 2, dtype=np.int32)[:, None]
         self.low, self.high = (get(k, "i8").reshape(self.dims, CELLS) for k in ("low", "high"))
 
     def bounds(self, anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
