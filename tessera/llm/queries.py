@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, conversations, decontaminate, html, imatch, kneser_ney, langid, linedup, neardup, negatives, resample, warc
+from . import bpe, conversations, decontaminate, embeddings, html, imatch, kneser_ney, langid, linedup, neardup, negatives, resample, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_html": html.op10_html,
     "op11_conversations": conversations.op11_conversations,
     "op12_hard_negatives": negatives.op12_hard_negatives,
+    "op13_embedding_duplicates": embeddings.op13_embedding_duplicates,
 }
 
 ORACLE_SQL = {
@@ -53,4 +54,15 @@ ORACLE_SQL = {
         WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
         QUALIFY row_number() OVER w <= 10
     """,
+    "op13_embedding_duplicates": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+        ), reach AS (
+            SELECT vec_id AS id, vec_id AS root FROM embeddings UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.id
+        ), root AS (SELECT id, min(root) AS component_id FROM reach GROUP BY id)
+        SELECT id AS vec_id, (SELECT count(*) FROM links WHERE a = id) AS n_links, component_id, id = component_id AS kept FROM root
+    """,
 }
