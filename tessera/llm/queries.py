@@ -37,6 +37,52 @@ ORACLE_SQL = {
                CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
         FROM d
     """,
+    "op11_conversations": r"""
+        WITH RECURSIVE keyed AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations
+        ), coded AS (  -- the CRC bit by bit: a byte comes in before every eighth
+            SELECT conv_id, turn, role, text, xor(4294967295, list_reduce(
+                list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(k, ''), lambda c: [ord(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+                lambda s, x: xor(xor(s, x) >> 1, 3988292384 * (xor(s, x) & 1)))) % 20 AS code FROM keyed
+        ), damaged AS (
+            SELECT conv_id, turn, CASE code WHEN 4 THEN 'user' ELSE role END AS role, CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+            FROM coded, range(2) t(again) WHERE code <> 0 AND (again = 0 OR code = 3)
+        ), numbered AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged
+        ), faulty AS (
+            SELECT conv_id, turn, role, text, i, left(role, 1) AS r, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+                   CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+                        WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE '' END AS fault FROM numbered
+        ), best AS (  -- the state after i turns, and the cheapest, then least way to it
+            SELECT DISTINCT conv_id, 0::BIGINT AS i, '' AS state, 0::BIGINT AS cost, '' AS audit FROM conversations
+            UNION ALL
+            SELECT conv_id, i, state, min(struct_pack(c := cost, a := audit)).c, min(struct_pack(c := cost, a := audit)).a FROM (
+                SELECT b.conv_id, f.i, b.cost + CASE WHEN m LIKE 'I%' THEN 5 ELSE 0 END + CASE right(m, 1) WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END + CASE WHEN f.fault = 't' AND m NOT LIKE '%D' THEN 5 ELSE 0 END AS cost,
+                       b.audit || m AS audit, CASE right(m, 1) WHEN 'D' THEN mid WHEN 'R' THEN CASE mid WHEN 'u' THEN 'a' ELSE 'u' END
+                       ELSE CASE WHEN f.r = 's' AND mid = '' THEN 's' WHEN f.r = 'u' AND mid <> 'u' THEN 'u' WHEN f.r = 'a' AND mid = 'u' THEN 'a' END END AS state
+                FROM (SELECT *, CASE WHEN m NOT LIKE 'I%' THEN state WHEN state = 'u' THEN 'a' ELSE 'u' END AS mid FROM best, (VALUES ('D'), ('ID'), ('IK'), ('IR'), ('K'), ('R')) v(m)) b
+                JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.i = b.i + 1 WHERE f.fault NOT IN ('b', 'd') OR m LIKE '%D'
+            ) WHERE state IS NOT NULL GROUP BY conv_id, i, state
+        ), ended AS (
+            SELECT conv_id, cost + CASE state WHEN 's' THEN 10 WHEN 'u' THEN 5 ELSE 0 END AS cost, audit || CASE state WHEN 's' THEN 'II' WHEN 'u' THEN 'I' ELSE '' END AS audit
+            FROM best QUALIFY i = max(i) OVER (PARTITION BY conv_id)
+        ), chosen AS (
+            SELECT conv_id, cost, audit FROM ended QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY cost, audit) = 1
+        ), pieces AS (
+            SELECT conv_id, p, audit[p] AS edit, p - length(replace(audit[:p], 'I', '')) AS inserted, length(replace(audit[:p], 'D', '')) - length(replace(audit, 'D', '')) % 2 AS place
+            FROM chosen, unnest(range(1, length(audit) + 1)) t(p)
+        ), lines AS (
+            SELECT c.conv_id, p, CASE WHEN edit = 'K' THEN f.role WHEN place % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN edit = 'I' THEN '' ELSE f.text END AS line
+            FROM pieces c LEFT JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM c.conv_id AND f.i = c.p - c.inserted AND edit <> 'I' WHERE edit <> 'D'
+        ), digests AS (SELECT conv_id, sha256(string_agg(line, chr(10) ORDER BY p)) AS sha FROM lines GROUP BY conv_id),
+        counts AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+                   count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (i > 1 AND before || r NOT IN ('su', 'ua', 'au')) AS illegal FROM faulty GROUP BY conv_id
+        )
+        SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+               cost, audit, coalesce(sha, sha256('')) AS repaired_sha256
+        FROM chosen c LEFT JOIN counts n ON n.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN digests d ON d.conv_id IS NOT DISTINCT FROM c.conv_id
+    """,
     "op12_hard_negatives": """
         WITH v AS (
             SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v

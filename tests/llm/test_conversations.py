@@ -3,10 +3,12 @@
 import hashlib
 import zlib
 
+import duckdb
 import pyarrow.parquet as pq
 import pytest
 
 from tessera.llm import conversations as C
+from tessera.llm import queries
 
 SF = "/root/testdata/sf0.001"
 SPACE = " \t\n\v\f\r"
@@ -93,7 +95,10 @@ def found(df):
 def test_op11_is_the_cheapest_repair(spark):
     rows = [tuple(r.values()) for r in pq.read_table(f"{SF}/conversations.parquet").select(["conv_id", "turn", "role", "text"]).to_pylist()]
     expected = {c: (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest()) for c, *_ in rows} | want(damaged(rows))
-    assert found(C.op11_conversations(spark, SF)) == expected
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{SF}/conversations.parquet')")
+    sql = con.execute(f"SELECT conv_id, {', '.join(NAMES)} FROM ({queries.ORACLE_SQL['op11_conversations']})").fetchall()
+    assert found(C.op11_conversations(spark, SF)) == expected == {r[0]: r[1:] for r in sql}
 
 
 SCHEMA = "conv_id long, turn long, role string, text string, kind string, at string, edit string, block string"
