@@ -32,7 +32,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import table, written
+from .shared import free_names, table, written
 
 #: Seeds of equal span by the fewest tokens of the items that they serve.
 SEEDS = {
@@ -140,5 +140,6 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
-    found = written(contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("__id")).distinct(), "contaminated")
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    (id_,) = free_names(docs, "leaked_id")
+    found = written(contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias(id_)).distinct(), "contaminated")
+    return docs.join(found, docs["doc_id"].eqNullSafe(found[id_]), "left_anti")

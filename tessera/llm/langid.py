@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import lean, table
+from .shared import free_names, lean, table
 from .words import SLICE_BYTES, mix, slices, sums, texts_of
 
 BUCKETS, ORDERS, UNKNOWN = 1 << 16, (1, 2, 3), "und"
@@ -141,5 +141,5 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str, least: float = 0.5) -> DataFrame:
     """Documents whose language is recognised with a probability of ``least`` or more."""
     model = fit(docs.filter(~held_out(docs)))
-    kept = identify(docs, model, "__lang", "__score").filter((F.col("__lang") != UNKNOWN) & (F.col("__score") >= least))
-    return kept.select(*docs.columns)
+    lang, score = free_names(docs, "predicted", "score")
+    return identify(docs, model, lang, score).filter((F.col(lang) != UNKNOWN) & (F.col(score) >= least)).select(*docs.columns)

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import mapped, words
-from .shared import lean, table, written
+from .shared import free_names, lean, table, written
 
 SIMILARITY, SLOTS, LAST = 0.8, 1 << 20, 2**63 - 1
 #: How many of the earliest lines under a token a line is held against, before all others are.
@@ -358,5 +358,8 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later matches of lines; those of which no word is left go."""
-    out = dedup_lines(docs).filter(r"n_links = 0 or text rlike '[^\\x20\\x09-\\x0D]'")
+    added = ["n_lines", "n_links"]
+    own = dict(zip(added, free_names(docs, *added)))
+    out = dedup_lines(docs.withColumnsRenamed(own)).filter(r"n_links = 0 or text rlike '[^\\x20\\x09-\\x0D]'").drop(*added)
+    out = out.withColumnsRenamed({v: k for k, v in own.items() if v in out.columns})
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)

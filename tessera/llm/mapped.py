@@ -7,7 +7,8 @@ files; the operating system shares the pages among the workers of a machine. Whe
 shared folder isn't a file system path, workers read a shard into memory and hold a few.
 
 Files are written under a name of their own and then renamed, so that a task that is
-run again, or twice, leaves one whole file.
+run again, or twice, leaves one whole file. A shard whose file is lost or cut short is an
+error where it is first read, never an empty shard.
 """
 
 from __future__ import annotations
@@ -80,13 +81,14 @@ class Mapped:
         self.path, self.bits, self.values = path, bits, values
         #: Keys of each shard, and of those before it: a key's place among all is ``base[shard] + place``.
         self.sizes = self.base = np.zeros(1 << bits, np.int64)
+        self.known = False
 
     def sized(self, rows) -> Mapped:
         """With the sizes of the shards, from rows (shard, n)."""
         self.sizes = np.zeros(1 << self.bits, np.int64)
         for r in rows:
             self.sizes[r.shard] = r.n
-        self.base = np.cumsum(self.sizes) - self.sizes
+        self.base, self.known = np.cumsum(self.sizes) - self.sizes, True
         return self
 
     def shard(self, number: int) -> dict[str, np.ndarray]:
@@ -96,7 +98,10 @@ class Mapped:
                 del _OPEN[next(iter(_OPEN))]
             while len(held) >= HELD_SHARDS and not isinstance(next(iter(held.values()))["keys"], np.memmap):
                 del held[next(iter(held))]
-            held[number] = {k: _array(self.path, number, k, t) for k, t in {"keys": "u8", **self.values}.items()}
+            found = {k: _array(self.path, number, k, t) for k, t in {"keys": "u8", **self.values}.items()}
+            if self.known and len(found["keys"]) != self.sizes[number]:
+                raise OSError(f"{self.path}: shard {number} has {len(found['keys'])} of {self.sizes[number]} keys")
+            held[number] = found
         return held[number]
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from . import words
 from .components import components
-from .shared import lean, table, written
+from .shared import free_names, lean, table, written
 
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 26, 5
 #: Nodes of a band from which on they are joined by rare shingles; slots of their counts, in parts; 64-bit words of parities.
@@ -309,7 +309,8 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class: that with the least doc_id, then text hash; of repeated rows one."""
-    heads = _placed(docs)[1].select(F.col("head.id").alias("__id"), F.col("head.h").alias("__h"))
-    keyed = docs.withColumns({"__id": F.coalesce("doc_id", F.lit(LAST)), "__h": _text_hash()})
-    turn = F.row_number().over(Window.partitionBy("__id", "__h").orderBy("__id"))
-    return keyed.join(heads, ["__id", "__h"], "left_semi").withColumn("__turn", turn).filter("__turn = 1").select(*docs.columns)
+    id_, h, turn = free_names(docs, "head_id", "head_hash", "head_turn")
+    heads = _placed(docs)[1].select(F.col("head.id").alias(id_), F.col("head.h").alias(h))
+    keyed = docs.withColumns({id_: F.coalesce("doc_id", F.lit(LAST)), h: _text_hash()})
+    first = F.row_number().over(Window.partitionBy(id_, h).orderBy(id_))
+    return keyed.join(heads, [id_, h], "left_semi").withColumn(turn, first).filter(F.col(turn) == 1).select(*docs.columns)

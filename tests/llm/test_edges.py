@@ -142,7 +142,9 @@ def test_decontamination(documents):
 def test_resampling(spark, documents, fraction, n):
     docs = documents(ROWS)
     target = spark.createDataFrame([(4,), (None,)], "doc_id long")
-    assert resample.resample(docs, target, fraction).count() == n or fraction == 0.5
+    scores = sorted((r.score for r in resample.resample(docs, target, 1.0).collect()), reverse=True)
+    kept = [r.score for r in resample.resample(docs, target, fraction).collect()]
+    assert sorted(kept, reverse=True) == [s for s in scores if n and s >= scores[n - 1]]
     assert resample.resample(docs.limit(0), target, fraction).count() == 0
     assert resample.resample(docs, target.limit(0), 1.0).filter("log_weight <> 0").count() == 0
 
@@ -251,3 +253,40 @@ def test_lines_of_documents_without_an_id_of_their_own(documents):
     assert len(out) == 6 and left.count("license line") == 1 and variant not in left
     assert left.count(own[0]) == left.count(own[1]) == left.count(own[2]) == 1
     assert left.count(own[3]) + left.count(f"{own[3]} more") == 1
+
+
+CLASH = ["__id", "__h", "__turn", "__lang", "__score", "predicted", "score", "head_id", "head_hash", "head_turn", "leaked_id", "n_links", "n_lines", "lang_pred", "h", "turn", "id"]
+
+
+def clashing(df):
+    return df.withColumns({c: F.lit(f"own {c}") for c in CLASH})
+
+
+@pytest.mark.parametrize("name", ["language_id", "line_dedup", "near_duplicates", "decontamination", "bpe"])
+def test_stages_of_the_pipeline(spark, documents, name):
+    """Nulls, empty and repeated rows, an empty table, and columns with the stages' own names, which come out as they went in."""
+    import corpus_pipeline
+
+    stage, docs = dict(corpus_pipeline.STAGES)[name], clashing(documents(ROWS + [(10, "die katze"), (10, "die katze")]))
+    out = stage(spark, docs, "/root/testdata/sf0.001")
+    assert stage(spark, docs.limit(0), "/root/testdata/sf0.001").collect() == []
+    if name == "bpe":
+        assert out.count() == len(ROWS) + 2
+        return
+    assert out.columns == docs.columns
+    rows = out.collect()
+    assert rows and all(r[c] == f"own {c}" for r in rows for c in CLASH)
+
+
+def test_pipeline_with_clashing_names(spark, documents, monkeypatch):
+    import corpus_pipeline
+
+    real = corpus_pipeline.table
+    monkeypatch.setattr(corpus_pipeline, "table", lambda s, d, n: clashing(real(s, d, n)))
+    named = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    monkeypatch.setattr(corpus_pipeline, "table", real)
+    plain = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    digests = lambda df: {(r.doc_id, r.ids_sha256) for r in df.collect()}
+    assert digests(named) == digests(plain) != set()
+    monkeypatch.setattr(corpus_pipeline, "table", lambda s, d, n: real(s, d, n).limit(0))
+    assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect() == []

@@ -72,3 +72,20 @@ def test_scores_of_any_size_are_ordered(spark):
     for k in range(1, len(scores) + 1):
         least = sorted(scores, reverse=True)[k - 1]
         assert sorted(r.s for r in resample.top(df, k, "s").collect()) == sorted(x for x in scores if x >= least)
+
+
+def test_a_lost_shard_is_an_error(spark):
+    """A shard whose keys are gone, or cut short, isn't an empty one."""
+    from pathlib import Path
+
+    from pyspark.sql import functions as F
+
+    for cut in (0, 8):
+        table = mapped.build(spark.range(1000).select(F.col("id").alias("key"), "id"), 1000, "lost", {"id": "i8"}, shard_rows=100)
+        file = next(Path(table.path.removeprefix("file://")).glob("*.keys.u8"))
+        data = file.read_bytes()
+        file.unlink()
+        if cut:
+            file.write_bytes(data[:-cut])
+        with pytest.raises(OSError):
+            table.get(np.arange(1000).astype(np.uint64), "id")
