@@ -15,6 +15,7 @@ from .functions import hashing as H
 from .functions import metrics as M
 from .functions import species as Y
 from .operators import neighbours as K
+from .operators import ordered as O
 from .operators import pairing as P
 from .operators import results as R
 from .operators import selection as S
@@ -259,7 +260,7 @@ MEDIANS = "WITH m AS (SELECT user_id, CASE WHEN median(value) >= 150 THEN 1 ELSE
 
 
 def _medians(t):
-    return t("events").groupBy("user_id").agg((F.median("value") >= 150).cast("int").alias("label"), F.count("*").alias("n"))
+    return O.quantiles(t("events"), ["user_id"], "value", {"median": 0.5}).select("user_id", (F.col("median") >= 150).cast("int").alias("label"), "n")
 
 
 @query(f"{MEDIANS} SELECT user_id, label, n FROM m")
@@ -285,7 +286,8 @@ def k_folds(spark, t):
 
 @query("SELECT round(quantile_cont(value, 0.25), 6) AS q1, round(quantile_cont(value, 0.5), 6) AS q2, round(quantile_cont(value, 0.75), 6) AS q3 FROM events")
 def quantile_thresholds(spark, t):
-    return t("events").agg(F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q")).select(*(F.round(F.col("q")[k], 6).alias(f"q{k + 1}") for k in range(3)))
+    out = O.quantiles(t("events"), [], "value", {"q1": 0.25, "q2": 0.5, "q3": 0.75})
+    return out.select(*(F.round(q, 6).alias(q) for q in ("q1", "q2", "q3")))
 
 
 SPLIT = "SELECT event_id, user_id, CASE WHEN user_id % 10 = 0 THEN 'test' WHEN user_id % 10 = 1 THEN 'validation_1' WHEN user_id % 10 = 2 THEN 'validation_2' ELSE 'train' END AS split FROM events"
@@ -346,12 +348,12 @@ def support_graph(spark, t):
 
 @query(
     f"{PAIRS}, e AS (SELECT DISTINCT least(name_a, name_b) AS a, greatest(name_a, name_b) AS b FROM pairs), d AS (SELECT entity, count(*) AS degree FROM (SELECT a AS entity FROM e UNION ALL SELECT b FROM e WHERE a <> b) GROUP BY entity) "
-    "SELECT min(degree) AS least, round(quantile_cont(degree, 0.25), 6) AS p25, round(quantile_cont(degree, 0.5), 6) AS p50, round(avg(degree), 6) AS mean, round(quantile_cont(degree, 0.95), 6) AS p95, max(degree) AS most FROM d"
+    "SELECT min(degree) AS least, round(quantile_cont(degree, 0.25), 6) AS p25, round(quantile_cont(degree, 0.5), 6) AS p50, round(avg(degree), 6) AS mean, round(quantile_cont(degree, 0.75), 6) AS p75, round(quantile_cont(degree, 0.95), 6) AS p95, max(degree) AS most FROM d"
 )
 def degree_summary(spark, t):
     d = S.degrees(_pairs(t), "p_name_a", "p_name_b")
-    q = lambda p, n: F.round(F.percentile("degree", F.lit(p)), 6).alias(n)
-    return d.agg(F.min("degree").alias("least"), q(0.25, "p25"), q(0.5, "p50"), F.round(F.avg("degree"), 6).alias("mean"), q(0.95, "p95"), F.max("degree").alias("most"))
+    return S.degree_summary(d, "degree")
+
 
 
 # neighbours

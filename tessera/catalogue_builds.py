@@ -88,15 +88,23 @@ def label_sampled_pairs(spark, t):
     return _directed(t).filter(kept).groupBy("direction", "label").agg(F.count("*").alias("n"))
 
 
+BRANDS = "SELECT nullif(p_brand, 'Brand#11') AS p_brand, count(*) AS n FROM part GROUP BY ALL"
+
+
 @query(
-    "WITH p AS (SELECT p_partkey AS id, p_brand, row_number() OVER (PARTITION BY p_brand ORDER BY sha256('3|' || p_partkey), p_partkey) - 1 AS pos, count(*) OVER (PARTITION BY p_brand) AS n FROM part), "
-    "g AS (SELECT DISTINCT p_brand, n * (n - 1) // 2 AS total FROM p WHERE n > 1), d AS (SELECT p_brand, (k * 2147483647) % total AS number FROM (SELECT p_brand, total, unnest(range(CAST(ceil(0.05 * total) AS BIGINT))) AS k FROM g)) "
-    "SELECT a.p_brand, a.id AS id_a, b.id AS id_b FROM d JOIN p b ON b.p_brand = d.p_brand AND d.number >= b.pos * (b.pos - 1) // 2 AND d.number < b.pos * (b.pos + 1) // 2 JOIN p a ON a.p_brand = d.p_brand AND a.pos = d.number - b.pos * (b.pos - 1) // 2"
+    f"WITH g AS ({BRANDS}) SELECT p_brand, CAST(ceil(0.05 * (n * (n - 1) // 2)) AS BIGINT) AS drawn, CAST(ceil(0.05 * (n * (n - 1) // 2)) AS BIGINT) AS pairs, 0 AS foreign_ends, "
+    # far more records are met than a draw of the first pairs would reach
+    "n > 20 AS many, true AS spread FROM g WHERE n > 1"
 )
 def sampled_pairs(spark, t):
-    """A twentieth of each brand's pairs, drawn by number; no other pair is made."""
-    records = t("part").select(F.col("p_partkey").alias("id"), "p_brand", H.sha_key(3, F.col("p_partkey")).alias("key"))
-    return P.sampled_pairs(records, ["p_brand"], "key", 0.05)
+    """A twentieth of each brand's pairs, drawn by number; no other pair is made. One brand is null, and a group like others.
+
+    SQL can't draw the same pairs, but knows how many there are, that they differ, that both
+    ends are of the brand, and that as many records are met as chance would.
+    """
+    records = t("part").select(F.col("p_partkey").alias("id"), F.expr("nullif(p_brand, 'Brand#11')").alias("p_brand"), H.sha_key(3, F.col("p_partkey")).alias("key"))
+    drawn = P.sampled_pairs(records, ["p_brand"], "key", 0.05)
+    return P.sample_properties(drawn, records, "p_brand", 0.05)
 
 
 @query("WITH o AS (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS rn FROM orders) SELECT o_orderstatus, o_orderkey FROM o WHERE rn <= 50")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.ordered import order_key, running_sums
 from .expressions import sigmoid
 
 
@@ -61,14 +62,15 @@ def score_counts(rows: DataFrame, label: str, score: str, by: list[str]) -> Data
     return rows.groupBy(*by, score).agg(F.count_if(F.col(label) == 1).alias("pos"), F.count("*").alias("cnt"))
 
 
-def auroc(rows: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
-    """The area under the ROC curve of each slice, by rank sums with ties halved; null with one class.
+def ranked_scores(rows: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
+    """``score_counts`` with the positives and rows below each score and in its whole slice; continuous scores put no slice in one task."""
+    counts = score_counts(rows, label, score, by).withColumn("__key", order_key(F.col(score)))
+    return running_sums(counts, by, "__key", ["pos", "cnt"]).drop("__key")
 
-    Rows are first reduced to distinct scores with partial sums; the running sum is over these.
-    """
-    counts = score_counts(rows, label, score, by)
-    below = F.coalesce(F.sum("cnt").over(Window.partitionBy(*by).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = counts.withColumn("rank", below + (F.col("cnt") + 1) / 2)
+
+def auroc(rows: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
+    """The area under the ROC curve of each slice, by rank sums with ties halved; null with one class."""
+    ranked = ranked_scores(rows, label, score, by).withColumn("rank", F.col("cnt_below") + (F.col("cnt") + 1) / 2)
     total = ranked.groupBy(*by).agg(F.sum(F.col("rank") * F.col("pos")).alias("s"), F.sum("pos").alias("p"), F.sum(F.col("cnt") - F.col("pos")).alias("q"))
     return total.select(*by, F.try_divide(F.col("s") - F.col("p") * (F.col("p") + 1) / 2, F.col("p") * F.col("q")).alias("auroc"))
 
@@ -111,12 +113,9 @@ def tuned_threshold(rows: DataFrame, label: str, score: str, by: list[str]) -> D
 
     All distinct scores are tried in one pass of running sums, and a threshold above all.
     """
-    counts = score_counts(rows, label, score, by).withColumnRenamed(score, "threshold")
-    over = Window.partitionBy(*by).orderBy(F.col("threshold").desc())
-    whole = Window.partitionBy(*by)
-    p, n = F.sum("pos").over(whole), F.sum("cnt").over(whole)
-    tried = counts.withColumns({"tp": F.sum("pos").over(over), "pp": F.sum("cnt").over(over), "p": p, "n": n})
-    none = counts.groupBy(*by).agg(F.sum("pos").alias("p"), F.sum("cnt").alias("n")).select(*by, F.lit(float("inf")).alias("threshold"), F.lit(0).cast("long").alias("tp"), F.lit(0).cast("long").alias("pp"), "p", "n")
+    ranked = ranked_scores(rows, label, score, by).withColumnRenamed(score, "threshold")
+    tried = ranked.withColumns({"p": F.col("pos_all"), "n": F.col("cnt_all"), "tp": F.col("pos_all") - F.col("pos_below"), "pp": F.col("cnt_all") - F.col("cnt_below")})
+    none = ranked.groupBy(*by).agg(F.sum("pos").alias("p"), F.sum("cnt").alias("n")).select(*by, F.lit(float("inf")).alias("threshold"), F.lit(0).cast("long").alias("tp"), F.lit(0).cast("long").alias("pp"), "p", "n")
     every = tried.select(*by, "threshold", "tp", "pp", "p", "n").unionByName(none)
     every = every.withColumns({"fp": F.col("pp") - F.col("tp"), "fn": F.col("p") - F.col("tp"), "tn": F.col("n") - F.col("p") - F.col("pp") + F.col("tp")}).drop("n")
     scored = with_metrics(every)

@@ -60,24 +60,82 @@ def all_pairs(records: DataFrame, blocks: int = 8, near: float = 10.0, far: floa
     return _labelled(a.join(b, on & _outside(near, far)), near, far).drop("cell_a", "cell_b")
 
 
-def sampled_pairs(records: DataFrame, group: list[str], key: str, fraction: float, step: int = 2_147_483_647) -> DataFrame:
+#: Draws that one row stands for before they are made.
+DRAWS = 1 << 16
+
+
+def permuted(number: Column, n: Column, seed: int, *tweak: Column, rounds: int = 6, walks: int = 24) -> Column:
+    """The place of ``number`` in a keyed permutation of 0 to ``n`` - 1, one for each ``tweak``; null where the walk doesn't end.
+
+    A Feistel network over a grid of a * b cells, a the root of ``n``, that has fewer than a
+    cells beyond ``n``. Who comes to one of these walks on, ``walks`` steps at most: in a
+    permutation of a million, a chance of 1e-72 for more.
+    """
+    a = F.greatest(F.lit(1), F.ceil(F.sqrt(n.cast("double")))).cast("long")
+    b = F.floor((n - 1) / a).cast("long") + 1
+    grid = lambda left, right, a, b: F.struct(left.cast("long").alias("l"), right.cast("long").alias("r"), a.alias("a"), b.alias("b"))
+
+    def turn(x: Column, k: Column) -> Column:
+        mixed = lambda c: F.pmod(F.xxhash64(F.lit(seed), k, c, *tweak), F.lit(2**61 - 1))
+        even = grid(F.pmod(x["l"] + mixed(x["r"]), x["a"]), x["r"], x["a"], x["b"])
+        odd = grid(x["l"], F.pmod(x["r"] + mixed(x["l"]), x["b"]), x["a"], x["b"])
+        return F.when(k % 2 == 0, even).otherwise(odd)
+
+    once = lambda x: F.aggregate(F.array(*map(F.lit, range(rounds))), x, turn)
+    value = lambda x: x["l"] * x["b"] + x["r"]
+    start = grid(F.floor(number / b), F.pmod(number, b), a, b)
+    walk = lambda x, step: F.when((step > 0) & (value(x) < n), x).otherwise(once(x))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(walks)), start, walk, lambda x: F.when(value(x) < n, value(x)))
+
+
+def sampled_pairs(records: DataFrame, group: list[str], key: str, fraction: float, seed: int = 0) -> DataFrame:
     """A deterministic sample of each group's unordered pairs without replacement: ``id_a``, ``id_b``, in any order.
 
     A group of n records (in the order of ``key``, hex digits) has n(n-1)/2 pairs, numbered by
-    the triangle they fill. ``ceil(fraction * pairs)`` of the numbers are drawn as multiples of
-    ``step`` modulo the number of pairs, which never repeat as ``step`` is a prime above it (or
-    shares no factor with it). So no pair is made that isn't drawn, and no group is in one task.
+    the triangle they fill. ``ceil(fraction * pairs)`` numbers are drawn: the first places
+    of a keyed permutation of them all, so no pair is made that isn't drawn, and
+    none twice. A group's draws are dealt to tasks by ranges of ``DRAWS``. Null is a group like others.
     """
     placed = positions(records.select("id", *group, key), group, key, "id")
-    total = F.col("n_group") * (F.col("n_group") - 1) / 2
-    sizes = placed.select(*group, "n_group").distinct().filter("n_group > 1").withColumn("total", total.cast("long"))
-    drawn = sizes.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.lit(fraction) * F.col("total")) - 1)))
-    number = (F.col("k") * F.lit(step).cast("long")) % F.col("total")
-    drawn = drawn.withColumn("number", number).withColumn("j", F.floor((1 + F.sqrt(8 * F.col("number") + 1)) / 2))
-    exact = F.when(F.col("j") * (F.col("j") - 1) / 2 > F.col("number"), F.col("j") - 1).when(F.col("j") * (F.col("j") + 1) / 2 <= F.col("number"), F.col("j") + 1).otherwise(F.col("j"))
-    drawn = drawn.withColumn("j", exact).withColumn("i", (F.col("number") - F.col("j") * (F.col("j") - 1) / 2).cast("long")).select(*group, "i", "j")
-    end = lambda at, name: placed.select(*group, F.col("position").alias(at), F.col("id").alias(name))
-    return drawn.join(end("i", "id_a"), [*group, "i"]).join(end("j", "id_b"), [*group, "j"]).select(*group, "id_a", "id_b")
+    sizes = placed.select(*group, F.col("n_group").alias("n")).distinct().filter("n > 1")
+    half = lambda n: F.when(n % 2 == 0, F.floor(n / 2) * (n - 1)).otherwise(n * F.floor((n - 1) / 2))
+    tasks = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = half(F.col("n"))
+    sizes = sizes.withColumn("total", total).withColumn("drawn", F.least(F.col("total"), F.ceil(F.lit(fraction) * F.col("total")).cast("long"))).filter("drawn > 0")
+    begun = sizes.withColumn("begin", F.explode(F.sequence(F.lit(0).cast("long"), F.col("drawn") - 1, F.lit(DRAWS).cast("long")))).repartition(tasks, *group, "begin")
+    each = begun.withColumn("k", F.explode(F.sequence(F.col("begin"), F.least(F.col("begin") + DRAWS, F.col("drawn")) - 1)))
+    x = permuted(F.col("k"), F.col("total"), seed, *(F.coalesce(F.col(g).cast("string"), F.lit("\0")) for g in group))
+    each = each.withColumn("x", F.coalesce(x, F.raise_error(F.lit("a walk of the permutation didn't end")).cast("long")))
+    # the row of the triangle from the root, put right by one where the double is off
+    j = F.floor((1 + F.sqrt(8.0 * F.col("x") + 1)) / 2)
+    each = each.withColumn("j", j).withColumn("j", F.when(half(F.col("j")) > F.col("x"), F.col("j") - 1).when(half(F.col("j") + 1) <= F.col("x"), F.col("j") + 1).otherwise(F.col("j")))
+    each = each.withColumn("i", F.col("x") - half(F.col("j"))).select(*group, "i", "j")
+
+    def end(pairs: DataFrame, at: str, name: str) -> DataFrame:
+        own = placed.select(*(F.col(g).alias(f"__{g}") for g in group), F.col("position").alias("__at"), F.col("id").alias(name))
+        on = F.col(at) == F.col("__at")
+        for g in group:
+            on &= F.col(g).eqNullSafe(F.col(f"__{g}"))
+        return pairs.join(own, on).drop("__at", *(f"__{g}" for g in group))
+
+    return end(end(each, "i", "id_a"), "j", "id_b").select(*group, "id_a", "id_b")
+
+
+def sample_properties(drawn: DataFrame, records: DataFrame, group: str, fraction: float) -> DataFrame:
+    """Of each group's drawn pairs: how many, how many differ, how many ends are of another group, and whether they are spread.
+
+    A record is missed by chance with about (1 - fraction)^(n - 1); a spread draw meets
+    all but that share of the n records, within six standard deviations. ``many``: n is over 20.
+    """
+    own = records.select(F.col("id").alias("end"), F.col(group).alias("__own"))
+    ends = drawn.select(F.col(group).alias("__g"), F.explode(F.array("id_a", "id_b")).alias("end")).join(own, "end")
+    met = ends.groupBy("__g").agg(F.count_distinct("end").alias("met"), F.count_if(~F.col("__own").eqNullSafe(F.col("__g"))).alias("foreign_ends"))
+    pairs = drawn.groupBy(F.col(group).alias("__h")).agg(F.count("*").alias("drawn"), F.count_distinct(F.least("id_a", "id_b"), F.greatest("id_a", "id_b")).alias("pairs"))
+    sizes = records.groupBy(group).agg(F.count("*").alias("n"))
+    out = sizes.join(pairs, F.col(group).eqNullSafe(F.col("__h"))).join(met, F.col(group).eqNullSafe(F.col("__g")))
+    missed = F.pow(F.lit(1 - fraction), F.col("n") - 1)
+    spread = F.abs(F.col("met") - F.col("n") * (1 - missed)) <= 6 * F.sqrt(F.col("n") * missed * (1 - missed)) + 2
+    return out.select(group, "drawn", "pairs", F.col("foreign_ends").cast("int").alias("foreign_ends"), (F.col("n") > 20).alias("many"), spread.alias("spread"))
 
 
 def group_sizes(records: DataFrame, key: str) -> DataFrame:

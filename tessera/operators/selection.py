@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordered import quantiles
+
 
 def largest_remainder(counts: DataFrame, key: str, n: str, total: int) -> DataFrame:
     """Quotas in proportion to ``n``: whole shares, then the largest remainders; zero quotas go.
@@ -21,7 +23,7 @@ def largest_remainder(counts: DataFrame, key: str, n: str, total: int) -> DataFr
 
 
 def first_by_key(rows: DataFrame, group: list[str], key: str, quota: Column, tie: str) -> DataFrame:
-    """Of each group the rows with the smallest ``key`` (hex digits), as many as ``quota`` says.
+    """Of each group the rows with the smallest ``key`` (hex digits), as many as ``quota`` says; null is a group like others.
 
     ``quota`` is an expression over the group's columns and ``n``, its number of rows. The
     rows are counted by the key's first four digits; ranges wholly inside or outside need
@@ -32,11 +34,15 @@ def first_by_key(rows: DataFrame, group: list[str], key: str, quota: Column, tie
     over = Window.partitionBy(*group)
     ranges = ranges.withColumns({"n": F.sum("c").over(over), "before": F.sum("c").over(over.orderBy("prefix")) - F.col("c")})
     left = (quota - F.col("before")).alias("left")
-    cut = ranges.select(*group, "prefix", "c", left).filter("left > 0")
-    met = rows.withColumn("prefix", prefix).join(cut, [*group, "prefix"])
-    whole = met.filter("left >= c")
-    part = met.filter("left < c").withColumn("turn", F.row_number().over(Window.partitionBy(*group, "prefix").orderBy(key, tie))).filter(F.col("turn") <= F.col("left")).drop("turn")
-    return whole.unionByName(part).select(*rows.columns)
+    cut = ranges.select(*(F.col(g).alias(f"__{g}") for g in group), F.col("prefix").alias("__prefix"), F.col("c").alias("__c"), left.alias("__left")).filter("__left > 0")
+    on = prefix.eqNullSafe(F.col("__prefix"))
+    for g in group:
+        on &= F.col(g).eqNullSafe(F.col(f"__{g}"))
+    met = rows.join(cut, on)
+    whole = met.filter("__left >= __c")
+    turn = F.row_number().over(Window.partitionBy(*group, "__prefix").orderBy(key, tie))
+    part = met.filter("__left < __c").withColumn("__turn", turn).filter(F.col("__turn") <= F.col("__left"))
+    return whole.select(*rows.columns).unionByName(part.select(*rows.columns))
 
 
 def first_k(rows: DataFrame, group: list[str], key: str, k: int, tie: str) -> DataFrame:
@@ -125,6 +131,15 @@ def degrees(pairs: DataFrame, a: str, b: str) -> DataFrame:
     return distinct.select(F.explode(F.array_distinct(F.array("lo", "hi"))).alias("entity")).groupBy("entity").agg(F.count("*").alias("degree"))
 
 
+def degree_summary(entities: DataFrame, degree: str) -> DataFrame:
+    """One row: least, quartiles, mean, 95th percentile and most of ``degree``."""
+    marks = quantiles(entities, [], degree, {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95})
+    ends = entities.agg(F.min(degree).alias("least"), F.avg(degree).alias("mean"), F.max(degree).alias("most"))
+    both = ends.unionByName(marks.drop("n"), allowMissingColumns=True)
+    six = lambda c: F.round(F.max(c), 6).alias(c)
+    return both.agg(F.max("least").alias("least"), six("p25"), six("p50"), six("mean"), six("p75"), six("p95"), F.max("most").alias("most"))
+
+
 def split_overlaps(rows: DataFrame, split: str, key: str) -> DataFrame:
     """For every two splits how many distinct keys are in both, from one grouping by key."""
     sets = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.sort_array(F.collect_set(split)).alias("s")).filter("size(s) > 1")

@@ -161,6 +161,38 @@ def test_sampled_pairs_never_repeat(spark):
         assert len(got) == len(set(got)) == want and all(a != b and a % 2 == b % 2 for a, b in got)
 
 
+def test_sampled_pairs_are_spread(spark):
+    """Groups whose pairs number as many as divide a power of two less one, and a null group: no draw keeps to the first records."""
+    rows = [(1000 * g + k, None if g == 3 else f"g{g}", hashlib.sha256(f"{g}|{k}".encode()).hexdigest()) for g, n in enumerate((12, 22, 63, 63, 2, 1)) for k in range(n)]
+    df = spark.createDataFrame(rows, "id long, g string, key string")
+    place = {i: p for g in {r[1] for r in rows} for p, (_, i) in enumerate(sorted((r[2], r[0]) for r in rows if r[1] == g))}
+    for seed in (0, 1, 2):
+        drawn = {}
+        for r in P.sampled_pairs(df, ["g"], "key", 0.05, seed).collect():
+            drawn.setdefault(r.g, set()).add((place[r.id_a], place[r.id_b]))
+        assert {g: len(x) for g, x in drawn.items()} == {"g0": 4, "g1": 12, "g2": 98, None: 98, "g4": 1}
+        assert all(0 <= a < b for x in drawn.values() for a, b in x)
+        assert drawn["g2"] != drawn[None] and all(len({e for p in drawn[g] for e in p}) >= 50 for g in ("g2", None))
+        assert len({e for p in drawn["g1"] for e in p}) >= 12
+
+
+def test_permutations_of_any_size(spark):
+    """Every number once; numbers near 2^63 don't overflow."""
+    for n in (1, 2, 3, 10, 66, 1953, 5000):
+        got = [r[0] for r in spark.range(n).select(P.permuted(F.col("id"), F.lit(n).cast("long"), 7, F.lit("t"))).collect()]
+        assert sorted(got) == list(range(n)) and (n < 10 or got != sorted(got))
+    n = 3_000_000_000 * 2_999_999_999 // 2
+    got = [r[0] for r in spark.range(1000).select(P.permuted(F.col("id") * F.lit(n // 1000), F.lit(n), 7)).collect()]
+    assert len(set(got)) == 1000 and all(0 <= x < n for x in got) and len({x * 10 // n for x in got}) == 10
+
+
+def test_first_by_key_keeps_null_groups(spark):
+    df = spark.createDataFrame([(k, None if k % 2 else "g", f"{k * 7919 % 65536:04x}") for k in range(40)], "id long, g string, key string")
+    got = {r.id for r in S.first_by_key(df, ["g"], "key", F.ceil(F.col("n") / 4), "id").collect()}
+    want = {i for odd in (0, 1) for _, i in sorted((f"{k * 7919 % 65536:04x}", k) for k in range(40) if k % 2 == odd)[:5]}
+    assert got == want
+
+
 def test_shrunk_moves_the_largest_first(spark):
     rows = [(k, n, f"{k:04x}") for k, n in enumerate([5, 1, 5, 3, 3, 3, 2])]
     df = spark.createDataFrame(rows, "id long, n long, key string")
