@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def read_records(spark: SparkSession, *paths: str, columns: list[str] | None = None) -> DataFrame:
@@ -19,13 +18,6 @@ def read_json_lines(spark: SparkSession, schema: str, *paths: str) -> DataFrame:
     return spark.read.schema(schema).json(list(paths))
 
 
-def read_numbered_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """JSON lines of small files with each file's line numbers from 1: ``file``, ``line`` and the fields."""
-    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
-    lines = whole.select("file", F.posexplode(F.split("value", "\n")).alias("pos", "text")).filter(F.trim("text") != "")
-    return lines.select("file", (F.col("pos") + 1).alias("line"), F.from_json("text", schema).alias("r")).select("file", "line", "r.*")
-
-
 def read_delimited(spark: SparkSession, path: str, separator: str = "\t", schema: str | None = None) -> DataFrame:
     """Delimited text with a header; all columns are texts unless a schema is given."""
     reader = spark.read.option("header", True).option("sep", separator)
