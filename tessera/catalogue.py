@@ -14,6 +14,7 @@ from .functions import expressions as E
 from .functions import hashing as H
 from .functions import metrics as M
 from .functions import species as Y
+from .operators import balance as B
 from .operators import neighbours as K
 from .operators import ordered as O
 from .operators import pairing as P
@@ -56,7 +57,7 @@ def _pairs(t) -> DataFrame:
 
 @query(f"{PAIRS} SELECT id_a, id_b, round(difference, 6) AS difference, label FROM pairs")
 def pairs_same_key(spark, t):
-    return _pairs(t).select("id_a", "id_b", F.round("difference", 6).alias("difference"), "label")
+    return B.balanced_pairs(_records(t), ["p_brand"]).select("id_a", "id_b", F.round("difference", 6).alias("difference"), "label")
 
 
 @query(f"WITH r AS ({RECORDS}) SELECT a.id AS id_a, b.id AS id_b, {LABEL} AS label FROM r a JOIN r b ON a.p_brand = b.p_brand AND a.p_type = b.p_type AND a.id < b.id WHERE {BAND}")
@@ -176,7 +177,8 @@ QUESTION = "Should the value transfer between Record A and Record B?"
     "CASE WHEN label = 1 THEN 'A' ELSE 'B' END AS completion, '{\"p_name\": \"' || name_a || '\", \"p_type\": \"' || type_a || '\"}' AS metadata_a FROM pairs"
 )
 def rendered_prompts(spark, t):
-    out = prompts.rendered(_pairs(t), ["p_name", "p_type"], known="value")
+    told = prompts.described_records(_records(t), ["p_name", "p_type"], known="value")
+    out = prompts.joined(P.same_key_pairs(told, ["p_brand"]))
     return out.select("id_a", "id_b", F.sha2("prompt", 256).alias("prompt_sha"), "completion", "metadata_a")
 
 
@@ -509,6 +511,6 @@ def upserts(spark, t):
     return R.upserted(old, new, ["c_custkey"])
 
 
-from . import catalogue_builds, catalogue_checks  # noqa: E402, F401  registers its queries
+from . import catalogue_builds, catalogue_checks, catalogue_scale  # noqa: E402, F401  registers its queries
 
 FLAGSHIP = QUERIES["pairs_same_key"]
