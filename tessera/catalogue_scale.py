@@ -11,8 +11,12 @@ from pyspark.sql import functions as F
 
 from .catalogue import query
 from .operators import balance as B
+from .operators import checks as C
+from .plans import record_splits as R
 from .plans import templates
+from .plans import universes as U
 from .sources import numbered as N
+from .sources import observed as O
 from .sources.shared import shared_folder
 from .streaming import best
 
@@ -105,3 +109,80 @@ def best_so_far(spark, t):
         found = best.improvements(stream, "lang", "doc_id", "n")
         found.writeStream.foreachBatch(out).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
     return out.rows(spark)
+
+
+UNIVERSES = {"conversation": ["conv"], "role": ["conv", "role"], "parity": ["conv", "parity"]}
+IN_UNIVERSE = "(v.u = 'conversation' OR (v.u = 'role' AND a.role = b.role) OR (v.u = 'parity' AND a.id % 2 = b.id % 2))"
+
+
+@query(
+    f"WITH r AS ({TURNS}), p AS (SELECT v.u AS universe, (abs(a.value - b.value) <= 10)::INT AS label, CASE WHEN (a.id + b.id) % 50 = 0 THEN 'eval' WHEN a.id % 7 = 3 OR b.id % 7 = 3 THEN 'discard' ELSE 'train' END AS route "
+    f"FROM r a JOIN r b ON a.conv = b.conv AND a.id < b.id, (VALUES ('conversation'), ('role'), ('parity')) v(u) WHERE (abs(a.value - b.value) <= 10 OR abs(a.value - b.value) >= 30) AND {IN_UNIVERSE}) "
+    "SELECT universe, route, label, count(*) AS n FROM p GROUP BY ALL"
+)
+def universe_routes(spark, t):
+    """Three universes of pairs of turns from one join, with one selection for all of them."""
+    turns = _turns(t).withColumn("parity", F.col("id") % 2)
+    pairs = U.universe_pairs(turns, UNIVERSES)
+    picked = pairs.filter((F.col("id_a") + F.col("id_b")) % 50 == 0).select("id_a", "id_b")
+    barred = turns.filter("id % 7 = 3").select("id")
+    return U.routed_universes(pairs, picked, barred, list(UNIVERSES)).groupBy("universe", "route", "label").agg(F.count("*").alias("n"))
+
+
+LANGS = ["de", "en", "fr", "es"]
+
+
+@query(
+    "WITH d AS (SELECT *, doc_id % 10 <> 0 AND n_chars <= 5000 AS kept, CASE WHEN lang IN ('de', 'en', 'fr', 'es') THEN lang WHEN lang IS NULL THEN 'null' ELSE 'other values' END AS l FROM documents), "
+    "v AS (SELECT unnest(['de', 'en', 'fr', 'es', 'null', 'other values']) AS l), "
+    "c AS (SELECT v.l AS what, count(d.doc_id) AS before, count(d.doc_id) FILTER (kept) AS after FROM v LEFT JOIN d ON d.l = v.l GROUP BY v.l) "
+    "SELECT 'lang ' || what AS what, before, after FROM c UNION ALL SELECT 'rows', count(*), count(*) FILTER (kept) FROM d UNION ALL SELECT 'n_chars', sum(n_chars)::BIGINT, sum(n_chars) FILTER (kept)::BIGINT FROM d"
+)
+def observed_manifest(spark, t):
+    """Documents written without long ones and some others, and what was counted before and after while they were written."""
+    kept = (F.col("doc_id") % 10 != 0) & (F.col("n_chars") <= 5000)
+    said = O.write_counted(t("documents").select("doc_id", "lang", "n_chars"), shared_folder(spark, "kept"), kept, {"lang": LANGS}, {"n_chars": F.col("n_chars")})
+    before, after = said["before"], said["after"]
+    rows = [(f"lang {k}", before["lang"][k], after["lang"][k]) for k in before["lang"]]
+    rows += [("rows", before["rows"], after["rows"]), ("n_chars", before["sums"]["n_chars"], after["sums"]["n_chars"])]
+    return spark.createDataFrame(rows, "what string, before long, after long")
+
+
+def _capped(t):
+    m = F.col("conv_id") % 10
+    entities = R.labelled_entities(t("conversations").withColumn("size", F.length("text")), "conv_id", "size", 300.0)
+    return R.capped_splits(entities, "conv_id", m == 0, m <= 2, {"validation_1": 12, "validation_2": 12, "test": 20}, 31)
+
+
+CAPPED = (
+    "WITH m AS (SELECT conv_id, CASE WHEN median(length(text)) >= 300 THEN 1 ELSE 0 END AS label, count(text) AS n FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id), "
+    "p AS (SELECT conv_id, row_number() OVER (PARTITION BY label ORDER BY sha256('31|smiles|' || conv_id), conv_id) AS rn, count(*) OVER (PARTITION BY label) AS c FROM m WHERE conv_id % 10 IN (1, 2)), "
+    "s AS (SELECT m.*, CASE WHEN m.conv_id % 10 = 0 THEN 'test' WHEN p.rn IS NULL THEN 'train' WHEN p.rn <= ceil(p.c / 2) THEN 'validation_1' ELSE 'validation_2' END AS split FROM m LEFT JOIN p USING (conv_id)), "
+    "b AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY split ORDER BY n DESC, sha256('31|' || split || '|' || conv_id), conv_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(n) OVER (PARTITION BY split) AS whole FROM s), "
+    "f AS (SELECT *, CASE split WHEN 'train' THEN false WHEN 'test' THEN whole - before > 20 ELSE whole - before > 12 END AS moved FROM b), e AS (SELECT *, CASE WHEN moved THEN 'train' ELSE split END AS final FROM f)"
+)
+
+
+@query(f"{CAPPED} SELECT conv_id, label, n, split, moved, final FROM e")
+def capped_splits(spark, t):
+    """Splits of conversations with caps on the turns that are held out; what is over them goes to training."""
+    return _capped(t).select("conv_id", "label", "n", "split", "moved", "final")
+
+
+@query(
+    f"{CAPPED} SELECT 'assigned' AS stage, split, count(*) AS entities, sum(n)::BIGINT AS rows, count(*) FILTER (label = 1) AS positives, count(*) FILTER (moved) AS moved FROM e GROUP BY split "
+    "UNION ALL SELECT 'capped', final, count(*), sum(n)::BIGINT, count(*) FILTER (label = 1), count(*) FILTER (moved) FROM e GROUP BY final"
+)
+def capped_split_report(spark, t):
+    return R.split_report(_capped(t))
+
+
+@query(
+    "WITH r AS (SELECT conv_id, CASE WHEN turn % 5 = 4 THEN NULL ELSE role END AS role, CASE WHEN length(text) % 3 = 0 THEN 2.0 WHEN length(text) % 7 = 0 THEN NULL ELSE length(text) % 2 END AS y FROM conversations) "
+    "SELECT 'null conv_id' AS fault, count(*) FILTER (conv_id IS NULL) AS n FROM r UNION ALL SELECT 'null role', count(*) FILTER (role IS NULL) FROM r UNION ALL SELECT 'non-binary y', count(*) FILTER (y IS NULL OR y NOT IN (0, 1)) FROM r"
+)
+def record_faults(spark, t):
+    """Planted nulls and labels that aren't 0 or 1, counted in one pass."""
+    n = F.length("text")
+    rows = t("conversations").select("conv_id", F.when(F.col("turn") % 5 != 4, F.col("role")).alias("role"), F.when(n % 3 == 0, 2.0).when(n % 7 != 0, n % 2).alias("y"))
+    return C.fault_counts(rows, ["conv_id", "role"], ["y"])
