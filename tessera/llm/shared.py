@@ -9,6 +9,7 @@ from __future__ import annotations
 import ctypes
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -53,6 +54,18 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+@contextmanager
+def short_plans(spark: SparkSession, length: int = 1 << 16):
+    """Descriptions of plans are cut off at ``length`` characters: for plans with a literal table, of which the driver keeps every version's text."""
+    name = "spark.sql.maxPlanStringLength"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(length, int(before)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def give_back() -> None:
     """Hand the process's freed memory back to the system."""
     pa.default_memory_pool().release_unused()
