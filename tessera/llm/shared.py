@@ -59,7 +59,7 @@ def short_plans(spark: SparkSession, length: int = 1 << 16):
     """Descriptions of plans are cut off at ``length`` characters: for plans with a literal table, of which the driver keeps every version's text."""
     name = "spark.sql.maxPlanStringLength"
     before = spark.conf.get(name)
-    spark.conf.set(name, min(length, int(before)))
+    spark.conf.set(name, length)
     try:
         yield
     finally:
