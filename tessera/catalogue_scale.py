@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .catalogue import query
+from .catalogue import ORACLE_SQL, _vectors, query
 from .operators import balance as B
 from .operators import checks as C
+from .operators import neighbours as K
 from .plans import record_splits as R
 from .plans import templates
 from .plans import universes as U
@@ -186,3 +187,11 @@ def record_faults(spark, t):
     n = F.length("text")
     rows = t("conversations").select("conv_id", F.when(F.col("turn") % 5 != 4, F.col("role")).alias("role"), F.when(n % 3 == 0, 2.0).when(n % 7 != 0, n % 2).alias("y"))
     return C.fault_counts(rows, ["conv_id", "role"], ["y"])
+
+
+@query(ORACLE_SQL["tanimoto_neighbours"])
+def pruned_neighbours(spark, t):
+    """The rows of ``tanimoto_neighbours``, without the pairs whose popcounts rule them out."""
+    q, s = _vectors(t)
+    out = K.pruned_candidates(q.drop("q_vec"), s.drop("s_vec"), 10)
+    return out.select("q_id", "s_id", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"))
