@@ -9,10 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .catalogue import ORACLE_SQL, _vectors, query
+from .catalogue import ORACLE_SQL, PAIRS, _pairs, _vectors, query
 from .operators import balance as B
 from .operators import checks as C
+from .operators import entities as E
 from .operators import neighbours as K
+from .operators import selection as S
+from .plans import pair_builds as G
 from .plans import record_splits as R
 from .plans import templates
 from .plans import universes as U
@@ -195,3 +198,38 @@ def pruned_neighbours(spark, t):
     q, s = _vectors(t)
     out = K.pruned_candidates(q.drop("q_vec"), s.drop("s_vec"), 10)
     return out.select("q_id", "s_id", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"))
+
+
+@query("SELECT row_number() OVER (ORDER BY min(doc_id)) - 1 AS entity_id, source, min(doc_id) AS first, count(*) AS n FROM documents WHERE source IS NOT NULL GROUP BY source")
+def entity_table(spark, t):
+    """Sources of documents, numbered as they are first seen."""
+    return E.entity_table(t("documents"), "doc_id", "source")
+
+
+@query(
+    f"{PAIRS}, c AS (SELECT entity, count(*) AS cost FROM (SELECT name_a AS entity FROM pairs UNION ALL SELECT name_b FROM pairs) GROUP BY entity), "
+    "e AS (SELECT DISTINCT least(name_a, name_b) AS a, greatest(name_a, name_b) AS b FROM pairs), d AS (SELECT entity, count(*) AS degree FROM (SELECT a AS entity FROM e UNION ALL SELECT b FROM e WHERE a <> b) GROUP BY entity), "
+    "s AS (SELECT DISTINCT p_name AS entity FROM part WHERE p_size = 7), k AS (SELECT count(*) AS n FROM s), top AS (SELECT entity FROM d ORDER BY degree DESC, sha256(entity) LIMIT (SELECT n FROM k)), "
+    "z AS (SELECT 'selected' AS choice, coalesce(sum(cost), 0)::BIGINT AS cost FROM c WHERE entity IN (SELECT entity FROM s) UNION ALL SELECT 'top degree', coalesce(sum(cost), 0)::BIGINT FROM c WHERE entity IN (SELECT entity FROM top)) "
+    "SELECT choice, (SELECT n FROM k) AS entities, cost, greatest(0, (SELECT count(*) FROM pairs) - cost) AS kept FROM z"
+)
+def holdout_costs(spark, t):
+    """What keeping the names of one size out of training costs, beside as many names of the highest degree."""
+    pairs = _pairs(t)
+    chosen = t("part").filter("p_size = 7").select(F.col("p_name").alias("entity"))
+    return E.holdout_costs(S.incident_costs(pairs, "p_name_a", "p_name_b"), S.degrees(pairs, "p_name_a", "p_name_b"), chosen, pairs.count())
+
+
+@query(
+    f"WITH r AS ({TURNS}), v AS (SELECT *, CASE WHEN value IS NULL THEN 'missing value' WHEN coalesce(trim(role), '') = '' THEN 'missing entity' ELSE 'valid' END AS reason FROM r), "
+    "p AS (SELECT (abs(a.value - b.value) <= 10)::INT AS label FROM v a JOIN v b ON a.conv = b.conv AND a.id < b.id WHERE a.reason = 'valid' AND b.reason = 'valid' AND (abs(a.value - b.value) <= 10 OR abs(a.value - b.value) >= 30)) "
+    "SELECT 'records ' || reason AS what, count(*) AS n FROM v GROUP BY reason UNION ALL SELECT 'pairs ' || label, count(*) FROM p GROUP BY label "
+    "UNION ALL SELECT 'candidates', sum(c * (c - 1) // 2)::BIGINT FROM (SELECT count(*) AS c FROM v WHERE reason = 'valid' AND conv IS NOT NULL GROUP BY conv)"
+)
+def pair_build(spark, t):
+    """A whole build of pairs of turns: valid records, the pairs within conversations, and what it reports."""
+    valid, counts = G.valid_records(_turns(t), "value", "role")
+    pairs, report = G.built_pairs(valid, ["conv"])
+    labels = pairs.groupBy("label").agg(F.count("*").alias("n")).select(F.concat(F.lit("pairs "), "label").alias("what"), "n")
+    said = [(f"records {k}", n) for k, n in counts.items()] + [("candidates", report["candidates"])]
+    return labels.unionByName(spark.createDataFrame(said, "what string, n long"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def read_records(spark: SparkSession, *paths: str, columns: list[str] | None = None) -> DataFrame:
@@ -40,6 +41,20 @@ def write_json_lines(df: DataFrame, path: str, overwrite: bool = False) -> None:
     df.write.mode("overwrite" if overwrite else "errorifexists").option("compression", "gzip").option("ignoreNullFields", False).json(path)
 
 
+def write_sorted_list(df: DataFrame, column: str, path: str) -> None:
+    """The distinct stripped texts that aren't blank, one a line, in order from file to file."""
+    text = F.trim(F.col(column).cast("string")).alias("value")
+    df.select(text).filter("value <> ''").distinct().orderBy("value").write.mode("errorifexists").text(path)
+
+
+def unioned(*frames: DataFrame) -> DataFrame:
+    """Frames below each other, with all of their columns in the order in which they are first seen; null where one has none."""
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
 def appended(df: DataFrame, path: str) -> None:
     """Tidy metric rows added to those in ``path``."""
     df.write.mode("append").parquet(path)

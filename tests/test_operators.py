@@ -3,11 +3,13 @@
 import hashlib
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import expressions as E
 from tessera.functions import hashing as H
 from tessera.functions import metrics as M
+from tessera.operators import entities as E2
 from tessera.operators import neighbours as K
 from tessera.operators import pairing as P
 from tessera.operators import selection as S
@@ -231,10 +233,78 @@ def test_fingerprints_of_more_than_64_numbers(spark):
     assert df.select(K.sign_bits(F.col("v"))).first()[0] == [-1, 1]
 
 
-def test_stable_ids():
-    import pandas as pd
+def blake(size, *parts):
+    return hashlib.blake2b("|".join(map(str, parts)).encode(), digest_size=size).digest()
+
+
+def test_stable_ids(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2)], "x string, i long")
+    assert [r[0] for r in df.select(H.stable_id(F.col("x"), F.col("i"))).collect()] == [blake(12, "a", 1).hex(), blake(12, None, 2).hex()]
+
+
+def test_sampled_rows_by_priority(spark):
+    rows = [(s, f"p{k}", f"s{k // 2}" if k % 5 else None, k % 2, ["a_to_b", "b_to_a", None][k % 3]) for k in range(60) for s in ("train", "test", "validation_1")]
+    df = spark.createDataFrame(rows, "split string, pair string, source string, label int, direction string")
+    priority = lambda seed, *parts: seed ^ int.from_bytes(blake(8, *parts), "big")
+    c = {n: F.col(n) for n in df.columns}
+
+    def kept(strategy="random", source=None, ways=False):
+        shown = H.kept_row(c["split"], c["pair"], c["label"], 7, {"train": 0.5, "test": 0.25}, strategy, c["source"], source, c["direction"] if ways else None)
+        return {tuple(r) for r in df.filter(shown).collect()}
+
+    def want(strategy="random", source=None, ways=False):
+        for r in rows:
+            split, pair, src, label, way = r
+            key = lambda base: ("train_label", label, base) if strategy == "label_stratified" else ("train", base)
+            if split == "train" and (source is not None or ways):
+                base = src or pair
+                ok = source is None or source >= 1 or priority(7, *key(base)) % 10**6 < int(source * 10**6)
+                ok = ok and (not ways or way is None or way == ("a_to_b" if priority(7, "direction", base) % 2 == 0 else "b_to_a"))
+            elif split == "train":
+                ok = priority(7, *key(pair)) % 10**6 < 500_000
+            else:
+                ok = split != "test" or priority(7, "test", pair) % 10**6 < 250_000
+            if ok:
+                yield r
+
+    for how in ({}, {"strategy": "label_stratified"}, {"source": 0.4}, {"source": 0.4, "ways": True, "strategy": "label_stratified"}, {"ways": True}):
+        assert kept(**how) == set(want(**how)), how
+
+
+def test_entities(spark):
+    rows = [(k, [None, "a", "b", "c", "d"][k * 7 % 5]) for k in range(3, 40)]
+    df = spark.createDataFrame(rows, "id long, e string")
+    table = E2.entity_table(df, "id", "e")
+    order = list(dict.fromkeys(e for _, e in rows if e))
+    assert {r.e: r.entity_id for r in table.collect()} == {e: k for k, e in enumerate(order)}
+    known = df.filter("e is not null")
+    assert {(r.id, r.entity_id) for r in E2.with_entity_ids(known, table, "e").collect()} == {(i, order.index(e)) for i, e in rows if e}
+    with pytest.raises(Exception, match="a record has no e"):
+        E2.with_entity_ids(df, table, "e").collect()
+
+
+def test_top_by_and_costs(spark):
+    rows = [(f"e{k}", [5, 3, 3, 3, 3, 1][k % 6], 10 * k) for k in range(30)]
+    degrees = spark.createDataFrame([r[:2] for r in rows], "entity string, degree long")
+    costs = spark.createDataFrame([(r[0], r[2]) for r in rows], "entity string, cost long")
+    for n in (0, 3, 5, 8, 25, 30, 40):
+        want = [e for e, d, _ in sorted(rows, key=lambda r: (-r[1], hashlib.sha256(r[0].encode()).hexdigest()))][:n]
+        assert {r.entity for r in E2.top_by(degrees, "entity", "degree", n).collect()} == set(want)
+    out = {r.choice: r for r in E2.holdout_costs(costs, degrees, costs.filter("cost < 50"), 1000).collect()}
+    want = sorted(rows, key=lambda r: (-r[1], hashlib.sha256(r[0].encode()).hexdigest()))[:5]
+    assert (out["selected"].entities, out["selected"].cost, out["selected"].kept) == (5, 100, 900)
+    assert out["top degree"].cost == sum(r[2] for r in want)
+
+
+def test_sorted_lists_and_unions(spark, tmp_path):
+    df = spark.createDataFrame([(" b ",), ("a",), (None,), ("",), ("b",), ("\u00e9",)], "x string")
+    files.write_sorted_list(df, "x", f"{tmp_path}/list")
+    assert [r.value for r in spark.read.text(f"{tmp_path}/list").collect()] == ["a", "b", "\u00e9"]
+    a, b = spark.createDataFrame([(1, "x")], "k long, m string"), spark.createDataFrame([(2, 0.5)], "k long, v double")
+    out = files.unioned(a, b)
+    assert out.columns == ["k", "m", "v"] and sorted(map(tuple, out.collect())) == [(1, "x", None), (2, None, 0.5)]
+    assert files.written_tables(out, ["k"])[0] == "k,m,v\n1,x,\n2,,0.5\n"
 
-    assert H.stable_id(pd.Series(["a|1", None])).tolist() == [hashlib.blake2b(b"a|1", digest_size=12).hexdigest(), None]
 
 
 def test_logs_and_layouts(spark, tmp_path):
