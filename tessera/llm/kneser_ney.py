@@ -254,23 +254,28 @@ def _counts_at(held: dict, at: np.ndarray) -> np.ndarray:
 
 def _in_shard(held: dict, places: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``Model._followers`` for pairs of one shard."""
-    block = places // BLOCK
+    distinct, back = np.unique(places, return_inverse=True)
+    block = distinct // BLOCK
     width = held["width"].reshape(-1, BLOCK)[block]
-    start = held["start"][block] + np.where(np.arange(BLOCK) < (places % BLOCK)[:, None], width, 0).sum(axis=1, dtype=np.int64)
-    size = held["width"][places].astype(np.int64)
+    start = held["start"][block] + np.where(np.arange(BLOCK) < (distinct % BLOCK)[:, None], width, 0).sum(axis=1, dtype=np.int64)
+    size = held["width"][distinct].astype(np.int64)
     if len(held["wide"]):
         more = np.append(0, np.cumsum(held["wide_n"] - 255))
-        start += more[np.searchsorted(held["wide"], places)] - more[np.searchsorted(held["wide"], block * BLOCK)]
+        start += more[np.searchsorted(held["wide"], distinct)] - more[np.searchsorted(held["wide"], block * BLOCK)]
         full = np.flatnonzero(size == 255)
-        size[full] = held["wide_n"][np.searchsorted(held["wide"], places[full])]
-    kinds = np.zeros((len(places), 4), np.int64)
+        size[full] = held["wide_n"][np.searchsorted(held["wide"], distinct[full])]
+    kinds = np.zeros((len(distinct), 4), np.int64)
     few, many = np.flatnonzero((size > 0) & (size <= FEW)), np.flatnonzero(size > FEW)
     if len(few):
         ends = np.cumsum(size[few])
-        at = np.arange(ends[-1]) + np.repeat(start[few] - (ends - size[few]), size[few])
-        kinds[few] = np.add.reduceat(_kinds(_counts_at(held, at)), ends - size[few], axis=0)
+        first = ends - size[few]
+        n = _counts_at(held, np.arange(ends[-1]) + np.repeat(start[few] - first, size[few]))
+        for k, part in enumerate((n, n == 1, n == 2)):
+            kinds[few, k] = np.add.reduceat(part, first, dtype=np.int64)
+        kinds[few, 3] = size[few] - kinds[few, 1] - kinds[few, 2]
     if len(many):
-        kinds[many] = held["big_kinds"].reshape(-1, 4)[np.searchsorted(held["big"], places[many])]
+        kinds[many] = held["big_kinds"].reshape(-1, 4)[np.searchsorted(held["big"], distinct[many])]
+    start, size, kinds = start[back], size[back], kinds[back]
     low, high, counts = start.copy(), start + size, np.zeros(len(places), np.int64)
     open_ = np.flatnonzero((size > 0) & (ids >= 0))
     asked = open_
