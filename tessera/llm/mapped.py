@@ -21,7 +21,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import shared_path
+from .shared import shared_path, short_plans
 
 #: Rows of a shard at most; smaller tables are cut into up to ``SPREAD`` shards of ``LEAST_ROWS`` or more, so that no single task writes one.
 SHARD_ROWS, LEAST_ROWS, SPREAD = 4_000_000, 1 << 16, 16
@@ -173,5 +173,6 @@ def build(df: DataFrame, rows: int, name: str, values: dict[str, str], shard_row
     held = df.select(F.col("key").cast("long"), *values)
     out.values |= {f"{n}_at": "i8" for n, t in held.dtypes if t.startswith("array")}
     shard = F.shiftrightunsigned(F.xxhash64("key"), 64 - bits) if bits else F.lit(0).cast("long")
-    done = held.withColumn("shard", shard).groupBy("shard").applyInArrow(write, "shard long, n long").collect()
+    with short_plans(spark):
+        done = held.withColumn("shard", shard).groupBy("shard").applyInArrow(write, "shard long, n long").collect()
     return out.sized(done)

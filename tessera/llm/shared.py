@@ -39,7 +39,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again: its lineage ends there."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    with short_plans(spark):
+        df.write.parquet(path)
     give_back()
     return spark.read.schema(df.schema).parquet(path)
 
@@ -55,8 +56,8 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
 
 
 @contextmanager
-def short_plans(spark: SparkSession, length: int = 1 << 16):
-    """Descriptions of plans are cut off at ``length`` characters: for plans with a literal table, of which the driver keeps every version's text."""
+def short_plans(spark: SparkSession, length: int = 1 << 14):
+    """Descriptions of plans are cut off at ``length`` characters: the driver keeps those of a thousand jobs, and every version of each."""
     name = "spark.sql.maxPlanStringLength"
     before = spark.conf.get(name)
     spark.conf.set(name, length)
