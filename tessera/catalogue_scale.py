@@ -17,6 +17,7 @@ from .operators import neighbours as K
 from .operators import selection as S
 from .plans import pair_builds as G
 from .plans import record_splits as R
+from .plans import records as W
 from .plans import templates
 from .plans import universes as U
 from .sources import numbered as N
@@ -233,3 +234,15 @@ def pair_build(spark, t):
     labels = pairs.groupBy("label").agg(F.count("*").alias("n")).select(F.concat(F.lit("pairs "), "label").alias("what"), "n")
     said = [(f"records {k}", n) for k, n in counts.items()] + [("candidates", report["candidates"])]
     return labels.unionByName(spark.createDataFrame(said, "what string, n long"))
+
+
+@query(
+    "SELECT doc_id::VARCHAR AS record_key, doc_id AS source_row_index, row_number() OVER (ORDER BY doc_id) - 1 AS source_position, quality::TINYINT AS label, "
+    "(CASE WHEN lang IS NULL OR lower(trim(lang)) IN ('', 'na', 'n/a', 'nan', 'none', 'null', 'unknown', 'not reported') THEN '1' ELSE '0' END) || (CASE WHEN doc_id % 3 = 0 THEN '1' ELSE '0' END) AS missing_mask "
+    "FROM documents JOIN labels USING (doc_id)"
+)
+def normalised_records(spark, t):
+    """Labelled documents as records of a neighbour search, numbered in the order of their ids."""
+    rows = t("documents").join(t("labels").select("doc_id", "quality"), "doc_id").withColumn("plain", F.when(F.col("doc_id") % 3 != 0, "x"))
+    out = W.normalised_records(rows.select("doc_id", "lang", "plain", "quality"), "source", "doc_id", "doc_id", "quality", fields=["lang", "plain"])
+    return out.select("record_key", "source_row_index", "source_position", "label", "missing_mask")

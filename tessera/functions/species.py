@@ -11,51 +11,59 @@ from .expressions import normal_text
 GENERIC = ("animal", "animals", "animal models", "preclinical species")
 FIRST = ((r"\bguinea pig(s)?\b", "rodent"), (r"\bnon[- ]human primate(s)?\b", "monkey"))
 FAMILIES = {
-    "human": r"""
-        \bhuman(s)?\b  \bpatient(s)?\b  \bvolunteer(s)?\b  \bsubject(s)?\b  \bparticipant(s)?\b  \bindividual(s)?\b  \bpeople\b  \bperson(s)?\b
-        \bmen\b  \bman\b  \bwomen\b  \bwoman\b  \bchild(ren)?\b  \bpediatric\b  \bpaediatric(s)?\b  \bpaediatrics\b  \bneonate(s)?\b  \bnewborn(s)?\b
-        \binfant(s)?\b  \belderly\b  \brecipient(s)?\b  ^controls?$  ^healthy control(s)?$  ^control group$  ^healthy population$  ^general population$
-        ^adult population$  ^population average$  ^young adult(s)?$  ^younger adult(s)?$  ^older adult(s)?$  ^non[- ]?pregnant adult(s)?$
-        ^non[- ]?pregnant population$  ^non[- ]?pregnant state$  ^healthy adult male(s)?$  ^healthy male adult(s)?$  ^healthy young male(s)?$
-        ^young healthy male(s)?$  ^young male$  ^young female$  ^males?$  ^females?$  ^normals?$  ^\d+ normals?$  ^\d+ adult(s)?$
-        ^\d+ healthy adult male(s)?$  ^normal adult(s)?$  ^hospitalized male adult(s)?$  ^eight healthy females$  ^males and females \(n=\d+\)$
-        ^healthy japanese male(s)?$  ^japanese$  ^asian(s)?$  ^non[- ]asian$  ^chinese$  ^humanos$  ^adultos?$  ^adulte$  ^enfant$  ^voluntarios$
-        ^probanden$  ^hv$  ^adult(s)?$  ^8 adult(s)?$  ^healthy adult(s)?$  ^healthy males?$  ^healthy females?$  ^normal controls?$  \bcaucasian(s)?\b
-    """,
-    "rodent": r"""
-        \brodent(s)?\b  \brat(s)?\b  \bwistar\b  \bsprague[-– ]?dawley\b  \bsd rat(s)?\b  \bf344\b  \bhan wistar\b  \bmouse\b  \bmice\b  \bmurine\b
-        \bcd[- ]?1\b  \bicr\b  \bbalb/?c\b  \bc57bl/?6j?\b  \bnude mice\b  \bhamster(s)?\b  \bguinea pig(s)?\b  \bwoodchuck(s)?\b
-    """,
-    "dog": r"\bdog(s)?\b  \bbeagle(s)?\b  \bcanine\b  \bcanine(s)?\b  \bgreyhound(s)?\b  \bhunden\b  \bhunde\b",
-    "monkey": r"""
-        \bmonkey(s)?\b  \bcynomolgus\b  \brhesus\b  \bmacaque(s)?\b  \bprimate(s)?\b  \bnon[- ]human primate(s)?\b  \bchimpanzee(s)?\b  \bcyno\b
-        \bmarmoset(s)?\b  \bbaboon(s)?\b  \bnhp\b  \bvervet monkey(s)?\b
-    """,
-    "rabbit": r"\brabbit(s)?\b",
-    "pig": r"\bpig(s)?\b  \bswine\b  \bporcine\b  \bminipig(s)?\b  \bmini[- ]?pig(s)?\b  \bmicrominipig(s)?\b  \bpiglet(s)?\b",
-    "horse": r"\bhorse(s)?\b  \bfoal(s)?\b  \bpony|ponies\b  \bequine\b  \bdonkey(s)?\b",
-    "cat": r"\bcat(s)?\b  \bfeline\b",
-    "bird": r"""
-        \bbird(s)?\b  \bchicken(s)?\b  \bbroiler(s)?\b  \bturkey(s)?\b  \bduck(s)?\b  \bpigeon(s)?\b  \bgoose|geese\b  \bhen(s)?\b  \bchick(s)?\b
-        \bquail(s)?\b  \bcockatiel(s)?\b  \bmallard(s)?\b  \bparrot(s)?\b  \bwattlebird(s)?\b  \bostrich(es)?\b  \bpoultry\b
-    """,
-    "ruminant": r"\bsheep\b  \bewe(s)?\b  \bgoat(s)?\b  \blamb(s)?\b  \bcalf|calves\b  \bcattle\b  \bcow(s)?\b  \bbovine\b  \balpaca(s)?\b  \bllama(s)?\b",
-    "fish": r"""
-        \bfish\b  \bsalmon\b  \btrout\b  \bcatfish\b  \bflounder\b  \bturbot\b  \bcarp\b  \bcod\b  \btilapia\b  \bhalibut\b  \bkingfish\b  \beel(s)?\b
-        \bsea bass\b  \bsturgeon\b
-    """,
-    "ferret": r"\bferret(s)?\b",
-    "camelid": r"\bcamel(s)?\b  \bcamelid(s)?\b",
-    "marsupial": r"\bkoala(s)?\b  \bpossum(s)?\b",
-    "bat": r"\bbat(s)?\b",
+    "human": (
+        r"\bhuman(s)?\b", r"\bpatient(s)?\b", r"\bvolunteer(s)?\b", r"\bsubject(s)?\b", r"\bparticipant(s)?\b", r"\bindividual(s)?\b", r"\bpeople\b",
+        r"\bperson(s)?\b", r"\bmen\b", r"\bman\b", r"\bwomen\b", r"\bwoman\b", r"\bchild(ren)?\b", r"\bpediatric\b", r"\bpaediatric(s)?\b",
+        r"\bpaediatrics\b", r"\bneonate(s)?\b", r"\bnewborn(s)?\b", r"\binfant(s)?\b", r"\belderly\b", r"\brecipient(s)?\b", r"^controls?$",
+        r"^healthy control(s)?$", r"^control group$", r"^healthy population$", r"^general population$", r"^adult population$",
+        r"^population average$", r"^young adult(s)?$", r"^younger adult(s)?$", r"^older adult(s)?$", r"^non[- ]?pregnant adult(s)?$",
+        r"^non[- ]?pregnant population$", r"^non[- ]?pregnant state$", r"^healthy adult male(s)?$", r"^healthy male adult(s)?$",
+        r"^healthy young male(s)?$", r"^young healthy male(s)?$", r"^young male$", r"^young female$", r"^males?$", r"^females?$", r"^normals?$",
+        r"^\d+ normals?$", r"^\d+ adult(s)?$", r"^\d+ healthy adult male(s)?$", r"^normal adult(s)?$", r"^hospitalized male adult(s)?$",
+        r"^eight healthy females$", r"^males and females \(n=\d+\)$", r"^healthy japanese male(s)?$", r"^japanese$", r"^asian(s)?$",
+        r"^non[- ]asian$", r"^chinese$", r"^humanos$", r"^adultos?$", r"^adulte$", r"^enfant$", r"^voluntarios$", r"^probanden$", r"^hv$",
+        r"^adult(s)?$", r"^8 adult(s)?$", r"^healthy adult(s)?$", r"^healthy males?$", r"^healthy females?$", r"^normal controls?$",
+        r"\bcaucasian(s)?\b",
+    ),
+    "rodent": (
+        r"\brodent(s)?\b", r"\brat(s)?\b", r"\bwistar\b", r"\bsprague[-– ]?dawley\b", r"\bsd rat(s)?\b", r"\bf344\b", r"\bhan wistar\b", r"\bmouse\b",
+        r"\bmice\b", r"\bmurine\b", r"\bcd[- ]?1\b", r"\bicr\b", r"\bbalb/?c\b", r"\bc57bl/?6j?\b", r"\bnude mice\b", r"\bhamster(s)?\b",
+        r"\bguinea pig(s)?\b", r"\bwoodchuck(s)?\b",
+    ),
+    "dog": (r"\bdog(s)?\b", r"\bbeagle(s)?\b", r"\bcanine\b", r"\bcanine(s)?\b", r"\bgreyhound(s)?\b", r"\bhunden\b", r"\bhunde\b"),
+    "monkey": (
+        r"\bmonkey(s)?\b", r"\bcynomolgus\b", r"\brhesus\b", r"\bmacaque(s)?\b", r"\bprimate(s)?\b", r"\bnon[- ]human primate(s)?\b",
+        r"\bchimpanzee(s)?\b", r"\bcyno\b", r"\bmarmoset(s)?\b", r"\bbaboon(s)?\b", r"\bnhp\b", r"\bvervet monkey(s)?\b",
+    ),
+    "rabbit": (r"\brabbit(s)?\b",),
+    "pig": (
+        r"\bpig(s)?\b", r"\bswine\b", r"\bporcine\b", r"\bminipig(s)?\b", r"\bmini[- ]?pig(s)?\b", r"\bmicrominipig(s)?\b", r"\bpiglet(s)?\b",
+    ),
+    "horse": (r"\bhorse(s)?\b", r"\bfoal(s)?\b", r"\bpony|ponies\b", r"\bequine\b", r"\bdonkey(s)?\b"),
+    "cat": (r"\bcat(s)?\b", r"\bfeline\b"),
+    "bird": (
+        r"\bbird(s)?\b", r"\bchicken(s)?\b", r"\bbroiler(s)?\b", r"\bturkey(s)?\b", r"\bduck(s)?\b", r"\bpigeon(s)?\b", r"\bgoose|geese\b",
+        r"\bhen(s)?\b", r"\bchick(s)?\b", r"\bquail(s)?\b", r"\bcockatiel(s)?\b", r"\bmallard(s)?\b", r"\bparrot(s)?\b", r"\bwattlebird(s)?\b",
+        r"\bostrich(es)?\b", r"\bpoultry\b",
+    ),
+    "ruminant": (
+        r"\bsheep\b", r"\bewe(s)?\b", r"\bgoat(s)?\b", r"\blamb(s)?\b", r"\bcalf|calves\b", r"\bcattle\b", r"\bcow(s)?\b", r"\bbovine\b",
+        r"\balpaca(s)?\b", r"\bllama(s)?\b",
+    ),
+    "fish": (
+        r"\bfish\b", r"\bsalmon\b", r"\btrout\b", r"\bcatfish\b", r"\bflounder\b", r"\bturbot\b", r"\bcarp\b", r"\bcod\b", r"\btilapia\b",
+        r"\bhalibut\b", r"\bkingfish\b", r"\beel(s)?\b", r"\bsea bass\b", r"\bsturgeon\b",
+    ),
+    "ferret": (r"\bferret(s)?\b",),
+    "camelid": (r"\bcamel(s)?\b", r"\bcamelid(s)?\b"),
+    "marsupial": (r"\bkoala(s)?\b", r"\bpossum(s)?\b"),
+    "bat": (r"\bbat(s)?\b",),
 }
 
 
 def pattern_of(family: str) -> str:
-    """The family's patterns as one; two spaces or a line break part them."""
-    import re
-
-    return "|".join(p for p in re.split(r"\s{2,}", FAMILIES[family].strip()))
+    """The family's patterns as one."""
+    return "|".join(FAMILIES[family])
 
 
 def species(text: Column) -> Column:

@@ -66,3 +66,23 @@ def majority(rows: DataFrame, label: str, by: list[str]) -> DataFrame:
     n, pos = F.count("*"), F.count_if(F.col(label) == 1)
     guess = (pos >= n / 2).cast("int")
     return rows.groupBy(*by).agg(n.alias("n"), guess.alias("predicted"), F.when(guess == 1, pos).otherwise(n - pos).alias("correct"))
+
+
+def label_has(label: Column, part: str) -> Column:
+    """Whether a run's label names ``part``."""
+    return F.coalesce(label.contains(part), F.lit(False))
+
+
+def ranked_rows(rows: DataFrame, ranks: dict[str, list], then: list[str]) -> DataFrame:
+    """A table of results in an order of one's own: by the places of values in lists, unknown ones last, then by columns."""
+    place = lambda c, values: F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, values)), F.col(c)), F.lit(0).cast("long")), F.lit(len(values) + 1).cast("long"))
+    return rows.orderBy(*(place(c, v) for c, v in ranks.items()), *then)
+
+
+def complete(rows: DataFrame, key: list[str], tasks: list[tuple]) -> DataFrame:
+    """``rows`` themselves; fails where one of ``tasks``, the keys that results are awaited for, has none."""
+    wanted = rows.sparkSession.createDataFrame(tasks, rows.select(*key).schema)
+    missing = wanted.join(rows.select(*key).distinct(), key, "left_anti").collect()
+    if missing:
+        raise ValueError(f"results lack {len(missing)} of {len(tasks)} tasks, such as {tuple(missing[0])}")
+    return rows

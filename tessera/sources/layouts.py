@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-# The names of splits, and other names for them.
+# The names of splits, where their record files may lie, and other names for them.
 SPLITS = ("validation_1", "validation_2", "test", "train")
+RECORD_FILES = ("data/{config}/{split}/part-00000.parquet", "data/{config}/{split}/{split}.parquet", "{split}/part-00000.parquet", "{split}.parquet")
 ALIASES = {"val_1": "validation_1", "val_2": "validation_2", "valid": "validation_1"}
 
 
@@ -18,8 +20,14 @@ def split_name(split: str) -> str:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    there = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there)
+    """Whether there is a file or folder, in any store that Spark reads, by what its reader says of it."""
+    try:
+        spark.read.format("binaryFile").load(path).schema
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def first_existing(spark: SparkSession, *paths: str) -> str:
@@ -33,7 +41,7 @@ def first_existing(spark: SparkSession, *paths: str) -> str:
 def record_split_path(spark: SparkSession, root: str, split: str, config: str = "full_metadata") -> str:
     """A split's file: under the configuration's folder or the root, as a folder's first part or under its own name."""
     s = split_name(split)
-    return first_existing(spark, f"{root}/data/{config}/{s}/part-00000.parquet", f"{root}/data/{config}/{s}/{s}.parquet", f"{root}/{s}/part-00000.parquet", f"{root}/{s}.parquet")
+    return first_existing(spark, *(f"{root}/{p.format(config=config, split=s)}" for p in RECORD_FILES))
 
 
 def read_split(spark: SparkSession, root: str, split: str, schema: str | None = None, rows: int | None = None) -> DataFrame:

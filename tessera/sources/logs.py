@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# How the trainer writes its metrics.
 BLOCK, PAIR = r"(\{[^{}]*\})", r"'([A-Za-z0-9_/]+)':\s*'([^']*)'"
 EVAL_BLOCK, NUMBER_PAIR = r"(\{'eval_val_loss': .*?\})", r"'([^']+)':\s*([^,'}\s]+)"
 
