@@ -46,6 +46,31 @@ def finite(value: Column) -> Column:
     return F.when(~F.isnan(number) & (F.abs(number) != float("inf")), number)
 
 
+def fixed(value: Column, digits: int) -> Column:
+    """The number with so many decimals, as Python and C write it: the binary value is rounded, and exact ties to even.
+
+    (Spark's ``format_string`` rounds the shortest decimal text half up: 2.675 is 2.68 there, and 2.67 here.)
+    The product with the power of ten is a double and its exact error, by Dekker's splitting.
+    Numbers of more than 15 digits are left to ``format_string``. NaN is ``nan``, infinity ``inf``.
+    """
+    x, scale = value.cast("double"), 10.0**digits
+    cut = 134217729.0  # 2^27 + 1
+    high = cut * scale - (cut * scale - scale)
+    low = scale - high
+    size = F.abs(x)
+    product, whole = size * scale, F.floor(size * scale)
+    upper = cut * size - (cut * size - size)
+    lower = size - upper
+    error = ((upper * high - product) + upper * low + lower * high) + lower * low
+    over = product - whole - 0.5
+    up = (over > 0) | ((over == 0) & ((error > 0) | ((error == 0) & (whole % 2 == 1))))
+    number = whole + up.cast("long")
+    text = F.concat(F.floor(number / F.lit(10**digits)).cast("string"), F.lit("." if digits else ""), F.lpad((number % F.lit(10**digits)).cast("string"), digits, "0") if digits else F.lit(""))
+    sign = F.when(x.cast("string").startswith("-"), "-").otherwise("")
+    text = F.when(product < 1e15, F.concat(sign, text)).otherwise(F.format_string(f"%.{digits}f", x))
+    return F.when(F.isnan(x), "nan").when(size == float("inf"), F.concat(sign, F.lit("inf"))).when(x.isNotNull(), text)
+
+
 def bucket_above(value: Column, thresholds: list[float]) -> Column:
     """How many thresholds the value exceeds (a value on a threshold is in the bucket below)."""
     return sum((F.when(value > t, 1).otherwise(0) for t in thresholds), F.lit(0))

@@ -17,6 +17,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions.expressions import fixed
+
 _TAG = re.compile(r"(\{\{.*?\}\}|\{%.*?%\}|\{#.*?#\})", re.S)
 
 #: Filters by name, besides ``format``: a function of the value and the arguments.
@@ -49,6 +51,29 @@ def _tree(text: str) -> ast.AST:
         raise TemplateError(f"can't read {text.strip()!r}") from e
 
 
+def _formatted(pattern: str, values: list[Column]) -> Column:
+    """A ``%`` pattern with decimals (``%.2f``), whole numbers, texts and percent signs, as Python fills it."""
+    parts, values = [], list(values)
+    for piece in re.split(r"(%%|%(?:\.\d+)?f|%d|%s)", pattern):
+        if piece == "%%":
+            parts.append(F.lit("%"))
+        elif re.fullmatch(r"%(?:\.\d+)?f|%d|%s", piece):
+            if not values:
+                raise TemplateError(f"{pattern!r} has more places than values")
+            value = values.pop(0)
+            if piece.endswith("f"):
+                parts.append(fixed(value, int(piece[2:-1]) if "." in piece else 6))
+            else:
+                parts.append(value.cast("long").cast("string") if piece == "%d" else _shown(value))
+        elif "%" in piece:
+            raise TemplateError(f"{pattern!r} has a place that isn't known")
+        elif piece:
+            parts.append(F.lit(piece))
+    if values:
+        raise TemplateError(f"{pattern!r} has fewer places than values")
+    return _joined(parts)
+
+
 class _Expression:
     """Columns from an expression's tree; ``names`` are loop variables, all others are columns."""
 
@@ -85,7 +110,7 @@ class _Expression:
         if name.id == "format":
             if not isinstance(value, ast.Constant):
                 raise TemplateError("format needs its pattern as a text")
-            return F.format_string(value.value, *map(self.of, arguments))
+            return _formatted(value.value, list(map(self.of, arguments)))
         return FILTERS[name.id](self.of(value), *map(self.of, arguments))
 
     def truth(self, node: ast.AST) -> Column:

@@ -41,7 +41,22 @@ def test_rendered(spark, template, want):
     assert shown(spark, template, missing=F.lit("m")) == want
 
 
-@pytest.mark.parametrize("template", ["{{ a b }}", "{{ name|unknown }}", "{% if name %}x", "{% endif %}", "{% while x %}", "{{ [1] }}", "{% for t in tags %}x", "{{ dose in tags }}"])
+def test_decimals_as_python_writes_them(spark):
+    import random
+
+    from tessera.functions import expressions as E
+
+    draw = random.Random(4)
+    values = [2.675, 2.5, 0.125, 0.375, 1.005, -1.005, -0.001, 0.0, 1e14, 123456789.125, 1e18, float("nan"), float("inf"), float("-inf"), 0.5, 1.5, 1e-300]
+    values += [round(draw.uniform(-300, 300), d) for d in range(6) for _ in range(200)] + [k / 8 for k in range(-40, 40)]
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(values)], "k int, v double").sort("k")
+    for digits in (0, 1, 2, 3):
+        got = [r[0] for r in df.select(E.fixed(F.col("v"), digits)).collect()]
+        assert got == [f"%.{digits}f" % v for v in values]
+    assert shown(spark, "{{ 'a%% %s %d %.1f|'|format(name, id, dose) if dose is not none else '-' }}") == ["a%   Ann  1 2.5|\n", "-\n", "a%  3 0.0|\n"]
+
+
+@pytest.mark.parametrize("template", ["{{ '%x'|format(id) }}", "{{ '%d'|format(id, id) }}", "{{ '%d %d'|format(id) }}", "{{ a b }}", "{{ name|unknown }}", "{% if name %}x", "{% endif %}", "{% while x %}", "{{ [1] }}", "{% for t in tags %}x", "{{ dose in tags }}"])
 def test_unknown_tags_fail_when_the_template_is_read(spark, template):
     with pytest.raises(T.TemplateError):
         T.rendered(template)
