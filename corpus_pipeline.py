@@ -9,6 +9,13 @@ the columns of ``documents``.
 3. near_duplicates: of each class of near-duplicates one document stays.
 4. decontamination: documents that hold a passage of ``benchmark`` go.
 5. bpe: ids are encoded and decoded; their number and digests are returned.
+
+Defined cases: a null or empty text, or one without a letter, has no language and goes in stage 1.
+Of repeated rows, which are near-duplicates of each other, one stays in stage 3. Documents without
+an id are told apart by their texts; the last one of all ids is theirs. Documents of unknown
+language that are recognised stay, whatever ``lang`` says. Other columns come through stages 1 to 4
+as they are, whatever their names; stage 5 returns its own. An empty table gives an empty one with
+the columns of stage 5.
 """
 
 from __future__ import annotations
