@@ -71,7 +71,7 @@ def _array(path: str, shard: int, name: str, dtype: str) -> np.ndarray:
     if not isinstance(store, fs.LocalFileSystem):
         with store.open_input_stream(file) as held:
             return np.frombuffer(held.read(), dtype)
-    return np.memmap(file, dtype, "r")
+    return np.asarray(np.memmap(file, dtype, "r"))  # a plain array, as each result of a memmap's looks for its file
 
 
 class Mapped:
@@ -96,7 +96,7 @@ class Mapped:
         if number not in held:
             while len(_OPEN) > OPEN_TABLES:
                 del _OPEN[next(iter(_OPEN))]
-            while len(held) >= HELD_SHARDS and not isinstance(next(iter(held.values()))["keys"], np.memmap):
+            while len(held) >= HELD_SHARDS and not isinstance(next(iter(held.values()))["keys"].base, np.memmap):
                 del held[next(iter(held))]
             found = {k: _array(self.path, number, k, t) for k, t in {"keys": "u8", **self.values}.items()}
             if self.known and len(found["keys"]) != self.sizes[number]:
