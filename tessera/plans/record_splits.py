@@ -9,6 +9,7 @@ from ..functions.hashing import sha_key
 from ..operators.ordered import quantiles
 from ..operators.selection import shrunk
 from ..operators.splits import assigned
+from ..sources.shared import kept_table
 from ..sources.staged import StagedOutputs
 
 HELD_OUT = ("validation_1", "validation_2", "test")
@@ -25,7 +26,9 @@ def capped_splits(entities: DataFrame, entity: str, test: Column, validation: Co
     Those with most rows move first, of equal ones in the order of a hash of seed, split and entity. ``moved`` says which.
     """
     text = F.col(entity).cast("string")
+    entities = kept_table(entities, "entities")
     parts = assigned(entities.withColumn("__key", sha_key(seed, F.lit("smiles"), text)), test, validation, "label", "__key", entity).drop("__key")
+    parts = kept_table(parts, "assigned")
     out = parts.filter(~F.col("split").isin(*caps)).withColumn("moved", F.lit(False))
     for split, cap in caps.items():
         own = parts.filter(F.col("split") == split).withColumn("__order", sha_key(seed, F.lit(split), text))
