@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .catalogue import ORACLE_SQL, PAIRS, _pairs, _vectors, query
+from .catalogue import ORACLE_SQL, PAIRS, _name_pairs, _vectors, query
 from .operators import balance as B
 from .operators import checks as C
 from .operators import entities as E
@@ -216,7 +216,8 @@ def entity_table(spark, t):
 )
 def holdout_costs(spark, t):
     """What keeping the names of one size out of training costs, beside as many names of the highest degree."""
-    pairs = _pairs(t)
+    pairs = _name_pairs(t)
+    total = pairs.agg(F.sum("pairs")).first()[0] or 0
     chosen = t("part").filter("p_size = 7").select(F.col("p_name").alias("entity"))
     return E.holdout_costs(S.incident_costs(pairs, "p_name_a", "p_name_b"), S.degrees(pairs, "p_name_a", "p_name_b"), chosen, pairs.count())
 
