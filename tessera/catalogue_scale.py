@@ -219,7 +219,7 @@ def holdout_costs(spark, t):
     pairs = _name_pairs(t)
     total = pairs.agg(F.sum("pairs")).first()[0] or 0
     chosen = t("part").filter("p_size = 7").select(F.col("p_name").alias("entity"))
-    return E.holdout_costs(S.incident_costs(pairs, "p_name_a", "p_name_b"), S.degrees(pairs, "p_name_a", "p_name_b"), chosen, pairs.count())
+    return E.holdout_costs(S.incident_costs(pairs, "p_name_a", "p_name_b", "pairs"), S.degrees(pairs, "p_name_a", "p_name_b"), chosen, total)
 
 
 @query(
