@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expressions import deadband_label, is_blank
+from ..functions.hashing import sha_number
 from .selection import positions
 
 
@@ -60,6 +61,9 @@ def all_pairs(records: DataFrame, blocks: int = 8, near: float = 10.0, far: floa
     return _labelled(a.join(b, on & _outside(near, far)), near, far).drop("cell_a", "cell_b")
 
 
+#: Of the rounds of ``permuted``: 2^31 - 1, so that products are longs, and what tells the rounds apart.
+PRIME, MULTIPLIER = (1 << 31) - 1, 1103515245
+
 #: Draws that one row stands for before they are made.
 DRAWS = 1 << 16
 
@@ -68,22 +72,26 @@ def permuted(number: Column, n: Column, seed: int, *tweak: Column, rounds: int =
     """The place of ``number`` in a keyed permutation of 0 to ``n`` - 1, one for each ``tweak``; null where the walk doesn't end.
 
     A Feistel network over a grid of a * b cells, a the root of ``n``, that has fewer than a
-    cells beyond ``n``. Who comes to one of these walks on, ``walks`` steps at most: in a
+    cells beyond ``n``. A round adds the cube of a linear function modulo a prime, with a term from
+    the key and the tweak. Who comes to one of these walks on, ``walks`` steps at most: in a
     permutation of a million, a chance of 1e-72 for more.
     """
     a = F.greatest(F.lit(1), F.ceil(F.sqrt(n.cast("double")))).cast("long")
     b = F.floor((n - 1) / a).cast("long") + 1
-    grid = lambda left, right, a, b: F.struct(left.cast("long").alias("l"), right.cast("long").alias("r"), a.alias("a"), b.alias("b"))
+    grid = lambda left, right, a, b, t: F.struct(left.cast("long").alias("l"), right.cast("long").alias("r"), a.alias("a"), b.alias("b"), t.alias("t"))
 
     def turn(x: Column, k: Column) -> Column:
-        mixed = lambda c: F.pmod(F.xxhash64(F.lit(seed), k, c, *tweak), F.lit(2**61 - 1))
-        even = grid(F.pmod(x["l"] + mixed(x["r"]), x["a"]), x["r"], x["a"], x["b"])
-        odd = grid(x["l"], F.pmod(x["r"] + mixed(x["l"]), x["b"]), x["a"], x["b"])
+        def mixed(c: Column) -> Column:
+            y = (c % PRIME * ((k + 1) * MULTIPLIER % PRIME) + x["t"]) % PRIME
+            return y * y % PRIME * y % PRIME
+
+        even = grid(F.pmod(x["l"] + mixed(x["r"]), x["a"]), x["r"], x["a"], x["b"], x["t"])
+        odd = grid(x["l"], F.pmod(x["r"] + mixed(x["l"]), x["b"]), x["a"], x["b"], x["t"])
         return F.when(k % 2 == 0, even).otherwise(odd)
 
-    once = lambda x: F.aggregate(F.array(*map(F.lit, range(rounds))), x, turn)
+    once = lambda x: F.aggregate(F.array(*(F.lit(k).cast("long") for k in range(rounds))), x, turn)
     value = lambda x: x["l"] * x["b"] + x["r"]
-    start = grid(F.floor(number / b), F.pmod(number, b), a, b)
+    start = grid(F.floor(number / b), F.pmod(number, b), a, b, sha_number(seed, *tweak) % PRIME)
     walk = lambda x, step: F.when((step > 0) & (value(x) < n), x).otherwise(once(x))
     return F.aggregate(F.sequence(F.lit(0), F.lit(walks)), start, walk, lambda x: F.when(value(x) < n, value(x)))
 
@@ -104,7 +112,7 @@ def sampled_pairs(records: DataFrame, group: list[str], key: str, fraction: floa
     sizes = sizes.withColumn("total", total).withColumn("drawn", F.least(F.col("total"), F.ceil(F.lit(fraction) * F.col("total")).cast("long"))).filter("drawn > 0")
     begun = sizes.withColumn("begin", F.explode(F.sequence(F.lit(0).cast("long"), F.col("drawn") - 1, F.lit(DRAWS).cast("long")))).repartition(tasks, *group, "begin")
     each = begun.withColumn("k", F.explode(F.sequence(F.col("begin"), F.least(F.col("begin") + DRAWS, F.col("drawn")) - 1)))
-    x = permuted(F.col("k"), F.col("total"), seed, *(F.coalesce(F.col(g).cast("string"), F.lit("\0")) for g in group))
+    x = permuted(F.col("k"), F.col("total"), seed, *(F.coalesce(F.col(g).cast("string"), F.lit("")) for g in group))
     each = each.withColumn("x", F.coalesce(x, F.raise_error(F.lit("a walk of the permutation didn't end")).cast("long")))
     # the row of the triangle from the root, put right by one where the double is off
     j = F.floor((1 + F.sqrt(8.0 * F.col("x") + 1)) / 2)
