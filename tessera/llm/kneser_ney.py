@@ -48,6 +48,9 @@ from .shared import lean, shared_path, table, written
 GATHER, SHARD, PART_BITS = 4_000_000, 2_000_000, 18
 #: Followers of a pair up to which its sums are taken when they are needed, and pairs of a block of widths.
 FEW, BLOCK = 16, 64
+#: Of each place in a block: a mask of the bytes before it, eight to a number; every second byte of a number.
+EARLIER = np.where(np.arange(BLOCK) < np.arange(BLOCK)[:, None], np.uint8(255), np.uint8(0)).view(np.uint64)
+EVEN = np.uint64(0x00FF00FF00FF00FF)
 END = np.uint64(0x5851F42D4C957F2D)
 #: In place of a follower's id: the pair ends a text.
 NONE = 0xFFFFFFFF
@@ -152,15 +155,20 @@ class Model:
         #: Discounts of the words, pairs and trigrams; the mass of the uniform distribution.
         self.d1, self.d2, self.d3, self.free = np.zeros(4), np.zeros(4), np.zeros(4), 1.0
 
+    def _known(self, distinct: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Id (-1: unknown) and count of each of these different words."""
+        ids, counts = np.full(len(distinct), -1, np.int64), np.zeros(len(distinct), np.int64)
+        for s, at in _each_shard(mapped.shard_of(distinct, self.vocabulary.bits)):
+            held = self.vocabulary.shard(s)
+            places, found = _places(held["keys"], distinct[at])
+            ids[at[found]], counts[at[found]] = self.vocabulary.base[s] + places, held["n"][places]
+        return ids, counts
+
     def ids(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Id (-1: unknown) and count of each token."""
         distinct, back = np.unique(hashes, return_inverse=True)
-        shards, places = self.vocabulary.find(distinct)
-        counts = np.zeros(len(distinct), np.int64)
-        for s in np.unique(shards[places >= 0]):
-            at = np.flatnonzero((shards == s) & (places >= 0))
-            counts[at] = self.vocabulary.shard(int(s))["n"][places[at]]
-        return np.where(places >= 0, self.vocabulary.base[shards] + places, -1)[back], counts[back]
+        ids, counts = self._known(distinct)
+        return ids[back], counts[back]
 
     def pairs(self, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The context of each token, and the key of both."""
@@ -177,72 +185,110 @@ class Model:
         before[bounds[:-1]] = (self.size << 32) | self.size
         return np.append(before, keys[bounds[1:] - 1]), np.append(ids, np.full(len(bounds) - 1, NONE)).astype(np.uint32)
 
-    def _pair_counts(self, shards: np.ndarray, places: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        """The count of each pair, given its place (-1: none)."""
-        out = np.zeros(len(places), np.int64)
-        for s in np.unique(shards[places >= 0]):
-            at, held = np.flatnonzero((shards == s) & (places >= 0)), self.bigrams.shard(int(s))
-            found = held["n"][places[at]].astype(np.int64)
-            many = np.flatnonzero(found == 255)
-            if len(many):
-                found[many] = held["many_n"][np.searchsorted(held["many"], keys[at[many]])]
-            out[at] = found
-        return out
+    def _pairs_held(self, pairs: np.ndarray, shards: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of each of these different pairs: its count and, at order 3, where its followers begin, how many there are, their total and the mass that their discounts free."""
+        counts, start, size, total, mass = *np.zeros((4, len(pairs)), np.int64), np.zeros(len(pairs))
+        for s, at in _each_shard(shards):
+            held = self.bigrams.shard(s)
+            places, found = _places(held["keys"], pairs[at])
+            at = at[found]
+            if len(held["n"]):  # a shard of the two starts alone has no counts
+                n = held["n"][places].astype(np.int64)
+                many = np.flatnonzero(n == 255)
+                if len(many):
+                    n[many] = held["many_n"][np.searchsorted(held["many"], pairs[at[many]])]
+                counts[at] = n
+            if self.order == 3 and len(at):
+                start[at], size[at], kinds = _widths(held, places)
+                total[at], mass[at] = kinds[:, 0], kinds[:, 1:] @ self.d3[1:]
+        return counts, start, size, total, mass
 
     def _followers(self, shards: np.ndarray, places: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """How often each pair, given its place, is followed by the id; its total and its followers by kind."""
-        counts, kinds = np.zeros(len(places), np.int64), np.zeros((len(places), 4), np.int64)
-        for s in np.unique(shards[places >= 0]):
-            at, held = np.flatnonzero((shards == s) & (places >= 0)), self.bigrams.shard(int(s))
-            counts[at], kinds[at] = _in_shard(held, places[at], ids[at])
+        """How often each pair, given its place (-1: none), is followed by the id; its total and its followers by kind."""
+        counts, kinds, held = np.zeros(len(places), np.int64), np.zeros((len(places), 4), np.int64), np.flatnonzero(places >= 0)
+        for s, at in _each_shard(shards[held]):
+            at = held[at]
+            start, size, kinds[at] = _widths(self.bigrams.shard(s), places[at])
+            open_ = np.flatnonzero(size)
+            counts[at[open_]] = _counts_of(self.bigrams.shard(s), start[open_], size[open_], ids[at[open_]])
         return counts, kinds
 
     def _context(self, ids: np.ndarray) -> np.ndarray:
         """The five numbers of each id."""
-        distinct, back = np.unique(ids, return_inverse=True)
-        out = np.zeros((len(distinct), 5), np.int64)
-        parts = distinct >> PART_BITS
-        for p in np.unique(parts):
-            at = np.flatnonzero(parts == p)
-            held = _CONTEXTS.get((self.contexts, int(p)))
+        out = np.zeros((len(ids), 5), np.int64)
+        for p, at in _each_shard(ids >> PART_BITS):
+            held = _CONTEXTS.get((self.contexts, p))
             if held is None:
                 for other in [k for k in _CONTEXTS if k[0] != self.contexts]:
                     del _CONTEXTS[other]
-                held = _CONTEXTS[(self.contexts, int(p))] = mapped._array(self.contexts, int(p), "five", "i8").reshape(-1, 5)
-            out[at] = held[distinct[at] & ((1 << PART_BITS) - 1)]
-        return out[back]
+                held = _CONTEXTS[(self.contexts, p)] = mapped._array(self.contexts, p, "five", "i8").reshape(-1, 5)
+            out[at] = held[ids[at] & ((1 << PART_BITS) - 1)]
+        return out
 
     def score(self, hashes: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
-        """Of each text: tokens, known tokens, log10 probability under add-one unigrams and under the model."""
-        ids, counts = self.ids(hashes)
-        base = np.log10((counts + 1.0) / (self.tokens + self.size + 1.0))
+        """Of each text: tokens, known tokens, log10 probability under add-one unigrams and under the model.
+
+        What depends on a word or on a pair is taken once for each different one.
+        """
+        words_, back = np.unique(hashes, return_inverse=True)
+        own, counts = self._known(words_)
+        base = np.log10((counts + 1.0) / (self.tokens + self.size + 1.0))[back]
+        ids, held = own[back], np.flatnonzero(own >= 0)
         known = ids >= 0
-        p = np.full(len(ids), self.free / (self.size + 1.0))
-        if known.any():
+        p = np.full(len(words_), self.free / (self.size + 1.0))
+        if len(held):
+            # a word's total and free mass as a context; the start comes after all words
+            five = self._context(np.append(own[held], self.size))
+            cont = five[:-1, 4]
+            p[held] += (cont - self.d1[np.minimum(cont, 3)]) / self.types
+            p, total, mass = p[back], np.zeros(len(words_) + 1, np.int64), np.zeros(len(words_) + 1)
+            total[np.append(held, -1)], mass[np.append(held, -1)] = five[:, 0], five[:, 1:4] @ self.d2[1:]
+            word = np.empty(len(ids), np.int64)
+            word[1:] = back[:-1]
+            word[bounds[:-1]] = len(words_)
             before, keys = self.pairs(ids, bounds)
-            cont = np.zeros(len(ids), np.int64)
-            cont[known] = self._context(ids[known])[:, 4]
-            p[known] += (cont[known] - self.d1[np.minimum(cont[known], 3)]) / self.types
-            after = np.flatnonzero(before >= 0)
-            five = self._context(before[after])
-            seen = five[:, 0] > 0
-            after, five = after[seen], five[seen].astype(np.float64)
-            valid = np.append(known & (before >= 0), True)
-            keys = np.append(keys, np.uint64((self.size << 32) | self.size))
-            shards, places = np.zeros(len(keys), np.int64), np.full(len(keys), -1, np.int64)
-            shards[valid], places[valid] = self.bigrams.find(keys[valid])
-            c = self._pair_counts(shards[after], places[after], keys[after])
-            p[after] = (c - self.d2[np.minimum(c, 3)] + five[:, 1:4] @ self.d2[1:] * p[after]) / five[:, 0]
+            valid = np.flatnonzero(np.append(known & (before >= 0), True))
+            pairs, at = np.unique(np.append(keys, np.uint64((self.size << 32) | self.size))[valid], return_inverse=True)
+            of = np.full(len(keys) + 1, len(pairs))  # no pair: a row of zeros after all
+            of[valid] = at
+            shards = mapped.shard_of(pairs, self.bigrams.bits)
+            c, start, size, total3, mass3 = (np.append(x, x.dtype.type(0)) for x in self._pairs_held(pairs, shards))
+            after = np.flatnonzero(total[word] > 0)
+            n, word = c[of[after]], word[after]
+            p[after] = (n - self.d2[np.minimum(n, 3)] + mass[word] * p[after]) / total[word]
             if self.order == 3:
                 pair = np.arange(-1, len(ids) - 1)
                 pair[bounds[:-1]] = len(ids)  # two starts
-                n, kinds = self._followers(shards[pair], places[pair], ids)
-                seen = kinds[:, 0] > 0
-                n, kinds = n[seen], kinds[seen]
-                p[seen] = (n - self.d3[np.minimum(n, 3)] + kinds[:, 1:] @ self.d3[1:] * p[seen]) / kinds[:, 0]
+                seen = np.flatnonzero(total3[of[pair]] > 0)
+                of = of[pair[seen]]
+                n, asked = np.zeros(len(seen), np.int64), np.flatnonzero(known[seen])
+                for s, at in _each_shard(shards[of[asked]]):
+                    at = asked[at]
+                    n[at] = _counts_of(self.bigrams.shard(s), start[of[at]], size[of[at]], ids[seen[at]])
+                p[seen] = (n - self.d3[np.minimum(n, 3)] + mass3[of] * p[seen]) / total3[of]
+        else:
+            p = p[back]
         return {"n_tokens": np.diff(bounds), "n_known": words.sums(known.astype(np.int64), bounds), "base_score": words.sums(base, bounds), "score": words.sums(np.log10(p), bounds)}
 
 
+def _each_shard(shards: np.ndarray):
+    """Each shard's number and its places in the array, from one sort: work doesn't grow with the number of shards."""
+    order = np.argsort(shards.astype(np.uint16) if len(shards) and shards.max() < 1 << 16 else shards, kind="stable")
+    held = shards[order]
+    cut = np.flatnonzero(held[1:] != held[:-1]) + 1
+    for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(order)] if len(order) else []):
+        yield int(held[a]), order[a:b]
+
+
+def _places(held: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of those keys that are held, and which these are."""
+    if not len(held):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    places = np.minimum(np.searchsorted(held, keys), len(held) - 1)
+    found = np.flatnonzero(held[places] == keys)
+    return places[found], found
+
+
 def _counts_at(held: dict, at: np.ndarray) -> np.ndarray:
     """Counts of the followers at these places of a shard."""
     out = held["count"][at].astype(np.int64)
@@ -252,19 +298,24 @@ def _counts_at(held: dict, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def _in_shard(held: dict, places: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``Model._followers`` for pairs of one shard."""
-    distinct, back = np.unique(places, return_inverse=True)
-    block = distinct // BLOCK
-    width = held["width"].reshape(-1, BLOCK)[block]
-    start = held["start"][block] + np.where(np.arange(BLOCK) < (distinct % BLOCK)[:, None], width, 0).sum(axis=1, dtype=np.int64)
-    size = held["width"][distinct].astype(np.int64)
+def _before(width: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The sum of the widths before each place in its block: eight bytes at once, in four lanes of 16 bits."""
+    held = width.view(np.uint64).reshape(-1, BLOCK // 8)[places // BLOCK] & EARLIER[places % BLOCK]
+    lanes = ((held & EVEN) + ((held >> np.uint64(8)) & EVEN)).sum(axis=1)
+    return ((lanes * np.uint64(0x0001000100010001)) >> np.uint64(48)).astype(np.int64)
+
+
+def _widths(held: dict, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each of a shard's pairs at these places: where its followers begin, how many there are, and they by kind."""
+    block = places // BLOCK
+    start = held["start"][block] + _before(held["width"], places)
+    size = held["width"][places].astype(np.int64)
     if len(held["wide"]):
         more = np.append(0, np.cumsum(held["wide_n"] - 255))
-        start += more[np.searchsorted(held["wide"], distinct)] - more[np.searchsorted(held["wide"], block * BLOCK)]
+        start += more[np.searchsorted(held["wide"], places)] - more[np.searchsorted(held["wide"], block * BLOCK)]
         full = np.flatnonzero(size == 255)
-        size[full] = held["wide_n"][np.searchsorted(held["wide"], distinct[full])]
-    kinds = np.zeros((len(distinct), 4), np.int64)
+        size[full] = held["wide_n"][np.searchsorted(held["wide"], places[full])]
+    kinds = np.zeros((len(places), 4), np.int64)
     few, many = np.flatnonzero((size > 0) & (size <= FEW)), np.flatnonzero(size > FEW)
     if len(few):
         ends = np.cumsum(size[few])
@@ -274,20 +325,23 @@ def _in_shard(held: dict, places: np.ndarray, ids: np.ndarray) -> tuple[np.ndarr
             kinds[few, k] = np.add.reduceat(part, first, dtype=np.int64)
         kinds[few, 3] = size[few] - kinds[few, 1] - kinds[few, 2]
     if len(many):
-        kinds[many] = held["big_kinds"].reshape(-1, 4)[np.searchsorted(held["big"], distinct[many])]
-    start, size, kinds = start[back], size[back], kinds[back]
-    low, high, counts = start.copy(), start + size, np.zeros(len(places), np.int64)
-    open_ = np.flatnonzero((size > 0) & (ids >= 0))
-    asked = open_
+        kinds[many] = held["big_kinds"].reshape(-1, 4)[np.searchsorted(held["big"], places[many])]
+    return start, size, kinds
+
+
+def _counts_of(held: dict, start: np.ndarray, size: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """How often each id stands among a shard's followers from ``start`` on, ``size`` of them, one or more."""
+    low, high, counts = start.copy(), start + size, np.zeros(len(ids), np.int64)
+    open_ = np.arange(len(ids))
     while len(open_):
         middle = (low[open_] + high[open_]) >> 1
         less = held["after"][middle] < ids[open_]
         low[open_[less]], high[open_[~less]] = middle[less] + 1, middle[~less]
         open_ = open_[low[open_] < high[open_]]
-    asked = asked[low[asked] < (start + size)[asked]]
+    asked = np.flatnonzero(low < start + size)
     asked = asked[held["after"][low[asked]] == ids[asked]]
     counts[asked] = _counts_at(held, low[asked])
-    return counts, kinds
+    return counts
 
 
 def _save_followers(path: str, shard: int, keys: np.ndarray, after: np.ndarray, n: np.ndarray) -> None:
