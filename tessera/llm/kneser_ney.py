@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from . import mapped, words
 from .langid import held_out
-from .shared import lean, shared_path, table, written
+from .shared import freed_shuffles, lean, passing, shared_path, table
 
 #: Tokens that a task gathers before it passes counts on; rows of a shard; ids of a part of the contexts.
 GATHER, SHARD, PART_BITS = 4_000_000, 2_000_000, 18
@@ -122,12 +122,18 @@ def _by_shard(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(shards[order], np.arange((1 << bits) + 1))
 
 
-def _trigrams_merged(keys: np.ndarray, after: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (pair, follower) in order, and the sums of their counts."""
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """Numbers from 0 on in 32 bits where they fit, else in 64."""
+    return x.astype(np.uint32 if not x.size or x.max() < 1 << 32 else np.int64)
+
+
+def _trigrams_merged(keys: np.ndarray, after: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (pair, follower) in order, and the sums of their counts (without: one each)."""
     order = np.lexsort((after, keys))
-    keys, after, n = keys[order], after[order], n[order]
+    keys, after, n = keys[order], after[order], n if n is None else n[order]
     first = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (after[1:] != after[:-1]))) if len(keys) else np.zeros(0, np.int64)
-    return keys[first], after[first], np.add.reduceat(n, first) if len(first) else n
+    n = np.diff(first, append=len(keys)) if n is None else np.add.reduceat(n, first) if len(first) else n
+    return keys[first], after[first], n
 
 
 def _kinds(n: np.ndarray) -> np.ndarray:
@@ -221,7 +227,8 @@ class Model:
             if held is None:
                 for other in [k for k in _CONTEXTS if k[0] != self.contexts]:
                     del _CONTEXTS[other]
-                held = _CONTEXTS[(self.contexts, p)] = mapped._array(self.contexts, p, "five", "i8").reshape(-1, 5)
+                held = mapped._array(self.contexts, p, "five", "u4")
+                held = _CONTEXTS[(self.contexts, p)] = (held if len(held) else mapped._array(self.contexts, p, "five", "i8")).reshape(-1, 5)
             out[at] = held[ids[at] & ((1 << PART_BITS) - 1)]
         return out
 
@@ -372,18 +379,23 @@ def _vocabulary(texts: DataFrame) -> tuple[mapped.Mapped, int, int]:
         for keys, n in _gathered(batches, lambda part: tokens_of(part)[0]):
             yield pa.RecordBatch.from_pydict({"key": keys.view(np.int64), "n": n})
 
-    counted = written(texts.mapInArrow(lean(count), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "words")
-    size, tokens = counted.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    if size >= 2**32 - 2:
-        raise ValueError("more words than ids of 32 bits")
-    return mapped.build(counted, size, "vocabulary", {"n": "i8"}), size, tokens
+    with passing(texts.mapInArrow(lean(count), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "words") as counted:
+        size, tokens = counted.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+        if size >= 2**32 - 2:
+            raise ValueError("more words than ids of 32 bits")
+        return mapped.build(counted, size, "vocabulary", {"n": "u4" if tokens < 1 << 32 else "i8"}), size, tokens
 
 
 def fit(texts: DataFrame, order: int = 3) -> Model:
     """Count and write the model of the column ``text`` of all rows; ``order`` is 3 or 2."""
     if order not in (2, 3):
         raise ValueError("the order is 2 or 3")
-    texts, spark = texts.select("text"), texts.sparkSession
+    with freed_shuffles(texts.sparkSession):
+        return _fit(texts.select("text"), order)
+
+
+def _fit(texts: DataFrame, order: int) -> Model:
+    spark = texts.sparkSession
     vocabulary, size, tokens = _vocabulary(texts)
     bits = mapped.shard_bits(tokens, SHARD)
     values = {"n": "u1", "many": "u8", "many_n": "i8"}
@@ -417,7 +429,8 @@ def fit(texts: DataFrame, order: int = 3) -> Model:
 
         def merged():
             keys, after = (np.concatenate(x) for x in zip(*held))
-            return sent(*_trigrams_merged(keys, after, np.ones(len(keys), np.int64))).to_batches()
+            held.clear()
+            return sent(*_trigrams_merged(keys, after)).to_batches()
 
         for batch in batches:
             for _, part in words.slices(words.texts_of(batch)):
@@ -426,7 +439,7 @@ def fit(texts: DataFrame, order: int = 3) -> Model:
                 n += len(held[-1][0])
                 if n >= GATHER:
                     yield from merged()
-                    held, n = [], 0
+                    n = 0
         if held:
             yield from merged()
 
@@ -453,45 +466,55 @@ def fit(texts: DataFrame, order: int = 3) -> Model:
         short = np.zeros(len(held), np.uint8)
         short[np.searchsorted(held, keys)] = np.minimum(n, 255)
         mapped.save(bigrams.path, shard, n=short, many=keys[many], many_n=n[many])
-        out = {"part": [-1], "ids": [b""], "five": [counts_of_counts(n)]}
+        out = {"part": [-1], "size": [0], "wide": [False], "blob": [counts_of_counts(n)]}
         before, after = (keys >> np.uint64(32)).astype(np.int64), (keys & LOW).astype(np.int64)
         ids, start = np.unique(before, return_index=True)
-        kinds = np.append(_kinds(n), np.zeros((len(n), 1), np.int64), axis=1)
-        conts, of = np.unique(after, return_counts=True)
-        left, right = np.add.reduceat(kinds, start, axis=0) if len(ids) else kinds, np.stack([of * 0] * 4 + [of], axis=1)
-        for own, five in ((ids, left), (conts, right)):
-            cut = np.searchsorted(own >> PART_BITS, np.arange((size >> PART_BITS) + 2))
-            for p in np.flatnonzero(np.diff(cut)):
-                a, b = cut[p], cut[p + 1]
-                out["part"].append(int(p))
-                out["ids"].append((own[a:b] & ((1 << PART_BITS) - 1)).astype(np.uint32).tobytes())
-                out["five"].append(five[a:b].astype(np.uint32 if five[a:b].max() < 1 << 32 else np.int64).tobytes())
-        return pa.table({"part": pa.array(out["part"], pa.int32()), "ids": pa.array(out["ids"], pa.binary()), "five": pa.array(out["five"], pa.binary())})
+        kinds = _kinds(n)
+        own, back = np.unique(np.append(ids, after), return_inverse=True)
+        five = np.zeros((len(own), 5), np.int64)
+        five[back[: len(ids)], :4] = np.add.reduceat(kinds, start, axis=0) if len(ids) else kinds
+        five[:, 4] = np.bincount(back[len(ids) :], minlength=len(own))
+        cut = np.searchsorted(own >> PART_BITS, np.arange((size >> PART_BITS) + 2))
+        for p in np.flatnonzero(np.diff(cut)):
+            a, b = cut[p], cut[p + 1]
+            held = _narrow(five[a:b])
+            out["part"].append(int(p))
+            out["size"].append(int(b - a))
+            out["wide"].append(held.itemsize == 8)
+            out["blob"].append(_packed(np.diff(own[a:b] & ((1 << PART_BITS) - 1), prepend=0).astype(np.uint32), *held.T))
+        return pa.table({"part": pa.array(out["part"], pa.int32()), "size": pa.array(out["size"], pa.int64()), "wide": out["wide"], "blob": pa.array(out["blob"], pa.binary())})
 
     def total(rows: DataFrame, column: str) -> np.ndarray:
         return sum((np.frombuffer(r[0], np.int64) for r in rows.select(column).toLocalIterator()), np.zeros(4, np.int64))
 
-    counted = texts.mapInArrow(lean(count_trigrams if order == 3 else count_pairs), blobs)
-    if order == 3:
-        counted = written(counted.groupBy("shard").applyInArrow(merge_trigrams, blobs), "preceding")
-        model.d3 = discounts(total(counted.filter("shard < 0"), "blob"))
-        counted = counted.filter("shard >= 0")
-    merged = written(counted.groupBy("shard").applyInArrow(merge, "part int, ids binary, five binary"), "merged")
-
     def add(t: pa.Table) -> pa.Table:
         """Write a part of the contexts; return the counts of its continuation counts, and their sum."""
         part = t.column("part")[0].as_py()
         sums = np.zeros((min(size + 1 - (part << PART_BITS), 1 << PART_BITS), 5), np.int64)
-        for ids, five in zip(t.column("ids").combine_chunks(), t.column("five").combine_chunks()):
-            ids = np.frombuffer(ids.as_buffer(), np.uint32)
-            sums[ids] += np.frombuffer(five.as_buffer(), np.uint32 if len(five.as_buffer()) == 20 * len(ids) else np.int64).reshape(-1, 5)
-        mapped.save(model.contexts, part, five=sums.reshape(-1))
+        for rows, wide, blob in zip(t.column("size").to_pylist(), t.column("wide").to_pylist(), t.column("blob").combine_chunks()):
+            steps, *five = _unpacked(blob.as_buffer(), rows, "u4", *["i8" if wide else "u4"] * 5)
+            sums[np.cumsum(steps, dtype=np.int64)] += np.stack(five, axis=1).astype(np.int64)
+        mapped.save(model.contexts, part, five=_narrow(sums.reshape(-1)))
         counts = np.bincount(np.minimum(sums[:, 4], 5), minlength=6)
         return pa.table({f"n{k}": [int(counts[k])] for k in range(1, 5)} | {"more": [int(counts[3:].sum())], "types": [int(sums[:, 4].sum())]})
 
-    numbers = "n1 long, n2 long, n3 long, n4 long, more long, types long"
-    low = merged.filter("part >= 0").groupBy("part").applyInArrow(add, numbers).agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("n1", "n2", "n3", "n4", "more", "types"))).first()
-    high = total(merged.filter("part < 0"), "five")
+    def contexts(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        """Write the pairs' counts and the contexts; the counts of counts of the words (then of three and more, and the sum) and of the pairs."""
+        with passing(counted.groupBy("shard").applyInArrow(merge, "part int, size long, wide boolean, blob binary"), "merged") as merged:
+            numbers = "n1 long, n2 long, n3 long, n4 long, more long, types long"
+            low = merged.filter("part >= 0").groupBy("part").applyInArrow(add, numbers).agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("n1", "n2", "n3", "n4", "more", "types"))).first()
+            return low, total(merged.filter("part < 0"))
+
+    def total(rows: DataFrame) -> np.ndarray:
+        return sum((np.frombuffer(r[0], np.int64) for r in rows.select("blob").toLocalIterator()), np.zeros(4, np.int64))
+
+    counted = texts.mapInArrow(lean(count_trigrams if order == 3 else count_pairs), blobs)
+    if order == 3:
+        with passing(counted.groupBy("shard").applyInArrow(merge_trigrams, blobs), "preceding") as preceding:
+            model.d3 = discounts(total(preceding.filter("shard < 0")))
+            low, high = contexts(preceding.filter("shard >= 0"))
+    else:
+        low, high = contexts(counted)
     model.d1, model.d2, model.types = discounts(low[:4]), discounts(high), low[5]
     if model.types:
         model.free = float(model.d1[1] * low[0] + model.d1[2] * low[1] + model.d1[3] * low[4]) / model.types

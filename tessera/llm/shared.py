@@ -12,6 +12,7 @@ import uuid
 from contextlib import contextmanager
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -37,14 +38,26 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again: its lineage ends there."""
+    return _written(df, shared_path(df.sparkSession, name))
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     spark = df.sparkSession
-    path = shared_path(spark, name)
     with short_plans(spark):
         df.write.parquet(path)
     give_back()
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def passing(df: DataFrame, name: str):
+    """``written`` for a table that is needed within the block only: its files are deleted after it."""
+    path = shared_path(df.sparkSession, name)
+    yield _written(df, path)
+    store, base = fs.FileSystem.from_uri(path)
+    store.delete_dir(base)
+
+
 def free_names(df: DataFrame, *names: str) -> list[str]:
     """The names, each with as many underscores after it as it takes to be no column of ``df``."""
     taken, out = {c.lower() for c in df.columns}, []
@@ -55,6 +68,18 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession):
+    """Shuffle files go as soon as the query that made them ends, not when the driver's collector finds them unused."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, True)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @contextmanager
 def short_plans(spark: SparkSession, length: int = 1 << 14):
     """Descriptions of plans are cut off at ``length`` characters: the driver keeps those of a thousand jobs, and every version of each."""
