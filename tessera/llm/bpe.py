@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import mapped, words
-from .shared import lean, table, written
+from .shared import lean, planned_once, table, written
 
 LONG, NEVER = 2_048, 1 << 17
 #: Distinct pieces that a task encodes.
@@ -183,7 +183,8 @@ def dictionary(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> mapped
     # the fold is the dearest step: its tasks hold so many pieces each, however small their files are
     n = pieces.count()
     rows = encode_pieces(pieces.repartition(1 + n // FOLD), ranks).mapInArrow(lean(keyed), "key long, ids array<int>")
-    return mapped.build(rows, n, "pieces", {"ids": "u4"})
+    with planned_once(docs.sparkSession):
+        return mapped.build(rows, n, "pieces", {"ids": "u4"})
 
 
 class Vocabulary:

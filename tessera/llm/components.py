@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import passing, written
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -20,7 +20,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     moved = around.join(least, F.col("a") == F.col("c"))
     if large:
         return moved.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-    return moved.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").union(moved.select("a", F.col("m").alias("b"))).distinct()
+    # one pass over ``moved``: a union would hold its shuffles twice
+    both = moved.select(F.explode(F.array(F.struct("b", "m"), F.struct(F.col("a").alias("b"), "m"))).alias("e"))
+    return both.select(F.col("e.b").alias("a"), F.col("e.m").alias("b")).filter("a <> b").distinct()
 
 
 def components(links: DataFrame, left: str, right: str) -> DataFrame:
@@ -29,7 +31,9 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
     state = lambda e: e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     before = state(edges)
     while before[0]:
-        edges = written(_star(_star(edges, True), False), "stars")
+        # written in between, since a star reads its edges more than once
+        with passing(_star(edges, True), "large-stars") as large:
+            edges = written(_star(large, False), "stars")
         after = state(edges)
         if after == before:
             break

@@ -92,6 +92,18 @@ def short_plans(spark: SparkSession, length: int = 1 << 14):
         spark.conf.set(name, before)
 
 
+@contextmanager
+def planned_once(spark: SparkSession):
+    """Plans aren't changed while they run: one with a large literal is described, with all of it, for every version."""
+    name = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, False)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def give_back() -> None:
     """Hand the process's freed memory back to the system."""
     pa.default_memory_pool().release_unused()
