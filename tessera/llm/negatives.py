@@ -9,8 +9,8 @@ rows those whose upper bound reaches the k-th lower bound, and in a window those
 lie in it, and may be above the k-th of the rows that lie in it for sure. So the answers
 are those of an exhaustive search.
 
-All anchors meet all blocks: groups of anchors and blocks are joined under a key of their
-own, and only a block's k first rows for an anchor leave a task.
+All anchors meet all blocks: every group of anchors is sent to every block, and only a
+block's k first rows for an anchor leave a task.
 
 Defined cases: rows with a null id, label or vector, or with a component that is null or
 not finite, take no part; of rows with one id, the one with the least label and vector does.
@@ -125,11 +125,16 @@ def _negatives(block: _Block, anchor: int, label: int, q: np.ndarray, positives,
         yield positive, score, block.ids[at[best]], scores[best]
 
 
-def _met(blocks: DataFrame, anchors: DataFrame, n_blocks: int, n_groups: int) -> DataFrame:
-    """Every block beside every group of anchors."""
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+def _met(blocks: DataFrame, anchors: DataFrame, n_blocks: int) -> DataFrame:
+    """Every block beside every group of anchors.
+
+    Groups go to the blocks, which are shuffled once. A copy of a group for each block is more
+    than its file shows, so that no side may be broadcast by its size.
+    """
     groups = anchors.groupBy("group").agg(F.collect_list(F.struct(*(c for c in anchors.columns if c != "group"))).alias("anchors"))
-    return blocks.withColumn("group", every(n_groups)).join(groups.withColumn("block", every(n_blocks)), ["block", "group"])
+    asked = groups.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+    n = max(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_blocks)
+    return asked.repartition(n, "block").hint("merge").join(blocks.repartition(n, "block"), "block")
 
 
 def mined(vectors: DataFrame, anchor: Column, n_positives: int = 5, k: int = 10, window: tuple[int, int] = (30, 90), rows: int | None = None, asked: int | None = None) -> DataFrame:
@@ -176,13 +181,13 @@ def mined(vectors: DataFrame, anchor: Column, n_positives: int = 5, k: int = 10,
             yield np.full(len(ids), one), np.full(len(ids), positive), np.full(len(ids), score), ids, scores
 
     names = ["anchor_id", "positive_id", "positive_score"]
-    found = _met(blocks, anchors, n_blocks, n_groups).mapInArrow(work(first, names), ", ".join(f"{n} long" for n in names))
+    found = _met(blocks, anchors, n_blocks).mapInArrow(work(first, names), ", ".join(f"{n} long" for n in names))
     best = Window.partitionBy("anchor_id").orderBy(F.col("positive_score").desc(), "positive_id")
     positives = found.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= n_positives)
     lists = positives.groupBy("anchor_id").agg(F.collect_list(F.struct("positive_id", "positive_score")).alias("positives"))
-    asking = anchors.join(lists, F.col("vec_id") == F.col("anchor_id")).drop("anchor_id")
+    asking = anchors.hint("merge").join(lists, F.col("vec_id") == F.col("anchor_id")).drop("anchor_id")
     names = [*names, "negative_id", "negative_score"]
-    found = _met(blocks, asking, n_blocks, n_groups).mapInArrow(work(second, names), ", ".join(f"{n} long" for n in names))
+    found = _met(blocks, asking, n_blocks).mapInArrow(work(second, names), ", ".join(f"{n} long" for n in names))
     best = Window.partitionBy("anchor_id", "positive_id").orderBy(F.col("negative_score").desc(), "negative_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 

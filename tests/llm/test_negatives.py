@@ -75,3 +75,12 @@ def test_most_rows_are_never_scored(monkeypatch):
     ids, scores = N._positives(block, 0, 0, x[0], 5)
     list(N._negatives(block, 0, 0, x[0], list(zip(ids, scores)), (30, 90), 10))
     assert sum(scored) < 0.35 * 4096 * 6
+
+
+def test_groups_sent_to_blocks_are_not_broadcast(spark):
+    """A group's copies, one for each block, are many times its file: broadcast, they would all pass through the driver."""
+    blocks = spark.range(3).select(F.col("id").cast("int").alias("block"), F.lit(b"x").alias("ids"))
+    anchors = spark.range(20).select(F.col("id").alias("vec_id"), (F.col("id") % 2).cast("int").alias("group"))
+    met = N._met(blocks, anchors, 3)
+    assert {(r.block, r.group, len(r.anchors)) for r in met.collect()} == {(b, g, 10) for b in range(3) for g in range(2)}
+    assert "Broadcast" not in met._jdf.queryExecution().executedPlan().toString()
